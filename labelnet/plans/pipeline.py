@@ -1,0 +1,76 @@
+"""End-to-end flows: documents -> label vectors -> label graph -> communities.
+
+Default parameters are the reference's: 1,000 features, threshold 0.5
+(strict), 5 propagation rounds, minimum score 1.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from labelnet.operators import features as fe
+from labelnet.operators import graph as gr
+from labelnet.operators import relate as rl
+from labelnet.operators import similarity as sim
+from labelnet.session import cut
+from labelnet.sources import standin
+
+
+@dataclass
+class LabelVectors:
+    vectors: DataFrame      # (tag_id, idx, w) long form, zero vectors have no rows
+    tags: DataFrame         # (id, tag_name, count, excerpt_post_id, wiki_post_id)
+    model: fe.TfidfModel    # fitted vocabulary (term, idx, idf)
+    tf: DataFrame           # (post_id, term, tf) of the usable corpus
+    members: DataFrame      # (tag_id, post_id) restricted to usable posts
+
+
+def corpus_tf(spark: SparkSession, sf_dir: str, min_score: int = 1, stem: bool = False,
+              url_first: bool = False) -> DataFrame:
+    """``(post_id, term, tf)`` of usable posts of the post/excerpt/wiki union, materialised once."""
+    posts = standin.posts(spark, sf_dir)
+    texts = rl.post_text_union(posts, standin.excerpts(spark, sf_dir), standin.wikis(spark, sf_dir))
+    docs = rl.usable_tokens(texts, min_score=min_score, url_first=url_first)
+    if stem:
+        docs = fe.stem_tokens(docs)
+    return cut(fe.term_counts(docs))
+
+
+def label_vectors(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, min_score: int = 1,
+                  stem: bool = False) -> LabelVectors:
+    """TF-IDF of usable posts, averaged per tag (zero vector for tags without a usable post)."""
+    tf = corpus_tf(spark, sf_dir, min_score=min_score, stem=stem)
+    model = fe.fit_tfidf(tf, vocab_size)
+    model = fe.TfidfModel(cut(model.vocab), model.size)
+    weights = fe.tfidf_transform(tf, model)
+    posts = standin.posts(spark, sf_dir, with_score=False)
+    tags = cut(standin.tags(spark, sf_dir))
+    usable_ids = tf.select("post_id").distinct()
+    members = rl.memberships(posts, tags).join(usable_ids, "post_id", "left_semi")
+    vecs = cut(fe.label_means(weights, members))
+    return LabelVectors(vecs, tags, model, tf, members)
+
+
+def label_graph(lv: LabelVectors, threshold: float = 0.5, inclusive: bool = False,
+                keep_isolated: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Vertices ``(id, name)`` and edges ``(src, dst, weight)`` over the label vectors."""
+    arrays = fe.sparse_arrays(lv.vectors, "tag_id")
+    edges = sim.similar_pairs(arrays, "tag_id", lv.model.size, threshold, inclusive,
+                              n_rows=lv.tags.count())
+    edges = cut(edges)
+    vertices = lv.tags.select("id", F.col("tag_name").alias("name"))
+    if not keep_isolated:
+        vertices = vertices.join(gr.endpoint_vertices(edges), "id", "left_semi")
+    return vertices, edges
+
+
+def tag_communities(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, threshold: float = 0.5,
+                    max_iter: int = 5, min_score: int = 1, weighted: bool = False, stem: bool = False) -> DataFrame:
+    """``(id, name, label)``: label propagation over the tag similarity graph."""
+    lv = label_vectors(spark, sf_dir, vocab_size, min_score, stem)
+    vertices, edges = label_graph(lv, threshold)
+    labels = gr.label_propagation(vertices, edges, max_iter=max_iter, weighted=weighted)
+    return vertices.join(labels, "id").select("id", "name", "label")
