@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelnet.functions import porter
+from labelnet.functions import text as tx
 from labelnet.util import checked_broadcast
 
 MIN_TOKEN_LEN = 2  # the vectoriser keeps tokens of 2+ word characters
@@ -28,11 +29,45 @@ def tf_tokens(tokens: Column) -> Column:
     return F.filter(tokens, lambda t: F.length(t) >= MIN_TOKEN_LEN)
 
 
-def term_counts(docs: DataFrame, key: str = "post_id", tokens: str = "tokens") -> DataFrame:
-    """``(key, term, tf)``. A document without a usable token keeps one row with
-    a null term, so that it still counts in the number of documents."""
-    return (docs.select(key, F.explode_outer(tf_tokens(F.col(tokens))).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+def usable_terms(texts: DataFrame, min_score: int = 1, url_first: bool = False, stem: bool = False,
+                 key: str = "post_id") -> DataFrame:
+    """``(key, term)`` rows of usable posts (score >= min, non-blank cleaned title
+    and body), plus one null-term marker row per usable post.
+
+    The usability test sits inside the generator instead of a Filter: a
+    Filter on the token columns would be pushed below the projection and
+    run the whole cleaning chain a second time.
+    """
+    t = (texts.where(F.col("score") >= min_score)
+         .select(key, tx.clean_tokens(F.col("body"), url_first).alias("tokens"),
+                 tx.clean_tokens(F.col("title"), url_first).alias("tt")))
+    ok = (F.size("tokens") > 0) & (F.size("tt") > 0)
+    toks = F.col("tokens") if stem else tf_tokens(F.col("tokens"))
+    gen = F.when(ok, F.concat(F.array(F.lit(None).cast("string")), toks)).otherwise(
+        F.array().cast("array<string>"))
+    long = t.select(key, F.explode(gen).alias("term"))
+    if stem:
+        stems = stem_vocabulary(long)
+        long = (long.join(stems, "term", "left")
+                .select(key, F.col("stem").alias("term"))
+                .where(F.col("term").isNull() | (F.length("term") >= MIN_TOKEN_LEN)))
+    return long
+
+
+def term_counts(long: DataFrame, key: str = "post_id") -> DataFrame:
+    """``(key, term, tf)`` from ``(key, term)`` rows (marker rows keep tf = 1, term null)."""
+    return long.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def tokens_to_terms(docs: DataFrame, key: str = "post_id", tokens: str = "tokens") -> DataFrame:
+    """Token arrays -> ``(key, term)`` rows of 2+ characters plus one marker row per document."""
+    gen = F.concat(F.array(F.lit(None).cast("string")), tf_tokens(F.coalesce(F.col(tokens), F.array().cast("array<string>"))))
+    return docs.select(key, F.explode(gen).alias("term"))
+
+
+def document_ids(tf: DataFrame, key: str = "post_id") -> DataFrame:
+    """The documents of a term-count table (one marker row each)."""
+    return tf.where(F.col("term").isNull()).select(key)
 
 
 def term_stats(tf: DataFrame) -> DataFrame:
@@ -52,8 +87,8 @@ def vocabulary(tf: DataFrame, size: int) -> DataFrame:
 
 
 def n_documents(tf: DataFrame, key: str = "post_id") -> Column:
-    """Number of documents as a scalar subquery column."""
-    return tf.select(F.count_distinct(key)).scalar()
+    """Number of documents (marker rows) as a scalar subquery column."""
+    return tf.where(F.col("term").isNull()).select(F.count(F.lit(1))).scalar()
 
 
 def idf_column(df_col: Column, n_docs: Column) -> Column:

@@ -65,8 +65,16 @@ def usable_filter(min_score: int = 1):
 
 
 def usable_posts(texts: DataFrame, min_score: int = 1, url_first: bool = False) -> DataFrame:
-    """Cleaned ``post_id, body, title, score`` with score >= min and non-blank title and body."""
-    return clean_columns(texts, url_first=url_first).where(usable_filter(min_score))
+    """Cleaned ``post_id, body, title, score`` with score >= min and non-blank title and body.
+
+    The non-blank test runs inside a one-element array filter + explode: a
+    plain Filter on the cleaned columns would be pushed below the projection
+    and run the cleaning chain twice.
+    """
+    c = clean_columns(texts.where(F.col("score") >= min_score), url_first=url_first)
+    row = F.array(F.struct("post_id", "body", "title", "score"))
+    keep = F.filter(row, lambda r: (F.trim(r["title"]) != "") & (F.trim(r["body"]) != ""))
+    return c.select(F.explode(keep).alias("r")).select("r.*")
 
 
 def usable_tokens(texts: DataFrame, min_score: int = 1, url_first: bool = False) -> DataFrame:

@@ -67,21 +67,14 @@ def _passes(s: np.ndarray, threshold: float, inclusive: bool) -> np.ndarray:
     return s >= threshold if inclusive else s > threshold
 
 
-def _topk_rows(s: np.ndarray, rkey: np.ndarray, k: int):
-    """Per row of ``s``: column indices of the k best (score desc, right key asc)."""
-    out_r, out_c = [], []
-    order_key = np.argsort(rkey, kind="stable")
-    s_sorted = s[:, order_key]
-    kk = min(k, s.shape[1])
-    for r in range(s.shape[0]):
-        row = s_sorted[r]
-        # stable sort on -score keeps right-key order among ties
-        best = np.argsort(-row, kind="stable")[:kk]
-        out_r.append(np.full(kk, r))
-        out_c.append(order_key[best])
-    if not out_r:
-        return np.array([], dtype=np.int64), np.array([], dtype=np.int64)
-    return np.concatenate(out_r), np.concatenate(out_c)
+def _topk_rows(s: np.ndarray, k: int, tol: float = 1e-9):
+    """Per row: the k best columns plus every column within ``tol`` of the k-th
+    score, so that the exact tie-break (rounded score, key) done later in
+    Spark sees every candidate that could win it."""
+    if s.shape[1] <= k:
+        return np.nonzero(np.ones_like(s, dtype=bool))
+    kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
+    return np.nonzero(s >= (kth - tol)[:, None])
 
 
 def _num_blocks(n: int, block_rows: int) -> int:
@@ -161,8 +154,11 @@ def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: lis
         left, right = normalize_arrays(left), normalize_arrays(right)
     lh = F.pmod(F.xxhash64(*lkeys), F.lit(bl))
     rh = F.pmod(F.xxhash64(*rkeys), F.lit(br))
-    L = left.select(*lkeys, "idxs", "vals", lh.alias("bl"), F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("br"))
-    R = right.select(*rkeys, "idxs", "vals", rh.alias("br"), F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("bl"))
+    # fresh aliases: both sides may come from one plan (a self product)
+    L = left.select(*[F.col(k).alias(k) for k in lkeys], F.col("idxs").alias("idxs"), F.col("vals").alias("vals"),
+                    lh.alias("bl"), F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("br"))
+    R = right.select(*[F.col(k).alias(k) for k in rkeys], F.col("idxs").alias("idxs"), F.col("vals").alias("vals"),
+                     rh.alias("br"), F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("bl"))
     schema = T.StructType(_key_fields(left, lkeys) + _key_fields(right, rkeys)
                           + [T.StructField("score", T.DoubleType())])
     single_rkey = rkeys[0] if len(rkeys) == 1 else None
@@ -180,8 +176,7 @@ def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: lis
             mask &= lp[lkeys[0]].to_numpy()[:, None] != rp[single_rkey].to_numpy()[None, :]
         if top_k is not None:
             masked = np.where(mask, s, -np.inf)
-            rk = rp[single_rkey].to_numpy() if single_rkey else np.arange(len(rp))
-            ii, jj = _topk_rows(masked, rk, top_k)
+            ii, jj = _topk_rows(masked, top_k)
             ok = np.isfinite(masked[ii, jj])
             ii, jj = ii[ok], jj[ok]
         else:

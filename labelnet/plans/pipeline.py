@@ -33,10 +33,7 @@ def corpus_tf(spark: SparkSession, sf_dir: str, min_score: int = 1, stem: bool =
     """``(post_id, term, tf)`` of usable posts of the post/excerpt/wiki union, materialised once."""
     posts = standin.posts(spark, sf_dir)
     texts = rl.post_text_union(posts, standin.excerpts(spark, sf_dir), standin.wikis(spark, sf_dir))
-    docs = rl.usable_tokens(texts, min_score=min_score, url_first=url_first)
-    if stem:
-        docs = fe.stem_tokens(docs)
-    return cut(fe.term_counts(docs))
+    return cut(fe.term_counts(fe.usable_terms(texts, min_score=min_score, url_first=url_first, stem=stem)), "tf")
 
 
 def label_vectors(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, min_score: int = 1,
@@ -48,8 +45,7 @@ def label_vectors(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, min_
     weights = fe.tfidf_transform(tf, model)
     posts = standin.posts(spark, sf_dir, with_score=False)
     tags = cut(standin.tags(spark, sf_dir))
-    usable_ids = tf.select("post_id").distinct()
-    members = rl.memberships(posts, tags).join(usable_ids, "post_id", "left_semi")
+    members = rl.memberships(posts, tags).join(fe.document_ids(tf), "post_id", "left_semi")
     vecs = cut(fe.label_means(weights, members))
     return LabelVectors(vecs, tags, model, tf, members)
 
@@ -74,3 +70,109 @@ def tag_communities(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, th
     vertices, edges = label_graph(lv, threshold)
     labels = gr.label_propagation(vertices, edges, max_iter=max_iter, weighted=weighted)
     return vertices.join(labels, "id").select("id", "name", "label")
+
+
+# ---- the ready-made vector store (embeddings) ----------------------------------
+
+def embedding_graph(spark: SparkSession, sf_dir: str, threshold: float, inclusive: bool = False,
+                    first_n: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Vertices ``(id, name)`` and edges over the stored vectors (64-dim, exact cosine)."""
+    from labelnet.sources import io
+    v = standin.vectors(spark, sf_dir)
+    if first_n is not None:
+        v = io.first_n_vectors(v, first_n)
+    v = cut(v, "vectors")
+    dim = v.select(F.max(F.size("vector"))).first()[0] or 0
+    arrays = fe.array_to_sparse(v.select("tag_id", "vector"))
+    edges = cut(sim.similar_pairs(arrays, "tag_id", dim, threshold, inclusive, n_rows=v.count()), "edges")
+    vertices = v.select(F.col("tag_id").alias("id"), F.col("tag_id").cast("string").alias("name"))
+    return vertices, edges
+
+
+def label_arrays(lv: LabelVectors) -> DataFrame:
+    """``(tag_id, idxs, vals)`` for every tag; zero vectors as empty arrays."""
+    arr = fe.sparse_arrays(lv.vectors, "tag_id")
+    return (lv.tags.select(F.col("id").alias("tag_id")).join(arr, "tag_id", "left")
+            .select("tag_id", F.coalesce("idxs", F.array().cast("array<int>")).alias("idxs"),
+                    F.coalesce("vals", F.array().cast("array<double>")).alias("vals")))
+
+
+def ranked(scores: DataFrame, key: list[str], other: str, score: str, k: int | None) -> DataFrame:
+    """``rank`` per key by (rounded score desc, other asc); top ``k`` when given.
+
+    Rounding to 6 places before ranking makes floating-point noise between
+    engines unable to swap two near-equal scores.
+    """
+    from pyspark.sql import Window
+    s = scores.withColumn(score, F.round(score, 6))
+    w = Window.partitionBy(*key).orderBy(F.desc(score), F.asc(other))
+    s = s.withColumn("rank", F.row_number().over(w))
+    return s.where(F.col("rank") <= k) if k is not None else s
+
+
+def tag_neighbours(lv: LabelVectors, k: int | None = 10, include_self: bool = True) -> DataFrame:
+    """``(tag_id, rank, neighbour_id, sim)``: nearest tags by cosine for every tag.
+
+    ``k=None`` is the full ranking of all tags against each tag.
+    """
+    arr = cut(label_arrays(lv), "label_arrays")
+    n = lv.tags.count()
+    left = arr.withColumnRenamed("tag_id", "q_id")
+    right = arr.withColumnRenamed("tag_id", "neighbour_id")
+    sc = sim.block_scores(left, right, ["q_id"], ["neighbour_id"], lv.model.size, top_k=k,
+                          exclude_same_key=not include_self, n_left=n, n_right=n)
+    return ranked(sc.withColumnRenamed("q_id", "tag_id").withColumnRenamed("score", "sim"),
+                  ["tag_id"], "neighbour_id", "sim", k)
+
+
+def new_post_vectors(spark: SparkSession, sf_dir: str, model: fe.TfidfModel) -> DataFrame:
+    """TF-IDF of the posts to tag with the fitted vocabulary: ``(conv_id, turn, idxs, vals)``."""
+    from labelnet.functions import text as tx
+    posts = standin.new_posts(spark, sf_dir)
+    long = posts.select("conv_id", "turn", F.explode(fe.tf_tokens(tx.clean_tokens("body"))).alias("term"))
+    tf = long.groupBy("conv_id", "turn", "term").agg(F.count(F.lit(1)).alias("tf"))
+    j = tf.join(F.broadcast(model.vocab), "term").select("conv_id", "turn", "idx", (F.col("tf") * F.col("idf")).alias("w"))
+    # L2 normalisation happens inside the block product
+    return fe.sparse_arrays(j, ["conv_id", "turn"])
+
+
+def post_tags(spark: SparkSession, sf_dir: str, lv: LabelVectors, k: int = 20, pad_zero: bool = False) -> DataFrame:
+    """``(conv_id, turn, rank, tag_id, sim)``: the k most similar tags per new post.
+
+    Tags with similarity 0 are dropped unless ``pad_zero`` (the reference pads).
+    """
+    posts = cut(new_post_vectors(spark, sf_dir, lv.model), "new_posts")
+    tags = cut(label_arrays(lv), "label_arrays")
+    sc = sim.block_scores(posts, tags, ["conv_id", "turn"], ["tag_id"], lv.model.size, top_k=k,
+                          positive_only=not pad_zero, n_left=posts.count(), n_right=lv.tags.count())
+    return ranked(sc.withColumnRenamed("score", "sim"), ["conv_id", "turn"], "tag_id", "sim", k)
+
+
+def recommend(vertices: DataFrame, edges: DataFrame, labels: DataFrame, k: int = 10) -> DataFrame:
+    """``(tag_id, rank, rec_id, weight)``: neighbours in the same community,
+    heaviest edge first (ties: smaller id), for every vertex at once."""
+    lab = labels.select("id", "label")
+    und = gr.undirected(edges)
+    same = (und.join(lab.select(F.col("id").alias("src"), F.col("label").alias("ls")), "src")
+            .join(lab.select(F.col("id").alias("dst"), F.col("label").alias("ld")), "dst")
+            .where(F.col("ls") == F.col("ld"))
+            .select(F.col("src").alias("tag_id"), F.col("dst").alias("rec_id"), "weight"))
+    return ranked(same, ["tag_id"], "rec_id", "weight", k)
+
+
+def precision_at_k(recs: DataFrame, truth_keys: DataFrame, k: int = 5) -> DataFrame:
+    """Mean precision@k over the tags of ``truth_keys (tag_id, key)``.
+
+    A recommendation is relevant when it shares the tag's truth key (e.g.
+    the language); precision = hits / returned among the first k; a tag
+    with nothing returned scores 0.
+    """
+    tk = truth_keys.select("tag_id", F.col("key").alias("tkey"))
+    rk = truth_keys.select(F.col("tag_id").alias("rec_id"), F.col("key").alias("rkey"))
+    top = recs.where(F.col("rank") <= k).join(rk, "rec_id", "left")
+    per = top.join(tk, "tag_id").groupBy("tag_id").agg(
+        F.sum(F.when(F.col("rkey") == F.col("tkey"), 1).otherwise(0)).alias("hits"),
+        F.count(F.lit(1)).alias("returned"))
+    allt = tk.join(per, "tag_id", "left").select(
+        "tag_id", F.when(F.col("returned") > 0, F.col("hits") / F.col("returned")).otherwise(F.lit(0.0)).alias("p"))
+    return allt.agg(F.count(F.lit(1)).alias("n_tags"), F.round(F.avg("p"), 6).alias("precision"))

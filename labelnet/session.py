@@ -57,14 +57,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and
+    read it back: the lineage is cut, a lost executor does not lose the data,
+    loops do not grow their plans, and AQE sees real sizes.
 
-    Reliable checkpoint (never the executor-local variant): a lost executor
-    does not lose the data, and loops do not grow their plans.
+    (``DataFrame.checkpoint`` would compute the plan twice, once for the
+    action and once more to write the RDD; the executor-local variant does
+    not survive a lost executor.)
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
