@@ -39,3 +39,13 @@ def checked_broadcast(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROW_L
     past the limit the join is left to the planner (shuffle join).
     """
     return F.broadcast(df) if max_rows <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan has fewer
+    splits than cores (e.g. one large parquet row group), so that CPU-heavy
+    text cleaning is not stuck in a few tasks. A scan of a large table
+    already has more splits than cores and is returned unchanged (no
+    shuffle of the raw text)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
