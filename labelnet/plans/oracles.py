@@ -432,3 +432,7 @@ FROM cooc x JOIN cnt a ON a.tag = x.tag_a JOIN cnt b ON b.tag = x.tag_b""")
 def _():
     return """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type AS tag, count(*) AS n
 FROM events GROUP BY date_trunc('day', ts), event_type"""
+
+
+ORACLES["usage_trend_stream"] = ORACLES["usage_trend"]
+ORACLES["post_tags_stream"] = ORACLES["post_tags"]

@@ -456,3 +456,22 @@ def q_cooccurrence_normalized(spark, d):
 @register("usage_trend")
 def q_usage_trend(spark, d):
     return co.usage_trend(standin.usage(spark, d), "1 day")
+
+
+# ---- streaming forms (same results as the batch queries) -----------------------------------------
+
+@register("usage_trend_stream")
+def q_usage_trend_stream(spark, d):
+    from labelnet.streaming import usage
+    out = usage.run_usage_stream(spark, d, "events.parquet", "1 day", "1 day")
+    return usage.latest_counts(spark, out)
+
+
+@register("post_tags_stream")
+def q_post_tags_stream(spark, d):
+    from labelnet.streaming import tagging
+    lv = pl.label_vectors(spark, d, DOC_VOCAB)
+    out = tagging.run_tagging_stream(spark, d, lv, TOP_POST_TAGS, "conversations.parquet")
+    names = lv.tags.select(F.col("id").alias("tag_id"), "tag_name")
+    return (spark.read.parquet(out).join(names, "tag_id")
+            .select("conv_id", "turn", "rank", "tag_id", "tag_name", "sim"))

@@ -35,3 +35,24 @@ def test_usage_trend(spark):
     df = spark.createDataFrame(rows, cooc.usage_schema())
     got = sorted((r.window_start.day, r.tag, r.n) for r in cooc.usage_trend(df).collect())
     assert got == [(1, "a", 2), (2, "a", 1)]
+
+
+def test_usage_stream_matches_batch(spark, tmp_path):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from labelnet.streaming import usage
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3, i % 24), 7, ["a", "b"][i % 2], 1.0, "{}") for i in range(40)]
+    src = spark.createDataFrame(rows, usage.EVENTS)
+    src.where(F.col("event_id") < 20).coalesce(1).write.parquet(str(tmp_path / "part1"))
+    src.where(F.col("event_id") >= 20).coalesce(1).write.parquet(str(tmp_path / "part2"))
+    # two input files arrive as two micro-batches
+    import glob
+    import shutil
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for i, f in enumerate(sorted(glob.glob(str(tmp_path / "part*" / "*.parquet")))):
+        shutil.copy(f, inbox / f"events-{i}.parquet")
+    out = usage.run_usage_stream(spark, str(inbox))
+    got = sorted((r.window_start, r.tag, r.n) for r in usage.latest_counts(spark, out).collect())
+    want = sorted((r.window_start, r.tag, r.n) for r in cooc.usage_trend(src.select("ts", F.col("event_type").alias("tag"))).collect())
+    assert got == want
