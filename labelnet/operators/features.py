@@ -172,19 +172,6 @@ def stem_vocabulary(tokens_long: DataFrame, term: str = "term") -> DataFrame:
         term, _stem_udf(F.col(term)).alias("stem"))
 
 
-def stem_tokens(docs: DataFrame, key: str = "post_id", tokens: str = "tokens") -> DataFrame:
-    """Replace every token by its stem (order kept) via the vocabulary job.
-
-    Tokens are exploded with their position, joined to the distinct-term
-    stem table, and regrouped per document.
-    """
-    long = docs.select(key, F.posexplode(tokens).alias("pos", "term"))
-    stems = stem_vocabulary(long)
-    out = long.join(stems, "term").groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "stem"))).alias("s"))
-    return out.select(key, F.col("s.stem").alias(tokens))
-
-
 # WordNet's noun detachment rules (suffix -> replacement), in its order.
 NOUN_DETACHMENT = [("s", ""), ("ses", "s"), ("xes", "x"), ("zes", "z"), ("ches", "ch"),
                    ("shes", "sh"), ("men", "man"), ("ies", "y")]

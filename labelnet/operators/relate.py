@@ -19,14 +19,20 @@ def post_tag_pairs(posts: DataFrame) -> DataFrame:
             .select(F.col("id").alias("post_id"), F.explode(F.split("tags", r"\|")).alias("tag_name")))
 
 
-def tag_posts(posts: DataFrame, tags: DataFrame) -> DataFrame:
-    """``tag_name, tag_id, count, excerpt_post_id, wiki_post_id, post_ids array<bigint>``.
+ID_BLOCK = 1_000_000
 
-    Post ids per tag are sorted (collect_list order is not defined). The list
-    of one tag is as long as its post count, so this is the reference's
-    *output shape*, not an input to the vector maths (which stays long form).
+
+def tag_posts(posts: DataFrame, tags: DataFrame, id_block: int = ID_BLOCK) -> DataFrame:
+    """``tag_name, tag_id, count, excerpt_post_id, wiki_post_id, id_block, post_ids array<bigint>``.
+
+    Post ids per tag, sorted (collect_list order is not defined), one row per
+    tag and block of ``id_block`` consecutive post ids: a tag holding a third
+    of all posts is spread over many groups and no list exceeds ``id_block``
+    ids. With ids below ``id_block`` this is one row per tag, the reference's
+    shape. The vector maths never uses these lists (it stays long form).
     """
-    grouped = (post_tag_pairs(posts).groupBy("tag_name")
+    grouped = (post_tag_pairs(posts)
+               .groupBy("tag_name", F.floor(F.col("post_id") / id_block).cast("bigint").alias("id_block"))
                .agg(F.array_sort(F.collect_list("post_id")).alias("post_ids")))
     t = tags.select(F.col("id").alias("tag_id"), "tag_name", "count", "excerpt_post_id", "wiki_post_id")
     return t.join(grouped, "tag_name", "inner")
@@ -93,13 +99,12 @@ def cap_rows(df: DataFrame, n: int, order_by: str = "id") -> DataFrame:
     return df.orderBy(order_by).limit(n)
 
 
-def overwrite_first_n(df: DataFrame, n: int, order_col: str, target: str, value) -> DataFrame:
-    """Overwrite ``target`` with ``value`` on the first ``n`` rows by ``order_col``.
-
-    The first rows come from a top-n (bounded by ``n``), joined back by key;
-    no global window.
-    """
-    first = df.orderBy(order_col).limit(n).select(order_col).withColumn("_first", F.lit(True))
-    out = df.join(F.broadcast(first), order_col, "left") if n <= 1_000_000 else df.join(first, order_col, "left")
+def overwrite_first_n(df: DataFrame, n: int, order_cols, target: str, value) -> DataFrame:
+    """Overwrite ``target`` with ``value`` on the first ``n`` rows by ``order_cols``
+    (a unique key). The first rows come from a top-n (bounded by ``n``),
+    joined back by key; no global window."""
+    keys = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    first = df.orderBy(*keys).limit(n).select(*keys).withColumn("_first", F.lit(True))
+    out = df.join(F.broadcast(first), keys, "left") if n <= 1_000_000 else df.join(first, keys, "left")
     return (out.withColumn(target, F.when(F.col("_first"), F.lit(value)).otherwise(F.col(target)))
             .drop("_first"))

@@ -24,7 +24,8 @@ def oracle(name: str):
 B = S.base_parts
 W = S.with_
 
-TP = ("tp", "SELECT tag_name, list_sort(list(post_id)) AS post_ids FROM post_tags_raw GROUP BY tag_name")
+TP = ("tp", """SELECT tag_name, CAST(floor(post_id / 1000000) AS BIGINT) AS id_block, list_sort(list(post_id)) AS post_ids
+FROM post_tags_raw GROUP BY tag_name, floor(post_id / 1000000)""")
 
 EMB = [
     ("emb", """SELECT vec_id AS tag_id, vec_id AS ord, CAST(embedding AS DOUBLE[]) AS vector, CAST(label AS BIGINT) AS label
@@ -118,23 +119,23 @@ def _():
 
 @oracle("tag_posts")
 def _():
-    return W(B() + [TP], """SELECT t.tag_name, t.id AS tag_id, t.count, t.excerpt_post_id, t.wiki_post_id, tp.post_ids
+    return W(B() + [TP], """SELECT t.tag_name, t.id AS tag_id, t.count, t.excerpt_post_id, t.wiki_post_id, tp.id_block, tp.post_ids
 FROM tags t JOIN tp USING (tag_name)""")
 
 
 @oracle("tag_posts_csv")
 def _():
-    return W(B() + [TP], """SELECT t.id AS tag_id, t.tag_name, array_to_string(tp.post_ids, ',') AS post_ids, tp.post_ids AS parsed
+    return W(B() + [TP], """SELECT t.id AS tag_id, t.tag_name, tp.id_block, array_to_string(tp.post_ids, ',') AS post_ids, tp.post_ids AS parsed
 FROM tags t JOIN tp USING (tag_name)""")
 
 
 @oracle("overwrite_first_n")
 def _():
     v = S.q(Q.OVERWRITE_VALUE)
-    return W(B() + [TP, ("x", """SELECT t.id AS tag_id, t.tag_name, array_to_string(tp.post_ids, ',') AS post_ids
+    return W(B() + [TP, ("x", """SELECT t.id AS tag_id, t.tag_name, tp.id_block, array_to_string(tp.post_ids, ',') AS post_ids
 FROM tags t JOIN tp USING (tag_name)""")],
-             f"""SELECT tag_id, tag_name, CASE WHEN tag_id IN (SELECT tag_id FROM x ORDER BY tag_id LIMIT {Q.OVERWRITE_N})
-THEN {v} ELSE post_ids END AS post_ids FROM x""")
+             f"""SELECT tag_id, tag_name, CASE WHEN (tag_id, id_block) IN (SELECT (tag_id, id_block) FROM x ORDER BY tag_id, id_block LIMIT {Q.OVERWRITE_N})
+THEN {v} ELSE post_ids END AS post_ids, id_block FROM x""")
 
 
 @oracle("dataset_counts")

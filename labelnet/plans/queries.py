@@ -151,14 +151,14 @@ def q_tag_posts(spark, d):
 @register("tag_posts_csv")
 def q_tag_posts_csv(spark, d):
     tp = rl.post_ids_text(rl.tag_posts(standin.posts(spark, d, with_score=False), standin.tags(spark, d)))
-    return tp.select("tag_id", "tag_name", "post_ids", io.split_id_list(F.col("post_ids")).alias("parsed"))
+    return tp.select("tag_id", "tag_name", "id_block", "post_ids", io.split_id_list(F.col("post_ids")).alias("parsed"))
 
 
 @register("overwrite_first_n")
 def q_overwrite_first_n(spark, d):
     tp = rl.post_ids_text(rl.tag_posts(standin.posts(spark, d, with_score=False), standin.tags(spark, d)))
-    return rl.overwrite_first_n(tp.select("tag_id", "tag_name", "post_ids"), OVERWRITE_N, "tag_id",
-                                "post_ids", OVERWRITE_VALUE)
+    return rl.overwrite_first_n(tp.select("tag_id", "tag_name", "id_block", "post_ids"), OVERWRITE_N,
+                                ["tag_id", "id_block"], "post_ids", OVERWRITE_VALUE)
 
 
 @register("dataset_counts")
