@@ -52,17 +52,17 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
     und = undirected(edges)
     if weighted:
         und = und.withColumn("weight", F.col("weight").cast("decimal(18,6)"))
-    und = cut(und.select("src", "dst", "weight"))
-    labels = cut(vertices.select("id", F.col("id").alias("label")))
-    for _ in range(max_iter):
+    und = und.select("src", "dst", "weight")
+    labels = vertices.select("id", F.col("id").alias("label"))
+    for r in range(max_iter):
         msgs = und.join(labels.select(F.col("id").alias("src"), "label"), "src")
         pop = F.sum("weight") if weighted else F.count(F.lit(1))
         votes = msgs.groupBy(F.col("dst").alias("id"), "label").agg(pop.alias("pop"))
         best = votes.groupBy("id").agg(F.max(F.struct("pop", (-F.col("label")).alias("neg"))).alias("b"))
         best = best.select("id", (-F.col("b.neg")).alias("new"))
         nxt = cut(labels.join(best, "id", "left")
-                  .select("id", F.coalesce("new", "label").alias("label")))
-        if stop_early and _changed(labels, nxt) == 0:
+                  .select("id", F.coalesce("new", "label").alias("label")), "labels")
+        if stop_early and r < max_iter - 1 and _changed(labels, nxt) == 0:
             labels = nxt
             break
         labels = nxt

@@ -41,7 +41,6 @@ def label_vectors(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, min_
     """TF-IDF of usable posts, averaged per tag (zero vector for tags without a usable post)."""
     tf = corpus_tf(spark, sf_dir, min_score=min_score, stem=stem)
     model = fe.fit_tfidf(tf, vocab_size)
-    model = fe.TfidfModel(cut(model.vocab), model.size)
     weights = fe.tfidf_transform(tf, model)
     posts = standin.posts(spark, sf_dir, with_score=False)
     tags = cut(standin.tags(spark, sf_dir))

@@ -55,8 +55,7 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = posts(spark, sf_dir, with_score=False)
     pairs = p.select(F.explode(F.split("tags", r"\|")).alias("tag_name")).where(F.col("tag_name") != "")
     counts = pairs.groupBy("tag_name").agg(F.count(F.lit(1)).alias("count"))
-    ids = dense_index(counts, "tag_name", "id", start=1)
-    return (counts.join(ids, "tag_name")
+    return (dense_index(counts, "tag_name", "id", start=1, unique=True)
             .select("id", "tag_name", "count",
                     F.lit(None).cast("bigint").alias("excerpt_post_id"),
                     F.lit(None).cast("bigint").alias("wiki_post_id")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,20 +12,34 @@ from pyspark.sql import types as T
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
-def dense_index(df: DataFrame, col: str, out: str, start: int = 1) -> DataFrame:
+def dense_index(df: DataFrame, col: str, out: str, start: int = 1, unique: bool = False) -> DataFrame:
     """Number the distinct values of ``col`` in ascending order: start, start+1, ...
 
-    Equal to ``dense_rank() over (order by col) - 1 + start`` but without a
-    global window (which would pull every row into one task): a distributed
-    range sort, then per-partition offsets (``zipWithIndex`` runs one small
-    job that counts rows per partition).
+    Equal to ``dense_rank() over (order by col) - 1 + start`` without a global
+    window (which would pull every row into one task). The distinct values
+    are range-partitioned and sorted within partitions; a row's number is
+    its position inside its partition (the low bits of
+    ``monotonically_increasing_id``) plus the row count of all earlier
+    partitions (one row per partition, combined on the driver side of a tiny
+    aggregate). The numbered table is materialised once so both uses see the
+    same partitioning. ``unique=True``: ``col`` is already a key of ``df``;
+    every column of ``df`` is kept (one pass over ``df`` instead of two).
     """
+    from labelnet.session import cut
     spark = df.sparkSession
-    dtype = df.schema[col].dataType
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
-    rdd = vals.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1] + start))
-    schema = T.StructType([T.StructField(col, dtype), T.StructField(out, T.LongType())])
-    return spark.createDataFrame(rdd, schema)
+    parts = max(1, spark.sparkContext.defaultParallelism)
+    keep = df.columns if unique else [col]
+    base = df.where(F.col(col).isNotNull())
+    base = base if unique else base.select(col).distinct()
+    vals = (base.repartitionByRange(parts, col).sortWithinPartitions(col)
+            .select(*keep, F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")))
+    vals = cut(vals, "dense-index")
+    sizes = vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # exclusive running total over partitions: bounded by the partition count
+    offs = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
+    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return (vals.join(F.broadcast(offs), "_pid")
+            .select(*keep, (F.coalesce(F.col("_off"), F.lit(0)) + pos + F.lit(start)).cast("long").alias(out)))
 
 
 def round6(c: Column) -> Column:
