@@ -356,6 +356,13 @@ def _():
 FROM r JOIN vertices v ON v.id = r.rec_id WHERE r.rank <= {Q.TOP_RECS}""")
 
 
+@oracle("recommend_requests")
+def _():
+    return W(_recs(), f"""SELECT v.name AS tag_name, r.rank, r.rec_id, w.name AS rec_name, r.weight
+FROM r JOIN vertices v ON v.id = r.tag_id JOIN vertices w ON w.id = r.rec_id
+WHERE r.rank <= {Q.TOP_RECS} AND v.name IN (SELECT DISTINCT lang FROM documents)""")
+
+
 @oracle("precision_at_k")
 def _():
     return W(_recs() + [

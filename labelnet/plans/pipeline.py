@@ -62,12 +62,36 @@ def label_graph(lv: LabelVectors, threshold: float = 0.5, inclusive: bool = Fals
     return vertices, edges
 
 
+def first_tags(lv: LabelVectors, tag_count: int | None) -> LabelVectors:
+    """Keep the first ``tag_count`` tags of the store (tag id order), as the flow's ``tag_count``."""
+    if tag_count is None:
+        return lv
+    tags = lv.tags.where(F.col("id") <= F.lit(tag_count))
+    vecs = lv.vectors.join(tags.select(F.col("id").alias("tag_id")), "tag_id", "left_semi")
+    return LabelVectors(vecs, tags, lv.model, lv.tf, lv.members)
+
+
+def communities(vertices: DataFrame, edges: DataFrame, algo: str = "label_propagation", max_iter: int = 5,
+                weighted: bool = False) -> DataFrame:
+    """``(id, label)`` by the chosen algorithm: label propagation, components or Louvain."""
+    if algo == "label_propagation":
+        return gr.label_propagation(vertices, edges, max_iter=max_iter, weighted=weighted)
+    if algo == "components":
+        return gr.connected_components(vertices, edges).withColumnRenamed("component", "label")
+    if algo == "louvain":
+        from labelnet.operators import louvain
+        return louvain.louvain(vertices, edges)
+    raise ValueError(f"unknown algorithm {algo!r}")
+
+
 def tag_communities(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, threshold: float = 0.5,
-                    max_iter: int = 5, min_score: int = 1, weighted: bool = False, stem: bool = False) -> DataFrame:
-    """``(id, name, label)``: label propagation over the tag similarity graph."""
-    lv = label_vectors(spark, sf_dir, vocab_size, min_score, stem)
+                    max_iter: int = 5, min_score: int = 1, weighted: bool = False, stem: bool = False,
+                    tag_count: int | None = None, algo: str = "label_propagation") -> DataFrame:
+    """``(id, name, label)``: communities of the tag similarity graph (the flow of
+    ``(tag_count, threshold, iterations, algorithm)``)."""
+    lv = first_tags(label_vectors(spark, sf_dir, vocab_size, min_score, stem), tag_count)
     vertices, edges = label_graph(lv, threshold)
-    labels = gr.label_propagation(vertices, edges, max_iter=max_iter, weighted=weighted)
+    labels = communities(vertices, edges, algo, max_iter, weighted)
     return vertices.join(labels, "id").select("id", "name", "label")
 
 
@@ -159,6 +183,17 @@ def recommend(vertices: DataFrame, edges: DataFrame, labels: DataFrame, k: int =
     return ranked(same, ["tag_id"], "rec_id", "weight", k)
 
 
+def recommend_for(requests: DataFrame, vertices: DataFrame, recs: DataFrame) -> DataFrame:
+    """Recommendations for a request table of tag names (one row or many).
+
+    ``(tag_name, rank, rec_id, rec_name, weight)``; an unknown name gives no rows.
+    """
+    ids = vertices.select(F.col("id").alias("tag_id"), F.col("name").alias("tag_name"))
+    names = vertices.select(F.col("id").alias("rec_id"), F.col("name").alias("rec_name"))
+    return (requests.select("tag_name").join(ids, "tag_name").join(recs, "tag_id").join(names, "rec_id")
+            .select("tag_name", "rank", "rec_id", "rec_name", "weight"))
+
+
 def precision_at_k(recs: DataFrame, truth_keys: DataFrame, k: int = 5) -> DataFrame:
     """Mean precision@k over the tags of ``truth_keys (tag_id, key)``.
 

@@ -410,6 +410,15 @@ def q_recommend_tags(spark, d):
     return recs.join(names, "rec_id").select("tag_id", "rank", "rec_id", "rec_name", "weight")
 
 
+@register("recommend_requests")
+def q_recommend_requests(spark, d):
+    """Recommendations for a request table of tag names (the languages named in the documents)."""
+    _, v, e, labels = _doc_graph_labels(spark, d)
+    recs = pl.recommend(v, e, labels, TOP_RECS)
+    requests = standin.table(spark, d, "documents").select(F.col("lang").alias("tag_name")).distinct()
+    return pl.recommend_for(requests, v, recs)
+
+
 @register("precision_at_k")
 def q_precision_at_k(spark, d):
     _, v, e, labels = _doc_graph_labels(spark, d)

@@ -34,3 +34,13 @@ def test_recommend_on_propagated_labels(spark):
     lab = {r.id: r.label for r in labels.collect()}
     for r in recs.collect():
         assert lab[r.tag_id] == lab[r.rec_id]
+
+
+def test_recommend_for_requests_unknown_name(spark):
+    v = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, name string")
+    e = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.8)], "src long, dst long, weight double")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id long, label long")
+    recs = pl.recommend(v, e, labels, 10)
+    req = spark.createDataFrame([("b",), ("zzz",)], "tag_name string")
+    got = [(r.tag_name, r.rank, r.rec_name) for r in pl.recommend_for(req, v, recs).orderBy("rank").collect()]
+    assert got == [("b", 1, "a"), ("b", 2, "c")]
