@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BLOCK_ROWS = 1024
+BLOCK_BYTES = 64 * 1024 * 1024   # memory budget of one dense block (rows x dim doubles)
 
 
 # ---- column expressions ------------------------------------------------------
@@ -77,6 +78,11 @@ def _topk_rows(s: np.ndarray, k: int, tol: float = 1e-9):
     return np.nonzero(s >= (kth - tol)[:, None])
 
 
+def block_rows_for(dim: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> int:
+    """Rows per block so that one dense block stays under ``BLOCK_BYTES``."""
+    return max(1, min(block_rows, BLOCK_BYTES // (8 * max(1, dim))))
+
+
 def _num_blocks(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / max(1, block_rows)))
 
@@ -97,7 +103,7 @@ def similar_pairs(vecs: DataFrame, key: str, dim: int, threshold: float, inclusi
     """
     if n_rows is None:
         n_rows = vecs.count()
-    B = _num_blocks(n_rows, block_rows)
+    B = _num_blocks(n_rows, block_rows_for(dim, block_rows))
     v = vecs if normalized else normalize_arrays(vecs)
     v = v.select(F.col(key).alias("id"), "idxs", "vals", F.pmod(F.xxhash64(key), F.lit(B)).alias("b"))
     v = v.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
@@ -149,7 +155,8 @@ def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: lis
         n_left = left.count()
     if n_right is None:
         n_right = right.count()
-    bl, br = _num_blocks(n_left, block_rows), _num_blocks(n_right, block_rows)
+    rows = block_rows_for(dim, block_rows)
+    bl, br = _num_blocks(n_left, rows), _num_blocks(n_right, rows)
     if not normalized:
         left, right = normalize_arrays(left), normalize_arrays(right)
     lh = F.pmod(F.xxhash64(*lkeys), F.lit(bl))

@@ -126,3 +126,13 @@ def test_dense_labels_and_merge(spark):
     merged = {r.id: r.label for r in gr.merge_small_communities(small, edges, 2).collect()}
     # community 3 (one member) links to 1 with 1.4 and to 4 with 0.2; community 4 links only to 3
     assert merged == {1: 1, 2: 1, 3: 1, 4: 3}
+
+
+def test_dense_index_matches_dense_rank(spark):
+    from pyspark.sql import functions as F
+    from labelnet.util import dense_index
+    names = [f"n{i % 37:03d}" for i in range(500)]
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(9)
+    got = {r.name: r.k for r in dense_index(df, "name", "k", start=1).collect()}
+    want = {n: i + 1 for i, n in enumerate(sorted(set(names)))}
+    assert got == want

@@ -73,3 +73,8 @@ def test_block_scores_topk(spark, block_rows):
     for q in left:
         order = sorted(right, key=lambda o: (-round(bf[(q, o)], 6), o))[:3]
         assert [got[(q, k)] for k in (1, 2, 3)] == order
+
+
+def test_block_rows_follow_dimension():
+    assert sim.block_rows_for(64) == 1024
+    assert sim.block_rows_for(1_000_000) * 8 * 1_000_000 <= sim.BLOCK_BYTES
