@@ -28,9 +28,33 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "label
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (once per context).
+
+    The pandas UDFs and grouped-map functions refer to ``labelnet`` modules;
+    executors on a cluster (or workers started outside the repo folder)
+    import them from this zip, distributed by Spark itself (``addPyFile``).
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import os
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="labelnet-pkg-"), "labelnet")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="labelnet")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
