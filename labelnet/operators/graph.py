@@ -79,6 +79,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     e = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).where(F.col("u") != F.col("v"))
     e = cut(e.distinct())
     prev = None
+    converged = False
     for _ in range(max_rounds):
         # large-star: link every larger neighbour of u to m(u) = min(N(u) + u)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -95,8 +96,12 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         sig = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
         state = (sig["n"], sig["h"])
         if state == prev:
+            converged = True
             break
         prev = state
+    if not converged:
+        # O(log^2 n) rounds suffice; never return a partial labelling silently
+        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     # converged: every edge is (center, member); the center is the component minimum
     comp = e.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("component"))
     return (vertices.select("id").join(comp, "id", "left")
