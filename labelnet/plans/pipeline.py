@@ -210,3 +210,20 @@ def precision_at_k(recs: DataFrame, truth_keys: DataFrame, k: int = 5) -> DataFr
     allt = tk.join(per, "tag_id", "left").select(
         "tag_id", F.when(F.col("returned") > 0, F.col("hits") / F.col("returned")).otherwise(F.lit(0.0)).alias("p"))
     return allt.agg(F.count(F.lit(1)).alias("n_tags"), F.round(F.avg("p"), 6).alias("precision"))
+
+
+def precision_at_k_pairs(recs: DataFrame, truth: DataFrame, k: int = 5) -> DataFrame:
+    """Mean precision@k against explicit truth lists ``truth(tag_id, relevant_id)``
+    (long form of the reference's tag -> relevant ids map).
+
+    Hits come from a left join of the top-k rows to the distinct truth pairs;
+    the mean runs over the tags of the truth table (nothing returned -> 0).
+    """
+    t = truth.select("tag_id", F.col("relevant_id").alias("rec_id")).distinct().withColumn("hit", F.lit(1))
+    top = recs.where(F.col("rank") <= k).select("tag_id", "rec_id")
+    per = top.join(t, ["tag_id", "rec_id"], "left").groupBy("tag_id").agg(
+        F.count("hit").alias("hits"), F.count(F.lit(1)).alias("returned"))
+    tags = truth.select("tag_id").distinct()
+    allt = tags.join(per, "tag_id", "left").select(
+        "tag_id", F.when(F.col("returned") > 0, F.col("hits") / F.col("returned")).otherwise(F.lit(0.0)).alias("p"))
+    return allt.agg(F.count(F.lit(1)).alias("n_tags"), F.round(F.avg("p"), 6).alias("precision"))

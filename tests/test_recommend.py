@@ -44,3 +44,17 @@ def test_recommend_for_requests_unknown_name(spark):
     req = spark.createDataFrame([("b",), ("zzz",)], "tag_name string")
     got = [(r.tag_name, r.rank, r.rec_name) for r in pl.recommend_for(req, v, recs).orderBy("rank").collect()]
     assert got == [("b", 1, "a"), ("b", 2, "c")]
+
+
+def test_precision_with_truth_pairs(spark):
+    recs = spark.createDataFrame([(1, 1, 2), (1, 2, 3), (1, 3, 9), (2, 1, 1)], "tag_id long, rank int, rec_id long")
+    truth = spark.createDataFrame([(1, 2), (1, 3), (1, 3), (2, 5), (4, 1)], "tag_id long, relevant_id long")
+    row = pl.precision_at_k_pairs(recs, truth, 5).first()
+    # tag 1: 2 of 3; tag 2: 0 of 1; tag 4: nothing returned
+    assert row.n_tags == 3 and abs(row.precision - round((2 / 3) / 3, 6)) < 1e-9
+
+
+def test_readers_take_uris(spark):
+    from labelnet.sources import io
+    df = io.read_table(spark, "parquet", "file:///root/testdata/sf0.001/part.parquet")
+    assert df.count() > 0
