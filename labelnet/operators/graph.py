@@ -60,12 +60,14 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
         votes = msgs.groupBy(F.col("dst").alias("id"), "label").agg(pop.alias("pop"))
         best = votes.groupBy("id").agg(F.max(F.struct("pop", (-F.col("label")).alias("neg"))).alias("b"))
         best = best.select("id", (-F.col("b.neg")).alias("new"))
+        # each round is written with a changed flag: the fixpoint test is a
+        # filtered count of the table just written, not a join of two rounds
         nxt = cut(labels.join(best, "id", "left")
-                  .select("id", F.coalesce("new", "label").alias("label")), "labels")
-        if stop_early and r < max_iter - 1 and _changed(labels, nxt) == 0:
-            labels = nxt
+                  .select("id", F.coalesce("new", "label").alias("label"),
+                          (F.coalesce("new", "label") != F.col("label")).alias("changed")), "labels")
+        labels = nxt.select("id", "label")
+        if stop_early and r < max_iter - 1 and nxt.where("changed").limit(1).count() == 0:
             break
-        labels = nxt
     return labels
 
 
