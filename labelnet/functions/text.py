@@ -90,10 +90,6 @@ def word_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(c, F.lit(TOKEN), 0)
 
 
-def stop_word_array() -> Column:
-    return F.array(*[F.lit(w) for w in STOP_WORDS])
-
-
 def remove_stopwords(tokens: Column) -> Column:
     """Drop stop words from a token array, keeping order and duplicates
     (``array_except`` would de-duplicate). ``isin`` over the literal list is

@@ -59,12 +59,6 @@ def term_counts(long: DataFrame, key: str = "post_id") -> DataFrame:
     return long.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tokens_to_terms(docs: DataFrame, key: str = "post_id", tokens: str = "tokens") -> DataFrame:
-    """Token arrays -> ``(key, term)`` rows of 2+ characters plus one marker row per document."""
-    gen = F.concat(F.array(F.lit(None).cast("string")), tf_tokens(F.coalesce(F.col(tokens), F.array().cast("array<string>"))))
-    return docs.select(key, F.explode(gen).alias("term"))
-
-
 def document_ids(tf: DataFrame, key: str = "post_id") -> DataFrame:
     """The documents of a term-count table (one marker row each)."""
     return tf.where(F.col("term").isNull()).select(key)

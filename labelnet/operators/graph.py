@@ -24,7 +24,8 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 
 def both_ways_with_loops(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Directed pairs both ways plus a self loop of weight 1.0 per vertex."""
+    """Directed pairs both ways plus a self loop of weight 1.0 per given vertex
+    (pass the vertices with a non-zero vector: a zero vector's self cosine is 0)."""
     loops = vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1.0).alias("weight"))
     return undirected(edges).unionByName(loops)
 
@@ -34,11 +35,6 @@ def endpoint_vertices(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
 
 
-def _changed(old: DataFrame, new: DataFrame) -> int:
-    o = old.select("id", F.col("label").alias("old"))
-    return new.join(o, "id").where(F.col("label") != F.col("old")).count()
-
-
 def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5, weighted: bool = False,
                       stop_early: bool = True) -> DataFrame:
     """Synchronous label propagation ``(id, label)``; starting label = own id.

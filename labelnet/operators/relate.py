@@ -65,11 +65,6 @@ def clean_columns(texts: DataFrame, cols=("body", "title"), url_first: bool = Fa
     return texts.withColumns({c: tx.clean_text(F.col(c), url_first, tag_sep) for c in cols})
 
 
-def usable_filter(min_score: int = 1):
-    return ((F.col("score") >= min_score)
-            & (F.trim(F.col("title")) != "") & (F.trim(F.col("body")) != ""))
-
-
 def usable_posts(texts: DataFrame, min_score: int = 1, url_first: bool = False) -> DataFrame:
     """Cleaned ``post_id, body, title, score`` with score >= min and non-blank title and body.
 
@@ -83,17 +78,6 @@ def usable_posts(texts: DataFrame, min_score: int = 1, url_first: bool = False)
     return c.select(F.explode(keep).alias("r")).select("r.*")
 
 
-def usable_tokens(texts: DataFrame, min_score: int = 1, url_first: bool = False) -> DataFrame:
-    """``(post_id, tokens)`` of usable posts: the same rows as ``usable_posts``,
-    keeping the body as its token array (cleaned body is blank iff no tokens)."""
-    return (texts.where(F.col("score") >= min_score)
-            .select("post_id",
-                    tx.clean_tokens(F.col("body"), url_first).alias("tokens"),
-                    tx.clean_tokens(F.col("title"), url_first).alias("title_tokens"))
-            .where((F.size("tokens") > 0) & (F.size("title_tokens") > 0))
-            .select("post_id", "tokens"))
-
-
 def cap_rows(df: DataFrame, n: int, order_by: str = "id") -> DataFrame:
     """Row cap per source on a defined order (a feature of the dataset builder)."""
     return df.orderBy(order_by).limit(n)

@@ -295,8 +295,7 @@ def q_similarity_edges_all(spark, d):
     lv = pl.label_vectors(spark, d, DOC_VOCAB)
     _, e = pl.label_graph(lv, DOC_THRESHOLD, inclusive=True)
     nonzero = lv.vectors.select(F.col("tag_id").alias("id")).distinct()
-    loops = nonzero.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1.0).alias("weight"))
-    return gr.undirected(e).unionByName(loops).select("src", "dst", _r("weight").alias("weight"))
+    return gr.both_ways_with_loops(e, nonzero).select("src", "dst", _r("weight").alias("weight"))
 
 
 @register("tag_pairs_count")

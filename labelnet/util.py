@@ -42,10 +42,6 @@ def dense_index(df: DataFrame, col: str, out: str, start: int = 1, unique: bool
             .select(*keep, (F.coalesce(F.col("_off"), F.lit(0)) + pos + F.lit(start)).cast("long").alias(out)))
 
 
-def round6(c: Column) -> Column:
-    return F.round(c, 6)
-
-
 def checked_broadcast(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only when its row count is bounded by a parameter below the limit.
 
