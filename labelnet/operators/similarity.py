@@ -1,12 +1,20 @@
-"""Cosine similarity: vector expressions and the blocked all-pairs product.
-
-All pairs of N vectors are exact N^2/2 dot products; the work is split into
-B x B blocks of rows. Each vector is shuffled to the B block pairs it takes
-part in (shuffle N*B rows, not N^2), and each block pair is one
-``applyInPandas`` task doing one matrix product in numpy, emitting only the
-pairs the caller asked for (over a threshold, or a top-k per row). No cross
-join and no pair list per group is ever built in Spark; memory per task is
-two blocks of rows. B comes from the row count and ``block_rows``.
+"""Cosine similarity: vector expressions and the all-pairs products.
+
+All pairs of N vectors are exact N^2/2 dot products, computed as matrix
+products in numpy inside Spark tasks, emitting only the pairs the caller
+asked for (over a threshold, or a top-k per row). Two physical forms:
+
+* broadcast: when one side's dense matrix is at most ``BROADCAST_BYTES``
+  (a size computed from its row count and dimension before anything is
+  collected), that side is broadcast and the other side is scored
+  partition by partition with ``mapInPandas`` - no shuffle at all, which is
+  the right form for many posts against a bounded set of labels;
+* blocked: otherwise rows are hashed into B blocks (B from the row count),
+  each row is shuffled to the B block pairs it takes part in (N*B rows,
+  never N^2) and each block pair is one ``applyInPandas``/``cogroup`` task;
+  memory per task is two blocks of rows.
+
+No cross join and no pair list per group is ever built in Spark.
 """
 
 from __future__ import annotations
@@ -21,6 +29,9 @@ from pyspark.sql import types as T
 
 DEFAULT_BLOCK_ROWS = 1024
 BLOCK_BYTES = 64 * 1024 * 1024   # memory budget of one dense block (rows x dim doubles)
+# a side whose dense matrix (rows x dim doubles) is at most this size is broadcast and the
+# other side is scored map-side (no shuffle of it); a larger side goes to the blocked cogroup
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 # ---- column expressions ------------------------------------------------------
@@ -91,28 +102,71 @@ def _key_fields(df: DataFrame, keys: list[str]) -> list[T.StructField]:
     return [T.StructField(k, df.schema[k].dataType) for k in keys]
 
 
+def _can_broadcast(spark, n_rows: int, dim: int, broadcast_bytes: int) -> bool:
+    if n_rows * max(1, dim) * 8 > broadcast_bytes:
+        return False
+    try:
+        spark.sparkContext  # noqa: B018 - sessions without a context use the blocked form
+    except Exception:  # noqa: BLE001
+        return False
+    return True
+
+
+def _broadcast_side(df: DataFrame, keys: list[str], dim: int):
+    """Collect a side whose size was checked by ``_can_broadcast`` and broadcast it."""
+    pdf = df.select(*keys, "idxs", "vals").toPandas()
+    value = ({k: pdf[k].to_numpy() for k in keys}, _dense(pdf, dim))
+    return df.sparkSession.sparkContext.broadcast(value)
+
+
+def _chunks(pdf: pd.DataFrame, rows: int):
+    for i in range(0, len(pdf), rows):
+        yield pdf.iloc[i:i + rows]
+
+
 def similar_pairs(vecs: DataFrame, key: str, dim: int, threshold: float, inclusive: bool = False,
                   n_rows: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS,
-                  normalized: bool = False) -> DataFrame:
+                  normalized: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Unordered pairs ``(src, dst, weight)`` with ``src < dst`` and cosine over
     ``threshold`` (``>`` or ``>=``).
 
-    ``vecs``: ``(key, idxs array<int>, vals array<double>)``. Block pairs
-    ``(bi, bj)`` with ``bi <= bj``; a row of block b goes to ``(b, j)`` for
-    j >= b as the left side and to ``(i, b)`` for i < b as the right side.
+    ``vecs``: ``(key, idxs array<int>, vals array<double>)``. Blocked form:
+    block pairs ``(bi, bj)`` with ``bi <= bj``; a row of block b goes to
+    ``(b, j)`` for j >= b as the left side and to ``(i, b)`` for i < b as the
+    right side.
     """
     if n_rows is None:
         n_rows = vecs.count()
-    B = _num_blocks(n_rows, block_rows_for(dim, block_rows))
+    rows = block_rows_for(dim, block_rows)
     v = vecs if normalized else normalize_arrays(vecs)
-    v = v.select(F.col(key).alias("id"), "idxs", "vals", F.pmod(F.xxhash64(key), F.lit(B)).alias("b"))
+    v = v.select(F.col(key).alias("id"), "idxs", "vals")
+    key_type = vecs.schema[key].dataType
+    schema = T.StructType([T.StructField("src", key_type), T.StructField("dst", key_type),
+                           T.StructField("weight", T.DoubleType())])
+
+    if _can_broadcast(vecs.sparkSession, n_rows, dim, broadcast_bytes):
+        bc = _broadcast_side(v, ["id"], dim)
+
+        def scan(it):
+            keys_b, mb = bc.value
+            ids_b = keys_b["id"]
+            for pdf in it:
+                for lp in _chunks(pdf, rows):
+                    s = _dense(lp, dim) @ mb.T
+                    ids_a = lp["id"].to_numpy()
+                    ii, jj = np.nonzero(_passes(s, threshold, inclusive))
+                    keep = ids_a[ii] < ids_b[jj]        # each unordered pair once
+                    ii, jj = ii[keep], jj[keep]
+                    yield pd.DataFrame({"src": ids_a[ii], "dst": ids_b[jj], "weight": s[ii, jj]})
+
+        return v.mapInPandas(scan, schema)
+
+    B = _num_blocks(n_rows, rows)
+    v = v.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(B)))
     v = v.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
     rep = v.select(F.least("b", "p").alias("bi"), F.greatest("b", "p").alias("bj"),
                    F.when(F.col("b") == F.least("b", "p"), 0).otherwise(1).alias("side"),
                    "id", "idxs", "vals")
-    key_type = vecs.schema[key].dataType
-    schema = T.StructType([T.StructField("src", key_type), T.StructField("dst", key_type),
-                           T.StructField("weight", T.DoubleType())])
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf[pdf["side"] == 0]
@@ -139,26 +193,68 @@ def similar_pairs(vecs: DataFrame, key: str, dim: int, threshold: float, inclusi
     return rep.groupBy("bi", "bj").applyInPandas(block, schema)
 
 
+def _select(s: np.ndarray, lk: dict, rk: dict, *, top_k, threshold, inclusive, positive_only,
+            exclude_same_key) -> pd.DataFrame:
+    """Rows ``lkeys + rkeys + score`` chosen from one score block."""
+    mask = np.ones_like(s, dtype=bool)
+    if threshold is not None:
+        mask &= _passes(s, threshold, inclusive)
+    if positive_only:
+        mask &= s > 0
+    if exclude_same_key and len(lk) == 1 and len(rk) == 1:
+        mask &= next(iter(lk.values()))[:, None] != next(iter(rk.values()))[None, :]
+    if top_k is not None:
+        masked = np.where(mask, s, -np.inf)
+        ii, jj = _topk_rows(masked, top_k)
+        ok = np.isfinite(masked[ii, jj])
+        ii, jj = ii[ok], jj[ok]
+    else:
+        ii, jj = np.nonzero(mask)
+    out = {k: v[ii] for k, v in lk.items()}
+    out.update({k: v[jj] for k, v in rk.items()})
+    out["score"] = s[ii, jj]
+    return pd.DataFrame(out)
+
+
 def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str], dim: int, *,
                  top_k: int | None = None, threshold: float | None = None, inclusive: bool = False,
                  positive_only: bool = False, exclude_same_key: bool = False,
                  n_left: int | None = None, n_right: int | None = None,
-                 block_rows: int = DEFAULT_BLOCK_ROWS, normalized: bool = False) -> DataFrame:
-    """Cosine of every left row against every right row, blocked.
+                 block_rows: int = DEFAULT_BLOCK_ROWS, normalized: bool = False,
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Cosine of every left row against every right row.
 
     Emits ``lkeys + rkeys + [score]`` for: all pairs (no filter), pairs over
     ``threshold``, and/or the ``top_k`` right rows per left row (score desc,
     right key asc). A per-block top-k is a superset of the global top-k; the
     caller finishes with a window bounded by ``top_k * blocks`` rows per key.
+    The right side is the one broadcast when its checked size allows.
     """
-    if n_left is None:
-        n_left = left.count()
     if n_right is None:
         n_right = right.count()
     rows = block_rows_for(dim, block_rows)
-    bl, br = _num_blocks(n_left, rows), _num_blocks(n_right, rows)
     if not normalized:
         left, right = normalize_arrays(left), normalize_arrays(right)
+    schema = T.StructType(_key_fields(left, lkeys) + _key_fields(right, rkeys)
+                          + [T.StructField("score", T.DoubleType())])
+    opts = dict(top_k=top_k, threshold=threshold, inclusive=inclusive, positive_only=positive_only,
+                exclude_same_key=exclude_same_key)
+
+    if _can_broadcast(left.sparkSession, n_right, dim, broadcast_bytes):
+        bc = _broadcast_side(right, rkeys, dim)
+
+        def scan(it):
+            rk, mb = bc.value
+            for pdf in it:
+                for lp in _chunks(pdf, rows):
+                    s = _dense(lp, dim) @ mb.T
+                    yield _select(s, {k: lp[k].to_numpy() for k in lkeys}, rk, **opts)
+
+        return left.select(*lkeys, "idxs", "vals").mapInPandas(scan, schema)
+
+    if n_left is None:
+        n_left = left.count()
+    bl, br = _num_blocks(n_left, rows), _num_blocks(n_right, rows)
     lh = F.pmod(F.xxhash64(*lkeys), F.lit(bl))
     rh = F.pmod(F.xxhash64(*rkeys), F.lit(br))
     # fresh aliases: both sides may come from one plan (a self product)
@@ -166,31 +262,11 @@ def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: lis
                     lh.alias("bl"), F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("br"))
     R = right.select(*[F.col(k).alias(k) for k in rkeys], F.col("idxs").alias("idxs"), F.col("vals").alias("vals"),
                      rh.alias("br"), F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("bl"))
-    schema = T.StructType(_key_fields(left, lkeys) + _key_fields(right, rkeys)
-                          + [T.StructField("score", T.DoubleType())])
-    single_rkey = rkeys[0] if len(rkeys) == 1 else None
 
     def block(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if len(lp) == 0 or len(rp) == 0:
             return pd.DataFrame({f.name: pd.Series(dtype="object") for f in schema.fields})
         s = _dense(lp, dim) @ _dense(rp, dim).T
-        mask = np.ones_like(s, dtype=bool)
-        if threshold is not None:
-            mask &= _passes(s, threshold, inclusive)
-        if positive_only:
-            mask &= s > 0
-        if exclude_same_key and single_rkey is not None:
-            mask &= lp[lkeys[0]].to_numpy()[:, None] != rp[single_rkey].to_numpy()[None, :]
-        if top_k is not None:
-            masked = np.where(mask, s, -np.inf)
-            ii, jj = _topk_rows(masked, top_k)
-            ok = np.isfinite(masked[ii, jj])
-            ii, jj = ii[ok], jj[ok]
-        else:
-            ii, jj = np.nonzero(mask)
-        out = {k: lp[k].to_numpy()[ii] for k in lkeys}
-        out.update({k: rp[k].to_numpy()[jj] for k in rkeys})
-        out["score"] = s[ii, jj]
-        return pd.DataFrame(out)
+        return _select(s, {k: lp[k].to_numpy() for k in lkeys}, {k: rp[k].to_numpy() for k in rkeys}, **opts)
 
     return L.groupBy("bl", "br").cogroup(R.groupBy("bl", "br")).applyInPandas(block, schema)

@@ -33,11 +33,11 @@ def test_cosine_expression(spark):
     assert got[0] == 0.0 and abs(got[1] - 1.0) < 1e-12 and got[2] == 0.0
 
 
-@pytest.mark.parametrize("inclusive", [False, True])
-def test_threshold_strict_or_inclusive(spark, inclusive):
+@pytest.mark.parametrize("inclusive,bcast", [(False, 0), (True, 0), (False, sim.BROADCAST_BYTES), (True, sim.BROADCAST_BYTES)])
+def test_threshold_strict_or_inclusive(spark, inclusive, bcast):
     # cos(5, 6) = 1/sqrt(2) exactly on the threshold
     t = float(np.float64(1.0) / np.sqrt(2.0))
-    e = sim.similar_pairs(arrays(spark, TINY), "tag_id", 3, t, inclusive=inclusive)
+    e = sim.similar_pairs(arrays(spark, TINY), "tag_id", 3, t, inclusive=inclusive, broadcast_bytes=bcast)
     got = {(r.src, r.dst) for r in e.collect()}
     bf = brute_cos(TINY)
     want = {(a, b) for (a, b), c in bf.items() if a < b and (c >= t if inclusive else c > t)}
@@ -46,11 +46,11 @@ def test_threshold_strict_or_inclusive(spark, inclusive):
     assert all(1 not in p for p in got)       # zero vector never links
 
 
-@pytest.mark.parametrize("block_rows", [1, 3, 1000])
-def test_blocked_pairs_equal_brute_force(spark, block_rows):
+@pytest.mark.parametrize("block_rows,bcast", [(1, 0), (3, 0), (1000, 0), (3, sim.BROADCAST_BYTES)])
+def test_blocked_pairs_equal_brute_force(spark, block_rows, bcast):
     rng = np.random.default_rng(7)
     vecs = {int(i): rng.random(6) * (rng.random(6) > 0.4) for i in range(40)}
-    e = sim.similar_pairs(arrays(spark, vecs), "tag_id", 6, 0.6, block_rows=block_rows)
+    e = sim.similar_pairs(arrays(spark, vecs), "tag_id", 6, 0.6, block_rows=block_rows, broadcast_bytes=bcast)
     got = {(r.src, r.dst): r.weight for r in e.collect()}
     bf = brute_cos(vecs)
     want = {(a, b): c for (a, b), c in bf.items() if a < b and c > 0.6}
@@ -58,14 +58,14 @@ def test_blocked_pairs_equal_brute_force(spark, block_rows):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
-@pytest.mark.parametrize("block_rows", [2, 1000])
-def test_block_scores_topk(spark, block_rows):
+@pytest.mark.parametrize("block_rows,bcast", [(2, 0), (1000, 0), (2, sim.BROADCAST_BYTES)])
+def test_block_scores_topk(spark, block_rows, bcast):
     rng = np.random.default_rng(3)
     left = {int(i): rng.random(5) for i in range(12)}
     right = {int(i): rng.random(5) for i in range(100, 130)}
     L = arrays(spark, left).withColumnRenamed("tag_id", "q")
     R = arrays(spark, right).withColumnRenamed("tag_id", "o")
-    sc = sim.block_scores(L, R, ["q"], ["o"], 5, top_k=3, block_rows=block_rows)
+    sc = sim.block_scores(L, R, ["q"], ["o"], 5, top_k=3, block_rows=block_rows, broadcast_bytes=bcast)
     from labelnet.plans.pipeline import ranked
     got = {(r.q, r.rank): r.o for r in ranked(sc, ["q"], "o", "score", 3).collect()}
     allv = {**left, **right}
