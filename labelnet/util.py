@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # AQE broadcasts on its own below this size; explicit broadcast() calls in
 # this package are only made for sides whose row count is bounded by a
