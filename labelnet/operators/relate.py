@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelnet.functions import text as tx
+from labelnet.util import checked_broadcast
 
 
 def tagged_posts(posts: DataFrame) -> DataFrame:
@@ -89,6 +90,6 @@ def overwrite_first_n(df: DataFrame, n: int, order_cols, target: str, value) ->
     joined back by key; no global window."""
     keys = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     first = df.orderBy(*keys).limit(n).select(*keys).withColumn("_first", F.lit(True))
-    out = df.join(F.broadcast(first), keys, "left") if n <= 1_000_000 else df.join(first, keys, "left")
+    out = df.join(checked_broadcast(first, n), keys, "left")
     return (out.withColumn(target, F.when(F.col("_first"), F.lit(value)).otherwise(F.col(target)))
             .drop("_first"))

@@ -17,6 +17,7 @@ from labelnet.operators import relate as rl
 from labelnet.operators import similarity as sim
 from labelnet.session import cut
 from labelnet.sources import standin
+from labelnet.util import checked_broadcast
 
 
 @dataclass
@@ -154,7 +155,7 @@ def new_post_vectors(spark: SparkSession, sf_dir: str, model: fe.TfidfModel) ->
     posts = standin.new_posts(spark, sf_dir)
     long = posts.select("conv_id", "turn", F.explode(fe.tf_tokens(tx.clean_tokens("body"))).alias("term"))
     tf = long.groupBy("conv_id", "turn", "term").agg(F.count(F.lit(1)).alias("tf"))
-    j = tf.join(F.broadcast(model.vocab), "term").select("conv_id", "turn", "idx", (F.col("tf") * F.col("idf")).alias("w"))
+    j = tf.join(checked_broadcast(model.vocab, model.size), "term").select("conv_id", "turn", "idx", (F.col("tf") * F.col("idf")).alias("w"))
     # L2 normalisation happens inside the block product
     return fe.sparse_arrays(j, ["conv_id", "turn"])
 

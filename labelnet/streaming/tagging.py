@@ -19,6 +19,7 @@ from labelnet.operators import features as fe
 from labelnet.operators import similarity as sim
 from labelnet.plans import pipeline as pl
 from labelnet.session import cut, scratch_path
+from labelnet.util import checked_broadcast
 
 CONVERSATIONS = T.StructType([
     T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
@@ -30,7 +31,7 @@ def score_batch(posts: DataFrame, lv: pl.LabelVectors, tag_arrays: DataFrame, n_
     """``(conv_id, turn, rank, tag_id, sim)`` for one batch of ``(conv_id, turn, body)`` rows."""
     long = posts.select("conv_id", "turn", F.explode(fe.tf_tokens(tx.clean_tokens("body"))).alias("term"))
     tf = long.groupBy("conv_id", "turn", "term").agg(F.count(F.lit(1)).alias("tf"))
-    j = tf.join(F.broadcast(lv.model.vocab), "term").select("conv_id", "turn", "idx", (F.col("tf") * F.col("idf")).alias("w"))
+    j = tf.join(checked_broadcast(lv.model.vocab, lv.model.size), "term").select("conv_id", "turn", "idx", (F.col("tf") * F.col("idf")).alias("w"))
     arr = fe.sparse_arrays(j, ["conv_id", "turn"])
     sc = sim.block_scores(arr, tag_arrays, ["conv_id", "turn"], ["tag_id"], lv.model.size, top_k=k,
                           positive_only=True, n_right=n_tags)
