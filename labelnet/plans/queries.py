@@ -20,7 +20,7 @@ from labelnet.operators import graph as gr
 from labelnet.operators import louvain as lv_
 from labelnet.operators import relate as rl
 from labelnet.operators import similarity as sim
-from labelnet.plans import pipeline as pl
+from labelnet.plans import flows as pl
 from labelnet.session import scratch_path
 from labelnet.sources import io, standin
 

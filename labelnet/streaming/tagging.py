@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from labelnet.functions import text as tx
 from labelnet.operators import features as fe
 from labelnet.operators import similarity as sim
-from labelnet.plans import pipeline as pl
+from labelnet.plans import flows as pl
 from labelnet.session import cut, scratch_path
 from labelnet.util import checked_broadcast
 

@@ -1,4 +1,4 @@
-from labelnet.plans import pipeline as pl
+from labelnet.plans import flows as pl
 
 from .test_graph import graph
 

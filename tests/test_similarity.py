@@ -66,7 +66,7 @@ def test_block_scores_topk(spark, block_rows, bcast):
     L = arrays(spark, left).withColumnRenamed("tag_id", "q")
     R = arrays(spark, right).withColumnRenamed("tag_id", "o")
     sc = sim.block_scores(L, R, ["q"], ["o"], 5, top_k=3, block_rows=block_rows, broadcast_bytes=bcast)
-    from labelnet.plans.pipeline import ranked
+    from labelnet.plans.flows import ranked
     got = {(r.q, r.rank): r.o for r in ranked(sc, ["q"], "o", "score", 3).collect()}
     allv = {**left, **right}
     bf = brute_cos(allv)
