@@ -23,3 +23,11 @@ def test_smoke_queries(spark):
     q = E.queries()
     for name in ["scan_posts", "tag_posts", "clean_text", "similarity_edges", "usage_trend"]:
         assert q[name](spark, SF_SMALL).count() >= 0
+
+
+def test_flow_knobs(spark):
+    from labelnet.plans import flows
+    comps = flows.tag_communities(spark, SF_SMALL, vocab_size=200, threshold=0.5, tag_count=20, algo="components")
+    rows = comps.collect()
+    assert rows and all(r.id <= 20 for r in rows)
+    assert all(r.label <= r.id for r in rows)           # component label = smallest member id
