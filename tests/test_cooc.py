@@ -2,6 +2,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from labelnet.operators import cooc
@@ -56,3 +57,28 @@ def test_usage_stream_matches_batch(spark, tmp_path):
     got = sorted((r.window_start, r.tag, r.n) for r in usage.latest_counts(spark, out).collect())
     want = sorted((r.window_start, r.tag, r.n) for r in cooc.usage_trend(src.select("ts", F.col("event_type").alias("tag"))).collect())
     assert got == want
+
+
+def test_same_results_under_1_and_50_shuffle_partitions(spark):
+    from labelnet.operators import features as fe
+    from labelnet.operators import graph as gr
+    from labelnet.operators import similarity as sim
+    rng = np.random.default_rng(5)
+    vec_rows = [(int(i), [float(x) for x in rng.random(8) * (rng.random(8) > 0.5)]) for i in range(60)]
+    basket_rows = [(int(rng.integers(0, 30)), f"t{int(rng.integers(0, 9))}") for _ in range(120)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for parts in ("1", "50"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            vecs = fe.array_to_sparse(spark.createDataFrame(vec_rows, "tag_id long, vector array<double>"))
+            e = sim.similar_pairs(vecs, "tag_id", 8, 0.5, block_rows=7, broadcast_bytes=0)
+            v = vecs.select(F.col("tag_id").alias("id"))
+            lab = sorted(tuple(r) for r in gr.label_propagation(v, e, 3).collect())
+            edges = sorted((r.src, r.dst, round(r.weight, 9)) for r in e.collect())
+            co = sorted(tuple(r) for r in cooc.cooccurrence(
+                spark.createDataFrame(basket_rows, "post_id long, tag string"), 4, 25).collect())
+            results.append((edges, lab, co))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1]
