@@ -168,7 +168,7 @@ def post_tags(spark: SparkSession, sf_dir: str, lv: LabelVectors, k: int = 20, p
     posts = cut(new_post_vectors(spark, sf_dir, lv.model), "new_posts")
     tags = cut(label_arrays(lv), "label_arrays")
     sc = sim.block_scores(posts, tags, ["conv_id", "turn"], ["tag_id"], lv.model.size, top_k=k,
-                          positive_only=not pad_zero, n_left=posts.count(), n_right=lv.tags.count())
+                          positive_only=not pad_zero, n_right=lv.tags.count())
     return ranked(sc.withColumnRenamed("score", "sim"), ["conv_id", "turn"], "tag_id", "sim", k)
 
 
