@@ -119,6 +119,12 @@ def _broadcast_side(df: DataFrame, keys: list[str], dim: int):
     return df.sparkSession.sparkContext.broadcast(value)
 
 
+def _scan_rows(dim: int, n_other: int, block_rows: int) -> int:
+    """Left rows per score block in the broadcast form: bounds both the dense left
+    chunk (rows x dim) and the score block (rows x n_other) by ``BLOCK_BYTES``."""
+    return max(1, min(block_rows_for(dim, block_rows), BLOCK_BYTES // (8 * max(1, n_other))))
+
+
 def _chunks(pdf: pd.DataFrame, rows: int):
     for i in range(0, len(pdf), rows):
         yield pdf.iloc[i:i + rows]
@@ -146,6 +152,7 @@ def similar_pairs(vecs: DataFrame, key: str, dim: int, threshold: float, inclusi
 
     if _can_broadcast(vecs.sparkSession, n_rows, dim, broadcast_bytes):
         bc = _broadcast_side(v, ["id"], dim)
+        rows = _scan_rows(dim, n_rows, block_rows)
 
         def scan(it):
             keys_b, mb = bc.value
@@ -242,6 +249,7 @@ def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: lis
 
     if _can_broadcast(left.sparkSession, n_right, dim, broadcast_bytes):
         bc = _broadcast_side(right, rkeys, dim)
+        rows = _scan_rows(dim, n_right, block_rows)
 
         def scan(it):
             rk, mb = bc.value

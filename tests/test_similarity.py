@@ -78,3 +78,8 @@ def test_block_scores_topk(spark, block_rows, bcast):
 def test_block_rows_follow_dimension():
     assert sim.block_rows_for(64) == 1024
     assert sim.block_rows_for(1_000_000) * 8 * 1_000_000 <= sim.BLOCK_BYTES
+
+
+def test_broadcast_scan_bounds_score_block():
+    rows = sim._scan_rows(64, 500_000, sim.DEFAULT_BLOCK_ROWS)
+    assert rows * 500_000 * 8 <= sim.BLOCK_BYTES and rows * 64 * 8 <= sim.BLOCK_BYTES
