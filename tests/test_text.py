@@ -64,3 +64,50 @@ PORTER = {
 @pytest.mark.parametrize("word", sorted(PORTER))
 def test_porter(word):
     assert porter.stem(word) == PORTER[word]
+
+
+def test_tokens_match_python_normalisation_on_random_text(spark):
+    import random
+    import re
+    import string as pystring
+    rnd = random.Random(17)
+    pool = (list(pystring.ascii_letters + pystring.digits + pystring.punctuation) + [" ", " ", "\t", "\n"]
+            + ["é", "ß", "İ", "K", "ü", "ñ", " ", "😀", "中"])
+    texts = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
+
+    def python_tokens(t):
+        t = t.strip().lower().translate(str.maketrans("", "", pystring.punctuation))
+        t = re.sub(r"[^\x00-\x7f]", " ", t)
+        return re.findall(r"[a-z0-9]+", t)
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.w for r in df.select("i", tx.word_tokens(tx.normalize_text("t")).alias("w")).collect()}
+    assert all(got[i] == python_tokens(t) for i, t in enumerate(texts))
+
+
+def test_html_to_text_matches_stdlib_parser_on_pages(spark):
+    from html.parser import HTMLParser
+
+    class Text(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.skip = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.skip += tag in ("script", "style")
+
+        def handle_endtag(self, tag):
+            self.skip -= tag in ("script", "style") and self.skip > 0
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.out.append(data)
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = pages.select("page_id", "html", tx.html_to_text("html").alias("text")).collect()
+    assert rows
+    for r in rows:
+        p = Text()
+        p.feed(r.html)
+        p.close()
+        assert r.text == "".join(p.out), r.page_id
