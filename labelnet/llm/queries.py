@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, url_filter
+from . import exact_dedup, packing, tokens, url_filter
 from .common import table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -43,5 +43,9 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
-REGISTRY = {"op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"))
+
+
+REGISTRY = {"op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
 ORACLES = {"op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
