@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, id_coder, language_id, packing, tokens, url_filter
+from . import exact_dedup, fingerprints, id_coder, language_id, packing, tokens, url_filter
 from .common import table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -55,5 +55,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_coder.round_trip(table(spark, sf_dir, "documents"), tokens.vocabulary("word_bpe_49k.json"))
 
 
-REGISTRY = {"op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+REGISTRY = {"op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
 ORACLES = {"op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
