@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, id_coder, language_id, packing, tokens, url_filter
+from . import exact_dedup, fingerprints, id_coder, language_id, line_dedup, packing, tokens, url_filter
 from .common import table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -59,5 +59,29 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {"op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
-ORACLES = {"op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_left"), "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+_NORM = r"trim(regexp_replace(" + _LOW.replace("coalesce(text, '')", "line") + r", '[ \t\r\x{A0}]+', ' ', 'g'), ' ')"
+OP5_SQL = rf"""
+WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+r AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM s),
+n AS (SELECT doc_id, place, line, {_NORM} AS t FROM r WHERE regexp_matches(line, '[\p{{L}}\p{{N}}]')),
+f AS (SELECT t, min(struct_pack(d := doc_id, p := place)) AS fst, length(t) AS len FROM n GROUP BY t),
+h AS (SELECT t, fst, len, unnest(list_distinct([(len - 1) // 2, (len - 2) // 2])) AS q FROM f WHERE len >= {line_dedup.LEAST}),
+k AS (SELECT *, q || '<' || substr(t, 1, q) AS key FROM h UNION ALL SELECT *, q || '>' || substr(t, len - q + 1) FROM h),
+near AS (SELECT DISTINCT a.t FROM k a JOIN k b ON a.key = b.key AND b.fst < a.fst AND abs(a.len - b.len) <= 1
+         AND levenshtein(a.t, b.t) <= 1),
+gone AS (SELECT n.doc_id, n.place FROM n JOIN f USING (t)
+         WHERE struct_pack(d := n.doc_id, p := n.place) <> f.fst OR n.t IN (SELECT t FROM near)),
+x AS (SELECT r.doc_id, string_agg(r.line, chr(10) ORDER BY r.place) AS left_text, count(*) AS n_left FROM r
+      LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.place = g.place WHERE g.doc_id IS NULL GROUP BY r.doc_id)
+SELECT s.doc_id, coalesce(x.n_left, 1)::BIGINT AS n_left, (len(s.ls) - coalesce(x.n_left, 0))::BIGINT AS n_removed,
+       sha256(coalesce(x.left_text, '')) AS text_sha256
+FROM s LEFT JOIN x USING (doc_id)
+"""
+
+REGISTRY = {"op5_line_dedup": op5_line_dedup, "op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
+ORACLES = {"op5_line_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}

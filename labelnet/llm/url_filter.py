@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import ascii_lower, saved
 
-BITS_A_KEY, WORDS, PROBES = 16, 4, 6          # blocks of 4 words of 64 bits; 6 bits of a block for each key
 BROADCAST_KEYS = 100_000                      # a list up to this many keys (a few MB) is broadcast
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -35,44 +35,6 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def _word_bits(key: Column) -> list[Column]:
-    """The four words of a block in which the bits of a key are set."""
-    h = F.xxhash64(key, F.lit(1))
-    spots = [F.shiftrightunsigned(h, 8 * i).bitwiseAND(F.lit(WORDS * 64 - 1)) for i in range(PROBES)]
-    return [_fold([F.when(F.shiftright(s, 6) == w, F.call_function("shiftleft", F.lit(1).cast("long"), s.bitwiseAND(F.lit(63)).cast("int")))
-                   .otherwise(F.lit(0).cast("long")) for s in spots]) for w in range(WORDS)]
-
-
-def _fold(cols: list[Column]) -> Column:
-    out = cols[0]
-    for c in cols[1:]:
-        out = out.bitwiseOR(c)
-    return out
-
-
-def _block(key: Column, n: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(2)), F.lit(n)).cast("int")
-
-
-def build_bloom(keys: DataFrame, n_keys: int) -> tuple[DataFrame, int]:
-    """``keys`` (key) -> (one row for each block in use: block, w0..w3; number of blocks)."""
-    n = max(1, -(-n_keys * BITS_A_KEY // (WORDS * 64)))
-    k = keys.select(_block(F.col("key"), n).alias("block"), *[b.alias(f"w{i}") for i, b in enumerate(_word_bits(F.col("key")))])
-    return k.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)]), n
-
-
-def may_hold(candidates: DataFrame, bloom: DataFrame, n: int, small: bool) -> DataFrame:
-    """Rows of ``candidates`` (key, ...) whose bits are all set in their block."""
-    cols = candidates.columns
-    c = candidates.withColumn("block", _block(F.col("key"), n))
-    for i, b in enumerate(_word_bits(F.col("key"))):
-        c = c.withColumn(f"k{i}", b)
-    hit = c.join(F.broadcast(bloom) if small else bloom, "block")
-    for i in range(WORDS):
-        hit = hit.where(F.col(f"w{i}").bitwiseAND(F.col(f"k{i}")) == F.col(f"k{i}"))
-    return hit.select(*cols)
-
-
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.createDataFrame(rules, "host string, path string, verdict string")
 
@@ -89,7 +51,7 @@ def judge(pages: DataFrame, listed: DataFrame, otherwise: str = "allow") -> Data
     small = n_keys <= BROADCAST_KEYS
     # path lengths in use: at most as many as the longest listed path has characters
     lens = sorted(r[0] for r in lst.select(F.length("lpath")).distinct().collect())
-    bloom, blocks = build_bloom(lst, n_keys)
+    words, blocks = bloom.build(lst, n_keys)
     urls = rows.distinct()
     labels = F.split("host", "\\.")
     c = urls.select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)),
@@ -97,7 +59,7 @@ def judge(pages: DataFrame, listed: DataFrame, otherwise: str = "allow") -> Data
     c = c.select("host", "path", "suffix", F.explode(F.filter(F.array(*[F.lit(x) for x in lens] or [F.lit(0)]),
                  lambda x: x <= F.length("path"))).alias("n"))
     c = c.select("host", "path", F.concat("suffix", F.lit(" "), F.expr("substring(path, 1, n)")).alias("key"))
-    hits = may_hold(c, bloom, blocks, small).join(F.broadcast(lst) if small else lst, "key")
+    hits = bloom.may_hold(c, words, blocks, small).join(F.broadcast(lst) if small else lst, "key")
     size = F.length("lhost") + F.length("lpath")
     best = hits.groupBy("host", "path").agg(F.max(F.struct(size.alias("n"), F.length("lhost").alias("h"), F.concat("lhost", "lpath").alias("rule"), "verdict")).alias("b"))
     out = rows.join(best, ["host", "path"], "left")
