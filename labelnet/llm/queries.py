@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, id_coder, language_id, line_dedup, packing, tokens, url_filter
+from . import exact_dedup, fingerprints, id_coder, language_id, line_dedup, minhash, packing, tokens, url_filter
 from .common import table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -83,5 +83,25 @@ SELECT s.doc_id, coalesce(x.n_left, 1)::BIGINT AS n_left, (len(s.ls) - coalesce(
 FROM s LEFT JOIN x USING (doc_id)
 """
 
-REGISTRY = {"op5_line_dedup": op5_line_dedup, "op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
-ORACLES = {"op5_line_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP10_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '') AS ws FROM documents),
+n AS (SELECT min(doc_id) AS rep, ws FROM w GROUP BY ws),
+s AS (SELECT rep, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM n),
+c AS (SELECT rep, sh, count(*) AS m FROM s GROUP BY ALL),
+z AS (SELECT rep, sum(m) AS size FROM c GROUP BY rep),
+i AS (SELECT a.rep AS a, b.rep AS b, sum(least(a.m, b.m)) AS common FROM c a JOIN c b ON a.sh = b.sh AND a.rep < b.rep GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN z x ON x.rep = a JOIN z y ON y.rep = b WHERE common >= 0.8 * (x.size + y.size - common)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(src, dst) AS (SELECT rep, rep FROM n UNION SELECT r.src, e.b FROM r JOIN e ON e.a = r.dst),
+k AS (SELECT src, min(dst) AS class_id FROM r GROUP BY src),
+m AS (SELECT w.doc_id, class_id FROM w JOIN n ON n.ws = w.ws JOIN k ON k.src = n.rep)
+SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, doc_id = class_id AS kept FROM m
+"""
+
+REGISTRY = {"op10_minhash": op10_minhash, "op5_line_dedup": op5_line_dedup, "op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
+ORACLES = {"op10_minhash": OP10_SQL, "op5_line_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
