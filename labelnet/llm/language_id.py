@@ -183,11 +183,11 @@ def _predict(model: dict):
     return run
 
 
-def predict(docs: DataFrame, model: dict, key: str = "doc_id") -> DataFrame:
-    """``key, lang_pred, score`` for every row."""
-    kind = docs.schema[key].dataType.simpleString()
-    d = docs.select(key, F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(_predict(model), f"`{key}` {kind}, lang_pred string, score double")
+def predict(docs: DataFrame, model: dict, keys: list[str] = ("doc_id",)) -> DataFrame:
+    """``keys, lang_pred, score`` for every row."""
+    d = docs.select(*keys, F.col("text").cast("string").alias("text"))
+    kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
+    return d.mapInArrow(_predict(model), f"{kinds}, lang_pred string, score double")
 
 
 def fold_of(n: int, rest: int) -> Column:

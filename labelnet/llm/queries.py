@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, id_coder, language_id, line_dedup, minhash, packing, recurrent_lm, tokens, url_filter
+from . import exact_dedup, fingerprints, id_coder, language_id, line_dedup, minhash, packing, recurrent_lm, subword_sampling, tokens, url_filter
 from .common import table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -107,5 +107,9 @@ def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.score(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {"op2_recurrent_lm": op2_recurrent_lm, "op10_minhash": op10_minhash, "op5_line_dedup": op5_line_dedup, "op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
+def op4_subword_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_sampling.sample_segmentations(table(spark, sf_dir, "documents"), tokens.vocabulary("piece_bpe_32k.model"))
+
+
+REGISTRY = {"op4_subword_sampling": op4_subword_sampling, "op2_recurrent_lm": op2_recurrent_lm, "op10_minhash": op10_minhash, "op5_line_dedup": op5_line_dedup, "op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
 ORACLES = {"op10_minhash": OP10_SQL, "op5_line_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
