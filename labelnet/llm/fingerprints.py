@@ -4,13 +4,13 @@ A paragraph (what lies between line feeds) is hashed to a wide vector, and a doc
 the sum of its paragraphs' vectors. So the order of the paragraphs doesn't matter, and inserting or
 deleting a paragraph adds or subtracts its vector, without the rest of the text. The vector has
 - 16 lanes modulo 2**32 expanded from the paragraph's SHA-256: equality;
-- 128 lanes modulo 2**16, each the sum of a random sign (xxHash64) for every three words in a row of the
-  paragraph (all words, if there are fewer): the squared difference of two documents in such a lane is on
-  average the squared distance of their word-triple counts, which gives their likeness
+- 128 lanes modulo 2**16: every three words in a row of the paragraph (all words, if there are fewer) add a random
+  sign to a random lane (xxHash64). The squared difference of two documents over these lanes is on average the
+  squared distance of their word-triple counts, which gives their likeness
   ``1 - |a - b|^2 / (|a|^2 + |b|^2)``, cut off below at 0. With 128 lanes its error is about 0.09 or less.
 
-Everything is built-in column expressions. A text is one row for each word triple in the tasks only;
-partial sums leave one row for each document before any shuffle.
+Everything is built-in column expressions. What a text adds to its lanes is one number each, with the lane in its
+low bits; texts are dealt by their key before, so those rows are summed where they arise and never shuffled.
 
 Defined cases: a null text is empty, and the empty text is one empty paragraph; documents that share a
 doc_id share the next document (the next smaller doc_id's; of several texts of that one, the smallest);
@@ -31,42 +31,48 @@ EQUAL, SIGNS, WORDS = 16, 128, 3
 LAST = -(1 << 63)                 # stands for a null doc_id
 
 
+# what is added: bits 0-7 the lane. Lanes below 128 are signs: bit 8 says which, bit 9 that nothing is added. From
+# 128 on, the bits above 7 are the number: equality lanes, then copies, length and the SHA-256 of the whole text
+_EQUAL, _COPIES, _LENGTH, _WHOLE = 128, 144, 145, 146
+
+
 def _triples(words: Column) -> Column:
-    """Hashes of the word triples of a paragraph; never empty."""
     n = F.size(words)
     steps = F.sequence(F.lit(0), F.greatest(n - F.lit(WORDS), F.lit(0)))
-    return F.transform(steps, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(WORDS)]))
+    return F.transform(steps, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(WORDS)]).bitwiseAND(F.lit(~0x280)))
 
 
-def vector_sums(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """``texts`` (keys, text) -> keys, ``equal`` (16 lanes) and ``signs`` (128 lanes), ``copies``.
+def _number(value: Column, lane: int) -> Column:
+    return F.shiftleft(value.cast("long"), 8) + F.lit(lane)
 
-    Equal rows under a key add up and are divided again: the sums are exact multiples.
-    """
-    d = texts.select(*keys, F.posexplode(F.split("text", "\n")).alias("_p", "_par"))
+
+def vector_sums(texts: DataFrame, keys: list[str], whole: bool = False) -> DataFrame:
+    """``texts`` (keys, text; dealt by the first key) -> keys, ``equal`` (16 lanes), ``signs`` (128 lanes), ``copies``;
+    with ``whole`` also ``n_chars`` and ``sha256`` of the text. Equal rows under a key add up and are divided again."""
+    d = texts.select(*keys, F.length("text").alias("_n"), (F.sha2("text", 256) if whole else F.lit("")).alias("_sha"),
+                     F.posexplode(F.split("text", "\n")).alias("_p", "_par"))
     digest = F.unhex(F.sha2(F.col("_par"), 256))
-    d = d.select(*keys, (F.col("_p") == 0).alias("_head"), *[F.xxhash64(digest, F.lit(i)).alias(f"_e{i}") for i in range(EQUAL // 2)],
-                 F.posexplode(_triples(F.split("_par", " "))).alias("_i", "_h"))
-    once = F.col("_i") == 0
-    zero = F.lit(0).cast("long")
-    low32, pair = F.lit(0xFFFFFFFF), F.lit(0x0000000100000001)
-    d = d.withColumns({"_h2": F.xxhash64("_h"), **{f"_e{i}": F.when(once, F.col(f"_e{i}")).otherwise(zero) for i in range(EQUAL // 2)}})
-    sums = [F.sum(F.when(once & F.col("_head"), 1).otherwise(0)).alias("_m"), F.count(F.lit(1)).alias("_n")]
-    for i in range(EQUAL // 2):
-        sums += [F.sum(F.col(f"_e{i}").bitwiseAND(low32)).alias(f"_a{2 * i}"), F.sum(F.shiftrightunsigned(f"_e{i}", 32)).alias(f"_a{2 * i + 1}")]
-    for h in range(SIGNS // 64):                       # two counts of set bits in each sum, 32 bits apart
-        src = ["_h", "_h2"][h]
-        sums += [F.sum(F.shiftrightunsigned(src, j).bitwiseAND(pair)).alias(f"_s{h}_{j}") for j in range(32)]
-    g = d.groupBy(*keys).agg(*sums)
-    m, n = F.col("_m"), F.col("_n")
-    equal = F.array(*[F.pmod(F.expr(f"_a{i} div _m"), F.lit(1 << 32)) for i in range(EQUAL)])
-    lanes = []
-    for h in range(SIGNS // 64):
-        for j in range(32):
-            lanes += [F.col(f"_s{h}_{j}").bitwiseAND(low32), F.shiftrightunsigned(f"_s{h}_{j}", 32)]
-    # bits set less bits not set; a multiple of m
-    signs = F.transform(F.array(*lanes), lambda s: _wrap(F.floor((s * 2 - n) / m)))
-    return g.select(*keys, equal.alias("equal"), signs.alias("signs"), m.alias("copies"))
+    hashes = [F.xxhash64(digest, F.lit(i)) for i in range(EQUAL // 2)]
+    low32 = F.lit(0xFFFFFFFF)
+    equal = [_number(x, _EQUAL + 2 * i + j) for i, h in enumerate(hashes) for j, x in enumerate((h.bitwiseAND(low32), F.shiftrightunsigned(h, 32)))]
+    once = [_number(F.lit(1), _COPIES)] + [F.lit(0x200 + i).cast("long") for i in range(SIGNS)]
+    if whole:
+        once += [_number(F.col("_n"), _LENGTH)] + [_number(F.conv(F.substring("_sha", 1 + 8 * i, 8), 16, 10), _WHOLE + i) for i in range(8)]
+    adds = F.concat(F.array(*equal), F.when(F.col("_p") == 0, F.array(*once)).otherwise(F.array().cast("array<bigint>")),
+                    _triples(F.split("_par", " ")))
+    d = d.select(*keys, F.explode(adds).alias("_x"))
+    x, bit = F.col("_x"), lambda m: F.col("_x").bitwiseAND(F.lit(m)) != 0
+    value = F.when(bit(0x80), F.shiftrightunsigned(x, 8)).when(bit(0x200), F.lit(0)).when(bit(0x100), F.lit(1)).otherwise(F.lit(-1))
+    g = d.groupBy(*keys, x.bitwiseAND(F.lit(0xFF)).cast("int").alias("_lane")).agg(F.sum(value.cast("long")).alias("_s"))
+    g = g.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_lane", "_s"))).alias("_all"))       # all lanes of a text, in order
+    g = g.withColumn("copies", F.get(F.col("_all"), F.lit(_COPIES))["_s"])
+    part = lambda at, n, f: F.transform(F.slice("_all", at + 1, n), lambda v: f(v["_s"]))
+    out = [part(_EQUAL, EQUAL, lambda v: F.pmod(F.floor(v / F.col("copies")), F.lit(1 << 32))).alias("equal"),
+           part(0, SIGNS, lambda v: _wrap(F.floor(v / F.col("copies")))).alias("signs"), "copies"]
+    if whole:
+        out += [F.floor(F.get(F.col("_all"), F.lit(_LENGTH))["_s"] / F.col("copies")).alias("n_chars"),
+                F.array_join(part(_WHOLE, 8, lambda v: F.lpad(F.lower(F.hex(F.floor(v / F.col("copies")))), 8, "0")), "").alias("sha256")]
+    return g.select(*keys, *out)
 
 
 def _wrap(x: Column) -> Column:
@@ -111,18 +117,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has its second half replaced by as much of the beginning of the next document, in descending doc_id.
     """
     d = docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long").alias("k"), text_or_empty().alias("text"))
-    t = d.withColumn("th", F.xxhash64("text"))
-    own = vector_sums(t, ["k", "th"])
+    by_key = d.repartition("k")
+    own = vector_sums(by_key.withColumn("th", F.xxhash64("text")), ["k", "th"])
     follows = next_keys(d)
-    heads = t.select("k", "th", F.length("text").cast("long").alias("n_chars"), F.expr("length(text) div 2").cast("int").alias("half"),
+    heads = d.select("k", F.xxhash64("text").alias("e_th"), F.expr("length(text) div 2").cast("int").alias("half"), F.length("text").alias("n"),
                      F.expr("left(text, cast(length(text) - length(text) div 2 as int))").alias("head")).join(follows, "k")
-    after = d.groupBy(F.col("k").alias("next_k")).agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text"))["text"].alias("next_text"))
-    edited = heads.join(after, "next_k").select("k", "th", "n_chars", F.concat("head", F.expr("left(next_text, half)")).alias("text"))
-    new = vector_sums(edited.select("k", "th", "n_chars", F.sha2("text", 256).alias("edited_sha256"), "text"),
-                      ["k", "th", "n_chars", "edited_sha256"])
-    new = new.select("k", "th", "n_chars", "edited_sha256", F.col("equal").alias("e_equal"), F.col("signs").alias("e_signs"))
-    first = own.groupBy(F.col("k").alias("next_k")).agg(F.min(F.struct("th", "equal", "signs")).alias("x"))
-    out = own.join(new, ["k", "th"]).join(follows, "k").join(first, "next_k")
+    after = by_key.groupBy(F.col("k").alias("next_k")).agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text"))["text"].alias("next_text"))
+    edited = heads.join(after, "next_k").select("next_k", "k", "e_th", "n", F.concat("head", F.expr("left(next_text, half)")).alias("text"))
+    new = vector_sums(edited, ["next_k", "k", "e_th", "n"], whole=True)
+    new = new.select(F.col("k").alias("e_k"), "next_k", "e_th", F.col("n").cast("long").alias("n_chars"), F.col("sha256").alias("edited_sha256"),
+                     F.col("equal").alias("e_equal"), F.col("signs").alias("e_signs"))
+    first = own.groupBy(F.col("k").alias("f_k")).agg(F.min(F.struct("th", "equal", "signs")).alias("x"))
+    # joined by k alone, for which the own lanes lie right; texts of one doc_id are told apart after that
+    out = own.join(new, (F.col("k") == F.col("e_k")) & (F.col("th").bitwiseXOR(F.col("e_th")) == 0))
+    out = out.join(first, F.col("next_k") == F.col("f_k"))
     out = out.select("*", F.col("x.equal").alias("n_equal"), F.col("x.signs").alias("n_signs"))
     out = out.select(F.when(F.col("k") != LAST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256",
                      to_text(F.col("equal"), F.col("signs")).alias("fingerprint"),
