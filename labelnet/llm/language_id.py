@@ -80,7 +80,7 @@ def _bag(texts: list[str], idf: np.ndarray):
 def _fit(idf: np.ndarray):
     """One task: the sample -> rows (lang, gram, weight); gram -1 is the bias, and -2 the temperature."""
     def run(frames):
-        f = pd.concat(list(frames), ignore_index=True)
+        f = pd.concat([pd.DataFrame({"text": [], "lang": []}), *frames], ignore_index=True)
         if not len(f):
             return
         langs = sorted(f["lang"].unique())

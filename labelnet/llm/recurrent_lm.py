@@ -94,7 +94,12 @@ def _encode(top: list[str], logs: np.ndarray, denominator: float):
         share = np.where((rank >= 0) | (c == 0), 0.0, np.log10(c + 1.0) - logs[cls])
         base = np.log10((c + 1.0) / denominator)
         upto = np.concatenate([[0], np.cumsum(n)])
-        total = lambda v: np.diff(np.concatenate([[0.0], np.cumsum(v[at])])[upto])
+        begin, full = upto[:-1], np.flatnonzero(n)
+
+        def total(v):                              # each text by itself, so that equal texts get equal sums
+            out = np.zeros(len(n))
+            out[full] = np.add.reduceat(v[at], begin[full]) if len(full) else 0.0
+            return out
         flat = symbol[at]
         return pa.table({"doc_id": _one(docs, "doc_id"), "held_out": _one(docs, "held_out"), "learn": _one(docs, "learn"),
                          "n_words": pa.array(n, pa.int64()), "known_words": pa.array(total((c > 0).astype(float)).astype(np.int64)),

@@ -71,11 +71,13 @@ class WordCache:
     def _rows(self, words: pa.Array) -> np.ndarray:
         if len(self.words) > self.max_words:
             self._forget()
-        at = pc.index_in(words, value_set=self.words)
-        if at.null_count:
-            self._learn(pc.unique(words.filter(at.is_null())).to_pylist())
-            at = pc.index_in(words, value_set=self.words)
-        return at.to_numpy(zero_copy_only=False)
+        at = pc.index_in(words, value_set=self.words).to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(np.isnan(at)) if at.dtype.kind == "f" else ()
+        if len(new):
+            known, rest = len(self.words), words.take(pa.array(new))
+            self._learn(pc.unique(rest).to_pylist())
+            at[new] = known + pc.index_in(rest, value_set=self.words.slice(known)).to_numpy()
+        return at.astype(np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more at the end). Null counts as empty."""
