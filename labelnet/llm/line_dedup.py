@@ -53,18 +53,19 @@ def _lines(keyed: DataFrame) -> DataFrame:
     return d.withColumns({"h1": F.xxhash64("t"), "h2": F.xxhash64("t", F.lit(1))})
 
 
-def _half_keys() -> Column:
-    """Hashes of the beginning and the end of ``t``, nearly half of it, for its length and the length before.
-    Beginnings grow in steps, so that for most lengths the two are the same."""
+def _half_keys(lines: DataFrame) -> DataFrame:
+    """Adds ``halves``: hashes of the beginning and the end of ``t``, nearly half of it, for its length and the length
+    before. Beginnings grow in steps, so that for most lengths the two are the same."""
     def size(n: Column) -> Column:
-        step = F.greatest(F.lit(1), F.floor(n / 16)).cast("int")
-        step = F.element_at(F.filter(F.array(*[F.lit(1 << i) for i in range(30)]), lambda s: s <= step), -1)   # a power of two
+        step = F.call_function("shiftleft", F.lit(1), F.floor(F.log2(F.greatest(F.lit(1.0), n / 16))).cast("int"))
         return (F.floor((n - 1) / 2 / step) * step).cast("int")
     n = F.length("t")
-    sizes = F.array_distinct(F.array(size(n), size(F.greatest(n - 1, F.lit(1)))))
-    both = F.flatten(F.transform(sizes, lambda q: F.array(
-        F.xxhash64(F.lit(0), q, F.call_function("left", F.col("t"), q)), F.xxhash64(F.lit(1), q, F.call_function("right", F.col("t"), q)))))
-    return F.when(n >= LEAST, both).otherwise(F.array().cast("array<bigint>"))
+    d = lines.withColumns({"_q": size(n), "_r": size(F.greatest(n - 1, F.lit(1)))})
+    pair = lambda q: [F.xxhash64(F.lit(0), q, F.call_function("left", F.col("t"), F.col(q))),
+                      F.xxhash64(F.lit(1), q, F.call_function("right", F.col("t"), F.col(q)))]
+    halves = F.when(n < LEAST, F.array().cast("array<bigint>")).when(F.col("_q") == F.col("_r"), F.array(*pair("_q"))).otherwise(
+        F.array(*pair("_q"), *pair("_r")))
+    return d.withColumn("halves", halves).drop("_q", "_r")
 
 
 def block_keys(d: DataFrame) -> DataFrame:
@@ -106,22 +107,22 @@ def neighbours(left: DataFrame) -> DataFrame:
     return ok.groupBy("id").agg(F.min("other").alias("other"))
 
 
-def _filtered(rows: DataFrame, keys: DataFrame, key: str, on: str) -> DataFrame:
-    """Left semi join of ``rows`` on ``on`` = ``keys``' only column, behind a bounded Bloom filter."""
+def _filtered(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``rows`` whose ``key`` is in ``keys`` (one column, distinct), behind a bounded Bloom filter. An inner join:
+    a semi join would be moved in front of the filter."""
     words, n = bloom.build(keys.select(F.col(key).alias("key")), keys.count(), bloom.MOST_BLOCKS)
-    few = bloom.may_hold(rows, words, n, True, key=on)
-    return few.join(keys.select(F.col(key).alias(on)), on, "left_semi")
+    return bloom.may_hold(rows, words, n, True, key=key).join(keys, key)
 
 
 def decisions(docs: DataFrame) -> DataFrame:
     """``k, th, gone, copies``: for documents that lose lines (or repeat as rows), the places of the lines that go."""
     keyed = _keyed(docs)
-    meta = saved(_lines(keyed).select("k", "th", "at", "h1", "h2", _half_keys().alias("halves")), "lines")
+    meta = saved(_half_keys(_lines(keyed)).select("k", "th", "at", "h1", "h2", "halves"), "lines")
     # near lines
     halves = meta.select("h1", F.explode("halves").alias("key"))
     shared = saved(halves.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("key"), "line-halves")
-    maybe = saved(_filtered(halves, shared, "key", "key").select("h1").distinct(), "lines-maybe")
-    texts = _filtered(_lines(keyed), maybe, "h1", "h1")
+    maybe = saved(_filtered(halves, shared, "key").select("h1").distinct(), "lines-maybe")
+    texts = _filtered(_lines(keyed), maybe, "h1")
     left = saved(texts.groupBy("t").agg(F.min(F.struct("k", "th", "at")).alias("id"), F.first("h1").alias("h1"), F.first("h2").alias("h2")), "lines-left")
     near = saved(neighbours(left.select("id", "t")).join(left, "id").select("h1", "h2").withColumn("near", F.lit(True)), "lines-near")
     # equal lines: all but the first go; of near lines all go

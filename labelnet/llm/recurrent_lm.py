@@ -19,7 +19,7 @@ by tokens and formed in steps of ``FAN`` parts, is the model.
 
 Defined cases: a null text is empty, and is the end alone; a null doc_id is not held out, and isn't learned
 from either; without any learning document all scores are those of unseen words; repeated rows are
-scored alike, and learned from as often as they occur; an empty table gives an empty result; other columns are ignored.
+scored alike up to rounding, and learned from as often as they occur; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -63,7 +63,7 @@ def test_lm_counts_are_exact_and_the_network_beats_them(spark):
 def test_lm_of_odd_tables(spark):
     out = recurrent_lm.score(frame(spark)).collect()
     assert len(out) == len(rows()) and all(np.isfinite(r.score) and r.score < 0 for r in out)
-    assert len({r.score for r in out if r.doc_id == 1}) == 1
+    assert np.ptp([r.score for r in out if r.doc_id == 1]) < 1e-4          # up to the rounding of single precision
     assert recurrent_lm.score(empty(spark)).count() == 0
 
 
