@@ -5,9 +5,10 @@ incidence matrix X. It is computed as a sum of blocked products: posts are
 hashed into chunks, tags are numbered and cut into blocks, and each
 ``(chunk, tag block i, tag block j)`` task multiplies two dense incidence
 blocks in numpy and emits the non-zero counts; a partial + final sum then
-adds the chunks. No per-post list of tag pairs is built, and a post that
-holds a third of all rows is spread over the tag-block pairs (its cost per
-task is bounded by the block size, not by its tag count).
+adds the chunks. A row is copied only to the tag blocks that its own post has.
+No per-post list of tag pairs is built, and a post that holds a third of all
+rows is spread over its tag-block pairs (its cost per task is bounded by the
+block size, not by its tag count).
 """
 
 from __future__ import annotations
@@ -27,13 +28,17 @@ TAG_BLOCK = 256
 ROWS_PER_CHUNK = 20_000
 
 
-def _gram_blocks(x: DataFrame, n_tags: int, n_rows: int, tag_block: int, rows_per_chunk: int) -> DataFrame:
+def gram_copies(x: DataFrame, tag_block: int) -> DataFrame:
+    """``x(post_id, t)`` -> one row per tag block ``p`` that the post has (``tb``: the row's own)."""
+    x = x.select("post_id", "t", (F.col("t") / tag_block).cast("int").alias("tb"))
+    own = x.groupBy("post_id").agg(F.collect_set("tb").alias("blocks"))     # at most n_tags / tag_block
+    return x.join(own, "post_id").withColumn("p", F.explode("blocks")).drop("blocks")
+
+
+def _gram_blocks(x: DataFrame, n_rows: int, tag_block: int, rows_per_chunk: int) -> DataFrame:
     """``(a, b, n)`` partial counts, a < b, from ``x(post_id, t)`` distinct rows."""
-    bt = max(1, math.ceil(n_tags / tag_block))
     chunks = max(1, math.ceil(n_rows / rows_per_chunk))
-    x = x.select("post_id", "t", (F.col("t") / tag_block).cast("int").alias("tb"),
-                 F.pmod(F.xxhash64("post_id"), F.lit(chunks)).cast("int").alias("c"))
-    x = x.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(bt - 1))))
+    x = gram_copies(x, tag_block).withColumn("c", F.pmod(F.xxhash64("post_id"), F.lit(chunks)).cast("int"))
     rep = x.select("c", F.least("tb", "p").alias("bi"), F.greatest("tb", "p").alias("bj"),
                    F.when(F.col("tb") == F.least("tb", "p"), 0).otherwise(1).alias("side"), "post_id", "t")
 
@@ -59,28 +64,31 @@ def _gram_blocks(x: DataFrame, n_tags: int, n_rows: int, tag_block: int, rows_pe
     return rep.groupBy("c", "bi", "bj").applyInPandas(block, "a long, b long, n long")
 
 
-def cooccurrence(baskets: DataFrame, tag_block: int = TAG_BLOCK, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """``(tag_a, tag_b, n)``: number of posts carrying both tags, ``tag_a < tag_b``."""
-    pt = cut(baskets.select("post_id", "tag").distinct(), "baskets")
+def distinct_baskets(baskets: DataFrame) -> DataFrame:
+    """``(post_id, tag)`` distinct, written once."""
+    return cut(baskets.select("post_id", "tag").distinct(), "baskets")
+
+
+def _pair_counts(pt: DataFrame, tag_block: int, rows_per_chunk: int) -> DataFrame:
     idx = cut(dense_index(pt, "tag", "t", start=0), "tag_index")
-    n_tags = idx.count()
     n_rows = pt.count()
     x = pt.join(idx, "tag").select("post_id", "t")
-    counts = _gram_blocks(x, n_tags, n_rows, tag_block, rows_per_chunk).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counts = _gram_blocks(x, n_rows, tag_block, rows_per_chunk).groupBy("a", "b").agg(F.sum("n").alias("n"))
     na = idx.select(F.col("t").alias("a"), F.col("tag").alias("tag_a"))
     nb = idx.select(F.col("t").alias("b"), F.col("tag").alias("tag_b"))
     return counts.join(na, "a").join(nb, "b").select("tag_a", "tag_b", "n")
 
 
-def tag_counts(baskets: DataFrame) -> DataFrame:
-    """``(tag, count)``: number of distinct posts per tag."""
-    return baskets.select("post_id", "tag").distinct().groupBy("tag").agg(F.count(F.lit(1)).alias("count"))
+def cooccurrence(baskets: DataFrame, tag_block: int = TAG_BLOCK, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """``(tag_a, tag_b, n)``: number of posts carrying both tags, ``tag_a < tag_b``."""
+    return _pair_counts(distinct_baskets(baskets), tag_block, rows_per_chunk)
 
 
 def cooccurrence_normalized(baskets: DataFrame) -> DataFrame:
     """Co-occurrence divided by ``sqrt(count_a * count_b)`` (usage frequency as a weight)."""
-    c = cooccurrence(baskets)
-    cnt = tag_counts(baskets)
+    pt = distinct_baskets(baskets)
+    c = _pair_counts(pt, TAG_BLOCK, ROWS_PER_CHUNK)
+    cnt = pt.groupBy("tag").agg(F.count(F.lit(1)).alias("count"))
     ca = cnt.select(F.col("tag").alias("tag_a"), F.col("count").alias("ca"))
     cb = cnt.select(F.col("tag").alias("tag_b"), F.col("count").alias("cb"))
     return (c.join(ca, "tag_a").join(cb, "tag_b")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelnet.session import cut
+from labelnet.session import cut, discard
 from labelnet.util import dense_index
 
 
@@ -48,7 +48,9 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
     und = undirected(edges)
     if weighted:
         und = und.withColumn("weight", F.col("weight").cast("decimal(18,6)"))
-    und = und.select("src", "dst", "weight")
+    # written once: each round then reads it, instead of computing the union of both directions again
+    und = cut(und.select("src", "dst", "weight").repartition("src"), "undirected")
+    old = None
     labels = vertices.select("id", F.col("id").alias("label"))
     for r in range(max_iter):
         msgs = und.join(labels.select(F.col("id").alias("src"), "label"), "src")
@@ -62,8 +64,11 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
                   .select("id", F.coalesce("new", "label").alias("label"),
                           (F.coalesce("new", "label") != F.col("label")).alias("changed")), "labels")
         labels = nxt.select("id", "label")
+        discard(old)
+        old = nxt
         if stop_early and r < max_iter - 1 and nxt.where("changed").limit(1).count() == 0:
             break
+    discard(und)
     return labels
 
 
@@ -87,7 +92,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     to stars around the smallest ids. Isolated vertices get their own id.
     """
     e = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).where(F.col("u") != F.col("v"))
-    e = cut(e.distinct())
+    e = cut(e.distinct(), "components")
     converged = False
     for _ in range(max_rounds):
         if _is_star_forest(e):
@@ -96,15 +101,18 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         # large-star: link every larger neighbour of u to m(u) = min(N(u) + u)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = (both.join(m, "u").where(F.col("v") > F.col("u"))
-             .select(F.least("v", "m").alias("u"), F.greatest("v", "m").alias("v"))
-             .where(F.col("u") != F.col("v")).distinct())
+        # written: small-star reads it twice
+        large = cut(both.join(m, "u").where(F.col("v") > F.col("u"))
+                    .select(F.least("v", "m").alias("u"), F.greatest("v", "m").alias("v"))
+                    .where(F.col("u") != F.col("v")).distinct(), "components")
+        discard(e)
         # small-star: link u and its smaller neighbours to m(u) = min(smaller N(u) + u)
-        down = e.select(F.col("v").alias("u"), F.col("u").alias("v"))  # v < u
+        down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))  # v < u
         m = down.groupBy("u").agg(F.min("v").alias("m"))
         linked = down.join(m, "u").select("v", "m").unionByName(m.select(F.col("u").alias("v"), "m"))
         e = cut(linked.select(F.least("v", "m").alias("u"), F.greatest("v", "m").alias("v"))
                 .where(F.col("u") != F.col("v")).distinct(), "components")
+        discard(large)
     if not converged:
         # O(log^2 n) rounds suffice; never return a partial labelling silently
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
@@ -120,10 +128,6 @@ def dense_labels(labels: DataFrame, label: str = "label", start: int = 0) -> Dat
     return labels.join(idx, label).withColumn(label, F.col("_dense")).drop("_dense")
 
 
-def community_counts(labels: DataFrame, label: str = "label") -> DataFrame:
-    return labels.agg(F.count_distinct(label).alias("communities"))
-
-
 def modularity(edges: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
     """Weighted modularity ``Q = sum_c [ in_c / m - (deg_c / 2m)^2 ]`` as one row.
 

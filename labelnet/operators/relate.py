@@ -29,8 +29,9 @@ def tag_posts(posts: DataFrame, tags: DataFrame, id_block: int = ID_BLOCK) -> Da
     Post ids per tag, sorted (collect_list order is not defined), one row per
     tag and block of ``id_block`` consecutive post ids: a tag holding a third
     of all posts is spread over many groups and no list exceeds ``id_block``
-    ids. With ids below ``id_block`` this is one row per tag, the reference's
-    shape. The vector maths never uses these lists (it stays long form).
+    ids. A tag has one row for each block in which it has posts, at any size;
+    ``id_block`` is part of the key of every table made from this one, and
+    counts of tags go by ``memberships``, the long form.
     """
     grouped = (post_tag_pairs(posts)
                .groupBy("tag_name", F.floor(F.col("post_id") / id_block).cast("bigint").alias("id_block"))
@@ -85,11 +86,11 @@ def cap_rows(df: DataFrame, n: int, order_by: str = "id") -> DataFrame:
 
 
 def overwrite_first_n(df: DataFrame, n: int, order_cols, target: str, value) -> DataFrame:
-    """Overwrite ``target`` with ``value`` on the first ``n`` rows by ``order_cols``
-    (a unique key). The first rows come from a top-n (bounded by ``n``),
-    joined back by key; no global window."""
+    """Overwrite ``target`` with ``value`` on all rows of the first ``n`` keys by ``order_cols``.
+    The keys come from a top-n of the distinct keys (bounded by ``n``),
+    joined back; no global window."""
     keys = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    first = df.orderBy(*keys).limit(n).select(*keys).withColumn("_first", F.lit(True))
+    first = df.select(*keys).distinct().orderBy(*keys).limit(n).withColumn("_first", F.lit(True))
     out = df.join(checked_broadcast(first, n), keys, "left")
     return (out.withColumn(target, F.when(F.col("_first"), F.lit(value)).otherwise(F.col(target)))
             .drop("_first"))

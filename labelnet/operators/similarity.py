@@ -2,19 +2,15 @@
 
 All pairs of N vectors are exact N^2/2 dot products, computed as matrix
 products in numpy inside Spark tasks, emitting only the pairs the caller
-asked for (over a threshold, or a top-k per row). Two physical forms:
-
-* broadcast: when one side's dense matrix is at most ``BROADCAST_BYTES``
-  (a size computed from its row count and dimension before anything is
-  collected), that side is broadcast and the other side is scored
-  partition by partition with ``mapInPandas`` - no shuffle at all, which is
-  the right form for many posts against a bounded set of labels;
-* blocked: otherwise rows are hashed into B blocks (B from the row count),
-  each row is shuffled to the B block pairs it takes part in (N*B rows,
-  never N^2) and each block pair is one ``applyInPandas``/``cogroup`` task;
-  memory per task is two blocks of rows.
-
-No cross join and no pair list per group is ever built in Spark.
+asked for (over a threshold, or a top-k per row). There is one physical form
+at every size: rows are hashed into B blocks, each row is shuffled to the
+tiles (block pairs) it takes part in (N*B rows, never N^2), and each tile is
+one ``applyInPandas``/``cogroup`` call. B comes from the rows that are there,
+the memory budget of a dense block and the number of tasks the cluster can
+run at once. Within a tile the left block is scored in slices, so the score
+matrix keeps to the same budget.
+
+No cross join, no pair list per group and no collected side is ever built.
 """
 
 from __future__ import annotations
@@ -27,11 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BLOCK_ROWS = 1024
-BLOCK_BYTES = 64 * 1024 * 1024   # memory budget of one dense block (rows x dim doubles)
-# a side whose dense matrix (rows x dim doubles) is at most this size is broadcast and the
-# other side is scored map-side (no shuffle of it); a larger side goes to the blocked cogroup
-BROADCAST_BYTES = 256 * 1024 * 1024
+BLOCK_BYTES = 64 * 1024 * 1024   # memory budget of one dense block, and of one slice of scores
+MIN_BLOCK_ROWS = 64              # blocks aren't made smaller than this to get more tiles
+ROUND = 6                        # places that scores are rounded to before they are ranked
 
 
 # ---- column expressions ------------------------------------------------------
@@ -79,125 +73,88 @@ def _passes(s: np.ndarray, threshold: float, inclusive: bool) -> np.ndarray:
     return s >= threshold if inclusive else s > threshold
 
 
-def _topk_rows(s: np.ndarray, k: int, tol: float = 1e-9):
-    """Per row: the k best columns plus every column within ``tol`` of the k-th
-    score, so that the exact tie-break (rounded score, key) done later in
-    Spark sees every candidate that could win it."""
+def _topk_rows(s: np.ndarray, k: int):
+    """Per row: the k best columns plus every column whose score may round to
+    that of the k-th, so that the exact tie-break (rounded score, key) done later
+    in Spark sees every candidate that could win it."""
     if s.shape[1] <= k:
         return np.nonzero(np.ones_like(s, dtype=bool))
     kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-    return np.nonzero(s >= (kth - tol)[:, None])
+    return np.nonzero(s >= (kth - 1.01 * 10.0 ** -ROUND)[:, None])
 
 
-def block_rows_for(dim: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> int:
+def block_rows_for(dim: int) -> int:
     """Rows per block so that one dense block stays under ``BLOCK_BYTES``."""
-    return max(1, min(block_rows, BLOCK_BYTES // (8 * max(1, dim))))
+    return max(1, BLOCK_BYTES // (8 * max(1, dim)))
 
 
-def _num_blocks(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / max(1, block_rows)))
+def num_blocks(n: int, dim: int, tasks: int, block_rows: int | None = None) -> int:
+    """Blocks of ``n`` rows: enough for the byte budget, and up to ``tasks`` of them as long as a block keeps
+    ``MIN_BLOCK_ROWS``. ``block_rows`` sets the rows of a block instead (tests)."""
+    if block_rows:
+        return max(1, math.ceil(n / block_rows))
+    return max(1, math.ceil(n / block_rows_for(dim)), min(tasks, n // MIN_BLOCK_ROWS))
 
 
-def _key_fields(df: DataFrame, keys: list[str]) -> list[T.StructField]:
-    return [T.StructField(k, df.schema[k].dataType) for k in keys]
-
-
-def _can_broadcast(spark, n_rows: int, dim: int, broadcast_bytes: int) -> bool:
-    if n_rows * max(1, dim) * 8 > broadcast_bytes:
-        return False
-    try:
-        spark.sparkContext  # noqa: B018 - sessions without a context use the blocked form
-    except Exception:  # noqa: BLE001
-        return False
-    return True
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _broadcast_side(df: DataFrame, keys: list[str], dim: int):
-    """Collect a side whose size was checked by ``_can_broadcast`` and broadcast it."""
-    pdf = df.select(*keys, "idxs", "vals").toPandas()
-    value = ({k: pdf[k].to_numpy() for k in keys}, _dense(pdf, dim))
-    return df.sparkSession.sparkContext.broadcast(value)
-
-
-def _scan_rows(dim: int, n_other: int, block_rows: int) -> int:
-    """Left rows per score block in the broadcast form: bounds both the dense left
-    chunk (rows x dim) and the score block (rows x n_other) by ``BLOCK_BYTES``."""
-    return max(1, min(block_rows_for(dim, block_rows), BLOCK_BYTES // (8 * max(1, n_other))))
+def _key_fields(df: DataFrame, keys: list[str]) -> list[T.StructField]:
+    return [T.StructField(k, df.schema[k].dataType) for k in keys]
 
 
-def _chunks(pdf: pd.DataFrame, rows: int):
-    for i in range(0, len(pdf), rows):
-        yield pdf.iloc[i:i + rows]
+def _slices(n_left: int, n_right: int):
+    """Slices of the left rows whose scores against the right rows keep to ``BLOCK_BYTES``."""
+    step = max(1, BLOCK_BYTES // (8 * max(1, n_right)))
+    for i in range(0, n_left, step):
+        yield slice(i, min(n_left, i + step))
 
 
 def similar_pairs(vecs: DataFrame, key: str, dim: int, threshold: float, inclusive: bool = False,
-                  n_rows: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS,
-                  normalized: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                  block_rows: int | None = None, normalized: bool = False) -> DataFrame:
     """Unordered pairs ``(src, dst, weight)`` with ``src < dst`` and cosine over
     ``threshold`` (``>`` or ``>=``).
 
-    ``vecs``: ``(key, idxs array<int>, vals array<double>)``. Blocked form:
-    block pairs ``(bi, bj)`` with ``bi <= bj``; a row of block b goes to
-    ``(b, j)`` for j >= b as the left side and to ``(i, b)`` for i < b as the
-    right side.
+    ``vecs``: ``(key, idxs array<int>, vals array<double>)``. Tiles are block
+    pairs ``(bi, bj)`` with ``bi <= bj``; a row of block b goes to ``(b, j)`` for
+    j >= b as the left side and to ``(i, b)`` for i < b as the right side. A tile
+    whose right block has no rows gives nothing, unless it is on the diagonal.
     """
-    if n_rows is None:
-        n_rows = vecs.count()
-    rows = block_rows_for(dim, block_rows)
     v = vecs if normalized else normalize_arrays(vecs)
     v = v.select(F.col(key).alias("id"), "idxs", "vals")
     key_type = vecs.schema[key].dataType
     schema = T.StructType([T.StructField("src", key_type), T.StructField("dst", key_type),
                            T.StructField("weight", T.DoubleType())])
-
-    if _can_broadcast(vecs.sparkSession, n_rows, dim, broadcast_bytes):
-        bc = _broadcast_side(v, ["id"], dim)
-        rows = _scan_rows(dim, n_rows, block_rows)
-
-        def scan(it):
-            keys_b, mb = bc.value
-            ids_b = keys_b["id"]
-            for pdf in it:
-                for lp in _chunks(pdf, rows):
-                    s = _dense(lp, dim) @ mb.T
-                    ids_a = lp["id"].to_numpy()
-                    ii, jj = np.nonzero(_passes(s, threshold, inclusive))
-                    keep = ids_a[ii] < ids_b[jj]        # each unordered pair once
-                    ii, jj = ii[keep], jj[keep]
-                    yield pd.DataFrame({"src": ids_a[ii], "dst": ids_b[jj], "weight": s[ii, jj]})
-
-        return v.mapInPandas(scan, schema)
-
-    B = _num_blocks(n_rows, rows)
-    v = v.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(B)))
+    tasks = _tasks(vecs)
+    B = num_blocks(vecs.count(), dim, math.ceil(math.sqrt(2 * tasks)), block_rows)   # B (B + 1) / 2 tiles
+    v = v.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(B)).cast("int"))
     v = v.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
     rep = v.select(F.least("b", "p").alias("bi"), F.greatest("b", "p").alias("bj"),
                    F.when(F.col("b") == F.least("b", "p"), 0).otherwise(1).alias("side"),
                    "id", "idxs", "vals")
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        same = pdf["bi"].iloc[0] == pdf["bj"].iloc[0]
         left = pdf[pdf["side"] == 0]
-        right = pdf[pdf["side"] == 1]
-        same = len(right) == 0
+        right = left if same else pdf[pdf["side"] == 1]
         a = _dense(left, dim)
-        ids_a = left["id"].to_numpy()
-        if same:
-            s = a @ a.T
-            ii, jj = np.nonzero(_passes(s, threshold, inclusive))
-            keep = ids_a[ii] < ids_a[jj]
-            ii, jj = ii[keep], jj[keep]
-            x, y, w = ids_a[ii], ids_a[jj], s[ii, jj]
-        else:
-            b = _dense(right, dim)
-            ids_b = right["id"].to_numpy()
-            s = a @ b.T
+        b = a if same else _dense(right, dim)
+        ids_a, ids_b = left["id"].to_numpy(), right["id"].to_numpy()
+        out = []
+        for part in _slices(len(a), len(b)):
+            s = a[part] @ b.T
             ii, jj = np.nonzero(_passes(s, threshold, inclusive))
-            x, y, w = ids_a[ii], ids_b[jj], s[ii, jj]
+            x, y, w = ids_a[part][ii], ids_b[jj], s[ii, jj]
+            keep = x < y if same else np.ones(len(x), dtype=bool)
             swap = x > y
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-        return pd.DataFrame({"src": x, "dst": y, "weight": w})
+            out.append(pd.DataFrame({"src": np.where(swap, y, x)[keep], "dst": np.where(swap, x, y)[keep], "weight": w[keep]}))
+        if not out:
+            return pd.DataFrame({f.name: pd.Series(dtype="object") for f in schema.fields})
+        return pd.concat(out, ignore_index=True)
 
-    return rep.groupBy("bi", "bj").applyInPandas(block, schema)
+    # dealt by number, which AQE doesn't merge: tiles are small in bytes and large in work
+    return rep.repartition(min(tasks, B * (B + 1) // 2), "bi", "bj").groupBy("bi", "bj").applyInPandas(block, schema)
 
 
 def _select(s: np.ndarray, lk: dict, rk: dict, *, top_k, threshold, inclusive, positive_only,
@@ -226,45 +183,28 @@ def _select(s: np.ndarray, lk: dict, rk: dict, *, top_k, threshold, inclusive, p
 def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str], dim: int, *,
                  top_k: int | None = None, threshold: float | None = None, inclusive: bool = False,
                  positive_only: bool = False, exclude_same_key: bool = False,
-                 n_left: int | None = None, n_right: int | None = None,
-                 block_rows: int = DEFAULT_BLOCK_ROWS, normalized: bool = False,
-                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                 block_rows: int | None = None, normalized: bool = False) -> DataFrame:
     """Cosine of every left row against every right row.
 
     Emits ``lkeys + rkeys + [score]`` for: all pairs (no filter), pairs over
-    ``threshold``, and/or the ``top_k`` right rows per left row (score desc,
-    right key asc). A per-block top-k is a superset of the global top-k; the
-    caller finishes with a window bounded by ``top_k * blocks`` rows per key.
-    The right side is the one broadcast when its checked size allows.
+    ``threshold``, and/or the ``top_k`` right rows per left row (rounded score
+    desc, right key asc). A per-tile top-k with its ties is a superset of the
+    global top-k; the caller finishes with a window over ``top_k`` rows and ties
+    per key and right block.
     """
-    if n_right is None:
-        n_right = right.count()
-    rows = block_rows_for(dim, block_rows)
     if not normalized:
         left, right = normalize_arrays(left), normalize_arrays(right)
     schema = T.StructType(_key_fields(left, lkeys) + _key_fields(right, rkeys)
                           + [T.StructField("score", T.DoubleType())])
     opts = dict(top_k=top_k, threshold=threshold, inclusive=inclusive, positive_only=positive_only,
                 exclude_same_key=exclude_same_key)
-
-    if _can_broadcast(left.sparkSession, n_right, dim, broadcast_bytes):
-        bc = _broadcast_side(right, rkeys, dim)
-        rows = _scan_rows(dim, n_right, block_rows)
-
-        def scan(it):
-            rk, mb = bc.value
-            for pdf in it:
-                for lp in _chunks(pdf, rows):
-                    s = _dense(lp, dim) @ mb.T
-                    yield _select(s, {k: lp[k].to_numpy() for k in lkeys}, rk, **opts)
-
-        return left.select(*lkeys, "idxs", "vals").mapInPandas(scan, schema)
-
-    if n_left is None:
-        n_left = left.count()
-    bl, br = _num_blocks(n_left, rows), _num_blocks(n_right, rows)
-    lh = F.pmod(F.xxhash64(*lkeys), F.lit(bl))
-    rh = F.pmod(F.xxhash64(*rkeys), F.lit(br))
+    tasks = _tasks(left)
+    # the right side is cut for memory only: each of its blocks copies the left side once
+    br = num_blocks(right.count(), dim, 1, block_rows)
+    bl = num_blocks(left.count(), dim, math.ceil(tasks / br), block_rows)
+    # int like the exploded block numbers: both sides of the cogroup must hash alike
+    lh = F.pmod(F.xxhash64(*lkeys), F.lit(bl)).cast("int")
+    rh = F.pmod(F.xxhash64(*rkeys), F.lit(br)).cast("int")
     # fresh aliases: both sides may come from one plan (a self product)
     L = left.select(*[F.col(k).alias(k) for k in lkeys], F.col("idxs").alias("idxs"), F.col("vals").alias("vals"),
                     lh.alias("bl"), F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("br"))
@@ -274,7 +214,11 @@ def block_scores(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: lis
     def block(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if len(lp) == 0 or len(rp) == 0:
             return pd.DataFrame({f.name: pd.Series(dtype="object") for f in schema.fields})
-        s = _dense(lp, dim) @ _dense(rp, dim).T
-        return _select(s, {k: lp[k].to_numpy() for k in lkeys}, {k: rp[k].to_numpy() for k in rkeys}, **opts)
-
-    return L.groupBy("bl", "br").cogroup(R.groupBy("bl", "br")).applyInPandas(block, schema)
+        a, b = _dense(lp, dim), _dense(rp, dim)
+        rk = {k: rp[k].to_numpy() for k in rkeys}
+        return pd.concat([_select(a[part] @ b.T, {k: lp[k].to_numpy()[part] for k in lkeys}, rk, **opts)
+                          for part in _slices(len(a), len(b))], ignore_index=True)
+
+    n = min(tasks, bl * br)
+    return (L.repartition(n, "bl", "br").groupBy("bl", "br")
+            .cogroup(R.repartition(n, "bl", "br").groupBy("bl", "br")).applyInPandas(block, schema))

@@ -42,6 +42,8 @@ def label_vectors(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, min_
     """TF-IDF of usable posts, averaged per tag (zero vector for tags without a usable post)."""
     tf = corpus_tf(spark, sf_dir, min_score=min_score, stem=stem)
     model = fe.fit_tfidf(tf, vocab_size)
+    # fitted once: every user of the lazy table would compute the corpus statistics again
+    model = fe.TfidfModel(cut(model.vocab, "vocabulary"), model.size)
     weights = fe.tfidf_transform(tf, model)
     posts = standin.posts(spark, sf_dir, with_score=False)
     tags = cut(standin.tags(spark, sf_dir))
@@ -53,10 +55,8 @@ def label_vectors(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, min_
 def label_graph(lv: LabelVectors, threshold: float = 0.5, inclusive: bool = False,
                 keep_isolated: bool = True) -> tuple[DataFrame, DataFrame]:
     """Vertices ``(id, name)`` and edges ``(src, dst, weight)`` over the label vectors."""
-    arrays = fe.sparse_arrays(lv.vectors, "tag_id")
-    edges = sim.similar_pairs(arrays, "tag_id", lv.model.size, threshold, inclusive,
-                              n_rows=lv.tags.count())
-    edges = cut(edges)
+    arrays = cut(fe.sparse_arrays(lv.vectors, "tag_id"), "label-arrays")
+    edges = cut(sim.similar_pairs(arrays, "tag_id", lv.model.size, threshold, inclusive), "edges")
     vertices = lv.tags.select("id", F.col("tag_name").alias("name"))
     if not keep_isolated:
         vertices = vertices.join(gr.endpoint_vertices(edges), "id", "left_semi")
@@ -108,7 +108,7 @@ def embedding_graph(spark: SparkSession, sf_dir: str, threshold: float, inclusiv
     v = cut(v, "vectors")
     dim = v.select(F.max(F.size("vector"))).first()[0] or 0
     arrays = fe.array_to_sparse(v.select("tag_id", "vector"))
-    edges = cut(sim.similar_pairs(arrays, "tag_id", dim, threshold, inclusive, n_rows=v.count()), "edges")
+    edges = cut(sim.similar_pairs(arrays, "tag_id", dim, threshold, inclusive), "edges")
     vertices = v.select(F.col("tag_id").alias("id"), F.col("tag_id").cast("string").alias("name"))
     return vertices, edges
 
@@ -140,11 +140,10 @@ def tag_neighbours(lv: LabelVectors, k: int | None = 10, include_self: bool = Tr
     ``k=None`` is the full ranking of all tags against each tag.
     """
     arr = cut(label_arrays(lv), "label_arrays")
-    n = lv.tags.count()
     left = arr.withColumnRenamed("tag_id", "q_id")
     right = arr.withColumnRenamed("tag_id", "neighbour_id")
     sc = sim.block_scores(left, right, ["q_id"], ["neighbour_id"], lv.model.size, top_k=k,
-                          exclude_same_key=not include_self, n_left=n, n_right=n)
+                          exclude_same_key=not include_self)
     return ranked(sc.withColumnRenamed("q_id", "tag_id").withColumnRenamed("score", "sim"),
                   ["tag_id"], "neighbour_id", "sim", k)
 
@@ -168,7 +167,7 @@ def post_tags(spark: SparkSession, sf_dir: str, lv: LabelVectors, k: int = 20, p
     posts = cut(new_post_vectors(spark, sf_dir, lv.model), "new_posts")
     tags = cut(label_arrays(lv), "label_arrays")
     sc = sim.block_scores(posts, tags, ["conv_id", "turn"], ["tag_id"], lv.model.size, top_k=k,
-                          positive_only=not pad_zero, n_right=lv.tags.count())
+                          positive_only=not pad_zero)
     return ranked(sc.withColumnRenamed("score", "sim"), ["conv_id", "turn"], "tag_id", "sim", k)
 
 

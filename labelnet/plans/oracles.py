@@ -64,7 +64,7 @@ def _():
 
 @oracle("parse_post_id_list")
 def _():
-    return W(B() + [TP], "SELECT t.id AS tag_id, t.tag_name, tp.post_ids FROM tags t JOIN tp USING (tag_name)")
+    return W(B() + [TP], "SELECT t.id AS tag_id, t.tag_name, tp.id_block, tp.post_ids FROM tags t JOIN tp USING (tag_name)")
 
 
 @oracle("first_n_vectors")
@@ -134,7 +134,7 @@ def _():
     v = S.q(Q.OVERWRITE_VALUE)
     return W(B() + [TP, ("x", """SELECT t.id AS tag_id, t.tag_name, tp.id_block, array_to_string(tp.post_ids, ',') AS post_ids
 FROM tags t JOIN tp USING (tag_name)""")],
-             f"""SELECT tag_id, tag_name, CASE WHEN (tag_id, id_block) IN (SELECT (tag_id, id_block) FROM x ORDER BY tag_id, id_block LIMIT {Q.OVERWRITE_N})
+             f"""SELECT tag_id, tag_name, CASE WHEN tag_id IN (SELECT DISTINCT tag_id FROM x ORDER BY tag_id LIMIT {Q.OVERWRITE_N})
 THEN {v} ELSE post_ids END AS post_ids, id_block FROM x""")
 
 

@@ -33,10 +33,10 @@ DOC_THRESHOLD = 0.5       # reference default, strict
 ROUNDS = 5                # reference default propagation rounds
 EMB_EDGE_T = 0.4          # embeddings: threshold with a useful edge set
 EMB_LP_T = 0.3            # embeddings: threshold for propagation
-FIRST_N = 1000            # tag_count of the documented entry
+FIRST_N = 150             # first vectors of the store (below every fixture's row count)
 CAP = 100                 # row cap of the dataset builder
 OVERWRITE_N = 10          # rows overwritten by the draft flow
-OVERWRITE_VALUE = "20711943,12252506,35946365,12748096"
+OVERWRITE_VALUE = "11,22,33"
 TOP_RECS = 10             # recommendations per tag
 TOP_POST_TAGS = 20        # tags suggested per post
 PREC_K = 5                # precision@5
@@ -77,10 +77,13 @@ def q_parse_post_id_list(spark, d):
     lit = F.concat(F.lit("["), F.array_join(F.transform("post_ids", lambda x: F.concat(F.lit("'"), x.cast("string"), F.lit("'"))), ", "), F.lit("]"))
     out = tp.select("tag_name", "tag_id", "count", F.col("excerpt_post_id").cast("double"),
                     F.col("wiki_post_id").cast("double"), lit.alias("post_ids_array"))
+    keyed = tp.select("tag_id", F.col("post_ids")[0].alias("first_id"), "id_block")   # the list's block, by its first id
     path = scratch_path(spark, "tag-post-csv")
     out.write.option("header", True).csv(path)
     back = io.read_csv_table(spark, path, schemas.TAG_POST_CSV)
-    return back.select("tag_id", "tag_name", io.parse_post_id_list(F.col("post_ids_array")).alias("post_ids"))
+    back = back.select("tag_id", "tag_name", io.parse_post_id_list(F.col("post_ids_array")).alias("post_ids"))
+    return (back.withColumn("first_id", F.col("post_ids")[0]).join(keyed, ["tag_id", "first_id"])
+            .select("tag_id", "tag_name", "id_block", "post_ids"))
 
 
 @register("first_n_vectors")
@@ -158,13 +161,13 @@ def q_tag_posts_csv(spark, d):
 def q_overwrite_first_n(spark, d):
     tp = rl.post_ids_text(rl.tag_posts(standin.posts(spark, d, with_score=False), standin.tags(spark, d)))
     return rl.overwrite_first_n(tp.select("tag_id", "tag_name", "id_block", "post_ids"), OVERWRITE_N,
-                                ["tag_id", "id_block"], "post_ids", OVERWRITE_VALUE)
+                                "tag_id", "post_ids", OVERWRITE_VALUE)
 
 
 @register("dataset_counts")
 def q_dataset_counts(spark, d):
     posts = standin.posts(spark, d)
-    n_tags = rl.tag_posts(posts, standin.tags(spark, d)).agg(F.count(F.lit(1)).alias("n_tags"))
+    n_tags = rl.memberships(posts, standin.tags(spark, d)).agg(F.count_distinct("tag_id").alias("n_tags"))
     n_posts = rl.post_text_union(posts, standin.excerpts(spark, d), standin.wikis(spark, d)).agg(
         F.count(F.lit(1)).alias("n_posts"))
     return n_tags.select("n_tags", n_posts.select("n_posts").scalar().alias("n_posts"))
@@ -471,7 +474,7 @@ def q_usage_trend(spark, d):
 @register("usage_trend_stream")
 def q_usage_trend_stream(spark, d):
     from labelnet.streaming import usage
-    out = usage.run_usage_stream(spark, d, "events.parquet", "1 day", "1 day")
+    out = usage.run_usage_stream(spark, d, "events.parquet", "1 day")
     return usage.latest_counts(spark, out)
 
 

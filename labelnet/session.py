@@ -16,7 +16,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "label
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.driver.memory", "16g")
+         .config("spark.driver.memory", "8g")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
@@ -93,7 +93,19 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._cut_path = path
+    return back
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete the table that ``cut`` wrote for ``df``, once nothing reads it any more (the state of a loop's
+    last round but one). A frame that ``cut`` did not return is left alone."""
+    path = getattr(df, "_cut_path", None)
+    if path:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

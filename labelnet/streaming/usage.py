@@ -1,15 +1,15 @@
-"""Tag usage over time as a streaming windowed count.
+"""Tag usage over time as a stream of mergeable counts.
 
-Events arrive as parquet files; counts per ``(window, tag)`` are kept in
-Spark's state store with a watermark bounding how late an event may come.
-Each micro-batch appends its updated rows (with the batch id) to a table in
-the shared folder; the latest row per key is the current count, so the
-table can be read at any time and matches the batch ``usage_trend``.
+Events arrive as parquet files, in any order of their times. Each micro-batch
+is counted per ``(window, tag)`` and written under its batch id in the shared
+folder; counts add up, so the sum over the batches is the batch query's
+``usage_trend`` whatever the order, no event is ever too late, and no state is
+kept. A batch that is run again replaces its own counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,43 +22,29 @@ EVENTS = T.StructType([
 ])
 
 
-def usage_counts_stream(events: DataFrame, every: str = "1 day", lateness: str = "1 day") -> DataFrame:
-    """Streaming ``(window_start, tag, n)`` over an events stream.
-
-    The watermark needs an instant (TIMESTAMP), the tables hold wall-clock
-    ``timestamp_ntz``: the cast is done with the session zone pinned to UTC
-    by ``run_usage_stream``, and window starts are cast back.
-    """
-    ev = (events.select(F.col("ts").cast("timestamp").alias("et"), F.col("event_type").alias("tag"))
-          .withWatermark("et", lateness))
-    g = ev.groupBy(F.window("et", every).alias("w"), "tag").agg(F.count(F.lit(1)).alias("n"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "tag", "n")
+def batch_counts(events: DataFrame, every: str = "1 day") -> DataFrame:
+    """``(window_start, tag, n)`` of one batch. Windows are cut on the wall clock (``timestamp_ntz``): no session zone matters."""
+    g = events.groupBy(F.window("ts", every).alias("w"), F.col("event_type").alias("tag")).agg(F.count(F.lit(1)).alias("n"))
+    return g.select(F.col("w.start").alias("window_start"), "tag", "n")
 
 
 def run_usage_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
-                     every: str = "1 day", lateness: str = "1 day", max_files: int = 1) -> str:
+                     every: str = "1 day", max_files: int = 1, out: str | None = None, checkpoint: str | None = None) -> str:
     """Run the stream over the files present now (availableNow) and return the output folder."""
-    out = scratch_path(spark, "usage-stream-out")
-    ckpt = scratch_path(spark, "usage-stream-ckpt")
+    out = out or scratch_path(spark, "usage-stream-out")
+    checkpoint = checkpoint or scratch_path(spark, "usage-stream-ckpt")
     src = (spark.readStream.schema(EVENTS).option("pathGlobFilter", file_glob)
            .option("maxFilesPerTrigger", max_files).parquet(source_dir))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch_counts(batch, every).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        q = (usage_counts_stream(src, every, lateness).writeStream.outputMode("update")
-             .option("checkpointLocation", ckpt).foreachBatch(sink).trigger(availableNow=True).start())
-        q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", tz)
+    q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
     return out
 
 
 def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    """Current count per ``(window_start, tag)``: the row of the latest batch."""
-    df = spark.read.parquet(out)
-    w = Window.partitionBy("window_start", "tag").orderBy(F.desc("batch_id"))
-    return df.withColumn("r", F.row_number().over(w)).where(F.col("r") == 1).select("window_start", "tag", "n")
+    """Current count per ``(window_start, tag)``: the sum over the batches."""
+    return spark.read.parquet(out).groupBy("window_start", "tag").agg(F.sum("n").alias("n"))

@@ -30,6 +30,13 @@ def test_cooccurrence_equals_brute_force(spark, tag_block, rows_per_chunk):
     assert got == brute(rows)
 
 
+def test_rows_are_copied_to_their_posts_blocks_only(spark):
+    rows = [(1, 0), (1, 1), (1, 9), (2, 5), (3, 0), (3, 3), (3, 6), (3, 9)]
+    x = spark.createDataFrame(rows, "post_id long, t long")
+    copies = Counter((r.post_id, r.t) for r in cooc.gram_copies(x, 3).collect())
+    assert copies == {(p, t): len({u // 3 for q, u in rows if q == p}) for p, t in rows}
+
+
 def test_usage_trend(spark):
     import datetime as dt
     rows = [(dt.datetime(2024, 1, 1, 5), "a"), (dt.datetime(2024, 1, 1, 23), "a"), (dt.datetime(2024, 1, 2, 0), "a")]
@@ -59,6 +66,29 @@ def test_usage_stream_matches_batch(spark, tmp_path):
     assert got == want
 
 
+def test_usage_stream_takes_late_files_and_repeated_batches(spark, tmp_path):
+    import datetime as dt
+    import glob
+    import shutil
+    from labelnet.streaming import usage
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    frames = []
+    for i, day in enumerate((20, 2, 3)):                 # the first file is the latest in time
+        rows = [(j, dt.datetime(2024, 1, day, j % 24), 7, "a", 1.0, "{}") for j in range(4 + i)]
+        f = spark.createDataFrame(rows, usage.EVENTS)
+        frames.append(f)
+        f.coalesce(1).write.parquet(str(tmp_path / f"p{i}"))
+        shutil.copy(glob.glob(str(tmp_path / f"p{i}" / "*.parquet"))[0], inbox / f"events-{i}.parquet")
+    every = frames[0].union(frames[1]).union(frames[2])
+    want = sorted(tuple(r) for r in cooc.usage_trend(every.select("ts", F.col("event_type").alias("tag"))).collect())
+    out = usage.run_usage_stream(spark, str(inbox), out=str(tmp_path / "out"), checkpoint=str(tmp_path / "c1"))
+    assert sorted(tuple(r) for r in usage.latest_counts(spark, out).collect()) == want
+    # all batches once more, as after a lost commit: each replaces itself
+    usage.run_usage_stream(spark, str(inbox), out=out, checkpoint=str(tmp_path / "c2"))
+    assert sorted(tuple(r) for r in usage.latest_counts(spark, out).collect()) == want
+
+
 def test_same_results_under_1_and_50_shuffle_partitions(spark):
     from labelnet.operators import features as fe
     from labelnet.operators import graph as gr
@@ -72,7 +102,7 @@ def test_same_results_under_1_and_50_shuffle_partitions(spark):
         for parts in ("1", "50"):
             spark.conf.set("spark.sql.shuffle.partitions", parts)
             vecs = fe.array_to_sparse(spark.createDataFrame(vec_rows, "tag_id long, vector array<double>"))
-            e = sim.similar_pairs(vecs, "tag_id", 8, 0.5, block_rows=7, broadcast_bytes=0)
+            e = sim.similar_pairs(vecs, "tag_id", 8, 0.5, block_rows=7)
             v = vecs.select(F.col("tag_id").alias("id"))
             lab = sorted(tuple(r) for r in gr.label_propagation(v, e, 3).collect())
             edges = sorted((r.src, r.dst, round(r.weight, 9)) for r in e.collect())

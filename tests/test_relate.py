@@ -50,3 +50,15 @@ def test_overwrite_first_n(spark):
     df = spark.createDataFrame([(i, str(i)) for i in (5, 1, 3, 2)], "k long, v string")
     got = {r.k: r.v for r in rl.overwrite_first_n(df, 2, "k", "v", "X").collect()}
     assert got == {1: "X", 2: "X", 3: "3", 5: "5"}
+
+
+def test_large_ids_split_lists_but_not_counts(spark):
+    big = 3_000_000
+    p = spark.createDataFrame([(i, "t", "b", "java", None, 1) for i in (1, 2, big, 2 * big)],
+                              "id long, title string, body string, tags string, parent_id long, score int")
+    t = spark.createDataFrame(TAGS, "id long, tag_name string, count long, excerpt_post_id long, wiki_post_id long")
+    tp = rl.tag_posts(p, t)
+    assert sorted((r.tag_id, r.id_block, r.post_ids) for r in tp.collect()) == [(1, 0, [1, 2]), (1, 3, [big]), (1, 6, [2 * big])]
+    assert rl.memberships(p, t).agg(F.count_distinct("tag_id")).first()[0] == 1
+    over = rl.overwrite_first_n(rl.post_ids_text(tp).select("tag_id", "id_block", "post_ids"), 1, "tag_id", "post_ids", "X")
+    assert [r.post_ids for r in over.collect()] == ["X", "X", "X"]       # all rows of the first tag

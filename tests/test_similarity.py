@@ -33,11 +33,11 @@ def test_cosine_expression(spark):
     assert got[0] == 0.0 and abs(got[1] - 1.0) < 1e-12 and got[2] == 0.0
 
 
-@pytest.mark.parametrize("inclusive,bcast", [(False, 0), (True, 0), (False, sim.BROADCAST_BYTES), (True, sim.BROADCAST_BYTES)])
-def test_threshold_strict_or_inclusive(spark, inclusive, bcast):
+@pytest.mark.parametrize("inclusive,rows", [(False, 2), (True, 2), (False, None), (True, None)])
+def test_threshold_strict_or_inclusive(spark, inclusive, rows):
     # cos(5, 6) = 1/sqrt(2) exactly on the threshold
     t = float(np.float64(1.0) / np.sqrt(2.0))
-    e = sim.similar_pairs(arrays(spark, TINY), "tag_id", 3, t, inclusive=inclusive, broadcast_bytes=bcast)
+    e = sim.similar_pairs(arrays(spark, TINY), "tag_id", 3, t, inclusive=inclusive, block_rows=rows)
     got = {(r.src, r.dst) for r in e.collect()}
     bf = brute_cos(TINY)
     want = {(a, b) for (a, b), c in bf.items() if a < b and (c >= t if inclusive else c > t)}
@@ -46,28 +46,31 @@ def test_threshold_strict_or_inclusive(spark, inclusive, bcast):
     assert all(1 not in p for p in got)       # zero vector never links
 
 
-@pytest.mark.parametrize("block_rows,bcast", [(1, 0), (3, 0), (1000, 0), (3, sim.BROADCAST_BYTES)])
-def test_blocked_pairs_equal_brute_force(spark, block_rows, bcast):
+@pytest.mark.parametrize("block_rows", [0.02, 1, 3, 1000, None])     # 0.02: 50 blocks for each row, so nearly all are empty
+def test_tiles_equal_brute_force(spark, block_rows):
     rng = np.random.default_rng(7)
-    vecs = {int(i): rng.random(6) * (rng.random(6) > 0.4) for i in range(40)}
-    e = sim.similar_pairs(arrays(spark, vecs), "tag_id", 6, 0.6, block_rows=block_rows, broadcast_bytes=bcast)
-    got = {(r.src, r.dst): r.weight for r in e.collect()}
+    n = 6 if block_rows == 0.02 else 40
+    vecs = {int(i): rng.random(6) * (rng.random(6) > 0.4) for i in range(n)}
+    e = sim.similar_pairs(arrays(spark, vecs), "tag_id", 6, 0.6, block_rows=block_rows)
+    rows = [(r.src, r.dst, r.weight) for r in e.collect()]
     bf = brute_cos(vecs)
     want = {(a, b): c for (a, b), c in bf.items() if a < b and c > 0.6}
-    assert got.keys() == want.keys()
-    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    assert sorted((a, b) for a, b, _ in rows) == sorted(want)          # as a list: no pair twice
+    assert all(abs(w - want[a, b]) < 1e-9 for a, b, w in rows)
 
 
-@pytest.mark.parametrize("block_rows,bcast", [(2, 0), (1000, 0), (2, sim.BROADCAST_BYTES)])
-def test_block_scores_topk(spark, block_rows, bcast):
+@pytest.mark.parametrize("block_rows", [2, 1000, None])
+def test_block_scores_topk(spark, block_rows):
     rng = np.random.default_rng(3)
     left = {int(i): rng.random(5) for i in range(12)}
     right = {int(i): rng.random(5) for i in range(100, 130)}
     L = arrays(spark, left).withColumnRenamed("tag_id", "q")
     R = arrays(spark, right).withColumnRenamed("tag_id", "o")
-    sc = sim.block_scores(L, R, ["q"], ["o"], 5, top_k=3, block_rows=block_rows, broadcast_bytes=bcast)
+    sc = sim.block_scores(L, R, ["q"], ["o"], 5, top_k=3, block_rows=block_rows)
     from labelnet.plans.flows import ranked
-    got = {(r.q, r.rank): r.o for r in ranked(sc, ["q"], "o", "score", 3).collect()}
+    rows = ranked(sc, ["q"], "o", "score", 3).collect()
+    got = {(r.q, r.rank): r.o for r in rows}
+    assert len(rows) == len(got) == 36
     allv = {**left, **right}
     bf = brute_cos(allv)
     for q in left:
@@ -75,11 +78,22 @@ def test_block_scores_topk(spark, block_rows, bcast):
         assert [got[(q, k)] for k in (1, 2, 3)] == order
 
 
-def test_block_rows_follow_dimension():
-    assert sim.block_rows_for(64) == 1024
-    assert sim.block_rows_for(1_000_000) * 8 * 1_000_000 <= sim.BLOCK_BYTES
+@pytest.mark.parametrize("block_rows", [1, 1000])
+def test_topk_keeps_scores_that_round_alike(spark, block_rows):
+    # cosines 0.5000002 (id 10) and 0.5000004 (id 11) round to the same six places: the smaller id is first
+    def unit(c):
+        return [c, float(np.sqrt(1 - c * c))]
+    L = arrays(spark, {1: [1.0, 0.0]}).withColumnRenamed("tag_id", "q")
+    R = arrays(spark, {10: unit(0.5000002), 11: unit(0.5000004), 12: unit(0.4)}).withColumnRenamed("tag_id", "o")
+    sc = sim.block_scores(L, R, ["q"], ["o"], 2, top_k=1, block_rows=block_rows)
+    from labelnet.plans.flows import ranked
+    assert [r.o for r in ranked(sc, ["q"], "o", "score", 1).collect()] == [10]
 
 
-def test_broadcast_scan_bounds_score_block():
-    rows = sim._scan_rows(64, 500_000, sim.DEFAULT_BLOCK_ROWS)
-    assert rows * 500_000 * 8 <= sim.BLOCK_BYTES and rows * 64 * 8 <= sim.BLOCK_BYTES
+def test_blocks_follow_dimension_rows_and_tasks():
+    for dim in (64, 1000, 1_000_000):
+        assert sim.block_rows_for(dim) * 8 * dim <= sim.BLOCK_BYTES
+    assert sim.num_blocks(0, 64, 100) == 1
+    assert sim.num_blocks(10 ** 7, 1000, 8) >= 10 ** 7 / sim.block_rows_for(1000)
+    assert sim.num_blocks(2000, 64, 8) == 8
+    assert all((p.stop - p.start) * 500_000 * 8 <= sim.BLOCK_BYTES for p in sim._slices(1000, 500_000))
