@@ -12,9 +12,9 @@ their weighted Jaccard index.
 
 Join: documents with equal words are one representative first. Representatives that agree on all ``ROWS``
 coordinates of one of ``BANDS`` bands are candidates (0.8: found with probability 0.99995). Candidates are never
-listed as all pairs of a group: in ``ROUNDS`` rounds every member of a band's bucket is compared with one leader
-of it, another one each round, as long as the two aren't in one class yet; then what still lies in one bucket
-but in different classes is compared pair by pair. Pairs are screened by their signatures (agreement of half the
+listed as all pairs of a group: in the rounds of ``LEADERS`` every member of a band's bucket is compared with a few
+leaders of it, others each round, as long as the two aren't known to be in one class; then what still lies in one
+bucket but not in one known class is compared pair by pair. Pairs are screened by their signatures (agreement of half the
 coordinates; a pair at 0.8 fails that with less than 1e-9) and then verified on the whole texts. Classes are the
 connected components of the links.
 
@@ -37,7 +37,8 @@ from . import tokens
 from .common import saved
 
 SHINGLE, BOUND = 5, 0.8
-K, BANDS, ROWS, ROUNDS = 128, 25, 5, 4
+K, BANDS, ROWS = 128, 25, 5
+LEADERS = ((0, 1), (2, 3))    # seeds of the leaders of each round
 SCREEN = 0.5
 FIRST = -(1 << 63)            # stands for a null doc_id
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -171,6 +172,16 @@ def _links(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, bound: float) ->
     return saved(d.select("a", "b", "ta", "tb").mapInArrow(_verify(bound), "a long, b long"), "near-links")
 
 
+def _known(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Two steps of smallest labels along the links: members of a class share a label more often than before, and never
+    with another class. (Only to spare comparisons; the classes come from all links at the end.)"""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    for _ in range(2):
+        low = both.join(comp.withColumnRenamed("uid", "b"), "b").groupBy(F.col("a").alias("uid")).agg(F.min("component").alias("low"))
+        comp = comp.join(low, "uid", "left").select("uid", F.least("component", F.coalesce("low", "component")).alias("component"))
+    return comp
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("k"), F.xxhash64(t).alias("th"), t.alias("text"))
@@ -186,32 +197,34 @@ def classes(docs: DataFrame, bound: float = BOUND) -> DataFrame:
     rows = sigs.select("uid", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key")
     rows = saved(rows.join(shared, "key", "left_semi"), "near-bands")
-    found = None
     nodes = rows.select(F.col("uid").alias("id")).distinct()
-    comp = nodes.select("id", F.col("id").alias("component"))
-    done = None
-    for r in range(ROUNDS + 1):
-        member = rows.join(comp.select(F.col("id").alias("uid"), "component"), "uid")
-        open_ = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                          F.min_by("uid", F.xxhash64("uid", F.lit(r))).alias("leader")).where("lo < hi")
-        if r < ROUNDS:
-            lead = open_.select("key", "leader").join(comp.select(F.col("id").alias("leader"), F.col("component").alias("c2")), "leader")
-            pairs = member.join(lead, "key").where("component <> c2").select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b"))
+    comp, found, done = None, None, None
+    for seeds in (*LEADERS, None):
+        if comp is None:
+            member = rows.withColumn("component", F.col("uid"))
+        else:
+            member = rows.join(comp, "uid")
+        picks = [f(c, F.xxhash64("uid", F.lit(s))).alias(f"{n}{i}") for i, s in enumerate(seeds or ())
+                 for f, c, n in ((F.min_by, "uid", "u"), (F.min_by, "component", "c"))]
+        open_ = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *picks).where("lo < hi")
+        if seeds:
+            lead = open_.select("key", F.explode(F.array(*[F.struct(F.col(f"u{i}").alias("u"), F.col(f"c{i}").alias("c")) for i in range(len(seeds))])).alias("x"))
+            lead = lead.select("key", F.col("x.u").alias("u2"), F.col("x.c").alias("c2"))
+            pairs = member.join(lead, "key").where("component <> c2")
         else:
             rest = saved(member.join(open_.select("key"), "key", "left_semi"), "near-open")
             other = rest.select("key", F.col("uid").alias("u2"), F.col("component").alias("c2"))
-            pairs = rest.join(other, "key").where("component <> c2 and uid < u2").select(F.col("uid").alias("a"), F.col("u2").alias("b"))
-        pairs = pairs.distinct()
+            pairs = rest.join(other, "key").where("component <> c2 and uid < u2")
+        pairs = pairs.select(F.least("uid", "u2").alias("a"), F.greatest("uid", "u2").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = saved(pairs, "near-candidates")
-        if not pairs.limit(1).count():
-            continue
         done = pairs if done is None else done.unionByName(pairs)
         new = _links(pairs, sigs, keyed, bound)
         found = new if found is None else found.unionByName(new)
-        if new.limit(1).count():
-            comp = saved(connected_components(nodes, found.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "near-classes")
+        if seeds:
+            comp = saved(_known(member.select("uid", "component").distinct(), found), "near-known")
+    comp = connected_components(nodes, found.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     all_reps = reps.join(comp.withColumnRenamed("id", "uid"), "uid", "left").select("digest", F.coalesce("component", "uid").alias("c"))
     out = saved(meta.select("uid", "k", "th", "digest").join(all_reps, "digest"), "near-members")
     per = out.groupBy("c").agg(F.min(F.struct("k", "uid")).alias("first"), F.count(F.lit(1)).alias("class_size"))
