@@ -1,16 +1,20 @@
 """Text cleaning as native Column expressions (no Python on the hot path).
 
-Chain of the reference, in its order: HTML -> tokens -> strip/lower/punctuation/
-non-ASCII -> URL pieces -> stop words -> stem -> lemma. Stemming and
+Chain of the reference, in its order: HTML -> word tokeniser -> strip/lower/punctuation/
+non-ASCII -> URL pieces -> stop words -> stem -> lemma. The word tokeniser comes before the
+punctuation goes, so marks between words part them (``hello,world`` is two words). Stemming and
 lemmas are vocabulary jobs (see ``operators.features``): each distinct token
 is handled once and joined back, instead of once per occurrence.
 
-Every regex here is valid in both Java and RE2 (no back-references,
-look-around or ``\\b``), so the DuckDB oracle can run the same patterns.
+Every regex here is valid in both Java and RE2 (no back-references or
+look-around), so the DuckDB oracle can run the same patterns.
 """
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,20 +36,31 @@ STOP_WORDS = (
     "shouldn't wasn wasn't weren weren't won won't wouldn wouldn't"
 ).split()
 
-# Named HTML entities decoded after tag removal; ``&amp;`` goes last so that
-# ``&amp;copy;`` becomes ``&copy;`` and is not decoded twice.
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
-    ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"),
+# Character references: named (the standard table, names with their semicolon), decimal and hexadecimal.
+REFERENCE = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+AMPERSAND = r"&(?:amp|AMP|#0*38|#[xX]0*26);"
+NAMED = json.dumps({k: v for k, v in sorted(html.entities.html5.items()) if k.endswith(";")})
+
+# The word tokeniser's splits, in its order; marks themselves are deleted later. ``\\1`` stands for a group, ``\\0`` for the match.
+SPLITS = [
+    (r"""`+|''|"|[;@#$%&?!\[\](){}<>]|--|\.{2,}""", r" \0 "),           # marks that always stand alone
+    (r"([:,])([^0-9])", r" \1 \2"),                                    # but 1,000 and 10:30 stay whole
+    (r"([:,])$", r" \1 "),
+    (r"""([^.])(\.)([\])}>"']*)(\s|$)""", r"\1 \2 \3 \4"),            # a sentence's last period
+    (r"'([a-ce-lo-ru-zA-CE-LO-RU-Z0-9_])\b", r"' \1"),                 # an opening quote before a single letter
+    (r"([^' ])('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T|')(\s|$)", r"\1 \2\3"),
 ]
+CONTRACTIONS = [(r"(?i)\b(can)(not)\b", r"\1 \2"), (r"(?i)\b(d)('ye)\b", r"\1 \2"), (r"(?i)\b(gim)(me)\b", r"\1 \2"),
+                (r"(?i)\b(gon)(na)\b", r"\1 \2"), (r"(?i)\b(got)(ta)\b", r"\1 \2"), (r"(?i)\b(lem)(me)\b", r"\1 \2"),
+                (r"(?i)\b(more)('n)\b", r"\1 \2"), (r"(?i)\b(wan)(na)\s", r"\1 \2 "), (r"(?i) ('t)(is)\b", r" \1 \2"), (r"(?i) ('t)(was)\b", r" \1 \2")]
+CONTRACTED = r"(?i)cannot|d'ye|gimme|gonna|gotta|lemme|more'n|wanna|'tis|'twas"
 
 # Patterns removed from HTML, in order: comments, script and style bodies, tags.
 HTML_BLOCKS = [
     r"(?s)<!--.*?-->",
     r"(?is)<script[^>]*>.*?</script\s*>",
     r"(?is)<style[^>]*>.*?</style\s*>",
-    r"<[^>]*>",
+    r"<[a-zA-Z/!?][^>]*>",                       # a bare < is text
 ]
 
 # the same 32 marks as a regex class (ranges 0x21-0x2F, 0x3A-0x40, 0x5B-0x60, 0x7B-0x7E);
@@ -66,10 +81,38 @@ def html_to_text(c: Column | str, tag_sep: str = "") -> Column:
     for p in HTML_BLOCKS:
         tags = F.regexp_replace(tags, F.lit(p), F.lit(tag_sep))
     c = F.when(F.instr(c, "<") > 0, tags).otherwise(c)
-    ents = c
-    for ent, ch in HTML_ENTITIES:
-        ents = F.replace(ents, F.lit(ent), F.lit(ch))
-    return F.when(F.instr(c, "&") > 0, ents).otherwise(c)
+    return F.when(F.instr(c, "&") > 0, decode_references(c)).otherwise(c)
+
+
+def decode_references(c: Column) -> Column:
+    """Character references decoded once; those for ``&`` go last, so that ``&amp;copy;`` becomes ``&copy;``. A name
+    that isn't in the table, or a number that is no character, stays."""
+    names = F.from_json(F.lit(NAMED), "map<string,string>")
+
+    def value(ref: Column) -> Column:
+        name = F.substring(ref, 2, F.length(ref) - 1)
+        digits = F.substring(ref, 3, F.length(ref) - 3)
+        hexed = F.lower(F.substring(digits, 1, 1)) == "x"
+        number = F.when(hexed, F.conv(F.substring(digits, 2, F.length(digits)), 16, 10)).otherwise(digits).cast("long")
+        char = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF),
+                      F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        return F.coalesce(F.when(F.substring(ref, 2, 1) == "#", char).otherwise(F.try_element_at(names, name)), ref)
+    refs = F.filter(F.array_distinct(F.regexp_extract_all(c, F.lit(REFERENCE), 0)), lambda r: ~r.rlike("^" + AMPERSAND + "$"))
+    c = F.aggregate(refs, c, lambda acc, r: F.replace(acc, r, value(r)))
+    return F.regexp_replace(c, F.lit(AMPERSAND), F.lit("&"))
+
+
+def split_words(c: Column | str) -> Column:
+    """Blanks where the word tokeniser splits (marks, sentence ends, contractions); every mark is still there."""
+    c = F.col(c) if isinstance(c, str) else c
+
+    def apply(x: Column, rules) -> Column:
+        for pattern, to in rules:
+            x = F.regexp_replace(x, F.lit(pattern), F.lit(to.replace("\\", "$")))
+        return x
+    c = apply(F.concat(F.lit(" "), c, F.lit(" ")), SPLITS[:4])
+    c = F.when(F.instr(c, "'") > 0, apply(c, SPLITS[4:])).otherwise(c)
+    return F.when(c.rlike(CONTRACTED), apply(c, CONTRACTIONS)).otherwise(c)
 
 
 def normalize_text(c: Column | str) -> Column:
@@ -98,16 +141,16 @@ def remove_stopwords(tokens: Column) -> Column:
 
 
 def clean_tokens(c: Column | str, url_first: bool = False, tag_sep: str = "") -> Column:
-    """HTML -> normalise -> URL pieces -> tokens -> stop words, as one expression.
+    """HTML -> word splits -> normalise -> URL pieces -> tokens -> stop words, as one expression.
 
-    ``url_first=False`` keeps the reference order (URLs removed after
-    punctuation is gone, so only glued leftovers such as ``httpsxy`` go).
+    ``url_first=False`` keeps the reference order: the splits part ``https`` from
+    ``://x.y/z`` and the marks are gone, so only ``https`` itself goes, and ``xyz`` stays.
     """
     t = html_to_text(c, tag_sep)
     if url_first:
-        t = normalize_text(strip_urls(t))
+        t = normalize_text(split_words(strip_urls(t)))
     else:
-        t = strip_urls(normalize_text(t))
+        t = strip_urls(normalize_text(split_words(t)))
     return remove_stopwords(word_tokens(t))
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from labelnet.functions import porter
 from labelnet.functions import text as tx
+from labelnet.session import cut
 from labelnet.util import checked_broadcast
 
 MIN_TOKEN_LEN = 2  # the vectoriser keeps tokens of 2+ word characters
@@ -175,13 +176,12 @@ def lexicon_from_corpus(terms: DataFrame, term: str = "term") -> DataFrame:
     """``(form, lemma)`` from the corpus itself: a form maps to the result of the
     first detachment rule whose output is also a corpus word (the dictionary
     check of the noun lemmatiser, with the corpus vocabulary as dictionary)."""
-    vocab = terms.select(F.col(term).alias("form")).where(F.col("form").isNotNull()).distinct()
-    cands = None
-    for rank, (suf, rep) in enumerate(NOUN_DETACHMENT):
-        c = (vocab.where(F.col("form").endswith(suf) & (F.length("form") > len(suf)))
-             .select("form", F.concat(F.expr(f"substring(form, 1, length(form) - {len(suf)})"), F.lit(rep)).alias("lemma"),
-                     F.lit(rank).alias("rank")))
-        cands = c if cands is None else cands.unionByName(c)
+    # the vocabulary is written once (the corpus is cleaned once), and every form names all its candidates in one pass
+    vocab = cut(terms.select(F.col(term).alias("form")).where(F.col("form").isNotNull()).distinct(), "lexicon-vocabulary")
+    rules = [F.when(F.col("form").endswith(suf) & (F.length("form") > len(suf)),
+                    F.struct(F.lit(rank).alias("rank"), F.concat(F.expr(f"left(form, length(form) - {len(suf)})"), F.lit(rep)).alias("lemma")))
+             for rank, (suf, rep) in enumerate(NOUN_DETACHMENT)]
+    cands = vocab.select("form", F.explode(F.array_compact(F.array(*rules))).alias("c")).select("form", "c.rank", "c.lemma")
     known = cands.join(vocab.select(F.col("form").alias("lemma")), "lemma", "left_semi")
     best = known.groupBy("form").agg(F.min(F.struct("rank", "lemma")).alias("b"))
     return best.select("form", F.col("b.lemma").alias("lemma"))

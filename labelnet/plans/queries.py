@@ -21,7 +21,7 @@ from labelnet.operators import louvain as lv_
 from labelnet.operators import relate as rl
 from labelnet.operators import similarity as sim
 from labelnet.plans import flows as pl
-from labelnet.session import scratch_path
+from labelnet.session import cut, scratch_path
 from labelnet.sources import io, standin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,6 +269,7 @@ def q_hashed_tfidf(spark, d):
     usable = rl.usable_posts(texts)
     words = usable.select("post_id", F.filter(F.split("title", " "), lambda w: w != "").alias("title_words"))
     tf = HashingTF(inputCol="title_words", outputCol="raw", numFeatures=HASH_FEATURES).transform(words)
+    tf = cut(tf, "hashed-counts")      # fit and transform both read it
     model = IDF(inputCol="raw", outputCol="tfidf").fit(tf)
     return model.transform(tf).select("post_id", vector_to_array("tfidf").alias("tfidf"))
 

@@ -29,8 +29,17 @@ def stop_list() -> str:
 def html_sql(e: str, tag_sep: str = "") -> str:
     for p in tx.HTML_BLOCKS:
         e = f"regexp_replace({e}, {q(p)}, {q(tag_sep)}, 'g')"
-    for ent, ch in tx.HTML_ENTITIES:
-        e = f"replace({e}, {q(ent)}, {q(ch)})"
+    ref = f"""CASE WHEN substr(r, 2, 1) <> '#' THEN coalesce({q(tx.NAMED)}::JSON ->> ('$."' || substr(r, 2) || '"'), r)
+      WHEN lower(substr(r, 3, 1)) = 'x' THEN chr(('0x' || substr(r, 4, length(r) - 4))::INTEGER) ELSE chr(substr(r, 3, length(r) - 3)::INTEGER) END"""
+    refs = f"list_filter(list_distinct(regexp_extract_all({e}, {q(tx.REFERENCE)})), lambda r: NOT regexp_matches(r, {q('^' + tx.AMPERSAND + '$')}))"
+    e = f"list_reduce(list_prepend({e}, {refs}), lambda acc, r: replace(acc, r, {ref}))"
+    return f"regexp_replace({e}, {q(tx.AMPERSAND)}, '&', 'g')"
+
+
+def split_sql(e: str) -> str:
+    e = f"(' ' || {e} || ' ')"
+    for pattern, to in tx.SPLITS + tx.CONTRACTIONS:
+        e = f"regexp_replace({e}, {q(pattern)}, {q(to)}, 'g')"
     return e
 
 
@@ -48,7 +57,7 @@ def tokens_sql(e: str) -> str:
 
 
 def clean_tokens_sql(e: str) -> str:
-    t = strip_urls_sql(normalize_sql(html_sql(e)))
+    t = strip_urls_sql(normalize_sql(split_sql(html_sql(e))))
     return f"list_filter({tokens_sql(t)}, lambda t: NOT list_contains({stop_list()}, t))"
 
 

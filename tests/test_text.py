@@ -17,6 +17,8 @@ def one(spark, value, expr):
     ("&amp;copy;", "&copy;"),                                 # &amp; decoded last, once
     ("<style>p{margin:0}</style>z &quot;q&quot;", 'z "q"'),
     (None, None),
+    ("it&#8217;s caf&eacute; a < b and c > d", "it\u2019s caf\u00e9 a < b and c > d"),
+    ("&#x27;x&#39; &nosuch; &amp;copy; &copy; &#1114112;", "'x' &nosuch; &copy; \u00a9 &#1114112;"),
 ])
 def test_html_to_text(spark, html, expected):
     assert one(spark, html, tx.html_to_text) == expected
@@ -39,6 +41,17 @@ def test_clean_text_null_is_empty(spark):
     assert one(spark, "<p>Hello, World of the Tests</p>", tx.clean_text) == "hello world tests"
 
 
+# the published splits of the word tokeniser, then marks deleted, URL pieces and stop words removed
+@pytest.mark.parametrize("text,words", [
+    ("hello,world", ["hello", "world"]), ("foo(bar)", ["foo", "bar"]), ("don't stop", ["nt", "stop"]), ("https://x.y/z", ["xyz"]),
+    ("1,000 at 10:30", ["1000", "1030"]), ("it&#8217;s caf&eacute;", ["caf"]), ("rock&#x27;n", ["rockn"]),
+    ("a < b and c > d", ["b", "c"]), ("john's we'll cannot gonna.", ["john", "gon", "na"]), ("wait...what -- yes", ["wait", "yes"]),
+    ("x;y \"quoted\" e.g. end.", ["x", "quoted", "eg", "end"]), ("well-known 50% C#", ["wellknown", "50", "c"]),
+])
+def test_word_splits_come_before_marks_go(spark, text, words):
+    assert one(spark, text, tx.clean_tokens) == words
+
+
 def test_fixed_lists():
     assert len(tx.STOP_WORDS) == 179 and len(set(tx.STOP_WORDS)) == 179
     assert len(tx.PUNCTUATION) == 32
