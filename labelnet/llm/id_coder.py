@@ -5,7 +5,7 @@ order 2 (the id that last followed the two ids before), order 1 (the id that las
 before) and order 0 (the segment's own counts, which the segment carries). How far orders 2 and 1 are
 trusted is learned within the block: counters of their hits, by how often in a row each has been right
 and whether they agree. The mixture gives each id an integer share of ``2**24``, and a range coder with
-56 bits of low narrows its range by that share. Tables and coder start anew in every block, and each
+56 bits (of which the range keeps 40) narrows its range by that share. Tables and coder start anew in every block, and each
 block has the CRC-32 of its ids, so any block can be read alone and a damaged one is found.
 
 Blocks are independent, so all blocks of a segment are coded abreast: each step is a NumPy operation
@@ -32,9 +32,8 @@ from labelnet.session import scratch_path
 
 from . import tokens
 
-BLOCK, SLOTS = 2048, 4096                 # ids in a block; cells of each context table
+BLOCK, SLOTS = 512, 1024                 # ids in a block; cells of each context table
 TOTAL0, SHARES = 1 << 18, 64              # order-0 counts sum up to TOTAL0; a share is 1/64 of the whole
-TOP, LOW = np.uint64(40), np.uint64(56)   # bits kept in the range at least; bits of low
 SEGMENT_CHARS = 12_000_000                # text in a segment, one document at least
 
 
@@ -53,40 +52,40 @@ class _Model:
     def __init__(self, lanes: int):
         self.t1, self.t2 = np.full(lanes * SLOTS, -1, np.int32), np.full(lanes * SLOTS, -1, np.int32)
         self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.seen = np.zeros((lanes * 32, 3), np.int32)       # tries, hits of order 2, hits of order 1
+        self.seen = np.zeros(lanes * 32, np.int64)            # 16 bits each: tries, hits of order 2, hits of order 1
         self.lane = np.arange(lanes, dtype=np.int64) * 32
-        self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.a, self.h = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)     # the last id, and the hash of the one before
 
     def predict(self, n: int):
         """For the first n lanes: the two predicted ids (-1: none) and their shares of 64."""
-        a, b = self.a[:n], self.b[:n]
-        self.i1 = self.base[:n] + ((a * 40503 >> 4) & (SLOTS - 1))
-        self.i2 = self.base[:n] + ((a * 40503 + b * 2654435 >> 6) & (SLOTS - 1))
-        self.c1, self.c2 = self.t1[self.i1], self.t2[self.i2]
-        p1, p2 = self.c1 >> 2, self.c2 >> 2
+        x = self.a[:n] * 40503
+        self.i1 = self.base[:n] + ((x >> 4) & (SLOTS - 1))
+        self.i2 = self.base[:n] + ((x + self.h[:n] >> 6) & (SLOTS - 1))
+        c1, c2 = self.t1.take(self.i1, mode="clip"), self.t2.take(self.i2, mode="clip")
+        p1, p2 = c1 >> 2, c2 >> 2
+        self.c1, self.c2, self.p1, self.p2 = c1, c2, p1, p2
         self.same = p1 == p2
-        self.q = self.lane[:n] + (((self.c2 & 3) << 3) | ((self.c1 & 3) << 1) | self.same)
-        s = self.seen[self.q]
-        n64 = s[:, 0] + 2
-        w2 = (s[:, 1] * 58 + 20) // n64
-        w1 = (s[:, 2] * 58 + 10) // n64
-        w2[self.c2 < 0] = 0
-        w1[(self.c1 < 0) | self.same] = 0
-        over = np.maximum(w1 + w2 - 62, 0)
-        return p1, p2, (w1 - np.minimum(over, w1)).astype(np.int64), np.minimum(w2, 62).astype(np.int64)
+        self.q = self.lane[:n] + ((c2 & 3) << 3 | (c1 & 3) << 1 | self.same)
+        self.s = s = self.seen.take(self.q, mode="clip")
+        # exact small integers: single precision divides alike on every machine
+        tries = ((s & 0xFFFF) + 2).astype(np.float32)
+        w2 = (((s >> 16 & 0xFFFF) * 58 + 20).astype(np.float32) / tries).astype(np.int64)
+        w1 = (((s >> 32) * 58 + 10).astype(np.float32) / tries).astype(np.int64)
+        w2 *= c2 >= 0
+        w1 *= (c1 >= 0) & ~self.same
+        np.minimum(w2, 62, out=w2)
+        np.minimum(w1, 62 - w2, out=w1)
+        return p1, p2, w1, w2
 
     def update(self, ids: np.ndarray) -> None:
         n = len(ids)
-        hit1, hit2 = (self.c1 >> 2) == ids, (self.c2 >> 2) == ids
-        s = self.seen[self.q]
-        s[:, 0] += 1
-        s[:, 1] += hit2
-        s[:, 2] += hit1 & ~self.same
-        self.seen[self.q] = s
+        hit1, hit2 = self.p1 == ids, self.p2 == ids
+        self.seen[self.q] = self.s + 1 + (hit2.astype(np.int64) << 16) + ((hit1 & ~self.same).astype(np.int64) << 32)
         new = (ids << 2).astype(np.int32)
-        self.t1[self.i1] = np.where(hit1, np.minimum(self.c1 + 1, new | 3), new)
-        self.t2[self.i2] = np.where(hit2, np.minimum(self.c2 + 1, new | 3), new)
-        self.b[:n] = self.a[:n]
+        top = new | 3
+        self.t1[self.i1] = np.where(hit1, np.minimum(self.c1 + 1, top), new)
+        self.t2[self.i2] = np.where(hit2, np.minimum(self.c2 + 1, top), new)
+        self.h[:n] = self.a[:n] * 2654435
         self.a[:n] = ids
 
 
@@ -106,39 +105,39 @@ def encode(ids: np.ndarray, f0: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     if not k:
         return np.zeros(0, np.uint32), []
     cum = np.concatenate([[0], np.cumsum(f0)])
-    grid = np.zeros((BLOCK, k), np.int64)
-    pad = np.zeros(k * BLOCK, np.int64)
+    pad = np.zeros(k * BLOCK, np.int32)
     pad[: len(ids)] = ids
-    grid[:] = pad.reshape(k, BLOCK).T
-    model, mask = _Model(k), np.uint64((1 << 56) - 1)
-    low, rng = np.zeros(k, np.uint64), np.full(k, 1 << 56, np.uint64)
+    grid = np.ascontiguousarray(pad.reshape(k, BLOCK).T)
+    model, mask = _Model(k), (1 << 56) - 1
+    low, rng = np.zeros(k, np.int64), np.full(k, 1 << 56, np.int64)
     out, n_out = np.zeros((k, BLOCK * 2 + 8), "<u2"), np.zeros(k, np.int64)
     for t in range(int(size[0])):
         n = k if t < size[-1] else k - 1
-        x = grid[t, :n]
+        x = grid[t, :n].astype(np.int64)
         p1, p2, w1, w2 = model.predict(n)
         w0 = SHARES - w1 - w2
-        start = cum[x] * w0 + ((w1 * (p1 < x) + w2 * (p2 < x)) << 18)
-        freq = f0[x] * w0 + ((w1 * (p1 == x) + w2 * (p2 == x)) << 18)
-        r = rng[:n] >> np.uint64(24)
+        start = cum.take(x, mode="clip") * w0 + (w1 * (p1 < x) + w2 * (p2 < x) << 18)
+        freq = f0.take(x, mode="clip") * w0 + (w1 * (p1 == x) + w2 * (p2 == x) << 18)
         lo, rg = low[:n], rng[:n]
-        lo += r * start.astype(np.uint64)
-        rg[:] = r * freq.astype(np.uint64)
+        r = rg >> 24
+        lo += r * start
+        np.multiply(r, freq, out=rg)
         need = np.flatnonzero(rg < (1 << 40))
         while len(need):
             lw, rw = lo[need], rg[need]
+            top = lw >> 40
             # a range across a border of the top 16 bits is cut off there, so that no carry can follow
-            edge = ((lw >> TOP) + np.uint64(1)) << TOP
-            rw = np.minimum(rw, edge - lw)
-            out[need, n_out[need]] = ((lw >> TOP) & np.uint64(0xFFFF)).astype("<u2")
+            rw = np.minimum(rw, (top + 1 << 40) - lw)
+            out[need, n_out[need]] = top
             n_out[need] += 1
-            lo[need], rg[need] = (lw << np.uint64(16)) & mask, rw << np.uint64(16)
-            need = need[rg[need] < (1 << 40)]
+            rw <<= 16
+            lo[need], rg[need] = (lw << 16) & mask, rw
+            need = need[rw < (1 << 40)]
         model.update(x)
     crcs, parts = np.zeros(k, np.uint32), []
     raw = ids.astype("<u4")
     # two words more, from the middle of what is left of the range: zeros after them decode alike
-    end = low + (rng >> np.uint64(1))
+    end = low + (rng >> 1)
     for j in range(k):
         crcs[j] = zlib.crc32(raw[j * BLOCK:j * BLOCK + size[j]].tobytes())
         out[j, n_out[j]:n_out[j] + 2] = (int(end[j]) >> 40) & 0xFFFF, (int(end[j]) >> 24) & 0xFFFF
@@ -153,52 +152,52 @@ def decode(n_ids: int, f0: np.ndarray, crcs: np.ndarray, parts: list[bytes]) ->
     if not k:
         return np.zeros(0, np.uint32)
     cum = np.concatenate([[0], np.cumsum(f0)])
+    owner = np.repeat(np.arange(len(f0), dtype=np.int32), f0)        # the id that owns each of the order-0 counts
     longest = max(map(len, parts)) // 2 + 8
-    words = np.zeros((k, longest), np.uint64)
+    words = np.zeros((k, longest), np.int64)
     for j, b in enumerate(parts):
         w = np.frombuffer(b, "<u2")
         words[j, : len(w)] = w
     flat, row = words.ravel(), np.arange(k, dtype=np.int64) * longest
-    model, mask = _Model(k), np.uint64((1 << 56) - 1)
-    low, rng = np.zeros(k, np.uint64), np.full(k, 1 << 56, np.uint64)
-    code = (words[:, 0] << np.uint64(40)) | (words[:, 1] << np.uint64(24)) | (words[:, 2] << np.uint64(8)) | (words[:, 3] >> np.uint64(8))
-    # the 56 bits of the code end within the fourth word; ``at`` counts the words whose top halves are taken
+    model, mask = _Model(k), (1 << 56) - 1
+    low, rng = np.zeros(k, np.int64), np.full(k, 1 << 56, np.int64)
+    # the 56 bits of the code end within the fourth word; ``at``: words taken since
+    code = (words[:, 0] << 40) | (words[:, 1] << 24) | (words[:, 2] << 8) | (words[:, 3] >> 8)
     at = np.zeros(k, np.int64)
-    out = np.zeros((BLOCK, k), np.int64)
+    out = np.zeros((BLOCK, k), np.int32)
     for t in range(int(size[0])):
         n = k if t < size[-1] else k - 1
         p1, p2, w1, w2 = model.predict(n)
         w0 = SHARES - w1 - w2
         lo, rg, cd = low[:n], rng[:n], code[:n]
-        r = rg >> np.uint64(24)
-        v = ((cd - lo) // r).astype(np.int64)
+        r = rg >> 24
+        v = (cd - lo) // r
         # shares below each of the two predicted ids; the smaller id comes first
         first = p1 < p2
         pa_, wa = np.where(first, p1, p2), np.where(first, w1, w2) << 18
         pb_, wb = np.where(first, p2, p1), np.where(first, w2, w1) << 18
-        sa = cum[pa_] * w0                                  # where the first prediction's own share begins
-        ea = cum[pa_ + 1] * w0 + wa
-        sb = cum[pb_] * w0 + wa
-        eb = cum[pb_ + 1] * w0 + wa + wb
-        in_a, in_b = (v >= sa) & (v < ea) & (wa > 0), (v >= sb) & (v < eb) & (wb > 0)
-        less = np.where(v >= ea, wa, 0) + np.where(v >= eb, wb, 0)
-        x = np.searchsorted(cum, (v - less) // w0, "right") - 1
+        ea = cum.take(pa_ + 1, mode="clip") * w0 + wa             # where the first prediction's share ends
+        eb = cum.take(pb_ + 1, mode="clip") * w0 + wa + wb
+        in_a = (v < ea) & (wa > 0) & (v >= ea - wa - f0.take(pa_, mode="clip") * w0)
+        in_b = (v < eb) & (wb > 0) & (v >= eb - wb - f0.take(pb_, mode="clip") * w0)
+        less = wa * (v >= ea) + wb * (v >= eb)
+        # below 2**24 over at most 64: double precision divides exactly enough for the floor
+        x = owner.take(((v - less) / w0).astype(np.int64), mode="clip").astype(np.int64)
         x = np.where(in_b, pb_, np.where(in_a, pa_, x))
-        start = cum[x] * w0 + ((w1 * (p1 < x) + w2 * (p2 < x)) << 18)
-        freq = f0[x] * w0 + ((w1 * (p1 == x) + w2 * (p2 == x)) << 18)
-        lo += r * start.astype(np.uint64)
-        rg[:] = r * freq.astype(np.uint64)
+        start = cum.take(x, mode="clip") * w0 + (w1 * (p1 < x) + w2 * (p2 < x) << 18)
+        freq = f0.take(x, mode="clip") * w0 + (w1 * (p1 == x) + w2 * (p2 == x) << 18)
+        lo += r * start
+        np.multiply(r, freq, out=rg)
         need = np.flatnonzero(rg < (1 << 40))
         while len(need):
             lw, rw = lo[need], rg[need]
-            edge = ((lw >> TOP) + np.uint64(1)) << TOP
-            rw = np.minimum(rw, edge - lw)
+            rw = np.minimum(rw, ((lw >> 40) + 1 << 40) - lw)
             at[need] += 1
             i = row[need] + at[need] + 2
-            nxt = ((flat[i] & np.uint64(0xFF)) << np.uint64(8)) | (flat[i + 1] >> np.uint64(8))
-            cd[need] = ((cd[need] << np.uint64(16)) & mask) | nxt
-            lo[need], rg[need] = (lw << np.uint64(16)) & mask, rw << np.uint64(16)
-            need = need[rg[need] < (1 << 40)]
+            cd[need] = ((cd[need] << 16) & mask) | ((flat[i] & 0xFF) << 8) | (flat[i + 1] >> 8)
+            rw <<= 16
+            lo[need], rg[need] = (lw << 16) & mask, rw
+            need = need[rw < (1 << 40)]
         model.update(x)
         out[t, :n] = x
     ids = np.ascontiguousarray(out.T).ravel()[: (k - 1) * BLOCK + int(size[-1])].astype("<u4")
