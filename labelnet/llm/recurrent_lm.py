@@ -7,7 +7,9 @@ chunk gets back the corpus counts of its own words, and no task or driver ever h
 Symbols. The ``TOP`` most frequent words are symbols of their own, in output classes of ``PER_CLASS`` by rank.
 Any other word is a class by its count (powers of two) and its letters (plain, other script or accent, with
 signs); within it, a word's probability is its share of the class's counts plus one. Words never
-seen are the class of count 0. The end of a text is a class of its own.
+seen are the class of count 0. The end of a text is a class of its own. A learning document's own words are never
+unseen, so in training each word has the class of its count less one: the network learns how often words that the
+other documents don't have come up.
 
 Network. The state h of a gated recurrent unit reads a symbol at a time, and predicts the class of the next
 word and, for the most frequent words, the word within its class; so each output costs two small softmaxes
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import saved, text_or_empty
 from .language_id import fold_of
 
-CHUNK = 20_000_000
+CHUNK = 12_000_000
 TOP, PER_CLASS, BANDS, KINDS = 1024, 64, 8, 3
 HIDDEN, WINDOW, BATCH, RATE = 16, 24, 512, 0.08
 FAN, PART = 64, 2_000_000                     # parts merged at once; words in a part at least
@@ -85,9 +87,10 @@ def _encode(top: list[str], logs: np.ndarray, denominator: float):
     def run(docs: pa.Table, info: pa.Table) -> pa.Table:
         words, n = words_of(_one(docs, "text"))
         lex, at = _lexicon(words)
-        c, cls = np.zeros(len(lex), np.int64), np.zeros(len(lex), np.int64)
+        c, cls, less = (np.zeros(len(lex), np.int64) for _ in range(3))
         place = _one(info, "place").to_numpy(zero_copy_only=False)
-        c[place], cls[place] = _one(info, "c").to_numpy(zero_copy_only=False), _one(info, "cls").to_numpy(zero_copy_only=False)
+        for to, name in ((c, "c"), (cls, "cls"), (less, "less")):
+            to[place] = _one(info, name).to_numpy(zero_copy_only=False)
         rank = pc.fill_null(pc.index_in(lex.cast(pa.string()), value_set=pa.array(top, pa.string())), -1).to_numpy(zero_copy_only=False)
         symbol = np.where(rank >= 0, rank, TOP + cls).astype("<u2")
         # a word of a class: its share; a word never seen has its class to itself
@@ -100,11 +103,13 @@ def _encode(top: list[str], logs: np.ndarray, denominator: float):
             out = np.zeros(len(n))
             out[full] = np.add.reduceat(v[at], begin[full]) if len(full) else 0.0
             return out
-        flat = symbol[at]
-        return pa.table({"doc_id": _one(docs, "doc_id"), "held_out": _one(docs, "held_out"), "learn": _one(docs, "learn"),
+        flat, learn = symbol[at], _one(docs, "learn").to_numpy(zero_copy_only=False)
+        other = np.where(rank >= 0, rank, TOP + less).astype("<u2")[at]
+        return pa.table({"doc_id": _one(docs, "doc_id"), "held_out": _one(docs, "held_out"),
                          "n_words": pa.array(n, pa.int64()), "known_words": pa.array(total((c > 0).astype(float)).astype(np.int64)),
                          "base": pa.array(total(base)), "share": pa.array(total(share)),
-                         "symbols": pa.array([flat[a:b].tobytes() for a, b in zip(upto[:-1], upto[1:])], pa.binary())})
+                         "symbols": pa.array([flat[a:b].tobytes() for a, b in zip(upto[:-1], upto[1:])], pa.binary()),
+                         "lesson": pa.array([other[a:b].tobytes() if y else None for a, b, y in zip(upto[:-1], upto[1:], learn)], pa.binary())})
     return run
 
 
@@ -266,7 +271,7 @@ def _symbols(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(b, "<u2") for b in column.to_pylist()]
 
 
-def _groups(batches, most: int = 2_500_000):
+def _groups(batches, most: int = 1_500_000):
     """Record batches in parts of at most about ``most`` symbols."""
     for b in batches:
         n = b.column("n_words").to_numpy()
@@ -297,7 +302,7 @@ def _trainer(start: dict):
         memory = {k: np.full(s, 1e-8, np.float32) for k, s in SHAPES.items()}
         seen = 0
         for b in _groups(batches):
-            docs = [s for s, l in zip(_symbols(b.column("symbols")), b.column("learn").to_pylist()) if l]
+            docs = _symbols(b.column("lesson").drop_null())
             if docs:
                 seen += train_docs(w, docs, memory)
         if seen:
@@ -316,11 +321,11 @@ def _merge(table: pa.Table) -> pa.Table:
 
 
 def train(symbols: DataFrame, start: dict) -> dict:
-    """The mean of what the tasks have learned from ``symbols`` (n_words, learn, symbols)."""
+    """The mean of what the tasks have learned from ``symbols`` (n_words, lesson)."""
     kind = "part long, n double, sums binary"
     total = symbols.agg(F.sum("n_words")).first()[0] or 0
     symbols = symbols.coalesce(max(1, -(-total // PART)))          # too little in a part learns too little
-    parts = saved(symbols.select("n_words", "learn", "symbols").mapInArrow(_trainer(start), kind), "lm-parts")
+    parts = saved(symbols.select("n_words", "lesson").mapInArrow(_trainer(start), kind), "lm-parts")
     while parts.count() > 1:
         parts = saved(parts.withColumn("part", F.expr(f"part div {FAN}")).groupBy("part").applyInArrow(_merge, kind), "lm-means")
     got = parts.collect()
@@ -350,28 +355,32 @@ def score(docs: DataFrame) -> DataFrame:
     kind = F.when(F.octet_length("word") != F.length("word"), 1).when(F.col("word").rlike("^[a-z]*$"), 0).otherwise(2)
     band = F.least(F.lit(BANDS - 1), F.floor(F.log2(F.col("c") + 1)))
     w = w.select("chunk", "place", "word", F.sum("c").over(win).alias("c"), (F.min("chunk").over(win) == F.col("chunk")).alias("first"))
-    w = saved(w.withColumn("cls", (band * KINDS + kind).cast("int")), "lm-words")
+    less = F.least(F.lit(BANDS - 1), F.floor(F.log2(F.greatest(F.col("c"), F.lit(1)))))
+    w = saved(w.withColumns({"cls": (band * KINDS + kind).cast("int"), "less": (less * KINDS + kind).cast("int")}), "lm-words")
     seen = w.where("first and c > 0")
+    lessons = {r["less"]: r["c"] for r in seen.groupBy("less").agg(F.sum("c").alias("c")).collect()}
     per = {r["cls"]: (r["n"], r["c"]) for r in seen.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect()}
     ends = n_learn or 0
     tokens_, kinds = sum(c for _, c in per.values()) + ends, sum(n for n, _ in per.values()) + (1 if ends else 0)
-    top = seen.select("word", "c", "cls").orderBy(F.col("c").desc(), "word").limit(TOP).collect()
-    sums, plain = np.zeros(BANDS * KINDS), np.zeros(BANDS * KINDS)       # of counts plus one, and of counts
+    top = seen.select("word", "c", "cls", "less").orderBy(F.col("c").desc(), "word").limit(TOP).collect()
+    sums, plain = np.zeros(BANDS * KINDS), np.zeros(BANDS * KINDS)       # of counts plus one; of counts, by the class in training
     for k, (n, c) in per.items():
-        sums[k], plain[k] = n + c, c
+        sums[k] = n + c
+    for k, c in lessons.items():
+        plain[k] = c
     for r in top:
         sums[r["cls"]] -= r["c"] + 1
-        plain[r["cls"]] -= r["c"]
+        plain[r["less"]] -= r["c"]
     denominator = float(tokens_ + kinds + 1)
     counts = np.zeros(TOP)
     counts[:len(top)] = [r["c"] for r in top]
     start = start_weights(counts, np.concatenate([counts.reshape(FREQ, PER_CLASS).sum(axis=1), plain, [ends]]))
-    coded = d.select("doc_id", "held_out", "learn", "text", "chunk").groupBy("chunk").cogroup(w.select("chunk", "place", "c", "cls").groupBy("chunk")).applyInArrow(
+    coded = d.select("doc_id", "held_out", "learn", "text", "chunk").groupBy("chunk").cogroup(w.select("chunk", "place", "c", "cls", "less").groupBy("chunk")).applyInArrow(
         _encode([r["word"] for r in top], np.log10(np.maximum(sums, 1)), denominator),
-        "doc_id long, held_out boolean, learn boolean, n_words long, known_words long, base double, share double, symbols binary")
+        "doc_id long, held_out boolean, n_words long, known_words long, base double, share double, symbols binary, lesson binary")
     coded = saved(coded, "lm-symbols")
     model = train(coded, start)
-    out = coded.drop("learn").mapInArrow(_scorer(model), "doc_id long, held_out boolean, n_words long, known_words long, base double, share double, net double")
+    out = coded.drop("lesson").mapInArrow(_scorer(model), "doc_id long, held_out boolean, n_words long, known_words long, base double, share double, net double")
     return out.select("doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"), (F.col("known_words") + (1 if ends else 0)).alias("n_known"),
                       F.lit(tokens_).cast("long").alias("train_tokens"),
                       (F.col("base") + float(np.log10((ends + 1) / denominator))).alias("base_score"), (F.col("net") + F.col("share")).alias("score"))
