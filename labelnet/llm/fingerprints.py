@@ -51,7 +51,9 @@ def vector_sums(texts: DataFrame, keys: list[str], whole: bool = False) -> DataF
     with ``whole`` also ``n_chars`` and ``sha256`` of the text. Equal rows under a key add up and are divided again."""
     d = texts.select(*keys, F.length("text").alias("_n"), (F.sha2("text", 256) if whole else F.lit("")).alias("_sha"),
                      F.posexplode(F.split("text", "\n")).alias("_p", "_par"))
-    digest = F.unhex(F.sha2(F.col("_par"), 256))
+    # columns of their own: inside the array functions below, an expression would be computed again for every element
+    d = d.withColumns({"_words": F.split("_par", " "), "_digest": F.unhex(F.sha2(F.col("_par"), 256))})
+    digest = F.col("_digest")
     hashes = [F.xxhash64(digest, F.lit(i)) for i in range(EQUAL // 2)]
     low32 = F.lit(0xFFFFFFFF)
     equal = [_number(x, _EQUAL + 2 * i + j) for i, h in enumerate(hashes) for j, x in enumerate((h.bitwiseAND(low32), F.shiftrightunsigned(h, 32)))]
@@ -59,7 +61,7 @@ def vector_sums(texts: DataFrame, keys: list[str], whole: bool = False) -> DataF
     if whole:
         once += [_number(F.col("_n"), _LENGTH)] + [_number(F.conv(F.substring("_sha", 1 + 8 * i, 8), 16, 10), _WHOLE + i) for i in range(8)]
     adds = F.concat(F.array(*equal), F.when(F.col("_p") == 0, F.array(*once)).otherwise(F.array().cast("array<bigint>")),
-                    _triples(F.split("_par", " ")))
+                    _triples(F.col("_words")))
     d = d.select(*keys, F.explode(adds).alias("_x"))
     x, bit = F.col("_x"), lambda m: F.col("_x").bitwiseAND(F.lit(m)) != 0
     value = F.when(bit(0x80), F.shiftrightunsigned(x, 8)).when(bit(0x200), F.lit(0)).when(bit(0x100), F.lit(1)).otherwise(F.lit(-1))
