@@ -375,6 +375,25 @@ FROM truth t LEFT JOIN per p USING (tag_id)"""),
     ], "SELECT count(*) AS n_tags, round(avg(p), 6) AS precision FROM allt")
 
 
+@oracle("precision_at_k_pairs")
+def _():
+    lp = f"lp{Q.ROUNDS}"
+    return W(emb_graph(Q.EMB_LP_T) + S.label_propagation_parts("evert", "edges", Q.ROUNDS) + [
+        UND,
+        ("same", f"""SELECT u.src AS tag_id, u.dst AS rec_id, round(u.weight, 6) AS weight
+FROM ue u JOIN {lp} a ON a.id = u.src JOIN {lp} b ON b.id = u.dst WHERE a.label = b.label"""),
+        ("r", "SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY weight DESC, rec_id ASC) AS rank FROM same"),
+        ("n", "SELECT tag_id, label, row_number() OVER (PARTITION BY label ORDER BY tag_id) AS rn FROM emb"),
+        ("truth", f"""SELECT a.tag_id, b.tag_id AS relevant_id FROM n a JOIN n b ON a.label = b.label AND a.rn <> b.rn
+AND abs(a.rn - b.rn) <= {Q.TRUTH_NEAR}"""),
+        ("top", f"SELECT tag_id, rec_id FROM r WHERE rank <= {Q.PREC_K}"),
+        ("per", """SELECT top.tag_id, count(t.tag_id) AS hits, count(*) AS returned FROM top
+LEFT JOIN truth t ON t.tag_id = top.tag_id AND t.relevant_id = top.rec_id GROUP BY top.tag_id"""),
+        ("allt", """SELECT t.tag_id, CASE WHEN p.returned > 0 THEN CAST(p.hits AS DOUBLE) / p.returned ELSE 0.0 END AS p
+FROM (SELECT DISTINCT tag_id FROM truth) t LEFT JOIN per p USING (tag_id)"""),
+    ], "SELECT count(*) AS n_tags, round(avg(p), 6) AS precision FROM allt")
+
+
 def _ranking():
     return S.label_vector_parts(Q.DOC_VOCAB) + [
         ("tn", "SELECT tag_id, sqrt(sum(w * w)) AS n FROM tv GROUP BY tag_id"),

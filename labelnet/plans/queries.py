@@ -40,6 +40,7 @@ OVERWRITE_VALUE = "11,22,33"
 TOP_RECS = 10             # recommendations per tag
 TOP_POST_TAGS = 20        # tags suggested per post
 PREC_K = 5                # precision@5
+TRUTH_NEAR = 10           # truth pairs: so many ids of the same label on either side
 MIN_COMMUNITY = 3         # merge communities smaller than this
 HASH_FEATURES = 20        # hashed draft feature count
 
@@ -59,7 +60,8 @@ def _r(c):
 
 @register("scan_posts")
 def q_scan_posts(spark, d):
-    return standin.posts(spark, d).select("id", "title", "body", "tags", "parent_id", "score")
+    from labelnet import schemas
+    return io.conform(standin.posts(spark, d), schemas.POSTS)
 
 
 @register("scan_csv_tags")
@@ -430,6 +432,23 @@ def q_precision_at_k(spark, d):
     return pl.precision_at_k(recs, truth, PREC_K)
 
 
+@register("precision_at_k_pairs")
+def q_precision_at_k_pairs(spark, d):
+    """Against truth pairs as data: each vector's relevant ids are the ``TRUTH_NEAR`` next ids of its own label before and
+    after it, written as a table and read back with its schema."""
+    from pyspark.sql import Window
+    from labelnet import schemas
+    v, e = pl.embedding_graph(spark, d, EMB_LP_T)
+    recs = pl.recommend(v, e, gr.label_propagation(v, e, ROUNDS), TOP_RECS)
+    w = Window.partitionBy("label").orderBy("tag_id")
+    near = F.array(*[f("tag_id", i).over(w) for i in range(1, TRUTH_NEAR + 1) for f in (F.lag, F.lead)])
+    path = scratch_path(spark, "truth")
+    (standin.vectors(spark, d).select("tag_id", near.alias("near"))
+     .select("tag_id", F.explode("near").alias("relevant_id")).where("relevant_id is not null").write.parquet(path))
+    truth = io.read_table(spark, "parquet", path, schema=schemas.TRUTH)
+    return pl.precision_at_k_pairs(recs, truth, PREC_K)
+
+
 @register("tag_neighbours")
 def q_tag_neighbours(spark, d):
     lv = pl.label_vectors(spark, d, DOC_VOCAB)

@@ -56,3 +56,9 @@ VERTICES = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("name", T.StringType()),
 ])
+
+# truth of the evaluation: relevant ids of a tag, long form
+TRUTH = T.StructType([
+    T.StructField("tag_id", T.LongType()),
+    T.StructField("relevant_id", T.LongType()),
+])

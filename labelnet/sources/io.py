@@ -15,10 +15,21 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> Data
             .option("escape", '"').csv(path))
 
 
-def read_table(spark: SparkSession, fmt: str, path: str | None = None, **options) -> DataFrame:
-    """Any registered source by format name (parquet, orc, json, a warehouse connector...)."""
+def read_table(spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | None = None, **options) -> DataFrame:
+    """Any registered source by format name (parquet, orc, json, a warehouse connector...), held against ``schema`` at load."""
     r = spark.read.format(fmt).options(**options)
-    return r.load(path) if path is not None else r.load()
+    df = r.load(path) if path is not None else r.load()
+    return conform(df, schema) if schema is not None else df
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` in its order; a column that is missing or has another type raises at load, not in a task."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: {have[f.name].simpleString() if f.name in have else 'missing'} instead of {f.dataType.simpleString()}"
+             for f in schema.fields if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError("table doesn't have its schema: " + "; ".join(wrong))
+    return df.select(*[f.name for f in schema.fields])
 
 
 def parse_post_id_list(c) -> "F.Column":

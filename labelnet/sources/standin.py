@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelnet.sources.io import read_table
 from labelnet.util import dense_index, spread
 
 # fixed id offsets of the stand-in excerpt and wiki rows (FIXTURES.md)
@@ -26,7 +27,7 @@ TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A shared table; text tables are spread over the cores when their scan is narrow."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = read_table(spark, "parquet", f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if name in TEXT_TABLES else df
 
 
