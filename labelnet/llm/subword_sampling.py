@@ -174,24 +174,27 @@ class Lattice:
         dist[node] = left
         k = int(np.flatnonzero((self.arc != -1).any(axis=0)).max(initial=0)) + 1      # the longest piece in use
         self.arc, weight = np.ascontiguousarray(self.arc[:, :k]), np.ascontiguousarray(weight[:, :k])
-        beta = np.zeros(total)
-        order = np.argsort(dist, kind="stable")
+        beta = np.zeros(total, np.float32)
+        order = np.argsort(dist.astype(np.uint16) if dist.max(initial=0) < 65536 else dist, kind="stable")     # a radix sort
         cut = np.searchsorted(dist[order], np.arange(int(dist.max(initial=0)) + 2))
+        self.cdf = np.ones((total, k), np.float32)
         steps = np.arange(1, k + 1)
         for d in range(1, len(cut) - 1):
             v = order[cut[d]:cut[d + 1]]
             m = min(k, d)
-            s = weight[v, :m] + beta[v[:, None] + steps[:m]]
-            top = s.max(axis=1, keepdims=True)
-            s -= top
-            low = np.log(np.exp(s).sum(axis=1))
-            beta[v] = top[:, 0] + low
+            s = weight[v, :m] + beta.take(v[:, None] + steps[:m])
+            s -= s[:, :1]                                  # one character always fits: relative to it nothing overflows
+            one = weight[v, 0] + beta[v + 1]
+            e = np.exp(s)
+            tot = e.sum(axis=1)
+            low = np.log(tot)
+            beta[v] = one + low
             weight[v, :m] = s - low[:, None]
+            e /= tot[:, None]
+            self.cdf[v, :m] = np.cumsum(e, axis=1)
         self.logp = weight                                                     # log of each arc's conditional probability
         self.last = (k - 1 - np.argmax(self.arc[:, ::-1] != -1, axis=1)).astype(np.int16)   # the longest arc of a node
         self.single = (self.arc != -1).sum(axis=1) <= 1
-        self.cdf = np.exp(weight)
-        np.cumsum(self.cdf, axis=1, out=self.cdf)
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """Arc (0: one character) of each node, by probability."""
@@ -251,7 +254,7 @@ def _lay(lat, key, sample, doc, unit, of, node, arc, before0, out, g, n_docs):
     begin = np.searchsorted(doc, np.arange(n_docs))
     before = upto[:-1] - upto[begin][doc] + before0[doc]
     rest = np.where(lat.single[node], 0.0, -np.expm1(np.minimum(lp, 0.0)))
-    near = np.flatnonzero((lp > -0.05) & ~lat.single[node])    # 1 - p would lose digits here
+    near = np.flatnonzero((lp > -0.005) & ~lat.single[node])    # 1 - p would lose digits here
     others = np.exp(lat.logp[node[near]].astype(np.float64))
     others[np.arange(len(near)), arc[near]] = 0
     rest[near] = others.sum(axis=1)
@@ -371,7 +374,7 @@ def sampler(path: str, k: int, alpha: float, ids_out: bool = False):
     def run(batches):
         p = pieces(path, alpha)
         for big in batches:
-            for b in tokens.slices(big, chars=6_000_000):
+            for b in tokens.slices(big, chars=8_000_000):
                 flat, at = units_of(b.column("text"))
                 coded = flat.dictionary_encode()
                 lat = Lattice(coded.dictionary.to_pylist(), p)
