@@ -82,9 +82,15 @@ def _wrap(x: Column) -> Column:
     return (F.pmod(x + F.lit(32768), F.lit(65536)) - F.lit(32768)).cast("short")
 
 
+def packed(equal: Column) -> Column:
+    """Two equality lanes in each number: half the bytes to shuffle."""
+    return F.transform(F.sequence(F.lit(0), F.lit(EQUAL // 2 - 1)),
+                       lambda i: F.shiftleft(F.get(equal, i * 2), 32).bitwiseOR(F.get(equal, i * 2 + 1)))
+
+
 def to_text(equal: Column, signs: Column) -> Column:
-    """The fingerprint as 640 hex digits: 8 for each equality lane, 4 for each sign lane."""
-    return F.concat(F.array_join(F.transform(equal, lambda x: F.lpad(F.lower(F.hex(x.cast("long"))), 8, "0")), ""),
+    """The fingerprint as 640 hex digits: 8 for each equality lane (given ``packed``), 4 for each sign lane."""
+    return F.concat(F.array_join(F.transform(equal, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), ""),
                     F.array_join(F.transform(signs, lambda x: F.lpad(F.lower(F.hex(F.pmod(x.cast("long"), F.lit(65536)))), 4, "0")), ""))
 
 
@@ -120,22 +126,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     d = docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long").alias("k"), text_or_empty().alias("text"))
     by_key = d.repartition("k")
-    own = vector_sums(by_key.withColumn("th", F.xxhash64("text")), ["k", "th"])
+    own = vector_sums(by_key.withColumn("th", F.xxhash64("text")), ["k", "th"]).withColumn("equal", packed(F.col("equal")))
     follows = next_keys(d)
     heads = d.select("k", F.xxhash64("text").alias("e_th"), F.expr("length(text) div 2").cast("int").alias("half"), F.length("text").alias("n"),
                      F.expr("left(text, cast(length(text) - length(text) div 2 as int))").alias("head")).join(follows, "k")
     after = by_key.groupBy(F.col("k").alias("next_k")).agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text"))["text"].alias("next_text"))
     edited = heads.join(after, "next_k").select("next_k", "k", "e_th", "n", F.concat("head", F.expr("left(next_text, half)")).alias("text"))
     new = vector_sums(edited, ["next_k", "k", "e_th", "n"], whole=True)
-    new = new.select(F.col("k").alias("e_k"), "next_k", "e_th", F.col("n").cast("long").alias("n_chars"), F.col("sha256").alias("edited_sha256"),
-                     F.col("equal").alias("e_equal"), F.col("signs").alias("e_signs"))
+    new = new.select(F.col("k").alias("e_k"), "e_th", F.col("n").cast("long").alias("n_chars"), F.unhex("sha256").alias("sha"),
+                     packed(F.col("equal")).alias("e_equal"), F.col("signs").alias("e_signs"))
     first = own.groupBy(F.col("k").alias("f_k")).agg(F.min(F.struct("th", "equal", "signs")).alias("x"))
     # joined by k alone, for which the own lanes lie right; texts of one doc_id are told apart after that
     out = own.join(new, (F.col("k") == F.col("e_k")) & (F.col("th").bitwiseXOR(F.col("e_th")) == 0))
-    out = out.join(first, F.col("next_k") == F.col("f_k"))
-    out = out.select("*", F.col("x.equal").alias("n_equal"), F.col("x.signs").alias("n_signs"))
-    out = out.select(F.when(F.col("k") != LAST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256",
-                     to_text(F.col("equal"), F.col("signs")).alias("fingerprint"),
+    # the next document's lanes go to the key of the document before it; nothing wider moves
+    after = first.join(follows, F.col("f_k") == F.col("next_k")).select(
+        F.col("k").alias("b_k"), F.col("x.equal").alias("n_equal"), F.col("x.signs").alias("n_signs"))
+    out = out.join(after, F.col("k") == F.col("b_k"))
+    out = out.select(F.when(F.col("k") != LAST, F.col("k")).alias("doc_id"), "n_chars",
+                     F.lower(F.hex("sha")).alias("edited_sha256"), to_text(F.col("equal"), F.col("signs")).alias("fingerprint"),
                      to_text(F.col("e_equal"), F.col("e_signs")).alias("edited_fingerprint"),
                      likeness("", "e_").alias("near_edited"), likeness("", "n_").alias("near_next"), "copies")
     return out.withColumn("_c", F.explode(F.expr("sequence(1L, copies)"))).drop("copies", "_c")
