@@ -7,6 +7,10 @@ fitted in one task by follow-the-regularised-leader with elastic-net penalties o
 (``SAMPLE`` documents, those with the smallest hash of doc_id); a fifth of the sample is kept out of the
 fit and sets the temperature that calibrates the scores. Prediction reads every whole text.
 
+The scores of the learned languages sum up to 1 whatever the text is, so they don't tell an unlearned language.
+``evidence`` does: the share of a text's 3-grams in columns that two documents of the fit have, less what chance
+gives (the share of such columns), 1 at most. ``usual`` is its median over the kept-out fifth.
+
 Defined cases: a text that is null or without a letter is ``und`` with score 0, and isn't learned from;
 neither is a document with a null lang or doc_id; without any learning document all is ``und``; an
 empty table gives an empty result; other columns are ignored.
@@ -36,8 +40,8 @@ def _letters() -> np.ndarray:
     return _ALPHA[0]
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Columns of the n-grams (3 x positions), where each text's positions begin (one more at the end), has a letter."""
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Columns of the n-grams (3 x positions), where each text's positions begin (one more at the end), has a letter, letters."""
     low = [" " + t.lower() + " " for t in texts]
     cp = np.frombuffer(("".join(low) + "  ").encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, low), np.int64, len(low)))])
@@ -49,7 +53,16 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     three = (two ^ (two >> np.uint32(13))) + c * np.uint32(3266489917)
     shift = np.uint32(32 - DIMS.bit_length() + 1)
     cols = np.stack([(h * np.uint32(668265263)) >> shift for h in (one, two, three)])
-    return cols, ends, np.add.reduceat(letter[:-2], ends[:-1]) > 0 if len(low) else np.zeros(0, bool)
+    return cols, ends, np.add.reduceat(letter[:-2], ends[:-1]) > 0 if len(low) else np.zeros(0, bool), letter
+
+
+def evidence(cols: np.ndarray, ends: np.ndarray, letter: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Each text's; ``known``: the columns that the fit has met."""
+    at = letter[:-2] | letter[1:-1] | letter[2:]
+    at[ends[1:] - 1] = False                       # the last 3-gram reaches into the next text
+    n = np.add.reduceat(at, ends[:-1], dtype=np.int64)
+    share = np.add.reduceat(at & known[cols[2]], ends[:-1], dtype=np.int64) / np.maximum(n, 1)
+    return 1 - (1 - share) / max(1 - known.mean(), 1e-9)
 
 
 def learns(docs: DataFrame, fold: Column) -> DataFrame:
@@ -60,7 +73,7 @@ def _frequencies(batches):
     df, n = np.zeros(DIMS, np.int64), 0
     for big in batches:
         for b in tokens.slices(big, chars=CHARS):
-            cols, ends, ok = grams(b.column("text").to_pylist())
+            cols, ends, ok, _ = grams(b.column("text").to_pylist())
             for i in np.flatnonzero(ok):
                 seen = np.zeros(DIMS, bool)
                 seen[cols[:, ends[i]:ends[i + 1]]] = True
@@ -71,20 +84,24 @@ def _frequencies(batches):
 
 
 def _bag(texts: list[str], idf: np.ndarray):
-    cols, ends, ok = grams(texts)
+    cols, ends, ok, _ = grams(texts)
     for i in range(len(texts)):
         at, n = np.unique(cols[:, ends[i]:ends[i + 1]], return_counts=True)
         yield ok[i], at, (SCALE / max(1, n.sum()) * n * idf[at]).astype(np.float64)
 
 
 def _fit(idf: np.ndarray):
-    """One task: the sample -> rows (lang, gram, weight); gram -1 is the bias, and -2 the temperature."""
+    """One task: the sample -> rows (lang, gram, weight); gram -1 is the bias, -2 the temperature, -3 the usual evidence; columns met begin at DIMS."""
     def run(frames):
         f = pd.concat([pd.DataFrame({"text": [], "lang": []}), *frames], ignore_index=True)
         if not len(f):
             return
         langs = sorted(f["lang"].unique())
-        bags = [(at, x, langs.index(y)) for (ok, at, x), y in zip(_bag_all(f["text"], idf), f["lang"]) if ok]
+        bags, texts = [], []
+        for (ok, at, x), y, t in zip(_bag_all(f["text"], idf), f["lang"], f["text"]):
+            if ok:
+                bags.append((at, x, langs.index(y)))
+                texts.append(t)
         held, used = bags[::5], [b for i, b in enumerate(bags) if i % 5] or bags
         k = len(langs)
         z, n = np.zeros((DIMS + 1, k)), np.zeros((DIMS + 1, k))
@@ -116,10 +133,18 @@ def _fit(idf: np.ndarray):
             m = s.max(axis=1, keepdims=True)
             loss = float((np.log(np.exp(s - m).sum(axis=1)) + m[:, 0] - s[np.arange(len(ys)), ys]).sum()) if len(ys) else abs(np.log(t))
             best = min(best, (loss, float(t)))
+        met = np.zeros(DIMS, np.int64)
+        for at, _, _ in used:
+            met[at] += 1
+        known = met > 1
+        shares = [evidence(cols, ends, letter, known)[0] for cols, ends, _, letter in (grams([t]) for t in texts[::5])]
+        usual = max(0.0, float(np.median(shares))) if shares else 0.0
+        at = np.flatnonzero(known)
+        yield pd.DataFrame({"lang": langs[0], "gram": (at + DIMS).astype(np.int32), "weight": 1.0})
         for j, lang in enumerate(langs):
             at = np.flatnonzero(w[:DIMS, j])
-            yield pd.DataFrame({"lang": lang, "gram": np.concatenate([at, [-1, -2]]).astype(np.int32),
-                                "weight": np.concatenate([w[at, j], [w[DIMS, j], best[1]]])})
+            yield pd.DataFrame({"lang": lang, "gram": np.concatenate([at, [-1, -2, -3]]).astype(np.int32),
+                                "weight": np.concatenate([w[at, j], [w[DIMS, j], best[1], usual]])})
     return run
 
 
@@ -129,7 +154,7 @@ def _bag_all(texts, idf):
 
 
 def train(docs: DataFrame, fold: Column, sample: int = SAMPLE) -> dict:
-    """``fold``: condition on the documents to learn from. The model: languages, weights (idf included), bias, temperature."""
+    """``fold``: condition on the documents to learn from. The model: languages, weights (idf included), bias, temperature, columns met, usual evidence."""
     known = learns(docs, fold)
     text = F.col("text").cast("string").alias("text")
     rows = known.select(text).mapInArrow(_frequencies, "gram int, df long").groupBy("gram").agg(F.sum("df").alias("df")).collect()
@@ -145,26 +170,31 @@ def train(docs: DataFrame, fold: Column, sample: int = SAMPLE) -> dict:
            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).select("text", "lang"))
     got = few.coalesce(1).mapInPandas(_fit(idf), "lang string, gram int, weight double").collect()
     langs = sorted({r["lang"] for r in got})
-    w, bias, temp = np.zeros((DIMS, len(langs)), np.float32), np.zeros(len(langs)), 1.0
+    w, bias, temp, usual = np.zeros((DIMS, len(langs)), np.float32), np.zeros(len(langs)), 1.0, 0.0
+    known = np.zeros(DIMS, bool)
     for r in got:
         j = langs.index(r["lang"])
-        if r["gram"] == -2:
+        if r["gram"] >= DIMS:
+            known[r["gram"] - DIMS] = True
+        elif r["gram"] == -3:
+            usual = r["weight"]
+        elif r["gram"] == -2:
             temp = r["weight"]
         elif r["gram"] == -1:
             bias[j] = r["weight"]
         else:
             w[r["gram"], j] = r["weight"] * idf[r["gram"]] * SCALE
-    return {"langs": langs, "weights": w, "bias": bias, "temperature": temp}
+    return {"langs": langs, "weights": w, "bias": bias, "temperature": temp, "known": known, "usual": usual}
 
 
-def _predict(model: dict):
-    langs, w, bias, temp = model["langs"], model["weights"], model["bias"], model["temperature"]
+def _predict(model: dict, told: bool):
+    langs, w, bias, temp, known = (model[k] for k in ("langs", "weights", "bias", "temperature", "known"))
 
     def run(batches):
         for big in batches:
             for b in tokens.slices(big, chars=CHARS):
-                cols, ends, ok = grams([t or "" for t in b.column("text").to_pylist()])
-                pred, score = np.zeros(len(b), int), np.zeros(len(b))
+                cols, ends, ok, letter = grams([t or "" for t in b.column("text").to_pylist()])
+                pred, score, seen = np.zeros(len(b), int), np.zeros(len(b)), np.zeros(len(b))
                 if langs and len(b):
                     each = w[cols[0]]
                     each += w[cols[1]]
@@ -174,20 +204,23 @@ def _predict(model: dict):
                     p = np.exp(s - s.max(axis=1, keepdims=True))
                     p /= p.sum(axis=1, keepdims=True)
                     pred, score = p.argmax(axis=1), p.max(axis=1)
+                    if told:
+                        seen = evidence(cols, ends, letter, known)
                 else:
                     ok = np.zeros(len(b), bool)
                 yield pa.RecordBatch.from_arrays(
                     [*[b.column(i) for i in range(b.num_columns) if b.schema.names[i] != "text"],
-                     pa.array([langs[j] if k else "und" for j, k in zip(pred, ok)], pa.string()), pa.array(np.where(ok, score, 0.0))],
-                    names=[x for x in b.schema.names if x != "text"] + ["lang_pred", "score"])
+                     pa.array([langs[j] if k else "und" for j, k in zip(pred, ok)], pa.string()), pa.array(np.where(ok, score, 0.0)),
+                     *([pa.array(seen, mask=~ok)] if told else [])],
+                    names=[x for x in b.schema.names if x != "text"] + ["lang_pred", "score"] + ["evidence"] * told)
     return run
 
 
-def predict(docs: DataFrame, model: dict, keys: list[str] = ("doc_id",)) -> DataFrame:
-    """``keys, lang_pred, score`` for every row."""
+def predict(docs: DataFrame, model: dict, keys: list[str] = ("doc_id",), told: bool = False) -> DataFrame:
+    """``keys, lang_pred, score`` for every row; if ``told`` also ``evidence``, null where the language is ``und``."""
     d = docs.select(*keys, F.col("text").cast("string").alias("text"))
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
-    return d.mapInArrow(_predict(model), f"{kinds}, lang_pred string, score double")
+    return d.mapInArrow(_predict(model, told), f"{kinds}, lang_pred string, score double" + ", evidence double" * told)
 
 
 def fold_of(n: int, rest: int) -> Column:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from labelnet.llm import bloom, language_id, recurrent_lm, subword_sampling, tokens, url_filter
 
@@ -194,3 +195,22 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, d, SF)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in left}
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+UNLEARNED = ["Съешь же ещё этих мягких французских булок да выпей чаю", "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία και πηγαίνω στο σπίτι", "你好世界我们今天去北京看朋友然后回家吃饭睡觉",
+             "Yksinkertainen hyökkäys järjestelmään epäonnistui täysin koska käyttäjät eivät hyväksyneet muutosta",
+             "Zażółć gęślą jaźń wszyscy ludzie rodzą się wolni i równi pod względem swej godności", "xqzvk wjxqpz kkvzxj qwzzx vxkqj zzkwq pqxvz kjwqx zvqkx"]
+
+
+@pytest.mark.parametrize("langs", [("en", "fr", "de", "es"), ("en", "fr", "de"), ("en",)])
+def test_pipeline_rejects_unlearned_languages_and_keeps_short_clean_texts(spark, langs):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("lang").isin(*langs)).select("doc_id", "text", "lang")
+    clean = [r.text for r in docs.where("length(text) > 400").orderBy("doc_id").limit(20).collect()]
+    short = [" ".join(t.split()[:6]) for t in clean]
+    planted = [(-1 - i, t, None) for i, t in enumerate(UNLEARNED)] + [(-101 - i, t, None) for i, t in enumerate(short)]
+    both = docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    left = {r.doc_id for r in corpus_pipeline.identify_language(spark, both, SF).collect()}
+    assert not {-1 - i for i in range(len(UNLEARNED))} & left
+    assert {-101 - i for i in range(len(short))} <= left
+    assert {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect()} <= left
