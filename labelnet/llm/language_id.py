@@ -193,8 +193,8 @@ def _predict(model: dict, told: bool):
     def run(batches):
         for big in batches:
             for b in tokens.slices(big, chars=CHARS):
-                cols, ends, ok, letter = grams([t or "" for t in b.column("text").to_pylist()])
-                pred, score, seen = np.zeros(len(b), int), np.zeros(len(b)), np.zeros(len(b))
+                cols, ends, text, letter = grams([t or "" for t in b.column("text").to_pylist()])
+                pred, score, seen, ok = np.zeros(len(b), int), np.zeros(len(b)), np.ones(len(b)), text
                 if langs and len(b):
                     each = w[cols[0]]
                     each += w[cols[1]]
@@ -211,13 +211,13 @@ def _predict(model: dict, told: bool):
                 yield pa.RecordBatch.from_arrays(
                     [*[b.column(i) for i in range(b.num_columns) if b.schema.names[i] != "text"],
                      pa.array([langs[j] if k else "und" for j, k in zip(pred, ok)], pa.string()), pa.array(np.where(ok, score, 0.0)),
-                     *([pa.array(seen, mask=~ok)] if told else [])],
+                     *([pa.array(seen, mask=~text)] if told else [])],
                     names=[x for x in b.schema.names if x != "text"] + ["lang_pred", "score"] + ["evidence"] * told)
     return run
 
 
 def predict(docs: DataFrame, model: dict, keys: list[str] = ("doc_id",), told: bool = False) -> DataFrame:
-    """``keys, lang_pred, score`` for every row; if ``told`` also ``evidence``, null where the language is ``und``."""
+    """``keys, lang_pred, score`` for every row; if ``told`` also ``evidence``: null without a letter, 1 without a learned language."""
     d = docs.select(*keys, F.col("text").cast("string").alias("text"))
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
     return d.mapInArrow(_predict(model, told), f"{kinds}, lang_pred string, score double" + ", evidence double" * told)

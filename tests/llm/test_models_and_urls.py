@@ -214,3 +214,14 @@ def test_pipeline_rejects_unlearned_languages_and_keeps_short_clean_texts(spark,
     assert not {-1 - i for i in range(len(UNLEARNED))} & left
     assert {-101 - i for i in range(len(short))} <= left
     assert {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect()} <= left
+
+
+def test_pipeline_without_a_learned_language_rejects_only_texts_without_a_letter(spark):
+    import corpus_pipeline
+    none = frame(spark).selectExpr("doc_id", "text", "cast(null as string) lang")
+    left = corpus_pipeline.identify_language(spark, none, SF).collect()
+    want = [(r[0], r[1]) for r in rows() if r[1] and any(c.isalpha() for c in r[1])]
+    assert Counter((r.doc_id, r.text) for r in left) == Counter(want)
+    digits = frame(spark).selectExpr("doc_id", "if(doc_id > 10, text, '12 34') as text", "if(doc_id > 10, null, 'aa') lang")
+    left = corpus_pipeline.identify_language(spark, digits, SF).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter(x for x in want if x[0] and x[0] > 10)
