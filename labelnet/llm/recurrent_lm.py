@@ -4,9 +4,11 @@ Counts. Documents go to chunks of about ``CHUNK`` bytes by hash. A chunk lists i
 its learning documents; a window over each word (a row for each chunk that has it) sums them up, so every
 chunk gets back the corpus counts of its own words, and no task or driver ever holds the whole vocabulary.
 
-Symbols. The ``TOP`` most frequent words are symbols of their own, in output classes of ``PER_CLASS`` by rank.
-Any other word is a class by its count (powers of two) and its letters (plain, other script or accent, with
-signs); within it, a word's probability is its share of the class's counts plus one. Words never
+Symbols. The most frequent words are symbols of their own: as many as the largest power of two up to ``GROWTH``
+times the cube root of the learning tokens, ``TOP`` at least. They are in output classes by rank, of about the square
+root of their number (``PER_CLASS`` at least), so a step's cost grows with the square root, too. Any other word is a
+class by its count (powers of two, as many as the largest count of such a word needs) and its letters (plain, other
+script or accent, with signs); within it, a word's probability is its share of the class's counts plus one. Words never
 seen are the class of count 0. The end of a text is a class of its own. A learning document's own words are never
 unseen, so in training each word has the class of its count less one: the network learns how often words that the
 other documents don't have come up.
@@ -38,13 +40,25 @@ from .language_id import fold_of
 CHUNK = 12_000_000
 TOP, PER_CLASS, BANDS, KINDS = 1024, 64, 8, 3
 HIDDEN, WINDOW, BATCH, RATE = 16, 24, 512, 0.08
-FAN, PART = 64, 2_000_000                     # parts merged at once; words in a part at least
-FREQ = TOP // PER_CLASS                       # classes of frequent words, then BANDS * KINDS classes, then the end's
-CLASSES = FREQ + BANDS * KINDS + 1
+GROWTH = 8
+FAN, FAN_BYTES, PART = 64, 128_000_000, 2_000_000     # parts merged at once and their size; words in a part at least
+# the least network; classes of frequent words, then BANDS * KINDS classes, then the end's
+CLASSES = TOP // PER_CLASS + BANDS * KINDS + 1
 SYMBOLS = TOP + BANDS * KINDS + 1             # as input: words, classes, the end
-END = SYMBOLS - 1
-SHAPES = {"x": (SYMBOLS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
-          "wo": (FREQ, HIDDEN, PER_CLASS), "bo": (FREQ, PER_CLASS)}
+
+
+def top_words(tokens: int) -> int:
+    """Words that are symbols of their own in a corpus of so many learning tokens."""
+    return max(TOP, 1 << max(0, int(GROWTH * tokens ** (1 / 3))).bit_length() >> 1)
+
+
+def shapes(top: int, classes: int) -> dict[str, tuple]:
+    per = max(PER_CLASS, 1 << top.bit_length() // 2)
+    return {"x": (top + classes - top // per, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, classes), "bc": (classes,),
+            "wo": (top // per, HIDDEN, per), "bo": (top // per, per)}
+
+
+SHAPES = shapes(TOP, CLASSES)
 
 
 # ---- words and counts ------------------------------------------------------------------------------
@@ -82,7 +96,11 @@ def _count(table: pa.Table) -> pa.Table:
                      "place": pa.array(np.arange(len(lex)), pa.int32()), "word": lex.cast(pa.string()), "c": pa.array(c, pa.int64())})
 
 
-def _encode(top: list[str], logs: np.ndarray, denominator: float):
+def _kind(symbols: int) -> str:
+    return "<u2" if symbols <= 1 << 16 else "<u4"
+
+
+def _encode(top: list[str], size: int, kind: str, logs: np.ndarray, denominator: float):
     """(a chunk's documents, its words' counts and classes) -> symbols and the sums that need no network."""
     def run(docs: pa.Table, info: pa.Table) -> pa.Table:
         words, n = words_of(_one(docs, "text"))
@@ -92,7 +110,7 @@ def _encode(top: list[str], logs: np.ndarray, denominator: float):
         for to, name in ((c, "c"), (cls, "cls"), (less, "less")):
             to[place] = _one(info, name).to_numpy(zero_copy_only=False)
         rank = pc.fill_null(pc.index_in(lex.cast(pa.string()), value_set=pa.array(top, pa.string())), -1).to_numpy(zero_copy_only=False)
-        symbol = np.where(rank >= 0, rank, TOP + cls).astype("<u2")
+        symbol = np.where(rank >= 0, rank, size + cls).astype(kind)
         # a word of a class: its share; a word never seen has its class to itself
         share = np.where((rank >= 0) | (c == 0), 0.0, np.log10(c + 1.0) - logs[cls])
         base = np.log10((c + 1.0) / denominator)
@@ -104,7 +122,7 @@ def _encode(top: list[str], logs: np.ndarray, denominator: float):
             out[full] = np.add.reduceat(v[at], begin[full]) if len(full) else 0.0
             return out
         flat, learn = symbol[at], _one(docs, "learn").to_numpy(zero_copy_only=False)
-        other = np.where(rank >= 0, rank, TOP + less).astype("<u2")[at]
+        other = np.where(rank >= 0, rank, size + less).astype(kind)[at]
         return pa.table({"doc_id": _one(docs, "doc_id"), "held_out": _one(docs, "held_out"),
                          "n_words": pa.array(n, pa.int64()), "known_words": pa.array(total((c > 0).astype(float)).astype(np.int64)),
                          "base": pa.array(total(base)), "share": pa.array(total(share)),
@@ -115,17 +133,18 @@ def _encode(top: list[str], logs: np.ndarray, denominator: float):
 
 # ---- network -----------------------------------------------------------------------------------------
 
-def class_of(symbol: np.ndarray) -> np.ndarray:
-    return np.where(symbol < TOP, symbol // PER_CLASS, symbol - TOP + FREQ)
+def class_of(symbol: np.ndarray, freq: int, per: int) -> np.ndarray:
+    return np.where(symbol < freq * per, symbol // per, symbol - freq * per + freq)
 
 
 def start_weights(word_counts: np.ndarray, class_counts: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     """Random and small but for the output biases, which are the logs of the corpus frequencies."""
     rng = np.random.default_rng(seed)
-    w = {k: (rng.standard_normal(s) * (0.3 if k == "u" else 0.1)).astype(np.float32) for k, s in SHAPES.items()}
+    form = shapes(len(word_counts), len(class_counts))
+    w = {k: (rng.standard_normal(s) * (0.3 if k == "u" else 0.1)).astype(np.float32) for k, s in form.items()}
     w["x"][:, :HIDDEN] += 1.0
     w["bc"] = np.log(class_counts + 0.5).astype(np.float32)
-    w["bo"] = np.log(word_counts.reshape(FREQ, PER_CLASS) + 0.5).astype(np.float32)
+    w["bo"] = np.log(word_counts.reshape(form["bo"]) + 0.5).astype(np.float32)
     return w
 
 
@@ -133,11 +152,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _layout(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _layout(docs: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(order, longest first; lengths with the end; symbols of all in a row, each led and closed by the end; starts)."""
     size = np.fromiter(map(len, docs), np.int64, len(docs)) + 1
     order = np.argsort(-size, kind="stable")
-    flat = np.concatenate([np.append(np.append(END, docs[i]), END) for i in order]).astype(np.int64)
+    flat = np.concatenate([np.append(np.append(end, docs[i]), end) for i in order]).astype(np.int64)
     return order, size[order], flat, np.concatenate([[0], np.cumsum(size[order] + 1)])[:-1]
 
 
@@ -164,7 +183,8 @@ def _steps(w, h, flat, starts, size, t0: int, t1: int, keep: bool):
 def _outputs(w, hs: np.ndarray, target: np.ndarray, learn: bool):
     """Natural-log probabilities of the targets; with ``learn`` also the gradients of their negative sum."""
     m = np.arange(len(target))
-    cls = class_of(target)
+    freq, per = w["bo"].shape
+    cls = class_of(target, freq, per)
     lc = hs @ w["wc"] + w["bc"]
     lc -= lc.max(axis=1, keepdims=True)
     own = lc[m, cls].copy()
@@ -176,14 +196,14 @@ def _outputs(w, hs: np.ndarray, target: np.ndarray, learn: bool):
         e /= tot[:, None]
         e[m, cls] -= 1
         grad["wc"], grad["bc"], dh = hs.T @ e, e.sum(axis=0), e @ w["wc"].T
-        grad["wo"], grad["bo"] = np.zeros(SHAPES["wo"], np.float32), np.zeros(SHAPES["bo"], np.float32)
+        grad["wo"], grad["bo"] = np.zeros(w["wo"].shape, np.float32), np.zeros(w["bo"].shape, np.float32)
     order = np.argsort(cls, kind="stable")
-    cut = np.searchsorted(cls[order], np.arange(FREQ + 1))
-    for g in range(FREQ):
+    cut = np.searchsorted(cls[order], np.arange(freq + 1))
+    for g in range(freq):
         i = order[cut[g]:cut[g + 1]]
         if not len(i):
             continue
-        k, word, sub = np.arange(len(i)), target[i] % PER_CLASS, hs[i]
+        k, word, sub = np.arange(len(i)), target[i] % per, hs[i]
         lo = sub @ w["wo"][g] + w["bo"][g]
         lo -= lo.max(axis=1, keepdims=True)
         own = lo[k, word].copy()
@@ -202,7 +222,7 @@ def score_docs(w: dict, docs: list[np.ndarray]) -> np.ndarray:
     """Natural-log probability of each document's symbols and end."""
     if not docs:
         return np.zeros(0)
-    order, size, flat, starts = _layout(docs)
+    order, size, flat, starts = _layout(docs, len(w["x"]) - 1)
     h, total = np.zeros((len(docs), HIDDEN), np.float32), np.zeros(len(docs))
     t = 0
     while t < size[0]:
@@ -229,7 +249,7 @@ def train_docs(w: dict, docs: list[np.ndarray], memory: dict) -> int:
     groups = [by_size[i:i + BATCH] for i in range(0, len(by_size), BATCH)]
     rng = np.random.default_rng(len(docs))
     for gi in rng.permutation(len(groups)):
-        _, size, flat, starts = _layout([docs[i] for i in groups[gi]])
+        _, size, flat, starts = _layout([docs[i] for i in groups[gi]], len(w["x"]) - 1)
         h = np.zeros((len(size), H), np.float32)
         for t in range(0, int(size[0]), WINDOW):
             stop = min(t + WINDOW, int(size[0]))
@@ -239,7 +259,7 @@ def train_docs(w: dict, docs: list[np.ndarray], memory: dict) -> int:
             m = len(target)
             seen += m
             ends = np.cumsum([len(o) for o in out])
-            du, dx, sym = np.zeros(SHAPES["u"], np.float32), [], []
+            du, dx, sym = np.zeros(w["u"].shape, np.float32), [], []
             carry = np.zeros((0, H), np.float32)
             for i in range(len(out) - 1, -1, -1):
                 s, hp, z, r, q, c = kept[i]
@@ -267,8 +287,8 @@ def train_docs(w: dict, docs: list[np.ndarray], memory: dict) -> int:
     return seen
 
 
-def _symbols(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(b, "<u2") for b in column.to_pylist()]
+def _symbols(column: pa.Array, w: dict) -> list[np.ndarray]:
+    return [np.frombuffer(b, _kind(len(w["x"]))) for b in column.to_pylist()]
 
 
 def _groups(batches, most: int = 1_500_000):
@@ -286,9 +306,9 @@ def flat_weights(w: dict) -> np.ndarray:
     return np.concatenate([w[k].ravel() for k in SHAPES]).astype(np.float64)
 
 
-def from_flat(v: np.ndarray) -> dict[str, np.ndarray]:
+def from_flat(v: np.ndarray, form: dict[str, tuple]) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, s in SHAPES.items():
+    for k, s in form.items():
         n = int(np.prod(s))
         out[k] = v[at:at + n].reshape(s).astype(np.float32)
         at += n
@@ -299,10 +319,10 @@ def _trainer(start: dict):
     def run(batches):
         from pyspark import TaskContext
         w = {k: v.copy() for k, v in start.items()}
-        memory = {k: np.full(s, 1e-8, np.float32) for k, s in SHAPES.items()}
+        memory = {k: np.full(v.shape, 1e-8, np.float32) for k, v in start.items()}
         seen = 0
         for b in _groups(batches):
-            docs = _symbols(b.column("lesson").drop_null())
+            docs = _symbols(b.column("lesson").drop_null(), w)
             if docs:
                 seen += train_docs(w, docs, memory)
         if seen:
@@ -313,9 +333,10 @@ def _trainer(start: dict):
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    total = np.zeros(sum(int(np.prod(s)) for s in SHAPES.values()))
-    for b in _one(table, "sums").to_pylist():
-        total += np.frombuffer(b)
+    sums = _one(table, "sums")
+    total = np.zeros(len(sums[0].as_py()) // 8)
+    for b in sums:
+        total += np.frombuffer(b.as_py())
     return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int64()), "n": [float(pc.sum(table["n"]).as_py())],
                      "sums": pa.array([total.tobytes()], pa.binary())})
 
@@ -325,17 +346,18 @@ def train(symbols: DataFrame, start: dict) -> dict:
     kind = "part long, n double, sums binary"
     total = symbols.agg(F.sum("n_words")).first()[0] or 0
     symbols = symbols.coalesce(max(1, -(-total // PART)))          # too little in a part learns too little
+    fan = max(2, min(FAN, FAN_BYTES // flat_weights(start).nbytes))
     parts = saved(symbols.select("n_words", "lesson").mapInArrow(_trainer(start), kind), "lm-parts")
     while parts.count() > 1:
-        parts = saved(parts.withColumn("part", F.expr(f"part div {FAN}")).groupBy("part").applyInArrow(_merge, kind), "lm-means")
+        parts = saved(parts.withColumn("part", F.expr(f"part div {fan}")).groupBy("part").applyInArrow(_merge, kind), "lm-means")
     got = parts.collect()
-    return from_flat(np.frombuffer(got[0]["sums"]) / got[0]["n"]) if got else start
+    return from_flat(np.frombuffer(got[0]["sums"]) / got[0]["n"], {k: v.shape for k, v in start.items()}) if got else start
 
 
 def _scorer(w: dict):
     def run(batches):
         for b in _groups(batches):
-            got = score_docs(w, _symbols(b.column("symbols"))) / np.log(10)
+            got = score_docs(w, _symbols(b.column("symbols"), w)) / np.log(10)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "held_out", "n_words", "known_words", "base", "share")), pa.array(got)],
                                              names=["doc_id", "held_out", "n_words", "known_words", "base", "share", "net"])
     return run
@@ -353,30 +375,34 @@ def score(docs: DataFrame) -> DataFrame:
     w = d.select("chunk", "learn", "text").groupBy("chunk").applyInArrow(_count, "chunk int, place int, word string, c long")
     win = Window.partitionBy("word")
     kind = F.when(F.octet_length("word") != F.length("word"), 1).when(F.col("word").rlike("^[a-z]*$"), 0).otherwise(2)
-    band = F.least(F.lit(BANDS - 1), F.floor(F.log2(F.col("c") + 1)))
+    band = F.floor(F.log2(F.col("c") + 1))
     w = w.select("chunk", "place", "word", F.sum("c").over(win).alias("c"), (F.min("chunk").over(win) == F.col("chunk")).alias("first"))
-    less = F.least(F.lit(BANDS - 1), F.floor(F.log2(F.greatest(F.col("c"), F.lit(1)))))
+    less = F.floor(F.log2(F.greatest(F.col("c"), F.lit(1))))
     w = saved(w.withColumns({"cls": (band * KINDS + kind).cast("int"), "less": (less * KINDS + kind).cast("int")}), "lm-words")
     seen = w.where("first and c > 0")
     lessons = {r["less"]: r["c"] for r in seen.groupBy("less").agg(F.sum("c").alias("c")).collect()}
     per = {r["cls"]: (r["n"], r["c"]) for r in seen.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect()}
     ends = n_learn or 0
     tokens_, kinds = sum(c for _, c in per.values()) + ends, sum(n for n, _ in per.values()) + (1 if ends else 0)
-    top = seen.select("word", "c", "cls", "less").orderBy(F.col("c").desc(), "word").limit(TOP).collect()
-    sums, plain = np.zeros(BANDS * KINDS), np.zeros(BANDS * KINDS)       # of counts plus one; of counts, by the class in training
+    size = top_words(tokens_)
+    top = seen.select("word", "c", "cls", "less").orderBy(F.col("c").desc(), "word").limit(size).collect()
+    every = max([BANDS * KINDS, *(k + KINDS for k in per)]) // KINDS * KINDS
+    left, sums, plain = np.zeros(every), np.zeros(every), np.zeros(every)       # words; of counts plus one; of counts, by the class in training
     for k, (n, c) in per.items():
-        sums[k] = n + c
+        left[k], sums[k] = n, n + c
     for k, c in lessons.items():
         plain[k] = c
     for r in top:
+        left[r["cls"]] -= 1
         sums[r["cls"]] -= r["c"] + 1
         plain[r["less"]] -= r["c"]
     denominator = float(tokens_ + kinds + 1)
-    counts = np.zeros(TOP)
+    counts = np.zeros(size)
     counts[:len(top)] = [r["c"] for r in top]
-    start = start_weights(counts, np.concatenate([counts.reshape(FREQ, PER_CLASS).sum(axis=1), plain, [ends]]))
+    bands = max([BANDS, *(np.flatnonzero(left) // KINDS + 1)])           # no class is kept for the first words' counts
+    start = start_weights(counts, np.concatenate([counts.reshape(shapes(size, 0)["bo"]).sum(axis=1), plain[:bands * KINDS], [ends]]))
     coded = d.select("doc_id", "held_out", "learn", "text", "chunk").groupBy("chunk").cogroup(w.select("chunk", "place", "c", "cls", "less").groupBy("chunk")).applyInArrow(
-        _encode([r["word"] for r in top], np.log10(np.maximum(sums, 1)), denominator),
+        _encode([r["word"] for r in top], size, _kind(len(start["x"])), np.log10(np.maximum(sums, 1)), denominator),
         "doc_id long, held_out boolean, n_words long, known_words long, base double, share double, symbols binary, lesson binary")
     coded = saved(coded, "lm-symbols")
     model = train(coded, start)

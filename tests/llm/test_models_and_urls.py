@@ -94,6 +94,36 @@ def test_probabilities_of_the_next_word_sum_to_one():
     assert abs(np.exp(logp.astype(float)).sum() - 1) < 1e-4
 
 
+def test_lm_vocabulary_and_bands_grow_with_the_corpus(spark, monkeypatch):
+    assert [recurrent_lm.top_words(n) for n in (0, 10**6, 10**8, 6 * 10**9)] == [1024, 1024, 2048, 8192]
+    top, classes = 8192, 64 + 30 * recurrent_lm.KINDS + 1
+    w = recurrent_lm.start_weights(np.arange(1.0, top + 1), np.ones(classes))
+    symbols = np.arange(len(w["x"]))
+    h = np.random.default_rng(0).standard_normal((1, recurrent_lm.HIDDEN)).astype(np.float32)
+    logp, _, _ = recurrent_lm._outputs(w, np.repeat(h, len(symbols), axis=0), symbols, False)
+    assert len(symbols) == top + 30 * recurrent_lm.KINDS + 1 and abs(np.exp(logp.astype(float)).sum() - 1) < 1e-4
+
+    started, start = [], recurrent_lm.start_weights
+    monkeypatch.setattr(recurrent_lm, "start_weights", lambda *a: started.append(a) or start(*a))
+    monkeypatch.setattr(recurrent_lm, "TOP", 64)
+    monkeypatch.setattr(recurrent_lm, "GROWTH", 0)
+    words = ["".join("abcdefgh"[int(c)] for c in np.base_repr(64 + i, 8)) for i in range(64)]
+    text = " ".join(words * 30 + ["big"] * 25 + ["mid"] * 2)
+    docs = spark.createDataFrame([(i, text) for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:100], "doc_id long, text string")
+    assert all(np.isfinite(r.score) for r in recurrent_lm.score(docs).collect())
+    counts, classes = started[0]                           # 3000 of each first word, 2500 and 200 of the others
+    assert counts.tolist() == [3000] * 64 and len(classes) == 1 + 12 * recurrent_lm.KINDS + 1
+    assert classes[1 + 11 * recurrent_lm.KINDS] == 2500 and classes[1 + 7 * recurrent_lm.KINDS] == 200
+
+    monkeypatch.undo()
+    monkeypatch.setattr(recurrent_lm, "GROWTH", 64)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    out = recurrent_lm.score(docs).collect()
+    assert recurrent_lm.top_words(out[0].train_tokens) > recurrent_lm.TOP
+    own = [r for r in out if r.held_out]
+    assert sum(r.score for r in own) > sum(r.base_score for r in own)
+
+
 def segmentations(sp, s):
     if not s:
         yield ()
