@@ -32,7 +32,7 @@ from labelnet.session import scratch_path
 
 from . import tokens
 
-BLOCK, SLOTS = 512, 1024                 # ids in a block; cells of each context table
+BLOCK, SLOTS = 2048, 4096                # ids in a block; cells of each context table
 TOTAL0, SHARES = 1 << 18, 64              # order-0 counts sum up to TOTAL0; a share is 1/64 of the whole
 SEGMENT_CHARS = 12_000_000                # text in a segment, one document at least
 

@@ -100,6 +100,16 @@ def test_coder_round_trip(n, high):
             id_coder.decode(n, f0, crcs, bad)
 
 
+def test_coder_learns_within_a_block():
+    """Ids with followers that come up again only after some 800 others: blocks of 512 ids never see one twice."""
+    rng = np.random.default_rng(0)
+    ids = np.concatenate([np.tile(rng.permutation(49408)[:800], 10) for _ in range(8)]).astype(np.uint32)
+    f0 = id_coder.order0(ids, 49408)
+    crcs, parts = id_coder.encode(ids, f0)
+    assert np.array_equal(id_coder.decode(len(ids), f0, crcs, parts), ids)
+    assert sum(map(len, parts)) < 1.2 * len(ids)
+
+
 def test_token_files(spark):
     out = id_coder.round_trip(frame(spark), WORD).collect()
     one = library(WORD)
