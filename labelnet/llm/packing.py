@@ -7,8 +7,9 @@ program over patterns: the dual prices of the lengths go to an unbounded knapsac
 programming, whose best filling enters the basis. Patterns that fill all units are used as often as
 their rounded-down share. Items are ranked within their length (a two-level rank, no global sort);
 rank and pattern give sequence and slot by arithmetic. Lengths are rounded down, so the items of a
-sequence reach its end or pass it; what passes is cut off. What is cut off, items under one unit, and
-items that the rounding leaves over are laid end to end and cut at the sequence borders; the end of
+sequence reach its end or pass it; what passes is cut off. What is cut off, items under one unit, items
+that the rounding leaves over, and all items of patterns that don't fill their sequence (about half of all
+items if a third has one length of 700) are laid end to end and cut at the sequence borders; the end of
 that stream, shorter than one sequence, is cut into powers of two. So there is no padding at all.
 
 Defined cases: a null text is empty and packs as its end id alone; repeated rows are packed each for
