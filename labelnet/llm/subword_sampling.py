@@ -25,7 +25,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
 
@@ -34,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import tokens
 from .minhash import mix
@@ -95,11 +95,11 @@ class Pieces:
         return h
 
     def decode(self, ids: np.ndarray) -> bytes:
-        """UTF-8 of the text: the pieces' bytes without the leading blank."""
+        """UTF-8 of the text: the pieces' bytes without a leading blank."""
         size = self.raw_size[ids]
         upto = np.cumsum(size)
         at = np.repeat(self.raw_start[ids] - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
-        return self.raw_flat[at].tobytes()[1:]
+        return self.raw_flat[at].tobytes().removeprefix(b" ")
 
 
 _MODELS: dict = {}
@@ -364,12 +364,12 @@ def _ids(lat: Lattice, path: Path, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.repeat(path.doc, n)
 
 
-SCHEMA = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_prob double, score double, log_inclusion double, decoded_sha256 string"
+SCHEMA = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_prob double, score double, log_inclusion double"
 
 
 def sampler(path: str, k: int, alpha: float, ids_out: bool = False):
     names = [x.split()[0] for x in SCHEMA.split(", ")] + ["ids"] * ids_out
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.string()] + [pa.list_(pa.int32())] * ids_out
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()] + [pa.list_(pa.int32())] * ids_out
 
     def run(batches):
         p = pieces(path, alpha)
@@ -389,8 +389,8 @@ def sampler(path: str, k: int, alpha: float, ids_out: bool = False):
                     cut = np.searchsorted(doc, np.arange(len(b) + 1))
                     for d in np.flatnonzero(alive):
                         x = ids[cut[d]:cut[d + 1]]
-                        rows.append([ids_[d], len(scores), len(x), zlib.crc32(x.astype("<u4").tobytes()), got.total[d], g[d], d,
-                                     hashlib.sha256(p.decode(x)).hexdigest()] + ([x.tolist()] if ids_out else []))
+                        rows.append([ids_[d], len(scores), len(x), zlib.crc32(x.astype("<u4").tobytes()), got.total[d], g[d], d]
+                                    + [x.astype(np.int32)] * ids_out)
                     scores.append(g)
                 for r in rows:
                     x = r[4] - left[r[6]]
@@ -402,4 +402,31 @@ def sampler(path: str, k: int, alpha: float, ids_out: bool = False):
 def sample_segmentations(docs: DataFrame, path: str, k: int = SAMPLES, alpha: float = ALPHA, ids: bool = False) -> DataFrame:
     """One row for each sample of each row of ``docs``; ``ids``: with the pieces' ids."""
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return d.mapInArrow(sampler(path, k, alpha, ids), SCHEMA + ", ids array<int>" * ids)
+    out = d.mapInArrow(sampler(path, k, alpha, True), SCHEMA + ", ids array<int>")
+    own = [c for c in out.columns if c != "ids"] + ["ids"] * ids
+    text = decode_ids(out.withColumn("own", F.struct(*own)).select("ids", "own"), path)
+    own.insert(len(SCHEMA.split(", ")), "decoded_sha256")
+    return text.withColumn("decoded_sha256", F.sha2("text", 256)).select(*[c if c == "decoded_sha256" else f"own.{c}" for c in own])
+
+
+def _decoder(path: str, at: int):
+    def run(batches):
+        p = pieces(path, ALPHA)
+        for b in batches:
+            ids = b.column(at)
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(size)
+            texts = [p.decode(flat[e - n:e]).decode("utf-8", "replace") if ok else None
+                     for n, e, ok in zip(size, ends, ids.is_valid().to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), pa.array(texts, pa.string())],
+                                             names=[c for i, c in enumerate(b.schema.names) if i != at] + ["text"])
+    return run
+
+
+def decode_ids(df: DataFrame, path: str) -> DataFrame:
+    """Rows of ``ids`` -> the same rows with ``text`` in their place, as last column. Null ids give a null text, none an
+    empty one; control and unknown ids are nothing; byte pieces that aren't UTF-8 become U+FFFD."""
+    d = df.withColumn("ids", F.col("ids").cast("array<int>"))
+    left = [f for f in d.schema.fields if f.name != "ids"]
+    return d.mapInArrow(_decoder(path, d.columns.index("ids")), T.StructType([*left, T.StructField("text", T.StringType())]))

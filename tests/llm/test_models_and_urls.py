@@ -179,6 +179,18 @@ def test_sampled_pieces_decode_to_the_text(spark):
     assert sum(r.doc_id == 1 for r in out) == 6 and subword_sampling.sample_segmentations(empty(spark), path).count() == 0
 
 
+def test_rows_of_ids_decode_to_the_librarys_texts(spark):
+    import sentencepiece
+    path = tokens.vocabulary("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    lists = [sp.encode(r[1]) for r in rows() if r[1]] + [[], None]
+    df = spark.createDataFrame([(i, x, "t") for i, x in enumerate(lists)], "k long, ids array<int>, own string").repartition(3)
+    out = subword_sampling.decode_ids(df, path)
+    assert out.columns == ["k", "own", "text"]
+    assert {r.k: r.text for r in out.collect()} == {i: None if x is None else sp.decode(x) for i, x in enumerate(lists)}
+    assert subword_sampling.decode_ids(df.limit(0), path).count() == 0
+
+
 URLS = ["https://example.org/es/1", "http://a.b.example.org/en/12?x#y", "https://EXAMPLE.org/en/2", "https://example.org", "https://badexample.org/es/",
         "x.com/fr/", "https://x.com/fr/a", "https://com/de/", "ftp://x.com/de", "https://x.net/a/b?c", None, "", "://", "https://x.com/fr/a", "https://u@h:80/p;q"]
 
