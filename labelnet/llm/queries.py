@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, id_coder, language_id, line_dedup, minhash, packing, recurrent_lm, subword_sampling, tokens, url_filter
+from . import (exact_dedup, fingerprints, id_coder, language_id, line_dedup, merge_replay, merkle, minhash, packing, recurrent_lm, spelling,
+               subword_sampling, tokens, url_filter)
 from .common import table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -111,5 +112,77 @@ def op4_subword_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_sampling.sample_segmentations(table(spark, sf_dir, "documents"), tokens.vocabulary("piece_bpe_32k.model"))
 
 
-REGISTRY = {"op4_subword_sampling": op4_subword_sampling, "op2_recurrent_lm": op2_recurrent_lm, "op10_minhash": op10_minhash, "op5_line_dedup": op5_line_dedup, "op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
-ORACLES = {"op10_minhash": OP10_SQL, "op5_line_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.vocabulary("byte_bpe_50k.tiktoken")
+    d = merge_replay.decode_ids(merge_replay.encode(table(spark, sf_dir, "documents"), path, tokens.pattern()), path)
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                    F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
+
+
+# crc32 of a list of bytes: the list, then the register's eight steps for each byte
+_CRC = ("xor(list_reduce(list_prepend(4294967295::UBIGINT, {bytes}), lambda c, b: list_reduce(list_prepend(xor(c, b), [0::UBIGINT for _ in range(8)]), "
+        "lambda x, _i: xor(x // 2, 3988292384::UBIGINT * (x % 2)))), 4294967295::UBIGINT)")
+_FIELD = "CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+_FIELDS = " || ".join(_FIELD.format(c=c) for c in merkle.FIELDS)
+_ID_BYTES = "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)"
+OP12_SQL = f"""
+WITH RECURSIVE l AS (SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({_FIELDS}) AS leaf,
+       CASE WHEN n_chars IS NOT NULL AND {_CRC.format(bytes=_ID_BYTES)} % 7 = 0
+            THEN sha256({_FIELDS.replace('n_chars', '(n_chars + 1)')}) END AS changed FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM l),
+t(g, lev, pos, h, n) AS (SELECT g, 0, pos, leaf, n FROM r
+  UNION ALL SELECT g, lev + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY g, lev, pos // 2, n),
+s AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lev, pos, h, n) AS (SELECT 0, pos, h, n FROM s
+  UNION ALL SELECT lev + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY lev, pos // 2, n),
+a AS (SELECT g, max(lev) AS high FROM t GROUP BY g),
+step AS (SELECT r.g, r.pos AS leaf_pos, t1.lev, t1.pos % 2 AS side, t2.h AS sib
+         FROM r JOIN t t1 ON t1.g = r.g AND t1.n > 1 AND t1.pos = r.pos >> t1.lev
+         LEFT JOIN t t2 ON t2.g = t1.g AND t2.lev = t1.lev AND t2.pos = xor(t1.pos, 1)
+         UNION ALL
+         SELECT r.g, r.pos, a.high + u1.lev, u1.pos % 2, u2.h
+         FROM r JOIN a ON a.g = r.g JOIN s ON s.g = r.g JOIN u u1 ON u1.n > 1 AND u1.pos = s.pos >> u1.lev
+         LEFT JOIN u u2 ON u2.lev = u1.lev AND u2.pos = xor(u1.pos, 1)),
+p AS (SELECT g, leaf_pos AS pos, string_agg(coalesce(sib, ''), '' ORDER BY lev) AS proof FROM step GROUP BY ALL),
+f(g, pos, lev, h) AS (SELECT g, pos, 0, coalesce(changed, leaf) FROM r
+  UNION ALL SELECT f.g, f.pos, f.lev + 1, sha256(CASE WHEN side = 1 THEN sib || h ELSE h || coalesce(sib, '') END)
+  FROM f JOIN step ON step.g = f.g AND step.leaf_pos = f.pos AND step.lev = f.lev),
+e AS (SELECT g, pos, arg_max(h, lev) AS folded FROM f GROUP BY ALL)
+SELECT r.doc_id, r.leaf, s.h AS subroot, root.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256, e.folded AS folded_root, e.folded = root.h AS verified
+FROM r JOIN s ON s.g = r.g JOIN e ON e.g = r.g AND e.pos = r.pos LEFT JOIN p ON p.g = r.g AND p.pos = r.pos
+CROSS JOIN (SELECT h FROM u WHERE n = 1) root
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
+_RUN_BYTES = ("list_concat(list_transform(string_split(id || ':', ''), lambda x: ascii(x)::UBIGINT), flatten(list_transform(string_split(low, ''), "
+              "lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::UBIGINT] ELSE [(192 + unicode(x) // 64)::UBIGINT, (128 + unicode(x) % 64)::UBIGINT] END)))")
+OP13_SQL = f"""
+WITH RECURSIVE b AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[{spelling.LETTERS}]+')) AS run FROM documents),
+k AS (SELECT id, {_LOW.replace("coalesce(text, '')", "run")} AS low, count(*) AS m FROM b WHERE length(run) >= {spelling.LEAST} GROUP BY ALL),
+h AS (SELECT low, m, {_CRC.format(bytes=_RUN_BYTES)} AS h FROM k),
+c AS (SELECT CASE WHEN h % 31 = 0 THEN substr(low, 1, (h % length(low))::BIGINT) || substr(low, (h % length(low))::BIGINT + 2) ELSE low END AS word, m FROM h),
+w AS (SELECT word, sum(m)::BIGINT AS n FROM c WHERE length(word) >= {spelling.LEAST} GROUP BY word HAVING sum(m) >= {spelling.SEEN}),
+v AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (SELECT x.word, x.n, y.word AS near, y.n AS m FROM v x JOIN v y ON x.less = y.less AND x.i = y.i AND x.word <> y.word
+      UNION SELECT x.word, x.n, y.word, y.n FROM v x JOIN w y ON x.less = y.word
+      UNION SELECT y.word, y.n, x.word, x.n FROM v x JOIN w y ON x.less = y.word),
+g AS (SELECT word, n, count(DISTINCT near) AS n_near, max(m) AS top FROM e GROUP BY word, n),
+f AS (SELECT g.word, g.n_near, min(near) AS form, top FROM g JOIN e ON e.word = g.word AND e.m = top WHERE top >= {spelling.RATIO} * g.n GROUP BY ALL),
+t(word, root) AS (SELECT word, form FROM f UNION ALL SELECT t.word, f.form FROM t JOIN f ON f.word = t.root),
+z AS (SELECT word, root FROM t WHERE root NOT IN (SELECT word FROM f))
+SELECT w.word, f.form, coalesce(z.root, w.word) AS root, w.n, coalesce(g.n_near, 0)::BIGINT AS n_near, f.top::BIGINT AS form_n
+FROM w LEFT JOIN g ON g.word = w.word LEFT JOIN f ON f.word = w.word LEFT JOIN z ON z.word = w.word
+"""
+
+
+REGISTRY = {"op11_merge_replay": op11_merge_replay, "op12_merkle_manifest": op12_merkle_manifest, "op13_spelling_variants": op13_spelling_variants,
+            "op4_subword_sampling": op4_subword_sampling, "op2_recurrent_lm": op2_recurrent_lm, "op10_minhash": op10_minhash, "op5_line_dedup": op5_line_dedup, "op1_fingerprints": op1_fingerprints, "op6_language_id": op6_language_id, "op9_token_files": op9_token_files, "op3_packing": op3_packing, "op7_url_filter": op7_url_filter, "op8_exact_dedup": op8_exact_dedup}
+ORACLES = {"op12_merkle_manifest": OP12_SQL, "op13_spelling_variants": OP13_SQL, "op10_minhash": OP10_SQL, "op5_line_dedup": OP5_SQL, "op7_url_filter": OP7_SQL, "op8_exact_dedup": OP8_SQL}

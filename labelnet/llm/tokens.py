@@ -20,6 +20,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pattern() -> str:
+    """The pattern that cuts a text into words before the merges of the rank files."""
+    import public_tokenizers
+    return public_tokenizers.PATTERN
+
+
 class WordCache:
     """``lead_space``: a word carries the space before it (byte-level BPE); else white space is dropped.
 
