@@ -72,43 +72,35 @@ def _levels(fanout: int) -> int:
     return d
 
 
-def _up(n: Column, fanout: int) -> Column:
-    return F.floor((n + F.lit(fanout - 1)) / F.lit(fanout)).cast("long")
-
-
 def _pivot(nodes: DataFrame, fanout: int, extra: list[str]) -> DataFrame:
     """grp, place of the block, n, and slot columns c0.. (node and ``extra`` of each child)."""
     width = fanout ** _levels(fanout)
-    child = F.struct("node", *extra)
-    slot = F.pmod(F.col("place"), F.lit(width))
-    return nodes.groupBy("grp", F.floor(F.col("place") / width).cast("long").alias("place")).agg(
-        F.max("n").alias("n"), *[F.max(F.when(slot == s, child)).alias(f"c{s}") for s in range(width)])
+    child = f"struct({', '.join(['node', *extra])})"
+    block = nodes.selectExpr("grp", f"place div {width} AS place", f"place % {width} AS slot", "n", f"{child} AS child")
+    return block.groupBy("grp", "place").agg(F.max("n").alias("n"), *[F.expr(f"max(CASE WHEN slot = {s} THEN child END) AS c{s}") for s in range(width)])
 
 
 def _inner(blocks: DataFrame, fanout: int) -> DataFrame:
     """``blocks`` with the nodes of the levels above the slots: h{level}_{i}, and n{level}, the group's nodes there."""
     depth = _levels(fanout)
-    width = fanout ** depth
-    out = blocks.withColumns({"n0": F.col("n"), **{f"h0_{s}": F.col(f"c{s}.node") for s in range(width)}})
+    out = blocks.selectExpr("*", "n AS n0", *[f"c{s}.node AS h0_{s}" for s in range(fanout ** depth)])
     for j in range(depth):
-        have, up = F.col(f"n{j}"), {f"n{j + 1}": _up(F.col(f"n{j}"), fanout)}
-        for i in range(fanout ** (depth - j - 1)):
-            run = [F.col(f"h{j}_{i * fanout + s}") for s in range(fanout)]
-            up[f"h{j + 1}_{i}"] = F.when(run[0].isNull() | (have <= 1), run[0]).otherwise(digest(*run))
-        out = out.withColumns(up)
+        runs = [[f"h{j}_{i * fanout + s}" for s in range(fanout)] for i in range(fanout ** (depth - j - 1))]
+        out = out.selectExpr("*", f"(n{j} + {fanout - 1}) div {fanout} AS n{j + 1}", *[
+            f"CASE WHEN {r[0]} IS NULL OR n{j} <= 1 THEN {r[0]} ELSE sha2(concat_ws('', {', '.join(r)}), 256) END AS h{j + 1}_{i}"
+            for i, r in enumerate(runs)])
     return out
 
 
-def _siblings(slot: int, fanout: int) -> Column:
+def _siblings(slot: int, fanout: int) -> str:
     """Siblings of a slot, level by level as long as the group has more than one node."""
     steps = []
     for j in range(_levels(fanout)):
         own = slot // fanout ** j
         first = own - own % fanout
-        before = F.concat_ws("", *[F.col(f"h{j}_{i}") for i in range(first, own)])
-        after = F.concat_ws("", *[F.col(f"h{j}_{i}") for i in range(own + 1, first + fanout)])
-        steps.append(F.when(F.col(f"n{j}") > 1, F.struct(before.alias("before"), after.alias("after"))))
-    return F.array_compact(F.array(*steps))
+        before, after = ("concat_ws(" + ", ".join(["''", *[f"h{j}_{i}" for i in side]]) + ")" for side in (range(first, own), range(own + 1, first + fanout)))
+        steps.append(f"CASE WHEN n{j} > 1 THEN struct({before} AS before, {after} AS after) END")
+    return f"array_compact(array({', '.join(steps)}))"
 
 
 def climb(rows: DataFrame, fanout: int, extra: list[str]) -> tuple[list[DataFrame], DataFrame]:
@@ -131,11 +123,10 @@ def descend(stages: list[DataFrame], above: DataFrame, fanout: int, extra: list[
     down = above.withColumn("place", F.lit(0).cast("long"))
     for k in reversed(range(len(stages))):
         block = stages[k].join(down, ["grp", "place"])
-        child = [F.struct((F.col("place") * width + s).alias("place"), F.col(f"c{s}").alias("child"), _siblings(s, fanout).alias("own"))
-                 for s in range(width)]
-        every = _inner(block, fanout).select("grp", "path", *kept, F.explode(F.array(*child)).alias("x")).where("x.child IS NOT NULL")
-        every = every.withColumn("path", F.concat("x.own", "path"))
-        down = every.select("grp", "x.place", "path", *kept, *([] if k else ["x.child.node", *[f"x.child.{c}" for c in extra]]))
+        child = ", ".join(f"struct(place * {width} + {s} AS place, c{s} AS child, {_siblings(s, fanout)} AS own)" for s in range(width))
+        every = _inner(block, fanout).selectExpr("grp", "path", *kept, f"explode(array({child})) AS x").where("x.child IS NOT NULL")
+        down = every.selectExpr("grp", "x.place", "concat(x.own, path) AS path", *kept,
+                                *([] if k else ["x.child.node", *[f"x.child.{c} AS {c}" for c in extra]]))
     return down.drop("place")
 
 
