@@ -3,8 +3,9 @@
 A text is cut into words by a published pattern (``tokens.pattern``); each word is encoded for itself, so equal words
 have equal ids and each distinct one is replayed once for the whole corpus:
 
-1. Texts are cut in slices (``chunk``). A chunk's table of distinct words goes out in lists by hash ``bucket`` of the
-   word; a text is kept as positions in that table. One write holds both, so they fit together whatever task fails.
+1. Texts are cut in slices (``chunk``). Of a chunk's distinct words those that are no token go out in lists by hash
+   ``bucket`` of the word; a text is kept as positions among the chunk's words. One write holds both, so they fit
+   together whatever task fails. Positions and lists are packed (byte planes, zstd).
 2. The lists of a bucket meet in one group. Its distinct words lie in one row of bytes, an inverted index leads from
    each rank of a token pair to the positions where the pair stands, and the ranks are applied in order: all positions
    of a rank at once (the leftmost first where they overlap), after which only the touched neighbours get new pairs and
@@ -35,8 +36,8 @@ from pyspark.sql import types as T
 from . import tokens
 from .common import saved, text_or_empty
 
-SLICE = 8_000_000              # bytes of text in a chunk
-BUCKET = 96_000_000            # bytes of text for each bucket of words
+SLICE = 12_000_000             # bytes of text in a chunk
+BUCKET = 48_000_000            # bytes of text for each bucket of words
 NONE = np.int32(2 ** 31 - 1)   # no rank
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -96,11 +97,12 @@ def replay(flat: np.ndarray, start: np.ndarray, ranks: Ranks) -> tuple[np.ndarra
     n = len(flat)
     if not n:
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
-    word = np.zeros(n, np.int64)
+    kind = np.int32 if n < 2 ** 31 - 1 else np.int64
+    word = np.zeros(n, kind)
     word[start[1:]] = 1
-    word = np.cumsum(word)
+    np.cumsum(word, out=word)
     tok = ranks.byte[flat]
-    nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+    nxt, prv = np.arange(1, n + 1, dtype=kind), np.arange(-1, n - 1, dtype=kind)
     ends = np.concatenate([start[1:], [n]]) - 1
     nxt[ends], prv[start] = -1, -1
     pair = np.full(n, NONE)
@@ -165,7 +167,7 @@ def replay(flat: np.ndarray, start: np.ndarray, ranks: Ranks) -> tuple[np.ndarra
 
 def encode_words(words: pa.Array, ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all (distinct) words in a row, and where each word's begin (one more at the end)."""
-    raw = [w.encode() for w in words.to_pylist()]
+    raw = [w if isinstance(w, bytes) else w.encode() for w in words.to_pylist()]
     whole = np.fromiter((ranks.ids.get(w, -1) for w in raw), np.int32, len(raw))
     rest = np.flatnonzero(whole < 0)
     size = np.fromiter((len(raw[i]) for i in rest), np.int64, len(rest))
@@ -221,11 +223,63 @@ def segments(texts: pa.Array) -> tuple[pa.LargeStringArray, np.ndarray]:
     return out, np.searchsorted(begin, offs)
 
 
-def words_of(texts: pa.Array, pattern) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+class Splitter:
+    """Matches of the pattern, with the library's classes of characters.
+
+    The ``regex`` module's table of characters is newer than the library's. Characters that Python's own (older) table
+    doesn't know are asked of the library, once for each, and stand as a letter, digit or mark of its kind in the match."""
+
+    def __init__(self, pattern: str):
+        import re
+        import unicodedata
+
+        import regex
+        self.pattern, self.compiled, self.stand_in = pattern, regex.compile(pattern), {}
+        new = np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], new.astype(np.int8), [0]])))
+        self.new = re.compile("[" + "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())) + "]")
+        self.probe = None
+
+    def _kind(self, char: str) -> str:
+        """``b``, ``1`` or ``!``: what goes with the character in one match. The probe's only merges are of those with a
+        character's first byte, so ids are fewer than bytes only within one match."""
+        if self.probe is None:
+            import tiktoken
+            ranks = {bytes([b]): b for b in range(256)}
+            for lead in range(0xC2, 0xF5):
+                for mark in b"b1":
+                    ranks[bytes([mark, lead])] = len(ranks)
+            self.probe = tiktoken.Encoding("probe", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+        return next((m for m in "b1" if len(self.probe.encode_ordinary(m + char)) <= len(char.encode())), "!")
+
+    def findall(self, s: str) -> list[str]:
+        if s.isascii():
+            if (s[1:] if s[:1] == " " else s).isalpha():
+                return [s]
+        elif self.new.search(s):
+            for c in set(self.new.findall(s)):
+                if c not in self.stand_in:
+                    self.stand_in[c] = self._kind(c)
+            like = "".join(self.stand_in.get(c, c) for c in s)
+            return [s[m.start():m.end()] for m in self.compiled.finditer(like)]
+        return self.compiled.findall(s)
+
+
+_SPLITTERS: dict = {}
+
+
+def splitter(pattern: str) -> Splitter:
+    """One per Python worker."""
+    if pattern not in _SPLITTERS:
+        _SPLITTERS[pattern] = Splitter(pattern)
+    return _SPLITTERS[pattern]
+
+
+def words_of(texts: pa.Array, pattern: Splitter) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words of all texts, each text's words as positions among them in a row, and where each text's begin."""
     segs, at = segments(texts)
     coded = segs.dictionary_encode()
-    parts = [[s] if s.isascii() and (s[1:] if s[:1] == " " else s).isalpha() else pattern.findall(s) for s in coded.dictionary.to_pylist()]
+    parts = [pattern.findall(s) for s in coded.dictionary.to_pylist()]
     size = np.fromiter(map(len, parts), np.int64, len(parts))
     flat = pa.array([w for p in parts for w in p], pa.large_string()).dictionary_encode()
     code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -235,65 +289,121 @@ def words_of(texts: pa.Array, pattern) -> tuple[pa.Array, np.ndarray, np.ndarray
     return flat.dictionary, seq, upto[at]
 
 
-def _cut(pattern: str, buckets: int, schema: pa.Schema):
+# --- packed columns: what goes to disk is small ----------------------------------------------------------------------
+
+def pack_ints(x: np.ndarray) -> bytes:
+    """Numbers from 0 on, as compressed planes of their bytes."""
+    x = np.ascontiguousarray(x, "<u4")
+    planes = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([planes]) + _squeezed(x.view(np.uint8).reshape(-1, 4)[:, :planes].T.tobytes())
+
+
+def unpack_ints(raw: bytes) -> np.ndarray:
+    flat = np.frombuffer(_restored(raw[1:]), np.uint8).reshape(raw[0], -1)
+    out = np.zeros((flat.shape[1], 4), np.uint8)
+    out[:, :raw[0]] = flat.T
+    return out.view("<u4").reshape(-1).astype(np.int64)
+
+
+def _squeezed(raw: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=6, write_content_size=True).compress(raw)
+
+
+def _restored(raw: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
+def joined(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def parted(raw: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(raw):
+        n = int.from_bytes(raw[at:at + 8], "little")
+        out.append(raw[at + 8:at + 8 + n])
+        at += 8 + n
+    return out
+
+
+# --- the job ---------------------------------------------------------------------------------------------------------
+
+def _cut(pattern: str, path: str, buckets: int, schema: pa.Schema):
+    """Rows of three kinds for each chunk: one for each text (place in the chunk, words), one with the words of all
+    texts (``blob``), and one for each bucket with its words, in the order of their first appearance."""
+    def rows(chunk, n, schema, **cols):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)) if f.name == "chunk" else cols[f.name].cast(f.type) if f.name in cols
+                                           else pa.nulls(n, f.type) for f in schema], schema=schema)
+
     def run(batches):
-        import regex
         import xxhash
         from pyspark import TaskContext
         task, n = TaskContext.get().partitionId() << 32, 0
-        pat = regex.compile(pattern)
+        pat, ranks = splitter(pattern), ranks_of(path)
         for big in batches:
             for b in tokens.slices(big, chars=SLICE):
                 chunk, n = task + n, n + 1
                 words, seq, at = words_of(b.column("text"), pat)
-                bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words.to_pylist()), np.int32, len(words))
+                raw = [w.encode() for w in words.to_pylist()]
+                whole = np.fromiter((ranks.ids.get(w, -1) for w in raw), np.int64, len(raw))
+                rest = np.flatnonzero(whole < 0)           # tokens are known everywhere, only the other words go out
+                bucket = np.fromiter((xxhash.xxh3_64_intdigest(raw[i]) % buckets for i in rest), np.int64, len(rest))
+                seen = np.maximum.accumulate(np.concatenate([[-1], seq]))[:-1]
+                blob = joined(pack_ints(np.where(seq > seen, 0, seq + 1)), pack_ints(whole + 1), pack_ints(bucket))   # 0: a word's first appearance
+                yield rows(chunk, len(b), schema, place=pa.array(np.arange(len(b))), size=pa.array(np.diff(at)),
+                           **{schema.names[i + 4]: b.column(i) for i in range(1, b.num_columns)})
+                yield rows(chunk, 1, schema, blob=pa.array([blob], pa.binary()))
                 order = np.argsort(bucket, kind="stable")
-                place = np.empty(len(order), np.int32)
-                place[order] = np.arange(len(order), dtype=np.int32)
-                seq = place[seq]
-                codes = [seq[at[i]:at[i + 1]].tobytes() for i in range(len(b))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(b), chunk)), pa.nulls(len(b), pa.int32()), pa.nulls(len(b), schema.field("words").type),
-                     pa.array(codes, pa.binary()), *(b.column(i) for i in range(1, b.num_columns))], schema=schema)
                 had = np.unique(bucket)
-                if len(had):
-                    cuts = np.concatenate([np.searchsorted(bucket[order], had), [len(order)]]).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words.take(pa.array(order)).cast(pa.string()))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(had), chunk)), pa.array(had, pa.int32()), lists, pa.nulls(len(had), pa.binary()),
-                         *(pa.nulls(len(had), f.type) for f in list(schema)[4:])], schema=schema)
+                cuts = np.searchsorted(bucket[order], had, "right")
+                lists = [[raw[i] for i in rest[part]] for part in np.split(order, cuts[:-1])] if len(had) else []
+                packed = [joined(pack_ints(np.fromiter(map(len, x), np.int64, len(x))), _squeezed(b"".join(x))) for x in lists]
+                yield rows(chunk, len(had), schema, bucket=pa.array(had), blob=pa.array(packed, pa.binary()))
     return run
 
 
 def _replay(path: str):
     def run(t: pa.Table) -> pa.Table:
-        lists = pa.concat_arrays(t.column("words").chunks)
-        size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        coded = lists.flatten().cast(pa.large_string()).dictionary_encode()
+        sizes, raw = [], []
+        for x in t.column("blob").to_pylist():
+            size, text = parted(x)
+            sizes.append(unpack_ints(size))
+            raw.append(_restored(text))
+        n = np.concatenate([[0], np.cumsum([len(x) for x in sizes])])
+        offs = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
+        flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), int(n[-1]), [None, pa.py_buffer(offs), pa.py_buffer(b"".join(raw))])
+        coded = flat.dictionary_encode()
         ids, at = encode_words(coded.dictionary, ranks_of(path))
-        count = np.diff(at)
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        out, n = [], np.concatenate([[0], np.cumsum(size)])
-        for i in range(len(lists)):
+        count, code, out = np.diff(at), coded.indices.to_numpy(zero_copy_only=False), []
+        for i in range(len(sizes)):
             c = code[n[i]:n[i + 1]]
-            out.append((count[c].astype(np.int32).tobytes(), ids[spread(at[:-1][c], count[c])].tobytes()))
-        return pa.table([t.column("chunk"), t.column("bucket"), pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())],
-                        names=["chunk", "bucket", "sizes", "ids"])
+            out.append(joined(pack_ints(count[c]), pack_ints(ids[spread(at[:-1][c], count[c])])))
+        return pa.table([t.column("chunk"), t.column("bucket"), pa.array(out, pa.binary())], names=["chunk", "bucket", "ids"])
     return run
 
 
 def _whole(keep: list[str]):
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("bucket")
-        size = np.frombuffer(b"".join(words.column("sizes").to_pylist()), np.int32).astype(np.int64)
-        ids = np.frombuffer(b"".join(words.column("ids").to_pylist()), np.int32)
-        start = np.cumsum(size) - size
-        raw = docs.column("codes").to_pylist()
-        seq = np.frombuffer(b"".join(raw), np.int32)
+        blob = pc.drop_null(docs.column("blob"))[0].as_py()
+        docs = docs.filter(pc.is_valid(docs.column("place"))).sort_by("place")
+        seq, whole, bucket = map(unpack_ints, parted(blob))
+        new = seq == 0
+        seq = np.where(new, np.cumsum(new) - 1, seq - 1)
+        size, got = (whole > 0).astype(np.int64), np.zeros(0, np.int64)
+        rest = np.flatnonzero(whole == 0)[np.argsort(bucket, kind="stable")]
+        if len(rest):
+            pairs = [parted(x) for x in words.sort_by("bucket").column("ids").to_pylist()]
+            size[rest] = np.concatenate([unpack_ints(n) for n, _ in pairs])
+            got = np.concatenate([unpack_ints(x) for _, x in pairs])
+        start = np.cumsum(size) - size                     # ids of all words of the chunk in a row
+        ids = np.zeros(int(size.sum()), np.int32)
+        ids[start[whole > 0]] = whole[whole > 0] - 1
+        ids[spread(start[rest], size[rest])] = got
         upto = np.concatenate([[0], np.cumsum(size[seq])])
-        ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in raw])]).astype(np.int64)
-        flat = ids[spread(start[seq], size[seq])] if len(seq) else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(upto[ends], pa.int32()), pa.array(flat, pa.int32()))
+        ends = np.concatenate([[0], np.cumsum(docs.column("size").to_numpy())]).astype(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(upto[ends], pa.int32()), pa.array(ids[spread(start[seq], size[seq])], pa.int32()))
         return pa.table([*(docs.column(c) for c in keep), lists], names=[*keep, "ids"])
     return run
 
@@ -303,14 +413,14 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple = ("doc_id",),
     body = docs.select(text_or_empty(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
     size = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     kinds = body.schema.fields[1:]
-    out = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("bucket", T.IntegerType()),
-                        T.StructField("words", T.ArrayType(T.StringType())), T.StructField("codes", T.BinaryType()), *kinds])
-    from pyspark.sql.pandas.types import to_arrow_schema
-    cut = saved(body.mapInArrow(_cut(pattern, max(8, -(-size // BUCKET)), to_arrow_schema(out)), out), "replay-words")
-    words = cut.where("bucket IS NOT NULL").select("chunk", "bucket", "words")
-    ids = words.groupBy("bucket").applyInArrow(_replay(path), "chunk long, bucket int, sizes binary, ids binary")
-    texts = cut.where("bucket IS NULL").select("chunk", "codes", *[f.name for f in kinds])
     names = [f.name for f in kinds]
+    out = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("bucket", T.LongType()), T.StructField("place", T.LongType()),
+                        T.StructField("size", T.LongType()), T.StructField("blob", T.BinaryType()), *kinds])
+    from pyspark.sql.pandas.types import to_arrow_schema
+    cut = saved(body.mapInArrow(_cut(pattern, path, max(8, -(-size // BUCKET)), to_arrow_schema(out)), out), "replay-words")
+    words = cut.where("bucket IS NOT NULL").select("chunk", "bucket", "blob")
+    ids = words.groupBy("bucket").applyInArrow(_replay(path), "chunk long, bucket long, ids binary")
+    texts = cut.where("bucket IS NULL").select("chunk", "place", "size", "blob", *names)
     done = texts.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(
         _whole(names), T.StructType([*kinds, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
     return done.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "ids")
