@@ -13,10 +13,15 @@ their weighted Jaccard index.
 Join: documents with equal words are one representative first. Representatives that agree on all ``ROWS``
 coordinates of one of ``BANDS`` bands are candidates (0.8: found with probability 0.99995). Candidates are never
 listed as all pairs of a group: in the rounds of ``LEADERS`` every member of a band's bucket is compared with a few
-leaders of it, others each round, as long as the two aren't known to be in one class; then what still lies in one
-bucket but not in one known class is compared pair by pair. Pairs are screened by their signatures (agreement of half the
-coordinates; a pair at 0.8 fails that with less than 1e-9) and then verified on the whole texts. Classes are the
-connected components of the links.
+leaders of it, as long as the two aren't known to be in one class. The first leader is the member whose own buckets are
+the largest, as the original of many copies agrees with more of them than they do with each other; the others are picked
+by hash. What then still lies in one bucket but not in one known class is compared pair by pair in buckets of up to
+``SMALL`` members. Members of larger ones meet by their rarest regions instead: two sets of similarity 0.8 share one of
+the first regions in any order (of the smaller set's ninth and the larger's fifth), and in rarest-first order texts of one
+template that differ in more than that have no such region in common. Regions that only members of one class have, and
+pairs of the class that holds most of a region's members, are left out, so a large class isn't paired with itself.
+Pairs are screened by their signatures (agreement of half the coordinates; a pair at 0.8 fails that with less than 1e-9)
+and then verified on the whole texts. Classes are the connected components of the links.
 
 Defined cases: a null text is empty; all texts without a word are one class; rows that share a doc_id
 are told apart by their text, and equal rows are in one class, of which one row stays; a null doc_id counts as
@@ -38,7 +43,9 @@ from .common import saved
 
 SHINGLE, BOUND = 5, 0.8
 K, BANDS, ROWS = 128, 25, 5
-LEADERS = ((0, 1), (2, 3))    # seeds of the leaders of each round
+LEADERS = (("pop", 1), (2, 3))    # leaders of each round: by popularity, or the seed of a hash
+SMALL = 16                    # members of a bucket that are compared pair by pair after the leaders
+COUNTERS = 1 << 20            # counters that order regions by how often they occur (a hash may share one: only speed)
 SCREEN = 0.5
 FIRST = -(1 << 63)            # stands for a null doc_id
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -159,19 +166,78 @@ def _verify(bound: float):
     return run
 
 
+def _texts(uids: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
+    """uid, text of the given documents, written once."""
+    return saved(uids.join(sigs.select("uid", "k", "th"), "uid").join(texts, ["k", "th"]).select("uid", "text").dropDuplicates(["uid"]), "near-texts")
+
+
 def _links(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, bound: float) -> DataFrame:
     """Pairs ``a, b`` (uids) whose texts are similar enough."""
     d = pairs.join(sigs.select(F.col("uid").alias("a"), F.col("sig").alias("sa")), "a").join(
         sigs.select(F.col("uid").alias("b"), F.col("sig").alias("sb")), "b")
     d = saved(d.select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long"), "near-pairs")
-    need = d.select(F.col("a").alias("uid")).union(d.select("b")).distinct()
-    need = saved(need.join(sigs.select("uid", "k", "th"), "uid").join(texts, ["k", "th"]).select("uid", "text")
-                 .dropDuplicates(["uid"]), "near-texts")
+    need = _texts(d.select(F.col("a").alias("uid")).union(d.select("b")).distinct(), sigs, texts)
     d = d.join(need.select(F.col("uid").alias("a"), F.col("text").alias("ta")), "a").join(
         need.select(F.col("uid").alias("b"), F.col("text").alias("tb")), "b")
     return saved(d.select("a", "b", "ta", "tb").mapInArrow(_verify(bound), "a long, b long"), "near-links")
 
 
+def _region_counts(batches):
+    total = np.zeros(COUNTERS, np.int64)
+    for big in batches:
+        for b in tokens.slices(big, chars=8_000_000):
+            region, _ = cells(b.column("text"))
+            total += np.bincount((region % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
+
+
+def first_regions(region: np.ndarray, begin: np.ndarray, often: np.ndarray, bound: float):
+    """Of each set, the regions that one of its partners must share one of, in rarest-first order, and where they begin;
+    how many of them if the partner is larger; and the sets' sizes."""
+    n = np.diff(begin)
+    doc = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((region, often[(region % np.uint64(len(often))).astype(np.int64)], doc))
+    probe = np.where(n, n - np.ceil(bound * n - 1e-9).astype(np.int64) + 1, 0)
+    index = np.where(n, n - np.ceil(2 * bound / (1 + bound) * n - 1e-9).astype(np.int64) + 1, 0)
+    ends = np.cumsum(probe)
+    at = np.repeat(begin[:-1] - (ends - probe), probe) + np.arange(ends[-1] if len(ends) else 0)
+    return region[order][at], np.concatenate([[0], ends]), index, n
+
+
+def _first(bound: float, often):
+    def run(batches):
+        for big in batches:
+            for b in tokens.slices(big, chars=8_000_000):
+                got, begin, index, n = first_regions(*cells(b.column("text")), often.value, bound)
+                lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(got.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([b.column("uid"), pa.array(n), pa.array(index), lists], names=["uid", "size", "n_index", "cells"])
+    return run
+
+
+def sharing_pairs(member: DataFrame, texts: DataFrame, bound: float) -> DataFrame:
+    """``u, u2`` of different components that may be similar: every pair at the bound or above is among them. ``member``:
+    uid, component; ``texts``: uid, text."""
+    spark = member.sparkSession
+    rows = texts.mapInArrow(_region_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()   # at most COUNTERS rows
+    often = np.zeros(COUNTERS, np.int64)
+    for r in rows:
+        often[r["slot"]] = r["n"]
+    first = texts.mapInArrow(_first(bound, spark.sparkContext.broadcast(often)), "uid long, size long, n_index long, cells array<long>")
+    first = saved(first.join(member.select("uid", "component").distinct(), "uid"), "near-regions")
+    rows = first.select("uid", "size", "component", "n_index", F.posexplode("cells").alias("at", "cell"))
+    per = rows.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("m"), F.max((F.col("at") < F.col("n_index")).cast("int")).alias("ix"))
+    per = per.groupBy("cell").agg(F.max_by("component", "m").alias("most"), F.count(F.lit(1)).alias("groups"), F.max("ix").alias("ix"))
+    rows = saved(rows.join(per.where("groups > 1 and ix = 1").select("cell", "most"), "cell"), "near-shared-regions")
+    x = rows.where("at < n_index").select("cell", F.col("uid").alias("u"), F.col("size").alias("n"), F.col("component").alias("c"), F.col("at").alias("i"), "most")
+    y = rows.select("cell", F.col("uid").alias("u2"), F.col("size").alias("n2"), F.col("component").alias("c2"), F.col("at").alias("i2"), F.col("most").alias("most2"))
+    fits = (F.col("c") != F.col("c2")) & ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("u") < F.col("u2"))))
+    fits &= F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) >= F.lit(bound / (1 + bound)) * (F.col("n") + F.col("n2")) - F.lit(1e-6)
+    found = x.where("c <> most").join(y, "cell").where(fits).select("u", "u2").unionByName(
+        x.where("c = most").join(y.where("c2 <> most2"), "cell").where(fits).select("u", "u2"))
+    return found.distinct()
+
+
 def _known(comp: DataFrame, links: DataFrame) -> DataFrame:
     """Two steps of smallest labels along the links: members of a class share a label more often than before, and never
     with another class. (Only to spare comparisons; the classes come from all links at the end.)"""
@@ -195,26 +261,29 @@ def classes(docs: DataFrame, bound: float = BOUND) -> DataFrame:
     reps = saved(meta.groupBy("digest").agg(F.min("uid").alias("uid")), "near-reps")
     sigs = saved(meta.where("weight > 0").join(reps.select("uid"), "uid").select("uid", "k", "th", "sig", "bands"), "near-signatures")
     rows = sigs.select("uid", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key")
-    rows = saved(rows.join(shared, "key", "left_semi"), "near-bands")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    rows = rows.join(shared, "key").withColumn("pop", F.sum("m").over(Window.partitionBy("uid")))      # a document has BANDS rows
+    rows = saved(rows, "near-bands")
     nodes = rows.select(F.col("uid").alias("id")).distinct()
     comp, found, done = None, None, None
-    for seeds in (*LEADERS, None):
-        if comp is None:
-            member = rows.withColumn("component", F.col("uid"))
-        else:
-            member = rows.join(comp, "uid")
-        picks = [f(c, F.xxhash64("uid", F.lit(s))).alias(f"{n}{i}") for i, s in enumerate(seeds or ())
-                 for f, c, n in ((F.min_by, "uid", "u"), (F.min_by, "component", "c"))]
+    for leaders in (*LEADERS, None):
+        member = rows.withColumn("component", F.col("uid")) if comp is None else rows.join(comp, "uid")
+        picks = [F.max_by(F.struct("uid", "component"), F.struct("pop", "uid") if s == "pop" else F.xxhash64("uid", F.lit(s))).alias(f"x{i}")
+                 for i, s in enumerate(leaders or ())]
         open_ = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *picks).where("lo < hi")
-        if seeds:
-            lead = open_.select("key", F.explode(F.array(*[F.struct(F.col(f"u{i}").alias("u"), F.col(f"c{i}").alias("c")) for i in range(len(seeds))])).alias("x"))
-            lead = lead.select("key", F.col("x.u").alias("u2"), F.col("x.c").alias("c2"))
-            pairs = member.join(lead, "key").where("component <> c2")
+        if leaders:
+            lead = open_.select("key", F.explode(F.array(*[f"x{i}" for i in range(len(leaders))])).alias("x"))
+            lead = lead.select("key", F.col("x.uid").alias("u2"), F.col("x.component").alias("c2"))
+            pairs = member.join(lead, "key").where("component <> c2").select("uid", "u2")
         else:
             rest = saved(member.join(open_.select("key"), "key", "left_semi"), "near-open")
-            other = rest.select("key", F.col("uid").alias("u2"), F.col("component").alias("c2"))
-            pairs = rest.join(other, "key").where("component <> c2 and uid < u2")
+            few = rest.where(F.col("m") <= SMALL)
+            other = few.select("key", F.col("uid").alias("u2"), F.col("component").alias("c2"))
+            pairs = few.join(other, "key").where("component <> c2 and uid < u2").select("uid", "u2")
+            many = rest.where(F.col("m") > SMALL).select("uid", "component").distinct()
+            if not many.isEmpty():
+                many = saved(many, "near-many")
+                pairs = pairs.unionByName(sharing_pairs(many, _texts(many.select("uid"), sigs, keyed), bound).withColumnRenamed("u", "uid"))
         pairs = pairs.select(F.least("uid", "u2").alias("a"), F.greatest("uid", "u2").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
@@ -222,7 +291,7 @@ def classes(docs: DataFrame, bound: float = BOUND) -> DataFrame:
         done = pairs if done is None else done.unionByName(pairs)
         new = _links(pairs, sigs, keyed, bound)
         found = new if found is None else found.unionByName(new)
-        if seeds:
+        if leaders:
             comp = saved(_known(member.select("uid", "component").distinct(), found), "near-known")
     comp = connected_components(nodes, found.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     all_reps = reps.join(comp.withColumnRenamed("id", "uid"), "uid", "left").select("digest", F.coalesce("component", "uid").alias("c"))

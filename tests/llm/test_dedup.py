@@ -152,6 +152,60 @@ def test_near_duplicates_are_the_components_of_brute_force(spark):
         assert got[d] == (min(members), len(members), d == min(members))
 
 
+def test_first_regions_meet_for_every_pair_at_the_bound():
+    rng = np.random.default_rng(7)
+    often = rng.integers(0, 50, 64)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 1 << 63, int(rng.integers(1, 40)), dtype=np.uint64)
+        for _ in range(4):
+            sets.append(np.unique(np.concatenate([base[rng.random(len(base)) < 0.95], rng.integers(0, 1 << 63, int(rng.integers(0, 4)), dtype=np.uint64)])))
+    begin = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    got, at, index, n = minhash.first_regions(np.concatenate(sets), begin, often, 0.8)
+    seen = 0
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            same = len(np.intersect1d(x, y))
+            if i != j and (len(x), i) < (len(y), j) and same and same >= 0.8 * (len(x) + len(y) - same):
+                seen += 1
+                assert np.isin(got[at[i]:at[i] + index[i]], got[at[j]:at[j + 1]]).any()
+    assert seen > 50
+
+
+def templates(n, words=150, own=17, seed=0):
+    """Texts of one template whose last words are their own: every pair is just under the bound."""
+    rng = np.random.default_rng(seed)
+    base = [f"v{i}" for i in rng.integers(0, 1000, words)]
+    return [" ".join(base[:words - own] + [f"o{i}x{j}" for j in range(own)]) for i in range(n)]
+
+
+def star(n, words=150, seed=1):
+    """A text and copies of it that are near to it and, mostly, not to each other."""
+    rng = np.random.default_rng(seed)
+    base, out = [f"s{i}" for i in rng.integers(0, 1000, words)], []
+    for i in range(n):
+        w, p = list(base), int(rng.integers(0, words - 10))
+        w[p:p + 10] = [f"q{i}y{j}" for j in range(10)]
+        out.append(" ".join(w))
+    return [" ".join(base)] + out
+
+
+def test_a_template_is_not_paired_with_itself(spark):
+    """Candidates stay in proportion to the rows, where all pairs are just under the bound or linked by one text only."""
+    assert 0.75 < jaccard(*templates(2)) < 0.8
+    counts = {}
+    for n in (150, 600):
+        data = list(enumerate(templates(n) + star(n)))
+        docs = spark.createDataFrame(data, "uid long, text string")
+        member = docs.select("uid", F.when(F.col("uid") < n, F.col("uid")).otherwise(n).alias("component"))      # the star is known
+        counts[n] = minhash.sharing_pairs(member, docs, 0.8).count()
+        assert counts[n] <= 4 * len(data)
+    data = list(enumerate(templates(80) + star(80)))
+    got = minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    cls = brute_classes([t for _, t in data])
+    assert {r.doc_id: r.class_id for r in got} == {i: cls[i] for i, _ in data}
+
+
 def test_near_dedup_of_odd_tables(spark):
     d = frame(spark)
     out = minhash.near_duplicates(d).collect()
