@@ -14,8 +14,8 @@ low bits; texts are dealt by their key before, so those rows are summed where th
 
 Defined cases: a null text is empty, and the empty text is one empty paragraph; documents that share a
 doc_id share the next document (the next smaller doc_id's; of several texts of that one, the smallest);
-a null doc_id comes last; repeated rows give equal rows; an empty table gives an empty result; other
-columns are ignored.
+a null doc_id comes last; repeated rows give equal rows; an empty table gives an empty result; a text of any
+length is summed whole, a row for each triple; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,12 +68,13 @@ def vector_sums(texts: DataFrame, keys: list[str], whole: bool = False) -> DataF
     g = d.groupBy(*keys, x.bitwiseAND(F.lit(0xFF)).cast("int").alias("_lane")).agg(F.sum(value.cast("long")).alias("_s"))
     g = g.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_lane", "_s"))).alias("_all"))       # all lanes of a text, in order
     g = g.withColumn("copies", F.get(F.col("_all"), F.lit(_COPIES))["_s"])
-    part = lambda at, n, f: F.transform(F.slice("_all", at + 1, n), lambda v: f(v["_s"]))
-    out = [part(_EQUAL, EQUAL, lambda v: F.pmod(F.floor(v / F.col("copies")), F.lit(1 << 32))).alias("equal"),
-           part(0, SIGNS, lambda v: _wrap(F.floor(v / F.col("copies")))).alias("signs"), "copies"]
+    # ``div``: a quotient of doubles would be off by one beyond 2**53
+    part = lambda at, n, to: F.expr(f"transform(slice(_all, {at + 1}, {n}), v -> {to.format('v._s div copies')})")
+    out = [part(_EQUAL, EQUAL, "pmod({}, 4294967296)").alias("equal"),
+           part(0, SIGNS, "cast(pmod({} + 32768, 65536) - 32768 AS short)").alias("signs"), "copies"]
     if whole:
-        out += [F.floor(F.get(F.col("_all"), F.lit(_LENGTH))["_s"] / F.col("copies")).alias("n_chars"),
-                F.array_join(part(_WHOLE, 8, lambda v: F.lpad(F.lower(F.hex(F.floor(v / F.col("copies")))), 8, "0")), "").alias("sha256")]
+        out += [F.expr(f"get(_all, {_LENGTH})._s div copies").alias("n_chars"),
+                F.array_join(part(_WHOLE, 8, "lpad(lower(hex({})), 8, '0')"), "").alias("sha256")]
     return g.select(*keys, *out)
 
 
@@ -82,6 +83,16 @@ def _wrap(x: Column) -> Column:
     return (F.pmod(x + F.lit(32768), F.lit(65536)) - F.lit(32768)).cast("short")
 
 
+def narrow(signs: Column) -> Column:
+    """Sign lanes for a shuffle: a byte each, if all of them fit."""
+    fit = F.forall(signs, lambda x: x.between(-128, 127))
+    return F.struct(F.when(fit, signs.cast("array<tinyint>")).alias("b"), F.when(~fit, signs).alias("s"))
+
+
+def wide(lanes: Column) -> Column:
+    return F.coalesce(lanes["b"].cast("array<short>"), lanes["s"])
+
+
 def packed(equal: Column) -> Column:
     """Two equality lanes in each number: half the bytes to shuffle."""
     return F.transform(F.sequence(F.lit(0), F.lit(EQUAL // 2 - 1)),
@@ -134,14 +145,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edited = heads.join(after, "next_k").select("next_k", "k", "e_th", "n", F.concat("head", F.expr("left(next_text, half)")).alias("text"))
     new = vector_sums(edited, ["next_k", "k", "e_th", "n"], whole=True)
     new = new.select(F.col("k").alias("e_k"), "e_th", F.col("n").cast("long").alias("n_chars"), F.unhex("sha256").alias("sha"),
-                     packed(F.col("equal")).alias("e_equal"), F.col("signs").alias("e_signs"))
+                     packed(F.col("equal")).alias("e_equal"), narrow(F.col("signs")).alias("e_lanes"))
     first = own.groupBy(F.col("k").alias("f_k")).agg(F.min(F.struct("th", "equal", "signs")).alias("x"))
     # joined by k alone, for which the own lanes lie right; texts of one doc_id are told apart after that
     out = own.join(new, (F.col("k") == F.col("e_k")) & (F.col("th").bitwiseXOR(F.col("e_th")) == 0))
     # the next document's lanes go to the key of the document before it; nothing wider moves
     after = first.join(follows, F.col("f_k") == F.col("next_k")).select(
-        F.col("k").alias("b_k"), F.col("x.equal").alias("n_equal"), F.col("x.signs").alias("n_signs"))
-    out = out.join(after, F.col("k") == F.col("b_k"))
+        F.col("k").alias("b_k"), F.col("x.equal").alias("n_equal"), narrow(F.col("x.signs")).alias("n_lanes"))
+    out = out.join(after, F.col("k") == F.col("b_k")).withColumns({"e_signs": wide(F.col("e_lanes")), "n_signs": wide(F.col("n_lanes"))})
     out = out.select(F.when(F.col("k") != LAST, F.col("k")).alias("doc_id"), "n_chars",
                      F.lower(F.hex("sha")).alias("edited_sha256"), to_text(F.col("equal"), F.col("signs")).alias("fingerprint"),
                      to_text(F.col("e_equal"), F.col("e_signs")).alias("edited_fingerprint"),

@@ -232,6 +232,20 @@ def test_fingerprints_are_sums_over_paragraphs(spark):
     assert (r.e, r.s) == (a.equal, a.signs)
 
 
+def test_lanes_of_copies_are_divided_exactly(spark):
+    """Sums beyond 2**53, as 2 M short paragraphs and some copies give them."""
+    rng = np.random.default_rng(2)
+    for copies in (3, 11, 922):
+        lanes = [int(x) for x in rng.integers(1 << 44, 1 << 52, 20)]
+        d = spark.createDataFrame([(copies, [x * copies for x in lanes])], "copies long, a array<long>")
+        assert d.select(F.expr("transform(a, v -> v div copies)")).first()[0] == lanes
+    text = "\n".join(str(i % 97) for i in range(3000))
+    one, three = (fingerprints.vector_sums(spark.createDataFrame([(1, text)] * n, "k long, text string"), ["k"]).first() for n in (1, 3))
+    assert (one.equal, one.signs, one.copies, three.copies) == (three.equal, three.signs, 1, 3)
+    wide = spark.createDataFrame([([1, -128, 127],), ([300, 2, -5],)], "x array<short>")
+    assert [r[0] for r in wide.select(fingerprints.wide(fingerprints.narrow(F.col("x")))).collect()] == [[1, -128, 127], [300, 2, -5]]
+
+
 def test_fingerprint_query_is_brute_force(spark):
     seen, data = set(), []
     for r in rows():
