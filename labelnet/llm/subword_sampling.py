@@ -19,8 +19,8 @@ All units of many documents go down abreast, a NumPy operation for each step.
 
 Defined cases: a null text is empty, and its one segmentation has the one piece of the leading blank; a text
 with fewer segmentations than asked for gives them all, with inclusion score 1; U+2581 in a text is a blank;
-a null doc_id has a key of its own; repeated rows give equal rows; an empty table gives an empty result; other
-columns are ignored.
+a null doc_id has a key of its own; repeated rows give equal rows; an empty table gives an empty result; a text longer
+than a slice is one of its own, with lattices in proportion to its distinct units; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from . import tokens
 from .minhash import mix
 
 ALPHA, SAMPLES = 1.5, 2
+SLICE = 1_000_000              # bytes of text whose lattices are in memory at once (one text at least)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 NULL_KEY = -(1 << 63)
 _NEG = -np.inf
@@ -374,7 +375,7 @@ def sampler(path: str, k: int, alpha: float, ids_out: bool = False):
     def run(batches):
         p = pieces(path, alpha)
         for big in batches:
-            for b in tokens.slices(big, chars=8_000_000):
+            for b in tokens.slices(big, chars=SLICE):
                 flat, at = units_of(b.column("text"))
                 coded = flat.dictionary_encode()
                 lat = Lattice(coded.dictionary.to_pylist(), p)
