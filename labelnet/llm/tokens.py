@@ -2,11 +2,14 @@
 
 Neither vocabulary lets a token cross a border between a non-space and a space, and what
 follows such a border doesn't depend on what precedes it. So a text may be cut there, and
-equal pieces get equal ids. Texts in which two white-space characters meet go to the library whole.
+equal pieces get equal ids. Texts in which two white-space characters meet, and those that hold the string of an added
+token (in any case of letters), go to the library whole.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,7 +40,7 @@ class WordCache:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.added = "(?i)" + "|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values())
         self.lead, self.max_words = lead_space, max_words
         # a word's first id begins with the space, or its last id carries the mark of a word's end
         self.border = np.zeros(max(self.tok.get_vocab().values()) + 1, bool)
@@ -89,14 +92,14 @@ class WordCache:
         """Ids of all texts in a row, and where each text's ids begin (one more at the end). Null counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = {}                       # texts that the library encodes as they are
+        odd = pc.match_substring_regex(texts, self.added) if self.added != "(?i)" else pa.array(np.zeros(len(texts), bool))
         if self.lead:
-            hit = np.flatnonzero(pc.match_substring_regex(texts, _SPACES + _SPACES).to_numpy(zero_copy_only=False))
-            if len(hit):
-                whole = dict(zip(hit.tolist(), self._batch([texts[int(i)].as_py() for i in hit])))
-                texts = pc.if_else(pa.array(np.isin(np.arange(len(texts)), hit)), "", texts)
-            parts = pc.split_pattern(texts, " ")
-        else:
-            parts = pc.ascii_split_whitespace(texts)
+            odd = pc.or_(odd, pc.match_substring_regex(texts, _SPACES + _SPACES))
+        hit = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(hit):
+            whole = dict(zip(hit.tolist(), self._batch([texts[int(i)].as_py() for i in hit])))
+            texts = pc.if_else(odd, "", texts)
+        parts = pc.split_pattern(texts, " ") if self.lead else pc.ascii_split_whitespace(texts)
         ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         flat = parts.flatten()
         start, size = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int32)

@@ -14,14 +14,14 @@ BYTE, WORD = tokens.vocabulary("byte_bpe_50k.json"), tokens.vocabulary("word_bpe
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path,lead", [(BYTE, True), (WORD, False)])
 def test_word_cache_gives_the_librarys_ids(path, lead):
     texts = [r[1] for r in rows()] + [" ", "  a", "a  b", "a   b\n\n c", " a", "a ", "x\n y", "x \ny", "I'll ' s", "é a ̈x",
-                                      "ΑΣ Σ İ", "\x1c a\x1d b \x85 c", "tab\t\tz"]
+                                      "ΑΣ Σ İ", "\x1c a\x1d b \x85 c", "tab\t\tz",
+                                      "hello <|endoftext|> world", "a<|ENDOFTEXT|>b", "<|startoftext|>x <|endoftext|>", "<|endof text|> <|"]
     one, want = library(path), []
     cache = tokens.WordCache(path, lead, max_words=50)       # small: it forgets in between
     for _ in range(2):
