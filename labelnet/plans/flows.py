@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from labelnet.operators import features as fe
 from labelnet.operators import graph as gr
+from labelnet.operators import inverted as inv
 from labelnet.operators import relate as rl
 from labelnet.operators import similarity as sim
 from labelnet.session import cut
@@ -148,27 +149,67 @@ def tag_neighbours(lv: LabelVectors, k: int | None = 10, include_self: bool = Tr
                   ["tag_id"], "neighbour_id", "sim", k)
 
 
-def new_post_vectors(spark: SparkSession, sf_dir: str, model: fe.TfidfModel) -> DataFrame:
-    """TF-IDF of the posts to tag with the fitted vocabulary: ``(conv_id, turn, idxs, vals)``."""
+@dataclass
+class TaggingModel:
+    """What later posts are tagged with: the fitted vocabulary and the inverted index of the tag vectors."""
+    vocab: DataFrame        # (term, idx, idf)
+    size: int
+    tags: DataFrame         # (tag_id, tag_name)
+    index: inv.Index
+
+
+def tagging_model(lv: LabelVectors) -> TaggingModel:
+    return TaggingModel(lv.model.vocab, lv.model.size, lv.tags.select(F.col("id").alias("tag_id"), "tag_name"),
+                        inv.build(lv.vectors, "tag_id", lv.model.size))
+
+
+def save_model(model: TaggingModel, path: str) -> None:
+    """Fit once, tag later: the model as Parquet tables under ``path``."""
+    model.vocab.select("term", F.col("idx").cast("int"), "idf").write.mode("overwrite").parquet(f"{path}/vocabulary")
+    model.tags.write.mode("overwrite").parquet(f"{path}/tags")
+    inv.save(model.index, f"{path}/index")
+
+
+def load_model(spark: SparkSession, path: str) -> TaggingModel:
+    vocab = spark.read.schema("term string, idx int, idf double").parquet(f"{path}/vocabulary")
+    tags = spark.read.schema("tag_id bigint, tag_name string").parquet(f"{path}/tags")
+    size = max(1, vocab.count())
+    return TaggingModel(vocab, size, tags, inv.load(spark, f"{path}/index", size))
+
+
+def new_post_vectors(posts: DataFrame, keys: list[str], model: TaggingModel) -> DataFrame:
+    """TF-IDF weights ``(keys, idx, w)`` of the posts' ``body`` with the fitted vocabulary; scoring brings them to unit length."""
     from labelnet.functions import text as tx
-    posts = standin.new_posts(spark, sf_dir)
-    long = posts.select("conv_id", "turn", F.explode(fe.tf_tokens(tx.clean_tokens("body"))).alias("term"))
-    tf = long.groupBy("conv_id", "turn", "term").agg(F.count(F.lit(1)).alias("tf"))
-    j = tf.join(checked_broadcast(model.vocab, model.size), "term").select("conv_id", "turn", "idx", (F.col("tf") * F.col("idf")).alias("w"))
-    # L2 normalisation happens inside the block product
-    return fe.sparse_arrays(j, ["conv_id", "turn"])
+    long = posts.select(*keys, F.explode(fe.tf_tokens(tx.clean_tokens("body"))).alias("term"))
+    tf = long.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return tf.join(checked_broadcast(model.vocab, model.size), "term").select(*keys, "idx", (F.col("tf") * F.col("idf")).alias("w"))
 
 
-def post_tags(spark: SparkSession, sf_dir: str, lv: LabelVectors, k: int = 20, pad_zero: bool = False) -> DataFrame:
-    """``(conv_id, turn, rank, tag_id, sim)``: the k most similar tags per new post.
+def suggest_tags(posts: DataFrame, keys: list[str], model: TaggingModel, k: int = 20, pad_zero: bool = False) -> DataFrame:
+    """``(keys, rank, tag_id, sim)``: the k most similar tags of each of ``posts`` (keys, body).
 
-    Tags with similarity 0 are dropped unless ``pad_zero`` (the reference pads).
+    Tags with similarity 0 are dropped unless ``pad_zero`` (the reference pads): then a post with fewer than k gets the
+    first tags by id that it hasn't got. A post with m < k of its own misses at most m of the first k + m tags, so the
+    first 2k tags are enough, and only such posts meet them.
     """
-    posts = cut(new_post_vectors(spark, sf_dir, lv.model), "new_posts")
-    tags = cut(label_arrays(lv), "label_arrays")
-    sc = sim.block_scores(posts, tags, ["conv_id", "turn"], ["tag_id"], lv.model.size, top_k=k,
-                          positive_only=not pad_zero)
-    return ranked(sc.withColumnRenamed("score", "sim"), ["conv_id", "turn"], "tag_id", "sim", k)
+    found = inv.top_k(new_post_vectors(posts, keys, model), keys, model.index, k)
+    best = ranked(found.select(*keys, F.col("row").alias("tag_id"), F.col("score").alias("sim")), keys, "tag_id", "sim", k)
+    if not pad_zero:
+        return best
+    best = cut(best, "post-tags")
+    first = model.tags.select("tag_id").orderBy("tag_id").limit(2 * k).agg(F.sort_array(F.collect_list("tag_id")).alias("first"))
+    have = best.groupBy(*keys).agg(F.collect_list("tag_id").alias("have"))            # at most k each
+    short = posts.select(*keys).distinct().join(have, keys, "left").withColumn("have", F.coalesce("have", F.array().cast("array<bigint>")))
+    short = short.where(F.size("have") < k).select(*keys, "have", first.select("first").scalar().alias("first"))
+    more = F.slice(F.filter("first", lambda t: ~F.array_contains("have", t)), F.lit(1), F.lit(k) - F.size("have"))
+    pads = short.select(*keys, F.size("have").alias("n"), F.posexplode(more).alias("i", "tag_id"))
+    return best.select(*keys, "rank", "tag_id", "sim").unionByName(
+        pads.select(*keys, (F.col("n") + F.col("i") + 1).cast("int").alias("rank"), "tag_id", F.lit(0.0).alias("sim")))
+
+
+def post_tags(spark: SparkSession, sf_dir: str, lv: LabelVectors, k: int = 20, pad_zero: bool = False) -> DataFrame:
+    """``(conv_id, turn, rank, tag_id, sim)``: the k most similar tags per new post."""
+    return suggest_tags(standin.new_posts(spark, sf_dir), ["conv_id", "turn"], tagging_model(lv), k, pad_zero)
 
 
 def recommend(vertices: DataFrame, edges: DataFrame, labels: DataFrame, k: int = 10) -> DataFrame:

@@ -417,9 +417,8 @@ def _():
     return W(_ranking(), "SELECT tag_id, rank, neighbour_id, sim FROM r")
 
 
-@oracle("post_tags")
-def _():
-    return W(S.label_vector_parts(Q.DOC_VOCAB) + [
+def _post_scores():
+    return S.label_vector_parts(Q.DOC_VOCAB) + [
         ("npost", "SELECT conv_id, turn, text FROM conversations WHERE role = 'user'"),
         ("ntok", f"SELECT conv_id, turn, unnest({S.clean_tokens_sql('text')}) AS term FROM npost"),
         ("ntf", "SELECT conv_id, turn, term, count(*) AS tf FROM ntok WHERE length(term) >= 2 GROUP BY conv_id, turn, term"),
@@ -430,11 +429,29 @@ def _():
 GROUP BY nw.conv_id, nw.turn, tv.tag_id"""),
         ("ps", """SELECT p.conv_id, p.turn, p.tag_id, round(p.d / (nn.n * tn.n), 6) AS sim
 FROM pdot p JOIN nn USING (conv_id, turn) JOIN tn USING (tag_id) WHERE p.d > 0"""),
+    ]
+
+
+@oracle("post_tags")
+def _():
+    return W(_post_scores() + [
         ("r", "SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY sim DESC, tag_id ASC) AS rank FROM ps"),
     ], f"""SELECT r.conv_id, r.turn, r.rank, r.tag_id, t.tag_name, r.sim FROM r JOIN tags t ON t.id = r.tag_id
 WHERE r.rank <= {Q.TOP_POST_TAGS}""")
 
 
+@oracle("post_tags_padded")
+def _():
+    return W(_post_scores() + [
+        ("al", """SELECT n.conv_id, n.turn, t.id AS tag_id, coalesce(ps.sim, 0.0) AS sim, ps.sim IS NULL AS pad
+FROM (SELECT DISTINCT conv_id, turn FROM npost) n CROSS JOIN tags t LEFT JOIN ps ON ps.conv_id = n.conv_id AND ps.turn = n.turn AND ps.tag_id = t.id"""),
+        ("r", "SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY pad, sim DESC, tag_id ASC) AS rank FROM al"),
+    ], f"SELECT conv_id, turn, rank, tag_id, sim FROM r WHERE rank <= {Q.TOP_POST_TAGS}")
+
+
+ORACLES["post_tags_saved_model"] = ORACLES["post_tags"]
+
+
 # ---- described in the README ----------------------------------------------------------------------------
 
 BASKETS = ("pt", """SELECT DISTINCT l.l_orderkey AS post_id, concat_ws('/', p.p_brand, p.p_type) AS tag

@@ -471,6 +471,23 @@ def q_post_tags(spark, d):
     return pt.join(names, "tag_id").select("conv_id", "turn", "rank", "tag_id", "tag_name", "sim")
 
 
+@register("post_tags_padded")
+def q_post_tags_padded(spark, d):
+    """Every post gets all its places: tags of similarity 0 fill up, in order of their ids."""
+    lv = pl.label_vectors(spark, d, DOC_VOCAB)
+    return pl.post_tags(spark, d, lv, TOP_POST_TAGS, pad_zero=True).select("conv_id", "turn", "rank", "tag_id", "sim")
+
+
+@register("post_tags_saved_model")
+def q_post_tags_saved_model(spark, d):
+    """The model is fitted, written and read back; the posts are tagged with what was read."""
+    path = scratch_path(spark, "tagging-model")
+    pl.save_model(pl.tagging_model(pl.label_vectors(spark, d, DOC_VOCAB)), path)
+    model = pl.load_model(spark, path)
+    pt = pl.suggest_tags(standin.new_posts(spark, d), ["conv_id", "turn"], model, TOP_POST_TAGS)
+    return pt.join(model.tags, "tag_id").select("conv_id", "turn", "rank", "tag_id", "tag_name", "sim")
+
+
 # ---- described in the README -----------------------------------------------------------------
 
 @register("cooccurrence")

@@ -2,7 +2,7 @@
 
 The fitted vocabulary and the tag vectors are a static side; each
 micro-batch of new posts is cleaned, weighted with the fitted idf and
-scored against the tag vectors with the blocked product (the same code as
+scored against the inverted index of the tag vectors (the same code as
 the batch ``post_tags``), and its top-k rows are written under its batch id in
 the shared folder (a repeated batch replaces itself). Scoring one post does not depend on any other post, so
 the union of the batches equals the batch result.
@@ -14,12 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelnet.functions import text as tx
-from labelnet.operators import features as fe
-from labelnet.operators import similarity as sim
 from labelnet.plans import flows as pl
-from labelnet.session import cut, scratch_path
-from labelnet.util import checked_broadcast
+from labelnet.session import scratch_path
 
 CONVERSATIONS = T.StructType([
     T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
@@ -27,29 +23,18 @@ CONVERSATIONS = T.StructType([
 ])
 
 
-def score_batch(posts: DataFrame, lv: pl.LabelVectors, tag_arrays: DataFrame, k: int) -> DataFrame:
-    """``(conv_id, turn, rank, tag_id, sim)`` for one batch of ``(conv_id, turn, body)`` rows."""
-    long = posts.select("conv_id", "turn", F.explode(fe.tf_tokens(tx.clean_tokens("body"))).alias("term"))
-    tf = long.groupBy("conv_id", "turn", "term").agg(F.count(F.lit(1)).alias("tf"))
-    j = tf.join(checked_broadcast(lv.model.vocab, lv.model.size), "term").select("conv_id", "turn", "idx", (F.col("tf") * F.col("idf")).alias("w"))
-    arr = fe.sparse_arrays(j, ["conv_id", "turn"])
-    sc = sim.block_scores(arr, tag_arrays, ["conv_id", "turn"], ["tag_id"], lv.model.size, top_k=k,
-                          positive_only=True)
-    return pl.ranked(sc.withColumnRenamed("score", "sim"), ["conv_id", "turn"], "tag_id", "sim", k)
-
-
 def run_tagging_stream(spark: SparkSession, source_dir: str, lv: pl.LabelVectors, k: int = 20,
                        file_glob: str = "conversations*.parquet", max_files: int = 1) -> str:
     out = scratch_path(spark, "tagging-stream-out")
     ckpt = scratch_path(spark, "tagging-stream-ckpt")
-    tags = cut(pl.label_arrays(lv), "label_arrays")
+    model = pl.tagging_model(lv)
     src = (spark.readStream.schema(CONVERSATIONS).option("pathGlobFilter", file_glob)
            .option("maxFilesPerTrigger", max_files).parquet(source_dir))
     posts = src.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("body"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # a batch that is run again overwrites its own folder
-        score_batch(batch, lv, tags, k).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        pl.suggest_tags(batch, ["conv_id", "turn"], model, k).select("conv_id", "turn", "rank", "tag_id", "sim").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     q = (posts.writeStream.option("checkpointLocation", ckpt).foreachBatch(sink)
          .trigger(availableNow=True).start())
