@@ -36,8 +36,9 @@ from pyspark.sql import types as T
 from . import tokens
 from .common import saved, text_or_empty
 
-SLICE = 12_000_000             # bytes of text in a chunk
+SLICE = 10_000_000             # bytes of text in a chunk
 BUCKET = 48_000_000            # bytes of text for each bucket of words
+STEP = 400_000                 # ids that are decoded at a time (one row at least)
 NONE = np.int32(2 ** 31 - 1)   # no rank
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -292,17 +293,28 @@ def words_of(texts: pa.Array, pattern: Splitter) -> tuple[pa.Array, np.ndarray,
 # --- packed columns: what goes to disk is small ----------------------------------------------------------------------
 
 def pack_ints(x: np.ndarray) -> bytes:
-    """Numbers from 0 on, as compressed planes of their bytes."""
-    x = np.ascontiguousarray(x, "<u4")
-    planes = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([planes]) + _squeezed(x.view(np.uint8).reshape(-1, 4)[:, :planes].T.tobytes())
+    """Numbers from 0 on: how many bits each has, then for each number of bits what follows the first, in byte planes;
+    all compressed. Small numbers, which are the frequent ones, don't blur the planes of the others."""
+    x = np.ascontiguousarray(x, np.int64)
+    bits = np.searchsorted(1 << np.arange(33), x, "right").astype(np.uint8)
+    parts = [_squeezed(bits.tobytes())]
+    for k in range(2, int(bits.max(initial=0)) + 1):
+        low = (x[bits == k] - (1 << (k - 1))).astype("<u4")
+        parts.append(_squeezed(low.view(np.uint8).reshape(-1, 4)[:, :(k + 6) // 8].T.tobytes()))
+    return joined(*parts)
 
 
 def unpack_ints(raw: bytes) -> np.ndarray:
-    flat = np.frombuffer(_restored(raw[1:]), np.uint8).reshape(raw[0], -1)
-    out = np.zeros((flat.shape[1], 4), np.uint8)
-    out[:, :raw[0]] = flat.T
-    return out.view("<u4").reshape(-1).astype(np.int64)
+    first, *parts = parted(raw)
+    bits = np.frombuffer(_restored(first), np.uint8)
+    out = (bits > 0).astype(np.int64)
+    for k, part in enumerate(parts, 2):
+        at = np.flatnonzero(bits == k)
+        if len(at):
+            low = np.zeros((len(at), 4), np.uint8)
+            low[:, :(k + 6) // 8] = np.frombuffer(_restored(part), np.uint8).reshape(-1, len(at)).T
+            out[at] = low.view("<u4").reshape(-1) + np.int64(1 << (k - 1))
+    return out
 
 
 def _squeezed(raw: bytes) -> bytes:
@@ -403,7 +415,11 @@ def _whole(keep: list[str]):
         ids[spread(start[rest], size[rest])] = got
         upto = np.concatenate([[0], np.cumsum(size[seq])])
         ends = np.concatenate([[0], np.cumsum(docs.column("size").to_numpy())]).astype(np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(upto[ends], pa.int32()), pa.array(ids[spread(start[seq], size[seq])], pa.int32()))
+        flat = np.empty(upto[-1], np.int32)
+        for i in range(0, len(seq), STEP):
+            part = seq[i:i + STEP]
+            flat[upto[i]:upto[i + len(part)]] = ids[spread(start[part], size[part])]
+        lists = pa.ListArray.from_arrays(pa.array(upto[ends], pa.int32()), pa.array(flat))
         return pa.table([*(docs.column(c) for c in keep), lists], names=[*keep, "ids"])
     return run
 
@@ -429,17 +445,22 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple = ("doc_id",),
 def _decode(path: str, at: int):
     def run(batches):
         p = ranks_of(path)
-        for b in batches:
-            ids = b.column(at)
-            flat = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False)
-            n = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            known = (flat >= 0) & (flat < p.count)
-            flat = np.where(known, flat, 0)
-            size = np.where(known, p.size[flat], 0)
-            raw = p.flat[spread(p.start[flat], size)].tobytes()
-            upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
-            got = [raw[x:y] if ok else None for x, y, ok in zip(upto[:-1], upto[1:], ids.is_valid().to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*b.schema.names, "decoded"])
+        for big in batches:
+            n = pc.fill_null(pc.list_value_length(big.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            upto, done = np.cumsum(n), 0
+            while done < len(n):                           # some rows at a time, one at least
+                end = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + STEP, "right")))
+                b = big.slice(done, end - done)
+                ids = b.column(at)
+                flat = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False)
+                known = (flat >= 0) & (flat < p.count)
+                flat = np.where(known, flat, 0)
+                size = np.where(known, p.size[flat], 0)
+                raw = p.flat[spread(p.start[flat], size)].tobytes()
+                cuts = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n[done:end])])]
+                got = [raw[x:y] if ok else None for x, y, ok in zip(cuts[:-1], cuts[1:], ids.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*b.schema.names, "decoded"])
+                done = end
     return run
 
 
