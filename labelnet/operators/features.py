@@ -13,10 +13,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from labelnet.functions import porter
 from labelnet.functions import text as tx
@@ -155,16 +153,10 @@ def array_to_sparse(df: DataFrame, vec: str = "vector") -> DataFrame:
 
 # ---- stemming and lemmas as vocabulary jobs ---------------------------------
 
-@F.pandas_udf(T.StringType())
-def _stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(porter.stem)
-
-
 def stem_vocabulary(tokens_long: DataFrame, term: str = "term") -> DataFrame:
-    """``(term, stem)`` for each distinct term: the stemmer runs once per
-    distinct word (Arrow batches), not once per occurrence."""
-    return tokens_long.select(term).where(F.col(term).isNotNull()).distinct().select(
-        term, _stem_udf(F.col(term)).alias("stem"))
+    """``(term, stem)`` for each distinct term: the stemmer's expressions run once per distinct word, not once per
+    occurrence, and no Python runs at all."""
+    return porter.stems(tokens_long.select(term).where(F.col(term).isNotNull()).distinct(), term)
 
 
 # WordNet's noun detachment rules (suffix -> replacement), in its order.

@@ -1,7 +1,6 @@
 """Oracle SQL per named query (DuckDB over the raw tables).
 
-Queries without an entry here are checked rows-only: ``stem_vocabulary``
-and ``tag_communities_stemmed`` (no SQL Porter stemmer), ``hashed_tfidf``
+Queries without an entry here are checked rows-only: ``hashed_tfidf``
 (Spark ML hashing), ``louvain`` (iterative with accept/reject rounds).
 """
 
@@ -39,8 +38,8 @@ def emb_graph(threshold: float, inclusive: bool = False):
     return EMB + S.pair_edges_parts("emb_long", "tag_id", threshold, inclusive)
 
 
-def doc_graph(inclusive: bool = False):
-    return S.label_vector_parts(Q.DOC_VOCAB) + S.pair_edges_parts("tv", "tag_id", Q.DOC_THRESHOLD, inclusive)
+def doc_graph(inclusive: bool = False, stem: bool = False):
+    return S.label_vector_parts(Q.DOC_VOCAB, stem=stem) + S.pair_edges_parts("tv", "tag_id", Q.DOC_THRESHOLD, inclusive)
 
 
 UND = ("ue", "SELECT src, dst, weight FROM edges UNION ALL SELECT dst, src, weight FROM edges")
@@ -191,6 +190,12 @@ FROM terms CROSS JOIN rules WHERE ends_with(form, suf) AND length(form) > length
     ], "SELECT form, arg_min(lemma, rnk) AS lemma FROM known GROUP BY form")
 
 
+@oracle("stem_vocabulary")
+def _():
+    return W([("words", f"SELECT DISTINCT unnest({S.clean_tokens_sql('text')}) AS term FROM documents")] + S.stem_parts("words", "term", "st"),
+             "SELECT term, stem FROM st")
+
+
 # ---- features ------------------------------------------------------------------------------------
 
 def _tfidf():
@@ -338,6 +343,12 @@ def _():
     return W(parts, f"SELECT v.id, v.name, l.label FROM vertices v JOIN lp{Q.ROUNDS} l USING (id)")
 
 
+@oracle("tag_communities_stemmed")
+def _():
+    parts = doc_graph(stem=True) + S.label_propagation_parts("vertices", "edges", Q.ROUNDS)
+    return W(parts, f"SELECT v.id, v.name, l.label FROM vertices v JOIN lp{Q.ROUNDS} l USING (id)")
+
+
 # ---- recommendation and evaluation -----------------------------------------------------------------
 
 def _recs():

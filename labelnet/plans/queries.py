@@ -395,7 +395,7 @@ def q_tag_communities(spark, d):
 
 @register("tag_communities_stemmed")
 def q_tag_communities_stemmed(spark, d):
-    """The full cleaning chain including the Porter stemmer (no SQL stemmer: rows-only check)."""
+    """The cleaning chain with the Porter stemmer."""
     return pl.tag_communities(spark, d, vocab_size=DOC_VOCAB, threshold=DOC_THRESHOLD, max_iter=ROUNDS, stem=True)
 
 

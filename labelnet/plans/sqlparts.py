@@ -8,6 +8,7 @@ constants as the Spark side, so a change to one is a change to both.
 
 from __future__ import annotations
 
+from labelnet.functions import porter
 from labelnet.functions import text as tx
 from labelnet.sources.standin import EXCERPT_ID_OFFSET, WIKI_ID_OFFSET
 
@@ -65,6 +66,19 @@ def clean_text_sql(e: str) -> str:
     return f"coalesce(array_to_string({clean_tokens_sql(e)}, ' '), '')"
 
 
+SHAPE = ("list_reduce(list_prepend('', string_split({w}, '')), lambda a, x: a || CASE WHEN x IN ('a', 'e', 'i', 'o', 'u', '#') "
+         "OR (x = 'y' AND right(a, 1) = 'c') THEN 'v' ELSE 'c' END)")
+
+
+def stem_parts(words: str, term: str, out: str) -> list[tuple[str, str]]:
+    """``out(term, stem)`` for the distinct ``words.term``: the published steps, one after the other."""
+    parts, last = [(f"{out}_0", f"SELECT {term} AS term, lower({term}) AS w, {SHAPE.format(w=f'lower({term})')} AS s FROM {words}")], f"{out}_0"
+    for i, step in enumerate(porter.steps(), 1):
+        parts.append((f"{out}_{i}", f"SELECT term, w, {SHAPE.format(w='w')} AS s FROM (SELECT term, {step} AS w FROM {last})"))
+        last = f"{out}_{i}"
+    return parts + [(out, f"SELECT term, CASE WHEN length(term) <= 2 THEN lower(term) ELSE w END AS stem FROM {last}")]
+
+
 # ---- the stand-in data model ---------------------------------------------------
 
 POSTS = ("posts", """SELECT d.doc_id AS id, split_part(d.text, chr(10), 1) AS title, d.text AS body,
@@ -98,10 +112,13 @@ FROM texts WHERE score >= {min_score}"""),
     ]
 
 
-def tfidf_parts(vocab_size: int, docs: str = "usable") -> list[tuple[str, str]]:
+def tfidf_parts(vocab_size: int, docs: str = "usable", stem: bool = False) -> list[tuple[str, str]]:
     """Parts: tf (post_id, term, tf), vocab (term, idx, idf), w (post_id, idx, w)."""
-    return [
-        ("toks", f"SELECT post_id, unnest(tokens) AS term FROM {docs}"),
+    toks = [("toks", f"SELECT post_id, unnest(tokens) AS term FROM {docs}")]
+    if stem:
+        toks = [("toks_raw", toks[0][1]), ("toks_words", "SELECT DISTINCT term FROM toks_raw"), *stem_parts("toks_words", "term", "toks_stems"),
+                ("toks", "SELECT post_id, stem AS term FROM toks_raw JOIN toks_stems USING (term)")]
+    return toks + [
         ("tf", "SELECT post_id, term, count(*) AS tf FROM toks WHERE length(term) >= 2 GROUP BY post_id, term"),
         ("ndocs", f"SELECT CAST(count(*) AS DOUBLE) AS n FROM {docs}"),
         ("stats", "SELECT term, sum(tf) AS freq, count(*) AS df FROM tf GROUP BY term"),
@@ -113,9 +130,9 @@ def tfidf_parts(vocab_size: int, docs: str = "usable") -> list[tuple[str, str]]:
     ]
 
 
-def label_vector_parts(vocab_size: int, min_score: int = 1) -> list[tuple[str, str]]:
+def label_vector_parts(vocab_size: int, min_score: int = 1, stem: bool = False) -> list[tuple[str, str]]:
     """Parts through ``tv (tag_id, idx, w)`` and ``vertices (id, name)``."""
-    return base_parts() + usable_parts(min_score) + tfidf_parts(vocab_size) + [
+    return base_parts() + usable_parts(min_score) + tfidf_parts(vocab_size, stem=stem) + [
         ("members", """SELECT t.id AS tag_id, p.post_id FROM post_tags_raw p JOIN tags t USING (tag_name)
 WHERE p.post_id IN (SELECT post_id FROM usable)"""),
         ("nposts", "SELECT tag_id, count(*) AS n FROM members GROUP BY tag_id"),
