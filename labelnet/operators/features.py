@@ -29,26 +29,30 @@ def tf_tokens(tokens: Column) -> Column:
 
 
 def usable_terms(texts: DataFrame, min_score: int = 1, url_first: bool = False, stem: bool = False,
-                 key: str = "post_id") -> DataFrame:
+                 key: str = "post_id", full: bool = False) -> DataFrame:
     """``(key, term)`` rows of usable posts (score >= min, non-blank cleaned title
-    and body), plus one null-term marker row per usable post.
+    and body), plus one null-term marker row per usable post. ``stem``: terms are stemmed; ``full``: stemmed and
+    lemmatised (``token_map``, with the corpus' own words as dictionary).
 
     The usability test sits inside the generator instead of a Filter: a
     Filter on the token columns would be pushed below the projection and
     run the whole cleaning chain a second time.
     """
+    if full and stem:
+        raise ValueError("the full chain stems already")
     t = (texts.where(F.col("score") >= min_score)
          .select(key, tx.clean_tokens(F.col("body"), url_first).alias("tokens"),
                  tx.clean_tokens(F.col("title"), url_first).alias("tt")))
     ok = (F.size("tokens") > 0) & (F.size("tt") > 0)
-    toks = F.col("tokens") if stem else tf_tokens(F.col("tokens"))
+    toks = F.col("tokens") if stem or full else tf_tokens(F.col("tokens"))
     gen = F.when(ok, F.concat(F.array(F.lit(None).cast("string")), toks)).otherwise(
         F.array().cast("array<string>"))
     long = t.select(key, F.explode(gen).alias("term"))
-    if stem:
-        stems = stem_vocabulary(long)
-        long = (long.join(stems, "term", "left")
-                .select(key, F.col("stem").alias("term"))
+    if stem or full:
+        long = cut(long, "usable-terms")      # the vocabulary and the join both read it
+        mapped = token_map(long) if full else stem_vocabulary(long).withColumnRenamed("stem", "token")
+        long = (long.join(mapped, "term", "left")
+                .select(key, F.col("token").alias("term"))
                 .where(F.col("term").isNull() | (F.length("term") >= MIN_TOKEN_LEN)))
     return long
 
@@ -179,6 +183,63 @@ def lexicon_from_corpus(terms: DataFrame, term: str = "term") -> DataFrame:
     return best.select("form", F.col("b.lemma").alias("lemma"))
 
 
+# Irregular plurals (form, lemma), looked up before the rules; callers with a whole exception list pass it as a table.
+IRREGULAR_NOUNS = [("children", "child"), ("oxen", "ox"), ("feet", "foot"), ("teeth", "tooth"), ("geese", "goose"), ("mice", "mouse"),
+                   ("lice", "louse"), ("dice", "die"), ("data", "datum"), ("media", "medium"), ("criteria", "criterion"),
+                   ("phenomena", "phenomenon"), ("indices", "index"), ("matrices", "matrix"), ("vertices", "vertex"), ("axes", "axis"),
+                   ("analyses", "analysis"), ("wolves", "wolf"), ("leaves", "leaf"), ("knives", "knife"), ("lives", "life"), ("selves", "self")]
+
+
+def irregular_nouns(spark) -> DataFrame:
+    return spark.createDataFrame(IRREGULAR_NOUNS, "form string, lemma string")
+
+
+def lemma_map(terms: DataFrame, dictionary: DataFrame, exceptions: DataFrame | None = None, term: str = "term") -> DataFrame:
+    """``(form, lemma)`` for each distinct term: the noun lemmatiser with a dictionary given as data.
+
+    ``dictionary``: (word); ``exceptions``: (form, lemma), irregular forms. A form in the exceptions can become itself or
+    one of those lemmas; any other can become itself or what a detachment rule leaves of it, and only if none of these is a
+    dictionary word, what further detachments leave. Of the first candidates that the dictionary has, the shortest wins
+    (then the one with fewer detachments, then in alphabetical order); without one, the form stays as it is.
+    """
+    spark = terms.sparkSession
+    exceptions = irregular_nouns(spark) if exceptions is None else exceptions
+    forms = cut(terms.select(F.col(term).alias("form")).where(F.col("form").isNotNull()).distinct(), "lemma-forms")
+    odd = exceptions.select("form", F.col("lemma").alias("word")).distinct()
+    rules = [F.when(F.col("word").endswith(suf) & (F.length("word") > len(suf)),
+                    F.concat(F.expr(f"left(word, length(word) - {len(suf)})"), F.lit(rep))) for suf, rep in NOUN_DETACHMENT]
+    step = forms.join(odd.select("form").distinct(), "form", "left_anti").select("form", F.col("form").alias("word"), F.lit(0).alias("depth"))
+    every = forms.select("form", F.col("form").alias("word"), F.lit(0).alias("depth")).unionByName(
+        odd.join(forms, "form", "left_semi").select("form", "word", F.lit(1).alias("depth")))
+    while True:                               # a word gets shorter with each detachment but ``men``, which is the last
+        step = cut(step.select("form", F.explode(F.array_compact(F.array(*rules))).alias("word"), (F.col("depth") + 1).alias("depth")).distinct(), "lemma-step")
+        if step.isEmpty():
+            break
+        every = every.unionByName(step)
+    known = every.join(dictionary.select("word").distinct(), "word", "left_semi")
+    first = F.struct(F.greatest("depth", F.lit(1)).alias("round"), F.length("word").alias("n"), "depth", "word")
+    best = known.groupBy("form").agg(F.min(first).alias("b"))
+    return forms.join(best, "form", "left").select("form", F.coalesce("b.word", "form").alias("lemma"))
+
+
+def token_map(terms: DataFrame, dictionary: DataFrame | None = None, exceptions: DataFrame | None = None, term: str = "term") -> DataFrame:
+    """``(term, token)`` for each distinct term: stemmed, then lemmatised, once for the whole corpus; texts, vocabularies and
+    later posts are mapped by one join with it. Without a ``dictionary`` the corpus' own words are it."""
+    words = cut(terms.select(F.col(term).alias("term")).where(F.col("term").isNotNull()).distinct(), "map-words")
+    stems = cut(porter.stems(words, "term"), "map-stems")
+    own = words.select(F.col("term").alias("word")) if dictionary is None else dictionary
+    lemmas = lemma_map(stems, own, exceptions, "stem")
+    return stems.join(lemmas.withColumnRenamed("form", "stem"), "stem").select("term", F.col("lemma").alias("token"))
+
+
+def mapped_text(tokens: DataFrame, key: str, mapping: DataFrame) -> DataFrame:
+    """``(key, text)``: rows of (key, tokens array) with every token mapped, in order, joined by blanks."""
+    long = tokens.select(key, F.posexplode("tokens").alias("at", "term")).join(mapping, "term", "left")
+    each = F.struct("at", F.coalesce("token", "term").alias("token"))
+    done = long.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(each)), lambda x: x["token"]), " ").alias("text"))
+    return tokens.select(key).join(done, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+
+
 def apply_lexicon(long: DataFrame, lexicon: DataFrame, term: str = "term") -> DataFrame:
     """Left join tokens to a ``(form, lemma)`` table; unknown forms stay."""
     lx = lexicon.select(F.col("form").alias(term), "lemma")

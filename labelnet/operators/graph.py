@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelnet.operators import adjacency
 from labelnet.session import cut, discard
 from labelnet.util import dense_index
 
@@ -48,30 +49,31 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
     und = undirected(edges)
     if weighted:
         und = und.withColumn("weight", F.col("weight").cast("decimal(18,6)"))
-    # written once: each round then reads it, instead of computing the union of both directions again
-    und = cut(und.select("src", "dst", "weight").repartition("src"), "undirected")
-    old = None
-    labels = vertices.select("id", F.col("id").alias("label"))
-    for r in range(max_iter):
-        msgs = und.join(labels.select(F.col("id").alias("src"), "label"), "src")
-        pop = F.sum("weight") if weighted else F.count(F.lit(1))
-        votes = msgs.groupBy(F.col("dst").alias("id"), "label").agg(pop.alias("pop"))
-        best = votes.groupBy("id").agg(F.max(F.struct("pop", (-F.col("label")).alias("neg"))).alias("b"))
-        best = best.select("id", (-F.col("b.neg")).alias("new"))
-        # each round is written with a changed flag: the fixpoint test is a
-        # filtered count of the table just written, not a join of two rounds
-        nxt = cut(labels.join(best, "id", "left")
-                  .select("id", F.coalesce("new", "label").alias("label"),
-                          (F.coalesce("new", "label") != F.col("label")).alias("changed")), "labels")
-        labels = nxt.select("id", "label")
-        discard(old)
-        old = nxt
-        if stop_early and r < max_iter - 1 and nxt.where("changed").limit(1).count() == 0:
-            break
-    discard(und)
+    adj = adjacency.build(und)        # the edges are dealt once; a round moves labels only
+    labels = adjacency.propagate(vertices, adj, max_iter, weighted, stop_early)
+    adjacency.drop(adj)
     return labels
 
 
+def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(id, component)`` as ``connected_components``, on edges that stay where they are (for graphs whose edges are many
+    for their vertices; the stars of ``connected_components`` move a shrinking edge table instead)."""
+    adj = adjacency.build(undirected(edges.where("src <> dst")))
+    out = adjacency.components(vertices, adj)
+    adjacency.drop(adj)
+    return out
+
+
+def split_communities(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(id, label)`` with every community that is not connected parted into its connected pieces (the other half of
+    merging): edges between communities are left out, and a piece is named by its smallest vertex. A connected community
+    is one piece, a vertex without an edge to its own community is alone."""
+    lab = labels.select("id", "label")
+    inside = (edges.join(lab.select(F.col("id").alias("src"), F.col("label").alias("ls")), "src")
+              .join(lab.select(F.col("id").alias("dst"), F.col("label").alias("ld")), "dst").where("ls = ld").select("src", "dst", "weight"))
+    return components(lab, inside).withColumnRenamed("component", "label")
+
+
 def _is_star_forest(e: DataFrame) -> bool:
     """Edges ``(u < v)`` form stars around their smallest vertex: no vertex is both a
     centre and a leaf, and no leaf has two centres. This is exactly the fixpoint of

@@ -31,17 +31,17 @@ class LabelVectors:
 
 
 def corpus_tf(spark: SparkSession, sf_dir: str, min_score: int = 1, stem: bool = False,
-              url_first: bool = False) -> DataFrame:
+              url_first: bool = False, full: bool = False) -> DataFrame:
     """``(post_id, term, tf)`` of usable posts of the post/excerpt/wiki union, materialised once."""
     posts = standin.posts(spark, sf_dir)
     texts = rl.post_text_union(posts, standin.excerpts(spark, sf_dir), standin.wikis(spark, sf_dir))
-    return cut(fe.term_counts(fe.usable_terms(texts, min_score=min_score, url_first=url_first, stem=stem)), "tf")
+    return cut(fe.term_counts(fe.usable_terms(texts, min_score=min_score, url_first=url_first, stem=stem, full=full)), "tf")
 
 
 def label_vectors(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, min_score: int = 1,
-                  stem: bool = False) -> LabelVectors:
+                  stem: bool = False, full: bool = False) -> LabelVectors:
     """TF-IDF of usable posts, averaged per tag (zero vector for tags without a usable post)."""
-    tf = corpus_tf(spark, sf_dir, min_score=min_score, stem=stem)
+    tf = corpus_tf(spark, sf_dir, min_score=min_score, stem=stem, full=full)
     model = fe.fit_tfidf(tf, vocab_size)
     # fitted once: every user of the lazy table would compute the corpus statistics again
     model = fe.TfidfModel(cut(model.vocab, "vocabulary"), model.size)
@@ -88,10 +88,10 @@ def communities(vertices: DataFrame, edges: DataFrame, algo: str = "label_propag
 
 def tag_communities(spark: SparkSession, sf_dir: str, vocab_size: int = 1000, threshold: float = 0.5,
                     max_iter: int = 5, min_score: int = 1, weighted: bool = False, stem: bool = False,
-                    tag_count: int | None = None, algo: str = "label_propagation") -> DataFrame:
+                    tag_count: int | None = None, algo: str = "label_propagation", full: bool = False) -> DataFrame:
     """``(id, name, label)``: communities of the tag similarity graph (the flow of
     ``(tag_count, threshold, iterations, algorithm)``)."""
-    lv = first_tags(label_vectors(spark, sf_dir, vocab_size, min_score, stem), tag_count)
+    lv = first_tags(label_vectors(spark, sf_dir, vocab_size, min_score, stem, full), tag_count)
     vertices, edges = label_graph(lv, threshold)
     labels = communities(vertices, edges, algo, max_iter, weighted)
     return vertices.join(labels, "id").select("id", "name", "label")

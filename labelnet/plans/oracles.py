@@ -38,8 +38,8 @@ def emb_graph(threshold: float, inclusive: bool = False):
     return EMB + S.pair_edges_parts("emb_long", "tag_id", threshold, inclusive)
 
 
-def doc_graph(inclusive: bool = False, stem: bool = False):
-    return S.label_vector_parts(Q.DOC_VOCAB, stem=stem) + S.pair_edges_parts("tv", "tag_id", Q.DOC_THRESHOLD, inclusive)
+def doc_graph(inclusive: bool = False, stem: bool = False, full: bool = False):
+    return S.label_vector_parts(Q.DOC_VOCAB, stem=stem, full=full) + S.pair_edges_parts("tv", "tag_id", Q.DOC_THRESHOLD, inclusive)
 
 
 UND = ("ue", "SELECT src, dst, weight FROM edges UNION ALL SELECT dst, src, weight FROM edges")
@@ -196,6 +196,21 @@ def _():
              "SELECT term, stem FROM st")
 
 
+@oracle("lemmatise_vocabulary")
+def _():
+    return W([("words", f"SELECT DISTINCT unnest({S.clean_tokens_sql('text')}) AS term FROM documents")]
+             + S.lemma_parts("words", "term", "words", "term", "lem"), "SELECT form, lemma FROM lem", recursive=True)
+
+
+@oracle("clean_text_full")
+def _():
+    return W([("t", f"SELECT row_number() OVER () AS n, doc_id, {S.clean_tokens_sql('text')} AS ts FROM documents"),
+              ("x", "SELECT n, unnest(ts) AS term, unnest(range(len(ts))) AS place FROM t"),
+              ("words", "SELECT DISTINCT term FROM x")] + S.token_map_parts("words", "m") + [
+              ("y", "SELECT n, string_agg(token, ' ' ORDER BY place) AS text FROM x JOIN m USING (term) GROUP BY n")],
+             "SELECT doc_id, coalesce(y.text, '') AS text FROM t LEFT JOIN y USING (n)", recursive=True)
+
+
 # ---- features ------------------------------------------------------------------------------------
 
 def _tfidf():
@@ -285,6 +300,16 @@ def _():
                                  "SELECT id, min(comp) AS component FROM reach GROUP BY id")[len("WITH "):]
 
 
+@oracle("split_communities")
+def _():
+    return W(emb_graph(Q.EMB_LP_T) + [
+        UND,
+        ("lab", "SELECT tag_id AS id, label FROM emb"),
+        ("inn", "SELECT u.src, u.dst FROM ue u JOIN lab a ON a.id = u.src JOIN lab b ON b.id = u.dst WHERE a.label = b.label"),
+        ("reach(id, comp)", "SELECT id, id FROM lab UNION SELECT i.dst, r.comp FROM reach r JOIN inn i ON i.src = r.id"),
+    ], "SELECT id, min(comp) AS label FROM reach GROUP BY id", recursive=True)
+
+
 @oracle("label_propagation")
 def _():
     return W(emb_graph(Q.EMB_LP_T) + S.label_propagation_parts("evert", "edges", Q.ROUNDS),
@@ -349,6 +374,12 @@ def _():
     return W(parts, f"SELECT v.id, v.name, l.label FROM vertices v JOIN lp{Q.ROUNDS} l USING (id)")
 
 
+@oracle("tag_communities_full")
+def _():
+    parts = doc_graph(full=True) + S.label_propagation_parts("vertices", "edges", Q.ROUNDS)
+    return W(parts, f"SELECT v.id, v.name, l.label FROM vertices v JOIN lp{Q.ROUNDS} l USING (id)", recursive=True)
+
+
 # ---- recommendation and evaluation -----------------------------------------------------------------
 
 def _recs():
@@ -489,5 +520,6 @@ def _():
 FROM events GROUP BY date_trunc('day', ts), event_type"""
 
 
+ORACLES["connected_components_stars"] = ORACLES["connected_components"]
 ORACLES["usage_trend_stream"] = ORACLES["usage_trend"]
 ORACLES["post_tags_stream"] = ORACLES["post_tags"]

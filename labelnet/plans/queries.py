@@ -227,6 +227,21 @@ def q_lexicon_normalize(spark, d):
     return fe.lexicon_from_corpus(_doc_terms(spark, d))
 
 
+@register("lemmatise_vocabulary")
+def q_lemmatise_vocabulary(spark, d):
+    """Noun lemmas of the documents' words, with the words of all texts as the dictionary and the irregular nouns."""
+    terms = cut(_doc_terms(spark, d), "doc-terms")
+    return fe.lemma_map(terms, terms.select(F.col("term").alias("word")))
+
+
+@register("clean_text_full")
+def q_clean_text_full(spark, d):
+    """The whole cleaning chain of the reference, stems and lemmas included: one token map for the corpus, joined once."""
+    docs = standin.table(spark, d, "documents").select("doc_id", tx.clean_tokens("text").alias("tokens"))
+    docs = cut(docs.select("doc_id", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")), "doc-tokens")
+    return fe.mapped_text(docs, "doc_id", fe.token_map(docs.select(F.explode("tokens").alias("term"))))
+
+
 # ---- features --------------------------------------------------------------------------
 
 @register("vocabulary")
@@ -336,10 +351,24 @@ def q_incident_edges(spark, d):
 
 @register("connected_components")
 def q_connected_components(spark, d):
+    v, e = pl.embedding_graph(spark, d, EMB_EDGE_T)
+    return gr.components(v, e)
+
+
+@register("connected_components_stars")
+def q_connected_components_stars(spark, d):
+    """By alternating stars, on an edge table that shrinks."""
     v, e = pl.embedding_graph(spark, d, EMB_EDGE_T)
     return gr.connected_components(v, e)
 
 
+@register("split_communities")
+def q_split_communities(spark, d):
+    """Communities of the stored vectors by their group's label, parted where they hang together by no edge of their own."""
+    v, e = pl.embedding_graph(spark, d, EMB_LP_T)
+    return gr.split_communities(standin.vectors(spark, d).select(F.col("tag_id").alias("id"), "label"), e)
+
+
 @register("label_propagation")
 def q_label_propagation(spark, d):
     v, e = pl.embedding_graph(spark, d, EMB_LP_T)
@@ -399,6 +428,12 @@ def q_tag_communities_stemmed(spark, d):
     return pl.tag_communities(spark, d, vocab_size=DOC_VOCAB, threshold=DOC_THRESHOLD, max_iter=ROUNDS, stem=True)
 
 
+@register("tag_communities_full")
+def q_tag_communities_full(spark, d):
+    """The community flow behind the whole cleaning chain (stems and lemmas), as the reference always runs it."""
+    return pl.tag_communities(spark, d, vocab_size=DOC_VOCAB, threshold=DOC_THRESHOLD, max_iter=ROUNDS, full=True)
+
+
 # ---- recommendation and evaluation ---------------------------------------------------------
 
 def _doc_graph_labels(spark, d):

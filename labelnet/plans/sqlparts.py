@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from labelnet.functions import porter
 from labelnet.functions import text as tx
+from labelnet.operators.features import IRREGULAR_NOUNS, NOUN_DETACHMENT
 from labelnet.sources.standin import EXCERPT_ID_OFFSET, WIKI_ID_OFFSET
 
 
@@ -18,9 +19,9 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def with_(parts: list[tuple[str, str]], final: str) -> str:
+def with_(parts: list[tuple[str, str]], final: str, recursive: bool = False) -> str:
     ctes = ",\n".join(f"{n} AS (\n{b}\n)" for n, b in parts)
-    return f"WITH {ctes}\n{final}" if parts else final
+    return f"WITH {'RECURSIVE ' * recursive}{ctes}\n{final}" if parts else final
 
 
 def stop_list() -> str:
@@ -79,6 +80,31 @@ def stem_parts(words: str, term: str, out: str) -> list[tuple[str, str]]:
     return parts + [(out, f"SELECT term, CASE WHEN length(term) <= 2 THEN lower(term) ELSE w END AS stem FROM {last}")]
 
 
+def lemma_parts(forms: str, form: str, dictionary: str, word: str, out: str) -> list[tuple[str, str]]:
+    """``out(form, lemma)`` for the distinct ``forms.form``; the list needs WITH RECURSIVE."""
+    odd = ", ".join(f"({q(a)}, {q(b)})" for a, b in IRREGULAR_NOUNS)
+    rules = ", ".join(f"({q(a)}, {q(b)})" for a, b in NOUN_DETACHMENT)
+    return [
+        (f"{out}_odd", f"SELECT * FROM (VALUES {odd}) AS x(form, word)"),
+        (f"{out}_rules", f"SELECT * FROM (VALUES {rules}) AS x(suf, rep)"),
+        (f"{out}_cut(form, word, depth)", f"""SELECT {form}, {form}, 0 FROM {forms} WHERE {form} NOT IN (SELECT form FROM {out}_odd)
+UNION SELECT c.form, left(c.word, length(c.word) - length(suf)) || rep, depth + 1 FROM {out}_cut c, {out}_rules
+WHERE ends_with(c.word, suf) AND length(c.word) > length(suf)"""),
+        (f"{out}_all", f"""SELECT form, word, depth FROM {out}_cut UNION ALL SELECT {form}, {form}, 0 FROM {forms} WHERE {form} IN (SELECT form FROM {out}_odd)
+UNION ALL SELECT form, word, 1 FROM {out}_odd WHERE form IN (SELECT {form} FROM {forms})"""),
+        (f"{out}_best", f"""SELECT form, arg_min(word, (greatest(depth, 1), length(word), depth, word)) AS lemma FROM {out}_all
+WHERE word IN (SELECT {word} FROM {dictionary}) GROUP BY form"""),
+        (out, f"SELECT f.{form} AS form, coalesce(b.lemma, f.{form}) AS lemma FROM {forms} f LEFT JOIN {out}_best b ON b.form = f.{form}"),
+    ]
+
+
+def token_map_parts(words: str, out: str) -> list[tuple[str, str]]:
+    """``out(term, token)`` for the distinct ``words.term``, which are the dictionary, too."""
+    return stem_parts(words, "term", f"{out}_st") + [(f"{out}_stems", f"SELECT DISTINCT stem FROM {out}_st")] + lemma_parts(
+        f"{out}_stems", "stem", words, "term", f"{out}_lem") + [
+        (out, f"SELECT s.term, l.lemma AS token FROM {out}_st s JOIN {out}_lem l ON l.form = s.stem")]
+
+
 # ---- the stand-in data model ---------------------------------------------------
 
 POSTS = ("posts", """SELECT d.doc_id AS id, split_part(d.text, chr(10), 1) AS title, d.text AS body,
@@ -112,12 +138,15 @@ FROM texts WHERE score >= {min_score}"""),
     ]
 
 
-def tfidf_parts(vocab_size: int, docs: str = "usable", stem: bool = False) -> list[tuple[str, str]]:
+def tfidf_parts(vocab_size: int, docs: str = "usable", stem: bool = False, full: bool = False) -> list[tuple[str, str]]:
     """Parts: tf (post_id, term, tf), vocab (term, idx, idf), w (post_id, idx, w)."""
     toks = [("toks", f"SELECT post_id, unnest(tokens) AS term FROM {docs}")]
     if stem:
         toks = [("toks_raw", toks[0][1]), ("toks_words", "SELECT DISTINCT term FROM toks_raw"), *stem_parts("toks_words", "term", "toks_stems"),
                 ("toks", "SELECT post_id, stem AS term FROM toks_raw JOIN toks_stems USING (term)")]
+    if full:
+        toks = [("toks_raw", toks[0][1]), ("toks_words", "SELECT DISTINCT term FROM toks_raw"), *token_map_parts("toks_words", "toks_map"),
+                ("toks", "SELECT post_id, token AS term FROM toks_raw JOIN toks_map USING (term)")]
     return toks + [
         ("tf", "SELECT post_id, term, count(*) AS tf FROM toks WHERE length(term) >= 2 GROUP BY post_id, term"),
         ("ndocs", f"SELECT CAST(count(*) AS DOUBLE) AS n FROM {docs}"),
@@ -130,9 +159,9 @@ def tfidf_parts(vocab_size: int, docs: str = "usable", stem: bool = False) -> li
     ]
 
 
-def label_vector_parts(vocab_size: int, min_score: int = 1, stem: bool = False) -> list[tuple[str, str]]:
+def label_vector_parts(vocab_size: int, min_score: int = 1, stem: bool = False, full: bool = False) -> list[tuple[str, str]]:
     """Parts through ``tv (tag_id, idx, w)`` and ``vertices (id, name)``."""
-    return base_parts() + usable_parts(min_score) + tfidf_parts(vocab_size, stem=stem) + [
+    return base_parts() + usable_parts(min_score) + tfidf_parts(vocab_size, stem=stem, full=full) + [
         ("members", """SELECT t.id AS tag_id, p.post_id FROM post_tags_raw p JOIN tags t USING (tag_name)
 WHERE p.post_id IN (SELECT post_id FROM usable)"""),
         ("nposts", "SELECT tag_id, count(*) AS n FROM members GROUP BY tag_id"),

@@ -72,3 +72,28 @@ def test_stem_and_lexicon(spark):
     assert lex == {"cats": "cat", "boxes": "box"}   # 'ponies' -> 'pony' is not a corpus word
     applied = {r.term for r in fe.apply_lexicon(long, fe.lexicon_from_corpus(long)).collect()}
     assert applied == {"ponies", "cat", "box"}
+
+
+def test_lemmas_of_irregular_and_unknown_nouns(spark):
+    forms = "feet foots cats cat glasses glass classes women boxes ponies geese mens buses mss zzzs men data s analyses".split()
+    terms = spark.createDataFrame([(t,) for t in forms] + [(None,), ("cats",)], "term string")
+    words = spark.createDataFrame([(w,) for w in "foot cat glass glasse class woman box pony man men bus ms analysis".split()], "word string")
+    got = {r.form: r.lemma for r in fe.lemma_map(terms, words).collect()}
+    assert got == {"feet": "foot", "foots": "foot", "cats": "cat", "cat": "cat", "glasses": "glass", "glass": "glass", "classes": "class",
+                   "women": "woman", "boxes": "box", "ponies": "pony", "geese": "geese",      # goose isn't in the dictionary
+                   "mens": "men", "buses": "bus", "mss": "ms", "zzzs": "zzzs", "men": "men",   # of equal length, the form itself
+                   "data": "data", "s": "s", "analyses": "analysis"}
+    own = spark.createDataFrame([("geese", "man"), ("geese", "cat")], "form string, lemma string")
+    assert {r.form: r.lemma for r in fe.lemma_map(terms, words, own).collect()}["geese"] == "cat"
+    twice = fe.lemma_map(spark.createDataFrame([("catss",)], "term string"), words)
+    assert twice.first().lemma == "cat"                    # no dictionary word after one detachment, one after two
+    assert fe.lemma_map(terms.limit(0), words).count() == 0
+
+
+def test_full_chain_maps_every_token_in_order(spark):
+    docs = spark.createDataFrame([(1, ["running", "cats", "cats", "relational"]), (2, []), (3, ["women"])], "k long, tokens array<string>")
+    long = docs.select(F.explode("tokens").alias("term")).unionByName(spark.createDataFrame([("woman",)], "term string"))
+    m = fe.token_map(long)
+    assert {r.term: r.token for r in m.collect()} == {"running": "run", "cats": "cat", "relational": "relat", "women": "women", "woman": "woman"}
+    got = {r.k: r.text for r in fe.mapped_text(docs, "k", m).collect()}
+    assert got == {1: "run cat cat relat", 2: "", 3: "women"}     # equally long: the word itself

@@ -2,6 +2,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from labelnet.operators import adjacency
 from labelnet.operators import graph as gr
 from labelnet.operators import louvain as lv
 
@@ -136,3 +139,48 @@ def test_dense_index_matches_dense_rank(spark):
     got = {r.name: r.k for r in dense_index(df, "name", "k", start=1).collect()}
     want = {n: i + 1 for i, n in enumerate(sorted(set(names)))}
     assert got == want
+
+
+def test_components_on_still_edges(spark):
+    import random
+    rng = random.Random(9)
+    path = [(i, i + 1) for i in range(100, 130)]                     # long, in shuffled order of ids
+    ids = list(range(100, 131))
+    rng.shuffle(ids)
+    path = [(ids[a - 100], ids[b - 100]) for a, b in path]
+    hub = [(200, 200 + i) for i in range(1, 60)]
+    loose = [(300 + rng.randrange(80), 300 + rng.randrange(80)) for _ in range(45)]
+    edges = EDGES + path + hub + loose
+    verts = VERTS + list(range(100, 131)) + list(range(200, 260)) + list(range(300, 380))
+    v, e = graph(spark, edges, verts)
+    assert {r.id: r.component for r in gr.components(v, e).collect()} == brute_cc(verts, edges)
+    adj = adjacency.build(gr.undirected(e.where("src <> dst")), arc=7)           # the hub has parts
+    assert adj.hubs.count() >= 1 and adj.table.agg(F.max(F.size("nbrs"))).first()[0] < 59
+    assert {r.id: r.component for r in adjacency.components(v, adj).collect()} == brute_cc(verts, edges)
+    lp = {r.id: r.label for r in adjacency.propagate(v, adj, 3, False).collect()}
+    assert lp == brute_lp(verts, [x for x in edges if x[0] != x[1]], 3)
+    adjacency.drop(adj)
+    assert gr.components(v, e.limit(0)).where("id <> component").count() == 0 and gr.components(v.limit(0), e.limit(0)).count() == 0
+
+
+def test_a_round_moves_labels_and_no_edges(spark):
+    v, e = graph(spark)
+    adj = adjacency.build(gr.undirected(e))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        labels = adjacency.with_parts(v.select("id"), adj).withColumn("label", F.col("id"))
+        labels = spark.createDataFrame(labels.collect(), labels.schema)
+        plan = adjacency.messages(labels, adj, "label")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and plan.count("Exchange") == 1            # the labels'; the edge scan lies under none
+    left = plan[plan.index("ShuffledHashJoin"):plan.index("Exchange")]
+    assert adj.name in left or "Bucketed: true" in left
+    adjacency.drop(adj)
+
+
+def test_split_communities_parts_what_is_not_connected(spark):
+    v, e = graph(spark)
+    labels = v.select("id", F.when(F.col("id") <= 6, 1).otherwise(F.when(F.col("id").isin(11, 12, 15, 16), 2).otherwise(3)).cast("long").alias("label"))
+    got = {r.id: r.label for r in gr.split_communities(labels, e).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 4, 5: 4, 6: 4, 7: 7, 8: 7, 9: 7, 10: 7, 11: 11, 12: 11, 13: 13, 14: 13, 15: 15, 16: 15}
