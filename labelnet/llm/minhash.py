@@ -12,10 +12,10 @@ their weighted Jaccard index.
 
 Join: documents with equal words are one representative first. Representatives that agree on all ``ROWS``
 coordinates of one of ``BANDS`` bands are candidates (0.8: found with probability 0.99995). Candidates are never
-listed as all pairs of a group: in the rounds of ``LEADERS`` every member of a band's bucket is compared with a few
-leaders of it, as long as the two aren't known to be in one class. The first leader is the member whose own buckets are
-the largest, as the original of many copies agrees with more of them than they do with each other; the others are picked
-by hash. What then still lies in one bucket but not in one known class is compared pair by pair in buckets of up to
+listed as all pairs of a group: in the rounds of ``LEADERS`` every member of a band's bucket is compared with one or two
+leaders of it, as long as the two aren't known to be in one class. The first round's leader is the member whose own
+buckets are the largest, as the original of many copies agrees with more of them than they do with each other, and as it
+leads most of its buckets, a copy meets it once; the next round's are picked by hash. What then still lies in one bucket but not in one known class is compared pair by pair in buckets of up to
 ``SMALL`` members. Members of larger ones meet by their rarest regions instead: two sets of similarity 0.8 share one of
 the first regions in any order (of the smaller set's ninth and the larger's fifth), and in rarest-first order texts of one
 template that differ in more than that have no such region in common. Regions that only members of one class have, and
@@ -43,7 +43,7 @@ from .common import saved
 
 SHINGLE, BOUND = 5, 0.8
 K, BANDS, ROWS = 128, 25, 5
-LEADERS = (("pop", 1), (2, 3))    # leaders of each round: by popularity, or the seed of a hash
+LEADERS = (("pop",), (2, 3))      # leaders of each round: by popularity, or the seed of a hash
 SMALL = 16                    # members of a bucket that are compared pair by pair after the leaders
 COUNTERS = 1 << 20            # counters that order regions by how often they occur (a hash may share one: only speed)
 SCREEN = 0.5
