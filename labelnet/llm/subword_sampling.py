@@ -39,7 +39,8 @@ from . import tokens
 from .minhash import mix
 
 ALPHA, SAMPLES = 1.5, 2
-SLICE = 1_000_000              # bytes of text whose lattices are in memory at once (one text at least)
+ROWS = 256                     # rows that are decoded at a time
+SLICE = 500_000                # bytes of text whose lattices are in memory at once (one text at least)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 NULL_KEY = -(1 << 63)
 _NEG = -np.inf
@@ -413,15 +414,17 @@ def sample_segmentations(docs: DataFrame, path: str, k: int = SAMPLES, alpha: fl
 def _decoder(path: str, at: int):
     def run(batches):
         p = pieces(path, ALPHA)
-        for b in batches:
-            ids = b.column(at)
-            flat = ids.flatten().to_numpy(zero_copy_only=False)
-            size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(size)
-            texts = [p.decode(flat[e - n:e]).decode("utf-8", "replace") if ok else None
-                     for n, e, ok in zip(size, ends, ids.is_valid().to_pylist())]
-            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), pa.array(texts, pa.string())],
-                                             names=[c for i, c in enumerate(b.schema.names) if i != at] + ["text"])
+        for big in batches:
+            for first in range(0, len(big), ROWS):
+                b = big.slice(first, ROWS)
+                ids = b.column(at)
+                flat = ids.flatten().to_numpy(zero_copy_only=False)
+                size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+                ends = np.cumsum(size)
+                texts = [p.decode(flat[e - n:e]).decode("utf-8", "replace") if ok else None
+                         for n, e, ok in zip(size, ends, ids.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), pa.array(texts, pa.string())],
+                                                 names=[c for i, c in enumerate(b.schema.names) if i != at] + ["text"])
     return run
 
 
