@@ -102,17 +102,35 @@ def decode_references(c: Column) -> Column:
     return F.regexp_replace(c, F.lit(AMPERSAND), F.lit("&"))
 
 
+# The same splits for a chain that deletes the marks afterwards, where a mark needs only a blank in its place: marks that
+# stand alone, and ``,`` or ``:`` that no digit follows, go in one pass (of two in a row the second stays, as in the rules).
+# A sentence's last period counts only where a quote may come before it: elsewhere its deletion joins nothing.
+MARKS = r"""[`";@#$%&?!\[\](){}<>]|''|--|\.{2,}|[:,]([:,])|[:,](?![0-9])"""
+
+
+def bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it (a Column written out twice is two
+    expressions, and nested conditions on nested replacements would grow without bound)."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def split_words(c: Column | str) -> Column:
-    """Blanks where the word tokeniser splits (marks, sentence ends, contractions); every mark is still there."""
+    """Blanks where the word tokeniser splits (marks, quotes, contractions), for texts whose marks are deleted next."""
     c = F.col(c) if isinstance(c, str) else c
 
     def apply(x: Column, rules) -> Column:
         for pattern, to in rules:
             x = F.regexp_replace(x, F.lit(pattern), F.lit(to.replace("\\", "$")))
         return x
-    c = apply(F.concat(F.lit(" "), c, F.lit(" ")), SPLITS[:4])
-    c = F.when(F.instr(c, "'") > 0, apply(c, SPLITS[4:])).otherwise(c)
-    return F.when(c.rlike(CONTRACTED), apply(c, CONTRACTIONS)).otherwise(c)
+
+    def contracted(low: Column) -> Column:                 # plain searches first: few texts have any of them
+        some = F.lit(False)
+        for word in CONTRACTED.removeprefix("(?i)").split("|"):
+            some = some | F.contains(low, F.lit(word))
+        return some
+    c = F.regexp_replace(F.concat(F.lit(" "), c, F.lit(" ")), F.lit(MARKS), F.lit(" $1"))
+    c = bound(c, lambda x: F.when(F.instr(x, "'") > 0, apply(x, SPLITS[3:])).otherwise(x))
+    return bound(c, lambda x: F.when(bound(F.lower(x), contracted), apply(x, CONTRACTIONS)).otherwise(x))
 
 
 def normalize_text(c: Column | str) -> Column:
