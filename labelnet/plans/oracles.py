@@ -279,6 +279,12 @@ def _():
 FROM vertices""")
 
 
+@oracle("graph_endpoints")
+def _():
+    return W(S.label_vector_parts(Q.DOC_VOCAB) + S.pair_edges_parts("tv", "tag_id", Q.ENDPOINT_T),
+             "SELECT id, name FROM vertices WHERE id IN (SELECT src FROM edges UNION SELECT dst FROM edges)")
+
+
 @oracle("undirected_edges")
 def _():
     return W(emb_graph(Q.EMB_EDGE_T) + [UND], "SELECT src, dst, round(weight, 6) AS weight FROM ue")
@@ -368,6 +374,15 @@ def _():
     return W(parts, f"SELECT v.id, v.name, l.label FROM vertices v JOIN lp{Q.ROUNDS} l USING (id)")
 
 
+@oracle("tag_communities_first_tags")
+def _():
+    parts = S.label_vector_parts(Q.DOC_VOCAB) + [
+        ("tvn", f"SELECT * FROM tv WHERE tag_id <= {Q.TAG_COUNT}"),
+        ("vn", f"SELECT id, name FROM vertices WHERE id <= {Q.TAG_COUNT}"),
+    ] + S.pair_edges_parts("tvn", "tag_id", Q.DOC_THRESHOLD) + S.label_propagation_parts("vn", "edges", Q.ROUNDS)
+    return W(parts, f"SELECT v.id, v.name, l.label FROM vn v JOIN lp{Q.ROUNDS} l USING (id)")
+
+
 @oracle("tag_communities_stemmed")
 def _():
     parts = doc_graph(stem=True) + S.label_propagation_parts("vertices", "edges", Q.ROUNDS)

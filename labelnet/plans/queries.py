@@ -43,6 +43,8 @@ PREC_K = 5                # precision@5
 TRUTH_NEAR = 10           # truth pairs: so many ids of the same label on either side
 MIN_COMMUNITY = 3         # merge communities smaller than this
 HASH_FEATURES = 20        # hashed draft feature count
+TAG_COUNT = 20            # reference default of the community flow's first tags
+ENDPOINT_T = 0.99         # documents: threshold that leaves some tags without an edge
 
 
 def register(name: str):
@@ -336,6 +338,14 @@ def q_graph_vertices(spark, d):
     return v.join(ends, "id", "left").select("id", "name", F.coalesce("has_edge", F.lit(False)).alias("has_edge"))
 
 
+@register("graph_endpoints")
+def q_graph_endpoints(spark, d):
+    """The vertex table of the scripts: tags with an edge only."""
+    lv = pl.label_vectors(spark, d, DOC_VOCAB)
+    v, _ = pl.label_graph(lv, ENDPOINT_T, keep_isolated=False)
+    return v.select("id", "name")
+
+
 @register("undirected_edges")
 def q_undirected_edges(spark, d):
     _, e = pl.embedding_graph(spark, d, EMB_EDGE_T)
@@ -422,6 +432,12 @@ def q_tag_communities(spark, d):
     return pl.tag_communities(spark, d, vocab_size=DOC_VOCAB, threshold=DOC_THRESHOLD, max_iter=ROUNDS)
 
 
+@register("tag_communities_first_tags")
+def q_tag_communities_first_tags(spark, d):
+    """The flow over the first tags of the store only (``tag_count``)."""
+    return pl.tag_communities(spark, d, vocab_size=DOC_VOCAB, threshold=DOC_THRESHOLD, max_iter=ROUNDS, tag_count=TAG_COUNT)
+
+
 @register("tag_communities_stemmed")
 def q_tag_communities_stemmed(spark, d):
     """The cleaning chain with the Porter stemmer."""
