@@ -8,7 +8,8 @@ its texts byte by byte, so that a digest alone never makes two texts equal.
 
 Defined cases: a null text is empty, and all empty texts are equal; of equal texts the row with the
 largest doc_id stays (a null doc_id is smallest; of rows with the same doc_id, one stays); an empty
-table gives an empty result; an empty snapshot passes nothing. Other columns are ignored.
+table gives an empty result; an empty snapshot passes nothing. A text of any length is hashed and compared whole. Other
+columns are ignored.
 """
 
 from __future__ import annotations

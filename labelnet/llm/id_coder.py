@@ -16,7 +16,8 @@ shard, seq, the documents' ids and lengths, the order-0 counts, and the blocks'
 payload. Only Spark reads or writes it, so it may lie in any store.
 
 Defined cases: a null text is empty and is its end id alone; rows with equal doc_id are ordered by
-their text; an empty table gives an empty file and result; very long texts make a long segment.
+their text; an empty table gives an empty file and result; very long texts make a long segment; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

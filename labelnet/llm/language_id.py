@@ -13,7 +13,7 @@ gives (the share of such columns), 1 at most. ``usual`` is its median over the k
 
 Defined cases: a text that is null or without a letter is ``und`` with score 0, and isn't learned from;
 neither is a document with a null lang or doc_id; without any learning document all is ``und``; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored; a text longer than a slice is a slice of its own and is read whole.
 """
 
 from __future__ import annotations

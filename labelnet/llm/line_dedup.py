@@ -21,7 +21,8 @@ Whole texts are shuffled only where something may change: bounded Bloom filters
 other rows pass by; when they saturate, more rows are shuffled, and the result is the same.
 
 Defined cases: a null text stays null; a null doc_id comes first; repeated rows are duplicates of the first
-one; an empty table gives an empty result; other columns are kept as they are, whatever their names.
+one; an empty table gives an empty result; other columns are kept as they are, whatever their names; a text of any length
+is split whole (a row for each line), and a long line is keyed and compared as a whole.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ and then verified on the whole texts. Classes are the connected components of th
 
 Defined cases: a null text is empty; all texts without a word are one class; rows that share a doc_id
 are told apart by their text, and equal rows are in one class, of which one row stays; a null doc_id counts as
-smallest; an empty table gives an empty result; other columns are ignored, or kept by ``deduped``.
+smallest; an empty table gives an empty result; a text longer than a slice is a slice of its own and is read whole;
+other columns are ignored, or kept by ``deduped``.
 """
 
 from __future__ import annotations

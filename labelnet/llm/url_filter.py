@@ -8,7 +8,8 @@ which removes the false positives. A URL that no listed one fits gets ``otherwis
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and fits nothing; equal
 rows each get a row; an empty list gives ``otherwise`` for all; an empty table an empty result. A list
-that names a key twice keeps its smallest verdict (allow before block).
+that names a key twice keeps its smallest verdict (allow before block). A url of any length is judged whole; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
