@@ -97,11 +97,21 @@ def _fit(idf: np.ndarray):
         if not len(f):
             return
         langs = sorted(f["lang"].unique())
-        bags, texts = [], []
+        bags, texts, wait = [], [], []
+
+        def flat():                                    # in long arrays, which go back to the system when the fit is over
+            ends = np.cumsum([0] + [len(at) for at, _, _ in wait])
+            ats, xs = (np.concatenate([w[i] for w in wait]) for i in (0, 1))
+            bags.extend((ats[i:j], xs[i:j], y) for i, j, (_, _, y) in zip(ends[:-1], ends[1:], wait))
+            wait.clear()
         for (ok, at, x), y, t in zip(_bag_all(f["text"], idf), f["lang"], f["text"]):
             if ok:
-                bags.append((at, x, langs.index(y)))
+                wait.append((at.astype(np.int32), x, langs.index(y)))
                 texts.append(t)
+                if len(wait) == 200:
+                    flat()
+        if wait:
+            flat()
         held, used = bags[::5], [b for i, b in enumerate(bags) if i % 5] or bags
         k = len(langs)
         z, n = np.zeros((DIMS + 1, k)), np.zeros((DIMS + 1, k))
