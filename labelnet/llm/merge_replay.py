@@ -442,7 +442,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple = ("doc_id",),
     return done.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "ids")
 
 
-def _decode(path: str, at: int):
+def _decode(path: str, at: int, keep: bool):
     def run(batches):
         p = ranks_of(path)
         for big in batches:
@@ -459,12 +459,15 @@ def _decode(path: str, at: int):
                 raw = p.flat[spread(p.start[flat], size)].tobytes()
                 cuts = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n[done:end])])]
                 got = [raw[x:y] if ok else None for x, y, ok in zip(cuts[:-1], cuts[1:], ids.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*b.schema.names, "decoded"])
+                stay = [i for i in range(b.num_columns) if keep or i != at]
+                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in stay), pa.array(got, pa.binary())],
+                                                 names=[*(b.schema.names[i] for i in stay), "decoded"])
                 done = end
     return run
 
 
-def decode_ids(df: DataFrame, path: str) -> DataFrame:
-    """``df`` with ``decoded``: the bytes that its ``ids`` stand for."""
+def decode_ids(df: DataFrame, path: str, keep: bool = True) -> DataFrame:
+    """``df`` with ``decoded``: the bytes that its ``ids`` stand for (``keep=False``: without the ids)."""
     d = df.withColumn("ids", F.col("ids").cast("array<int>"))
-    return d.mapInArrow(_decode(path, d.columns.index("ids")), T.StructType([*d.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    left = [f for f in d.schema.fields if keep or f.name != "ids"]
+    return d.mapInArrow(_decode(path, d.columns.index("ids"), keep), T.StructType([*left, T.StructField("decoded", T.BinaryType())]))

@@ -114,9 +114,10 @@ def op4_subword_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokens.vocabulary("byte_bpe_50k.tiktoken")
-    d = merge_replay.decode_ids(merge_replay.encode(table(spark, sf_dir, "documents"), path, tokens.pattern()), path)
-    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                    F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    d = merge_replay.encode(table(spark, sf_dir, "documents"), path, tokens.pattern())
+    d = d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
+    d = merge_replay.decode_ids(d, path, keep=False)       # the ids needn't come back
+    return d.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
