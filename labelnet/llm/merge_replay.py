@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import saved, text_or_empty
+from .common import give_back, saved, text_or_empty
 
 SLICE = 10_000_000             # bytes of text in a chunk
 BUCKET = 48_000_000            # bytes of text for each bucket of words
 STEP = 400_000                 # ids that are decoded at a time (one row at least)
+SEGMENTS = 20_000              # segments that are split into words at a time
 NONE = np.int32(2 ** 31 - 1)   # no rank
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -280,12 +281,16 @@ def words_of(texts: pa.Array, pattern: Splitter) -> tuple[pa.Array, np.ndarray,
     """Distinct words of all texts, each text's words as positions among them in a row, and where each text's begin."""
     segs, at = segments(texts)
     coded = segs.dictionary_encode()
-    parts = [pattern.findall(s) for s in coded.dictionary.to_pylist()]
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    flat = pa.array([w for p in parts for w in p], pa.large_string()).dictionary_encode()
-    code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    seq = code[spread((np.cumsum(size) - size)[of], size[of])] if len(of) else np.zeros(0, np.int64)
+    sizes, found = [np.zeros(0, np.int64)], []
+    for i in range(0, len(coded.dictionary), SEGMENTS):    # few words are Python strings at a time
+        parts = [pattern.findall(s) for s in coded.dictionary[i:i + SEGMENTS].to_pylist()]
+        sizes.append(np.fromiter(map(len, parts), np.int64, len(parts)))
+        found.append(pa.array([w for p in parts for w in p], pa.large_string()))
+    size = np.concatenate(sizes)
+    flat = pa.concat_arrays([pa.array([], pa.large_string()), *found]).dictionary_encode()
+    code = flat.indices.to_numpy(zero_copy_only=False)
+    of = coded.indices.to_numpy(zero_copy_only=False)
+    seq = code[spread((np.cumsum(size) - size)[of], size[of])].astype(np.int64) if len(of) else np.zeros(0, np.int64)
     upto = np.concatenate([[0], np.cumsum(size[of])]) if len(of) else np.zeros(1, np.int64)
     return flat.dictionary, seq, upto[at]
 
@@ -373,6 +378,8 @@ def _cut(pattern: str, path: str, buckets: int, schema: pa.Schema):
                 lists = [[raw[i] for i in rest[part]] for part in np.split(order, cuts[:-1])] if len(had) else []
                 packed = [joined(pack_ints(np.fromiter(map(len, x), np.int64, len(x))), _squeezed(b"".join(x))) for x in lists]
                 yield rows(chunk, len(had), schema, bucket=pa.array(had), blob=pa.array(packed, pa.binary()))
+                del words, seq, at, raw, whole, rest, bucket, seen, blob, order, lists, packed
+                give_back()
     return run
 
 
@@ -392,6 +399,8 @@ def _replay(path: str):
         for i in range(len(sizes)):
             c = code[n[i]:n[i + 1]]
             out.append(joined(pack_ints(count[c]), pack_ints(ids[spread(at[:-1][c], count[c])])))
+        del sizes, raw, flat, coded, ids, at, count, code
+        give_back()
         return pa.table([t.column("chunk"), t.column("bucket"), pa.array(out, pa.binary())], names=["chunk", "bucket", "ids"])
     return run
 
@@ -420,6 +429,8 @@ def _whole(keep: list[str]):
             part = seq[i:i + STEP]
             flat[upto[i]:upto[i + len(part)]] = ids[spread(start[part], size[part])]
         lists = pa.ListArray.from_arrays(pa.array(upto[ends], pa.int32()), pa.array(flat))
+        del seq, whole, bucket, new, size, got, rest, start, ids, upto
+        give_back()
         return pa.table([*(docs.column(c) for c in keep), lists], names=[*keep, "ids"])
     return run
 
