@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
+from .common import give_back
 from .minhash import mix
 
 ALPHA, SAMPLES = 1.5, 2
@@ -397,7 +398,11 @@ def sampler(path: str, k: int, alpha: float, ids_out: bool = False):
                 for r in rows:
                     x = r[4] - left[r[6]]
                     r[6] = 0.0 if np.isinf(x) else float(x if x < -30 else np.log(-np.expm1(-np.exp(min(x, 700.0)))))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names=names)
+                flat = coded = lat = got = ids = doc = None
+                out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names=names)
+                rows = scores = r = x = None
+                give_back()
+                yield out
     return run
 
 
