@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .common import give_back
 
 DIMS, SAMPLE, EPOCHS = 1 << 15, 4000, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.1
@@ -79,6 +80,8 @@ def _frequencies(batches):
                 seen[cols[:, ends[i]:ends[i + 1]]] = True
                 df += seen
                 n += 1
+    cols = ends = ok = None
+    give_back()
     at = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(df[at], n))], names=["gram", "df"])
 
@@ -223,6 +226,9 @@ def _predict(model: dict, told: bool):
                      pa.array([langs[j] if k else "und" for j, k in zip(pred, ok)], pa.string()), pa.array(np.where(ok, score, 0.0)),
                      *([pa.array(seen, mask=~text)] if told else [])],
                     names=[x for x in b.schema.names if x != "text"] + ["lang_pred", "score"] + ["evidence"] * told)
+                del cols, ends, text, letter, pred, score, seen, ok
+                each = s = p = None
+            give_back()
     return run
 
 
