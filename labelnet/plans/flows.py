@@ -18,7 +18,7 @@ from labelnet.operators import relate as rl
 from labelnet.operators import similarity as sim
 from labelnet.session import cut
 from labelnet.sources import standin
-from labelnet.util import checked_broadcast
+from labelnet.util import checked_broadcast, spread_rank
 
 
 @dataclass
@@ -135,6 +135,22 @@ def ranked(scores: DataFrame, key: list[str], other: str, score: str, k: int | N
     return s.where(F.col("rank") <= k) if k is not None else s
 
 
+def tag_ranking(lv: LabelVectors, requests: DataFrame | None = None) -> DataFrame:
+    """``(tag_id, rank, neighbour_id, sim)``: all tags ranked against each requested tag.
+
+    ``requests``: a column ``tag_name``, one row or many (repeated names count once, unknown ones give no rows); None:
+    every tag. Only the requested rows of the similarity product are computed, and no task holds all rows of one.
+    """
+    arr = cut(label_arrays(lv), "label_arrays")
+    left = arr
+    if requests is not None:
+        asked = requests.select("tag_name").distinct().join(lv.tags, "tag_name").select(F.col("id").alias("tag_id"))
+        left = arr.join(asked, "tag_id", "left_semi")
+    sc = sim.block_scores(left, arr.withColumnRenamed("tag_id", "neighbour_id"), ["tag_id"], ["neighbour_id"], lv.model.size)
+    sc = sc.select("tag_id", "neighbour_id", F.round("score", 6).alias("sim"))
+    return spread_rank(sc, ["tag_id"], [F.desc("sim"), F.asc("neighbour_id")]).select("tag_id", "rank", "neighbour_id", "sim")
+
+
 def tag_neighbours(lv: LabelVectors, k: int | None = 10, include_self: bool = True) -> DataFrame:
     """``(tag_id, rank, neighbour_id, sim)``: nearest tags by cosine for every tag.
 

@@ -474,6 +474,12 @@ def _():
     return W(_ranking(), "SELECT tag_id, rank, neighbour_id, sim FROM r")
 
 
+@oracle("tag_ranking_requests")
+def _():
+    return W(_ranking(), """SELECT v.name AS tag_name, r.rank, r.neighbour_id, r.sim
+FROM r JOIN vertices v ON v.id = r.tag_id WHERE v.name IN (SELECT lang FROM documents)""")
+
+
 def _post_scores():
     return S.label_vector_parts(Q.DOC_VOCAB) + [
         ("npost", "SELECT conv_id, turn, text FROM conversations WHERE role = 'user'"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelnet.functions import text as tx
+from labelnet.operators import candidates as cand
 from labelnet.operators import cooc as co
 from labelnet.operators import features as fe
 from labelnet.operators import graph as gr
@@ -33,6 +34,7 @@ DOC_THRESHOLD = 0.5       # reference default, strict
 ROUNDS = 5                # reference default propagation rounds
 EMB_EDGE_T = 0.4          # embeddings: threshold with a useful edge set
 EMB_LP_T = 0.3            # embeddings: threshold for propagation
+BAND_RECALL = 0.95        # share of pairs at the threshold that candidates are meant to find
 FIRST_N = 150             # first vectors of the store (below every fixture's row count)
 CAP = 100                 # row cap of the dataset builder
 OVERWRITE_N = 10          # rows overwritten by the draft flow
@@ -321,6 +323,15 @@ def q_similarity_edges_all(spark, d):
     return gr.both_ways_with_loops(e, nonzero).select("src", "dst", _r("weight").alias("weight"))
 
 
+@register("similarity_edges_banded")
+def q_similarity_edges_banded(spark, d):
+    """The edges by candidates (signed random projections) in place of all pairs."""
+    v = cut(standin.vectors(spark, d), "vectors")
+    dim = v.select(F.max(F.size("vector"))).first()[0] or 0
+    e = cand.banded_pairs(fe.array_to_sparse(v.select("tag_id", "vector")), "tag_id", dim, EMB_EDGE_T, recall=BAND_RECALL)
+    return e.select("src", "dst", _r("weight").alias("weight"))
+
+
 @register("tag_pairs_count")
 def q_tag_pairs_count(spark, d):
     lv = pl.label_vectors(spark, d, DOC_VOCAB)
@@ -511,7 +522,16 @@ def q_tag_neighbours(spark, d):
 @register("tag_ranking")
 def q_tag_ranking(spark, d):
     lv = pl.label_vectors(spark, d, DOC_VOCAB)
-    return pl.tag_neighbours(lv, None).select("tag_id", "rank", "neighbour_id", "sim")
+    return pl.tag_ranking(lv)
+
+
+@register("tag_ranking_requests")
+def q_tag_ranking_requests(spark, d):
+    """All tags ranked against those of a request table of names (the languages named in the documents)."""
+    lv = pl.label_vectors(spark, d, DOC_VOCAB)
+    requests = standin.table(spark, d, "documents").select(F.col("lang").alias("tag_name"))
+    names = lv.tags.select(F.col("id").alias("tag_id"), "tag_name")
+    return pl.tag_ranking(lv, requests).join(names, "tag_id").select("tag_name", "rank", "neighbour_id", "sim")
 
 
 @register("post_tags")

@@ -41,6 +41,31 @@ def dense_index(df: DataFrame, col: str, out: str, start: int = 1, unique: bool
             .select(*keep, (F.coalesce(F.col("_off"), F.lit(0)) + pos + F.lit(start)).cast("long").alias(out)))
 
 
+def spread_rank(df: DataFrame, keys: list[str], order: list, out: str = "rank", parts: int | None = None) -> DataFrame:
+    """``out``: each row's place (1, 2, ...) among the rows of its ``keys`` by ``order``, in two levels.
+
+    Equal to ``row_number()`` over a window by ``keys``, which needs all rows of a key in one task. Here the rows are
+    range-partitioned by keys and order together, so that a key with many rows lies in several partitions; a row's rank
+    is its place in its partition's share of the key plus the sizes of the key's shares before it. ``order`` should end
+    in a unique column; equal rows are ranked in any order. Keys may be null (one key).
+    """
+    from labelnet.session import cut
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*[F.col(k) for k in keys], *order]
+    d = (df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+         .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")))
+    d = cut(d, "spread-rank")
+    # one row for each key and partition that has some of it: at most keys + parts rows
+    shares = d.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_p"), "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    on = F.col("_pid") == F.col("_p")
+    for i, k in enumerate(keys):
+        on &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return d.join(shares, on).select(*df.columns, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("int").alias(out))
+
+
 def checked_broadcast(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only when its row count is bounded by a parameter below the limit.
 
