@@ -7,7 +7,7 @@ def test_registry_and_oracles_line_up():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {name for name in q if name != "pipeline" and not name.startswith("op")}
-    assert own - set(o) == {"stem_vocabulary", "hashed_tfidf", "louvain", "tag_communities_stemmed"}
+    assert own - set(o) == {"hashed_tfidf", "louvain", "similarity_edges_banded"}
 
 
 def test_entry_flagship(spark):
