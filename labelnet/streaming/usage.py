@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelnet.session import scratch_path
+from labelnet.sources.io import table_glob
 
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -33,12 +34,13 @@ def run_usage_stream(spark: SparkSession, source_dir: str, file_glob: str = "eve
     """Run the stream over the files present now (availableNow) and return the output folder."""
     out = out or scratch_path(spark, "usage-stream-out")
     checkpoint = checkpoint or scratch_path(spark, "usage-stream-ckpt")
-    src = (spark.readStream.schema(EVENTS).option("pathGlobFilter", file_glob)
-           .option("maxFilesPerTrigger", max_files).parquet(source_dir))
+    src = (spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", max_files)
+           .parquet(table_glob(source_dir, file_glob)))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch_counts(batch, every).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
+    sink(spark.createDataFrame([], EVENTS), -1)      # a stream without any file gives no rows, not no table
     q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
          .trigger(availableNow=True).start())
     q.awaitTermination()

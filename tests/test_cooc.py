@@ -112,3 +112,17 @@ def test_same_results_under_1_and_50_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1]
+
+
+def test_usage_stream_reads_a_table_that_is_a_folder(spark, tmp_path):
+    import datetime as dt
+    from labelnet.streaming import usage
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3, i % 24), 7, "ab"[i % 2], 1.0, "{}") for i in range(30)]
+    src = spark.createDataFrame(rows, usage.EVENTS)
+    src.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    src.coalesce(1).write.parquet(str(tmp_path / "other_events.parquet"))
+    out = usage.run_usage_stream(spark, str(tmp_path), "events.parquet")
+    want = sorted(tuple(r) for r in cooc.usage_trend(src.select("ts", F.col("event_type").alias("tag"))).collect())
+    assert sorted(tuple(r) for r in usage.latest_counts(spark, out).collect()) == want
+    (tmp_path / "none" / "events.parquet").mkdir(parents=True)
+    assert usage.latest_counts(spark, usage.run_usage_stream(spark, str(tmp_path / "none"), "events.parquet")).count() == 0

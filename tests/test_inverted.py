@@ -75,3 +75,26 @@ def test_padding_and_saved_model(spark, tmp_path):
     assert rows(model, True) == {1: pads(plain[1], [1, 3]), 2: pads(plain[2], [1, 3]), 3: pads([], [1, 2, 3, 4]), 4: pads([], [1, 2, 3, 4])}
     pl.save_model(model, str(tmp_path / "m"))
     assert rows(pl.load_model(spark, str(tmp_path / "m")), False) == plain
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_tagging_stream_of_a_folder_or_a_file_is_the_batch(spark, tmp_path, folder):
+    import glob
+    import shutil
+    from labelnet.streaming import tagging
+    model = pl.fe.TfidfModel(spark.createDataFrame([("apple", 0, 1.0), ("pear", 1, 1.0)], "term string, idx int, idf double"), 2)
+    vecs = spark.createDataFrame([(1, 0, 1.0), (2, 1, 1.0)], "tag_id long, idx int, w double")
+    tags = spark.createDataFrame([(1, "a"), (2, "b")], "id long, tag_name string")
+    turns = [(i, 0, "user" if i % 3 else "assistant", "apple pear" if i % 2 else "pear") for i in range(12)]
+    df = spark.createDataFrame(turns, tagging.CONVERSATIONS)
+    lv = pl.LabelVectors(vecs, tags, model, None, None)
+    where = tmp_path / "conversations.parquet"
+    if folder:
+        df.repartition(2).write.parquet(str(where))
+    else:
+        df.coalesce(1).write.parquet(str(tmp_path / "one"))
+        shutil.copy(glob.glob(str(tmp_path / "one" / "*.parquet"))[0], where)
+    got = spark.read.parquet(tagging.run_tagging_stream(spark, str(tmp_path), lv, 2, "conversations.parquet")).drop("batch_id")
+    posts = df.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("body"))
+    want = pl.suggest_tags(posts, ["conv_id", "turn"], pl.tagging_model(lv), 2).select(*got.columns)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect()) != []
