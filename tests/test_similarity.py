@@ -97,3 +97,13 @@ def test_blocks_follow_dimension_rows_and_tasks():
     assert sim.num_blocks(10 ** 7, 1000, 8) >= 10 ** 7 / sim.block_rows_for(1000)
     assert sim.num_blocks(2000, 64, 8) == 8
     assert all((p.stop - p.start) * 500_000 * 8 <= sim.BLOCK_BYTES for p in sim._slices(1000, 500_000))
+
+
+def test_pairs_go_out_slice_by_slice(spark, monkeypatch):
+    monkeypatch.setattr(sim, "PAIR_SLICE_BYTES", 100)      # one row of a tile at a time
+    rng = np.random.default_rng(5)
+    vecs = {int(i): rng.random(6) for i in range(30)}
+    e = sim.similar_pairs(arrays(spark, vecs), "tag_id", 6, 0.8, block_rows=15)
+    bf = brute_cos(vecs)
+    assert sorted((r.src, r.dst) for r in e.collect()) == sorted((a, b) for (a, b), c in bf.items() if a < b and c > 0.8)
+    assert [p.stop - p.start for p in sim._slices(3, 12, 100)] == [1, 1, 1]
