@@ -2,14 +2,16 @@
 
 Features are the 1- to 3-grams of the lower-cased text (what isn't a letter counts as a space), hashed
 to ``DIMS`` columns; a value is the n-gram's share of the text times its inverse document frequency.
-Document frequencies come from every learning document, by partial sums in the tasks. The weights are
-fitted in one task by follow-the-regularised-leader with elastic-net penalties on a bounded sample
-(``SAMPLE`` documents, those with the smallest hash of doc_id); a fifth of the sample is kept out of the
-fit and sets the temperature that calibrates the scores. Prediction reads every whole text.
+Document frequencies come from every learning document, by partial sums in the tasks, and so does the rest of the
+model: a fifth of the documents (by a hash) is kept out of the fit, the others are dealt into shards of about ``SHARD``
+by a hash, each shard's weights are fitted in one task by follow-the-regularised-leader with elastic-net penalties, and
+the model is their mean, weighted by documents (parameter mixing, McDonald et al. 2009; up to ``SHARD`` documents are
+one shard). The kept-out fifth, in partial sums too, sets the temperature that calibrates the scores. Prediction reads
+every whole text.
 
 The scores of the learned languages sum up to 1 whatever the text is, so they don't tell an unlearned language.
 ``evidence`` does: the share of a text's 3-grams in columns that two documents of the fit have, less what chance
-gives (the share of such columns), 1 at most. ``usual`` is its median over the kept-out fifth.
+gives (the share of such columns), 1 at most. ``usual`` is its median over the kept-out fifth (to ``PLACES``).
 
 Defined cases: a text that is null or without a letter is ``und`` with score 0, and isn't learned from;
 neither is a document with a null lang or doc_id; without any learning document all is ``und``; an
@@ -27,11 +29,14 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import give_back
 
-DIMS, SAMPLE, EPOCHS = 1 << 15, 4000, 3
+DIMS, SHARD, EPOCHS, KEPT = 1 << 15, 4000, 3, 5
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.1
 SCALE = 30.0               # shares are small; this brings features to about 1
 CHARS = 1_000_000          # characters looked at in one go
 
+PLACES = 10_000            # evidence is counted in steps of 1 / PLACES for its median
+TEMPERATURES = np.exp(np.linspace(-3, 3, 121))
+
 _ALPHA: list = []
 
 
@@ -71,19 +76,25 @@ def learns(docs: DataFrame, fold: Column) -> DataFrame:
 
 
 def _frequencies(batches):
-    df, n = np.zeros(DIMS, np.int64), 0
+    """Documents that have a gram, and those among them that are fitted; gram -1 counts the documents."""
+    df, met, n, m = np.zeros(DIMS, np.int64), np.zeros(DIMS, np.int64), 0, 0
     for big in batches:
         for b in tokens.slices(big, chars=CHARS):
             cols, ends, ok, _ = grams(b.column("text").to_pylist())
+            fit = b.column("fit").to_numpy(zero_copy_only=False)
             for i in np.flatnonzero(ok):
                 seen = np.zeros(DIMS, bool)
                 seen[cols[:, ends[i]:ends[i + 1]]] = True
                 df += seen
                 n += 1
+                if fit[i]:
+                    met += seen
+                    m += 1
     cols = ends = ok = None
     give_back()
     at = np.flatnonzero(df)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(df[at], n))], names=["gram", "df"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(df[at], n)), pa.array(np.append(met[at], m))],
+                                     names=["gram", "df", "met"])
 
 
 def _bag(texts: list[str], idf: np.ndarray):
@@ -93,29 +104,24 @@ def _bag(texts: list[str], idf: np.ndarray):
         yield ok[i], at, (SCALE / max(1, n.sum()) * n * idf[at]).astype(np.float64)
 
 
-def _fit(idf: np.ndarray):
-    """One task: the sample -> rows (lang, gram, weight); gram -1 is the bias, -2 the temperature, -3 the usual evidence; columns met begin at DIMS."""
-    def run(frames):
-        f = pd.concat([pd.DataFrame({"text": [], "lang": []}), *frames], ignore_index=True)
-        if not len(f):
-            return
-        langs = sorted(f["lang"].unique())
-        bags, texts, wait = [], [], []
+def _fit(idf: np.ndarray, langs: list[str]):
+    """One shard's rows (lang, gram, weight times documents); gram -1 is the bias, -2 the documents."""
+    def run(f):
+        f = f.sort_values(["h", "text", "lang"], kind="stable")     # whatever order they came in
+        used, wait = [], []
 
         def flat():                                    # in long arrays, which go back to the system when the fit is over
             ends = np.cumsum([0] + [len(at) for at, _, _ in wait])
             ats, xs = (np.concatenate([w[i] for w in wait]) for i in (0, 1))
-            bags.extend((ats[i:j], xs[i:j], y) for i, j, (_, _, y) in zip(ends[:-1], ends[1:], wait))
+            used.extend((ats[i:j], xs[i:j], y) for i, j, (_, _, y) in zip(ends[:-1], ends[1:], wait))
             wait.clear()
-        for (ok, at, x), y, t in zip(_bag_all(f["text"], idf), f["lang"], f["text"]):
+        for (ok, at, x), y in zip(_bag_all(f["text"], idf), f["lang"]):
             if ok:
                 wait.append((at.astype(np.int32), x, langs.index(y)))
-                texts.append(t)
                 if len(wait) == 200:
                     flat()
         if wait:
             flat()
-        held, used = bags[::5], [b for i, b in enumerate(bags) if i % 5] or bags
         k = len(langs)
         z, n = np.zeros((DIMS + 1, k)), np.zeros((DIMS + 1, k))
 
@@ -138,26 +144,13 @@ def _fit(idf: np.ndarray):
                 z[at] += g - sigma * w
                 n[at] += g * g
         w = weights(slice(None))
-        logits = np.array([x @ w[at] + w[DIMS] for at, x, _ in held]).reshape(-1, k)
-        ys = np.array([y for _, _, y in held], int)
-        best = (np.inf, 1.0)
-        for t in np.exp(np.linspace(-3, 3, 121)):
-            s = logits / t
-            m = s.max(axis=1, keepdims=True)
-            loss = float((np.log(np.exp(s - m).sum(axis=1)) + m[:, 0] - s[np.arange(len(ys)), ys]).sum()) if len(ys) else abs(np.log(t))
-            best = min(best, (loss, float(t)))
-        met = np.zeros(DIMS, np.int64)
-        for at, _, _ in used:
-            met[at] += 1
-        known = met > 1
-        shares = [evidence(cols, ends, letter, known)[0] for cols, ends, _, letter in (grams([t]) for t in texts[::5])]
-        usual = max(0.0, float(np.median(shares))) if shares else 0.0
-        at = np.flatnonzero(known)
-        yield pd.DataFrame({"lang": langs[0], "gram": (at + DIMS).astype(np.int32), "weight": 1.0})
+        out, m = [], len(used)
         for j, lang in enumerate(langs):
             at = np.flatnonzero(w[:DIMS, j])
-            yield pd.DataFrame({"lang": lang, "gram": np.concatenate([at, [-1, -2, -3]]).astype(np.int32),
-                                "weight": np.concatenate([w[at, j], [w[DIMS, j], best[1], usual]])})
+            out.append(pd.DataFrame({"lang": lang, "gram": np.append(at, [-1, -2]).astype(np.int32), "weight": np.append(w[at, j] * m, [w[DIMS, j] * m, m])}))
+        used = z = n = w = None
+        give_back()
+        return pd.concat(out, ignore_index=True)
     return run
 
 
@@ -166,42 +159,84 @@ def _bag_all(texts, idf):
         yield from _bag([t], idf)
 
 
-def train(docs: DataFrame, fold: Column, sample: int = SAMPLE) -> dict:
+def _logits(model: dict, cols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    w = model["weights"]
+    each = w[cols[0]]
+    each += w[cols[1]]
+    each += w[cols[2]]
+    s = np.add.reduceat(each, ends[:-1], axis=0, dtype=np.float64) / (3 * np.diff(ends))[:, None]
+    return s + model["bias"]
+
+
+def _calibrate(model: dict):
+    """Sums over kept-out documents: ``at`` is a temperature's place (value: the log loss), or, past them, an evidence (value: documents)."""
+    place = {y: j for j, y in enumerate(model["langs"])}
+
+    def run(batches):
+        losses, counts = np.zeros(len(TEMPERATURES)), np.zeros(2 * PLACES + 1)
+        for big in batches:
+            for b in tokens.slices(big, chars=CHARS):
+                cols, ends, ok, letter = grams(b.column("text").to_pylist())
+                ys = np.array([place[y] for y in b.column("lang").to_pylist()], int)[ok]
+                logits = _logits(model, cols, ends)[ok]
+                for i, t in enumerate(TEMPERATURES):
+                    s = logits / t
+                    m = s.max(axis=1, keepdims=True)
+                    losses[i] += (np.log(np.exp(s - m).sum(axis=1)) + m[:, 0] - s[np.arange(len(ys)), ys]).sum()
+                share = np.clip(evidence(cols, ends, letter, model["known"])[ok], -1, 1)
+                np.add.at(counts, np.rint((share + 1) * PLACES).astype(int), 1)
+                cols = ends = letter = logits = None
+        give_back()
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(losses)), at + len(losses)).astype(np.int32)),
+                                          pa.array(np.append(losses, counts[at]))], names=["at", "value"])
+    return run
+
+
+def train(docs: DataFrame, fold: Column, shard: int = SHARD) -> dict:
     """``fold``: condition on the documents to learn from. The model: languages, weights (idf included), bias, temperature, columns met, usual evidence."""
-    known = learns(docs, fold)
-    text = F.col("text").cast("string").alias("text")
-    rows = known.select(text).mapInArrow(_frequencies, "gram int, df long").groupBy("gram").agg(F.sum("df").alias("df")).collect()
-    df = {r["gram"]: r["df"] for r in rows}
-    n = df.pop(-1, 0)
-    idf = np.full(DIMS, np.log(1 + n) + 1)
-    for g, c in df.items():
-        idf[g] = np.log((1 + n) / (1 + c)) + 1
-    # the smallest hashes lie below twice the share that the sample is of all: few rows go to one task, at any size
-    share = min(1.0, 2 * sample / max(n, 1))
-    below = F.lit(True) if share == 1 or n < 10 * sample else F.xxhash64("doc_id") < F.lit(int(-(1 << 63) + share * (1 << 64)))
-    few = (known.where(below).select("doc_id", text, F.col("lang").cast("string").alias("lang"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).select("text", "lang"))
-    got = few.coalesce(1).mapInPandas(_fit(idf), "lang string, gram int, weight double").collect()
-    langs = sorted({r["lang"] for r in got})
-    w, bias, temp, usual = np.zeros((DIMS, len(langs)), np.float32), np.zeros(len(langs)), 1.0, 0.0
-    known = np.zeros(DIMS, bool)
+    h = F.xxhash64("doc_id", "text")
+    known = learns(docs, fold).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
+                                      h.alias("h"), (F.pmod(h, F.lit(KEPT)) != 0).alias("fit"))
+    rows = (known.select("text", "fit").mapInArrow(_frequencies, "gram int, df long, met long")
+            .groupBy("gram").agg(F.sum("df").alias("df"), F.sum("met").alias("met")).collect())
+    n, m = next(((r["df"], r["met"]) for r in rows if r["gram"] == -1), (0, 0))
+    few = m == 0 or m == n                              # hardly any document: all are fitted, and all calibrate
+    idf, met = np.full(DIMS, np.log(1 + n) + 1), np.zeros(DIMS, np.int64)
+    for r in rows:
+        if r["gram"] >= 0:
+            idf[r["gram"]] = np.log((1 + n) / (1 + r["df"])) + 1
+            met[r["gram"]] = r["df"] if few else r["met"]
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect()) if n else []
+    model = {"langs": langs, "weights": np.zeros((DIMS, len(langs)), np.float32), "bias": np.zeros(len(langs)), "temperature": 1.0,
+             "known": met > 1, "usual": 0.0}
+    if not langs:
+        return model
+    shards = -(-(n if few else m) // shard)
+    dealt = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int").alias("shard")
+    got = (known.where(F.lit(True) if few else F.col("fit")).select(dealt, "h", "text", "lang").groupBy("shard")
+           .applyInPandas(_fit(idf, langs), "lang string, gram int, weight double")
+           .groupBy("lang", "gram").agg(F.sum("weight").alias("weight")).collect())
+    total = max(r["weight"] for r in got if r["gram"] == -2)
+    place = {y: j for j, y in enumerate(langs)}
     for r in got:
-        j = langs.index(r["lang"])
-        if r["gram"] >= DIMS:
-            known[r["gram"] - DIMS] = True
-        elif r["gram"] == -3:
-            usual = r["weight"]
-        elif r["gram"] == -2:
-            temp = r["weight"]
-        elif r["gram"] == -1:
-            bias[j] = r["weight"]
-        else:
-            w[r["gram"], j] = r["weight"] * idf[r["gram"]] * SCALE
-    return {"langs": langs, "weights": w, "bias": bias, "temperature": temp, "known": known, "usual": usual}
+        if r["gram"] == -1:
+            model["bias"][place[r["lang"]]] = r["weight"] / total
+        elif r["gram"] >= 0:
+            model["weights"][r["gram"], place[r["lang"]]] = r["weight"] / total * idf[r["gram"]] * SCALE
+    kept = known.where(F.lit(True) if few else ~F.col("fit")).select("text", "lang")
+    sums = {r["at"]: r["value"] for r in kept.mapInArrow(_calibrate(model), "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()}
+    losses = [sums.get(i, 0.0) for i in range(len(TEMPERATURES))]
+    model["temperature"] = float(TEMPERATURES[int(np.argmin(losses))])
+    shares = sorted((at - len(TEMPERATURES), c) for at, c in sums.items() if at >= len(TEMPERATURES))
+    upto = np.cumsum([c for _, c in shares])
+    middle = [shares[int(np.searchsorted(upto, x, "right"))][0] / PLACES - 1 for x in ((upto[-1] - 1) // 2, upto[-1] // 2)]
+    model["usual"] = max(0.0, float(np.mean(middle)))
+    return model
 
 
 def _predict(model: dict, told: bool):
-    langs, w, bias, temp, known = (model[k] for k in ("langs", "weights", "bias", "temperature", "known"))
+    langs, temp, known = (model[k] for k in ("langs", "temperature", "known"))
 
     def run(batches):
         for big in batches:
@@ -209,11 +244,7 @@ def _predict(model: dict, told: bool):
                 cols, ends, text, letter = grams([t or "" for t in b.column("text").to_pylist()])
                 pred, score, seen, ok = np.zeros(len(b), int), np.zeros(len(b)), np.ones(len(b)), text
                 if langs and len(b):
-                    each = w[cols[0]]
-                    each += w[cols[1]]
-                    each += w[cols[2]]
-                    s = np.add.reduceat(each, ends[:-1], axis=0, dtype=np.float64) / (3 * np.diff(ends))[:, None]
-                    s = (s + bias) / temp
+                    s = _logits(model, cols, ends) / temp
                     p = np.exp(s - s.max(axis=1, keepdims=True))
                     p /= p.sum(axis=1, keepdims=True)
                     pred, score = p.argmax(axis=1), p.max(axis=1)
@@ -227,7 +258,7 @@ def _predict(model: dict, told: bool):
                      *([pa.array(seen, mask=~text)] if told else [])],
                     names=[x for x in b.schema.names if x != "text"] + ["lang_pred", "score"] + ["evidence"] * told)
                 del cols, ends, text, letter, pred, score, seen, ok
-                each = s = p = None
+                s = p = None
             give_back()
     return run
 

@@ -35,6 +35,28 @@ def test_language_id_of_odd_tables(spark):
     assert {r.lang_pred for r in language_id.identify(none).collect()} == {"und"}
 
 
+def test_language_id_learns_from_every_document(spark):
+    """Documents dealt over many shards all count: a language of few documents and a word of one shard are learned."""
+    words = {"aa": "lorem ipsum dolor sit amet", "bb": "ξεσκεπάζω την ψυχοφθόρα βδελυγμία", "cc": "съешь же ещё этих мягких"}
+    data = [(i, words["cc" if i % 100 == 0 else "aa" if i % 2 else "bb"] + " " + "xyz"[i % 3] * (i % 7), "cc" if i % 100 == 0 else "aa" if i % 2 else "bb")
+            for i in range(600)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = language_id.train(docs, F.lit(True), 20)
+    assert model["langs"] == ["aa", "bb", "cc"] and 0 < model["usual"] <= 1
+    out = {r.doc_id: r for r in language_id.predict(docs, model, told=True).collect()}
+    assert all(out[i].lang_pred == y for i, _, y in data) and all(0 <= r.score <= 1 for r in out.values())
+    again = language_id.train(docs, F.lit(True), 20)
+    assert np.array_equal(model["weights"], again["weights"]) and model["temperature"] == again["temperature"] and model["usual"] == again["usual"]
+
+
+def test_language_model_sees_what_few_documents_have(spark):
+    """A language of which one document in three thousand is: no sample of 4000 is sure to hold it twice, the model does."""
+    docs = spark.range(12000).selectExpr("id as doc_id", "if(id % 3000 = 7, 'щука щит', 'abc def ghi') as text", "if(id % 3000 = 7, 'cc', 'aa') as lang")
+    model = language_id.train(docs, F.lit(True))
+    cols = language_id.grams(["щука щит"])[0]
+    assert model["langs"] == ["aa", "cc"] and model["known"][cols].mean() > 0.9
+
+
 def counted(data):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     toks = [re.findall("[^\x20\x09-\x0D]+", (t or "").translate(low)) for _, t in data]
