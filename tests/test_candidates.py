@@ -88,3 +88,19 @@ def test_ranking_of_requested_tags(spark):
     asked = spark.createDataFrame([(tags[0][1],), (tags[0][1],), (tags[3][1],), ("no such tag",), (None,)], "tag_name string")
     got = {(r.tag_id, r["rank"]): (r.neighbour_id, r.sim) for r in pl.tag_ranking(lv, asked).collect()}
     assert got == {k: v for k, v in whole.items() if k[0] in (tags[0][0], tags[3][0])}
+
+
+def test_rows_are_dealt_by_blocks_and_not_by_bands(spark):
+    vecs = clustered(300)
+    plans, got = [], []
+    for recall in (0.5, 0.99):                             # many more bands, no more rows in the tiles
+        df = cand.banded_pairs(arrays(spark, vecs), "tag_id", 16, 0.6, recall=recall, bits=6, tile_rows=100)
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        got.append(found(df))
+    assert all("posexplode" not in p and "band" not in p.replace("banded", "") for p in plans)
+    assert set(got[0]) < set(got[1])
+    bits = cand.bits_for(300)                              # every pair over the threshold that shares a bucket, and no other
+    bands = cand.bands_for(0.6, bits, 0.5)
+    code = {r.id: r.codes for r in cand.with_codes(arrays(spark, vecs).selectExpr("tag_id as id", "idxs", "vals"), 16, bits, bands).collect()}
+    want = {p for p, c in brute_cos(vecs).items() if p[0] < p[1] and c > 0.6 and any(x == y for x, y in zip(code[p[0]], code[p[1]]))}
+    assert set(found(cand.banded_pairs(arrays(spark, vecs), "tag_id", 16, 0.6, recall=0.5, tile_rows=70))) == want
