@@ -192,7 +192,8 @@ def test_one_edit_is_levenshtein_one_and_scans_find_all():
 def test_variants_are_brute_force_whatever_the_lists_bound(spark):
     rng = random.Random(3)
     words = {"".join(rng.choice("abé") for _ in range(rng.randint(1, 9))) for _ in range(500)} | {"prefix" + x + y for x in "abcdefgh" for y in "abcdefgh"}
-    count = {w: int(10 ** rng.uniform(0.31, 3.5)) for w in words}
+    count = {w: int(10 ** rng.uniform(0.31, 3.5)) for w in sorted(words)}
+    count |= {"linked": 3, "linkedx": 40, "linkedxy": 500}       # a form that has a form, whatever was drawn
     df = spark.createDataFrame(sorted(count.items()), "word string, n long")
     want = brute_variants(count)
     for limit in (4096, 5):
