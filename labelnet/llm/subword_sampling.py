@@ -41,7 +41,8 @@ from .minhash import mix
 
 ALPHA, SAMPLES = 1.5, 2
 ROWS = 256                     # rows that are decoded at a time
-SLICE = 500_000                # bytes of text whose lattices are in memory at once (one text at least)
+SLICE = 500_000                # bytes of text that are sampled at once (one text at least)
+NODES = 3_000_000              # nodes of lattices that a Python worker keeps (those of one slice at least)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 NULL_KEY = -(1 << 63)
 _NEG = -np.inf
@@ -86,6 +87,10 @@ class Pieces:
                 raise ValueError("hashes of pieces collide")
             o = np.argsort(h)
             self.tables.append((h[o], np.array([x[1] for x in items], np.int64)[o]))
+        self.one = np.full(0x110000, -2, np.int32)         # of each character: piece (-1: prefix only, -2: none)
+        for x, i in prefixes.items():
+            if len(x) == 1:
+                self.one[ord(x)] = i
         self.raw_size = np.fromiter(map(len, self.raw), np.int64, n)
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.raw_flat = np.frombuffer(b"".join(self.raw), np.uint8)
@@ -129,117 +134,193 @@ def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.array([u for x in lists for u in x], pa.large_string()), at
 
 
-class Lattice:
-    """Lattices of distinct units, all nodes in a row: a unit of n characters has the nodes 0..n."""
-
-    def __init__(self, units: list[str], p: Pieces):
-        full = ["▁" + u.replace(" ", "▁") for u in units]
-        size = np.fromiter(map(len, full), np.int64, len(full))
-        cp = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        self.size, self.first = size, np.cumsum(size + 1) - size - 1          # the first node of each unit
+class Column:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.room, self.n = np.zeros(1024, kind), 0
+
+    def extend(self, x: np.ndarray) -> np.ndarray:
+        """The whole array with ``x`` at its end."""
+        if self.n + len(x) > len(self.room):
+            self.room = np.concatenate([self.room[:self.n], np.zeros(self.n // 2 + len(x), self.room.dtype)])
+        self.room[self.n:self.n + len(x)] = x
+        self.n += len(x)
+        return self.room[:self.n]
+
+
+class Lattices:
+    """Lattices of distinct units, all nodes in a row: a unit of n characters has the nodes 0..n. A node's arcs lie in a
+    row, too, the shortest first. Units are kept for the slices to come; beyond ``NODES`` nodes the memory starts anew."""
+
+    def __init__(self, p: Pieces):
+        self.p, kind = p, np.int16 if len(p.raw) < 32768 else np.int32
+        # of units: first node, characters; of nodes: first arc, number of arcs, character, its bytes;
+        # of arcs: characters, piece (-2: byte pieces), log of the conditional probability, sum of it and the arcs before
+        self.kinds = {"first": np.int64, "size": np.int64, "at": np.int32, "arcs": np.int8, "cp": np.uint32, "width": np.int8,
+                      "length": np.int8, "piece": kind, "logp": np.float32, "cdf": np.float32}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.columns = {c: Column(k) for c, k in self.kinds.items()}
+        for c, column in self.columns.items():
+            setattr(self, c, column.room[:0])
+
+    def places(self, units: list[str]) -> np.ndarray:
+        """The place of each of the distinct ``units``, which learns those that are new."""
+        new = [u for u in units if u not in self.place]
+        if new and len(self.cp) + sum(map(len, new)) + 2 * len(new) > NODES:
+            self._forget()
+            new = units
+        if new:
+            self.place.update(zip(new, range(len(self.size), len(self.size) + len(new))))
+            self._learn(new)
+        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+
+    def _learn(self, units: list[str]) -> None:
+        p = self.p
+        full = "▁".join(["", *units]).replace(" ", "▁")
+        size = np.fromiter(map(len, units), np.int64, len(units)) + 1
+        cp = np.frombuffer(full.encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = np.cumsum(size + 1) - size - 1                                 # the first node of each unit
         total = int((size + 1).sum())
-        unit = np.repeat(np.arange(len(full)), size)
         char = np.arange(len(cp))
-        node = char + unit                                                     # the node in front of a character
+        node = char + np.repeat(np.arange(len(size)), size)                    # the node in front of a character
         left = np.repeat(np.cumsum(size), size) - char                         # characters up to the unit's end
-        k = p.longest
-        self.arc = np.full((total, k), -1, np.int16 if len(p.raw) < 32768 else np.int32)
-        weight = np.full((total, k), -np.inf, np.float32)
-        live, h = char, np.zeros(len(cp), np.uint64)
-        self.cp = np.zeros(total, np.uint32)
-        self.cp[node] = cp
+        c, piece = cp.astype(np.uint64) + np.uint64(1), p.one[cp]
+        width = np.where(piece >= 0, 1, 1 + (cp > 0x7F).astype(np.int8) + (cp > 0x7FF) + (cp > 0xFFFF)).astype(np.int8)
+        # arcs by length; one character always has one, if of byte pieces
+        found = [(node, np.where(piece < 0, -2, piece), np.where(piece < 0, width * p.byte_weight, p.weight[np.maximum(piece, 0)]))]
+        live = np.flatnonzero((piece > -2) & (left > 1))
+        h = c[live]
         with np.errstate(over="ignore"):
-            for n in range(1, k + 1):
-                live = live[left[live] >= n]
+            for n in range(2, p.longest + 1):
                 if not len(live):
                     break
-                h = (h[: len(live)] if n == 1 else h) * BASE + cp[live + n - 1] + np.uint64(1)
+                h = h * BASE + c[live + n - 1]
                 keys, ids = p.tables[n - 1]
                 i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                known = keys[i] == h
-                piece = np.where(known, ids[i], -1)
-                if n == 1:                                                     # byte pieces
-                    c = cp[live]
-                    width = 1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF)
-                    self.width = np.ones(total, np.int64)
-                    self.width[node[live]] = np.where(piece < 0, width, 1)
-                    self.arc[node[live], 0] = np.where(piece < 0, -2, piece)
-                    weight[node[live], 0] = np.where(piece < 0, width * p.byte_weight, p.weight[np.maximum(piece, 0)])
-                else:
-                    w = piece >= 0
-                    self.arc[node[live[w]], n - 1] = piece[w]
-                    weight[node[live[w]], n - 1] = p.weight[piece[w]]
-                if n < k:
-                    go = known & (left[live] > n)
-                    live, h = live[go], h[go]
+                known = np.flatnonzero(keys[i] == h)
+                live, h, piece = live[known], h[known], ids[i[known]]
+                w = piece >= 0
+                at, w = live[w], piece[w]
+                found.append((node[at], w, p.weight[w]))
+                go = left[live] > n
+                live, h = live[go], h[go]
+        k = max(n for n, (at, _, _) in enumerate(found, 1) if len(at))         # the longest piece in use
+        weight, arcs = np.full((total, k), -np.inf, np.float32), np.zeros(total, np.int8)
+        for n, (at, _, w) in enumerate(found[:k]):
+            weight[at, n] = w
+            arcs[at] += 1
         # from the end: log of the summed weights of all ways to the unit's end
         dist = np.zeros(total, np.int64)
         dist[node] = left
-        k = int(np.flatnonzero((self.arc != -1).any(axis=0)).max(initial=0)) + 1      # the longest piece in use
-        self.arc, weight = np.ascontiguousarray(self.arc[:, :k]), np.ascontiguousarray(weight[:, :k])
         beta = np.zeros(total, np.float32)
         order = np.argsort(dist.astype(np.uint16) if dist.max(initial=0) < 65536 else dist, kind="stable")     # a radix sort
         cut = np.searchsorted(dist[order], np.arange(int(dist.max(initial=0)) + 2))
-        self.cdf = np.ones((total, k), np.float32)
+        cdf = np.empty((total, k), np.float32)
         steps = np.arange(1, k + 1)
         for d in range(1, len(cut) - 1):
             v = order[cut[d]:cut[d + 1]]
             m = min(k, d)
-            s = weight[v, :m] + beta.take(v[:, None] + steps[:m])
-            s -= s[:, :1]                                  # one character always fits: relative to it nothing overflows
-            one = weight[v, 0] + beta[v + 1]
+            w = weight[v, :m]
+            s = w + beta.take(v[:, None] + steps[:m])
+            s -= s[:, :1]                                      # one character always fits: relative to it nothing overflows
             e = np.exp(s)
             tot = e.sum(axis=1)
             low = np.log(tot)
-            beta[v] = one + low
-            weight[v, :m] = s - low[:, None]
+            beta[v] = w[:, 0] + beta[v + 1] + low
+            s -= low[:, None]
+            weight[v, :m] = s
             e /= tot[:, None]
-            self.cdf[v, :m] = np.cumsum(e, axis=1)
-        self.logp = weight                                                     # log of each arc's conditional probability
-        self.last = (k - 1 - np.argmax(self.arc[:, ::-1] != -1, axis=1)).astype(np.int16)   # the longest arc of a node
-        self.single = (self.arc != -1).sum(axis=1) <= 1
+            cdf[v, :m] = np.cumsum(e, axis=1)
+        # a node's arcs in a row
+        begin = np.cumsum(arcs, dtype=np.int64) - arcs
+        some = int(begin[-1] + arcs[-1])
+        to, length, kind = begin.copy(), np.zeros(some, np.int8), np.zeros(some, self.kinds["piece"])
+        logp, upto = np.zeros(some, np.float32), np.zeros(some, np.float32)
+        for n, (at, piece, _) in enumerate(found[:k]):
+            i = to[at]
+            length[i], kind[i], logp[i], upto[i] = n + 1, piece, weight[at, n], cdf[at, n]
+            to[at] += 1
+        upto[to[node] - 1] = np.inf                            # nothing is beyond a node's last arc
+        chars, bytes_ = np.zeros(total, np.uint32), np.ones(total, np.int8)
+        chars[node], bytes_[node] = cp, width
+        for column, x in (("first", first + len(self.cp)), ("size", size), ("at", begin + len(self.piece)), ("arcs", arcs), ("cp", chars), ("width", bytes_),
+                          ("length", length), ("piece", kind), ("logp", logp), ("cdf", upto)):
+            setattr(self, column, self.columns[column].extend(x))
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """Arc (0: one character) of each node, by probability."""
-        return np.minimum((self.cdf[node] < u[:, None]).sum(axis=1), self.last[node])
+        """Arc of each node, by probability."""
+        arc = self.at[node].astype(np.int64)
+        on = np.flatnonzero(self.cdf[arc] < u)
+        while len(on):
+            arc[on] += 1
+            on = on[self.cdf[arc[on]] < u[on]]
+        return arc
 
+    def rows(self, node: np.ndarray) -> np.ndarray:
+        """The logarithms of the probabilities of each node's arcs, side by side (-inf: no arc)."""
+        n = self.arcs[node]
+        j = np.arange(int(n.max(initial=1)))
+        return np.where(j < n[:, None], self.logp.take(self.at[node][:, None] + j, mode="clip"), _NEG).astype(np.float64)
 
-def uniform(key: np.ndarray, *parts) -> np.ndarray:
-    """In (0, 1), by hash of the key and numbers."""
+
+_LATTICES: dict = {}
+
+
+def lattices(p: Pieces) -> Lattices:
+    """One for each Python worker and model: workers serve many tasks."""
+    if _LATTICES.get("of") is not p:
+        _LATTICES.update(of=p, all=Lattices(p))
+    return _LATTICES["all"]
+
+
+def hashed(key: np.ndarray, *parts, done: int = 0) -> np.ndarray:
+    """Hash of the key and numbers, ``done`` of which are in the key already."""
     with np.errstate(over="ignore"):
-        for i, x in enumerate(parts):
+        for i, x in enumerate(parts, done):
             key = mix(key + np.asarray(x).astype(np.uint64) * BASE + np.uint64(i + 1))
-    return ((key >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+    return key
+
+
+def uniform(key: np.ndarray, *parts, done: int = 0) -> np.ndarray:
+    """In (0, 1), by hash of the key and numbers."""
+    return ((hashed(key, *parts, done=done) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
 class Path:
     """One segmentation of each document, all steps in a row: node, arc, unit, log-probability before the step,
-    arcs taken out (bits), and the best value of what is left at the node."""
+    arcs taken out (bits, by their place among the node's), and the best value of what is left at the node."""
 
     def __init__(self, doc, unit, node, arc, before, out, value, total):
         self.doc, self.unit, self.node, self.arc, self.before, self.out, self.value, self.total = doc, unit, node, arc, before, out, value, total
 
 
-def _walk(lat: Lattice, key, sample: int, unit, start, of):
-    """From node ``start`` of each unit to its end: unit (index into the input), node, arc, in order."""
+def _walk(lat: Lattices, key, sample: int, unit, start, of):
+    """From node ``start`` of each unit to its end: unit (index into the input), node, arc, hash of the place, in order."""
     n = len(unit)
-    here, live, step = start.copy(), np.arange(n), 0
-    end = lat.first[of] + lat.size[of]
+    first = lat.first[of]
+    here, end, key = start.copy(), first + lat.size[of], hashed(key, unit)
     got, counts = [], np.zeros(n, np.int64)
-    live = live[here < end]
+    live = np.flatnonzero(here < end)
     while len(live):
         v = here[live]
-        a = lat.pick(v, uniform(key[live], unit[live], v - lat.first[of[live]], sample * 4 + 1))
-        got.append((live, v, a))
+        spot = hashed(key[live], v - first[live], done=1)
+        a = lat.pick(v, uniform(spot, sample * 4 + 1, done=2))
+        got.append((live, v, a, spot))
         counts[live] += 1
-        here[live] = v + a + 1
-        live = live[here[live] < end[live]]
+        v = v + lat.length[a]
+        here[live] = v
+        live = live[v < end[live]]
     offs = np.cumsum(counts) - counts
     total = int(counts.sum())
-    who, node, arc = np.repeat(np.arange(n), counts), np.zeros(total, np.int64), np.zeros(total, np.int64)
-    for step, (w, v, a) in enumerate(got):
-        node[offs[w] + step], arc[offs[w] + step] = v, a
-    return who, node, arc
+    who, node, arc, spots = np.repeat(np.arange(n), counts), np.zeros(total, np.int64), np.zeros(total, np.int64), np.zeros(total, np.uint64)
+    for step, (w, v, a, spot) in enumerate(got):
+        to = offs[w] + step
+        node[to], arc[to], spots[to] = v, a, spot
+    return who, node, arc, spots
 
 
 def _truncated(phi, g, u):
@@ -249,42 +330,47 @@ def _truncated(phi, g, u):
     return np.where(np.isneginf(phi), _NEG, v)
 
 
-def _lay(lat, key, sample, doc, unit, of, node, arc, before0, out, g, n_docs):
+def _lay(lat, spots, sample, doc, unit, node, arc, before0, out, g, n_docs):
     """A Path from steps in order; ``before0``: log-probability of each document's part before its first step here;
     ``out``: arcs that are taken out at a step besides the one taken."""
-    lp = lat.logp[node, arc].astype(np.float64)
+    lp = lat.logp[arc].astype(np.float64)
     upto = np.concatenate([[0.0], np.cumsum(lp)])
-    begin = np.searchsorted(doc, np.arange(n_docs))
-    before = upto[:-1] - upto[begin][doc] + before0[doc]
-    rest = np.where(lat.single[node], 0.0, -np.expm1(np.minimum(lp, 0.0)))
-    near = np.flatnonzero((lp > -0.005) & ~lat.single[node])    # 1 - p would lose digits here
-    others = np.exp(lat.logp[node[near]].astype(np.float64))
-    others[np.arange(len(near)), arc[near]] = 0
-    rest[near] = others.sum(axis=1)
-    for i in np.flatnonzero(out):                          # at most one step of a document
-        p = np.exp(lat.logp[node[i]].astype(np.float64))
-        gone = (int(out[i]) >> np.arange(len(p)) & 1).astype(bool)
-        gone[arc[i]] = True
-        rest[i] = p[~gone & (lat.arc[node[i]] != -1)].sum()
+    cut = np.searchsorted(doc, np.arange(n_docs + 1))
+    begin, ends = cut[:-1], cut[1:]
+    before = upto[:-1] + (before0 - upto[begin])[doc]
+    place = arc - lat.at[node]
+    value = np.full(len(node), _NEG)
+    some = np.flatnonzero(lat.arcs[node] > 1)              # a node's only arc leaves nothing behind
+    l, v, taken = lp[some], node[some], out[some]
+    rest = -np.expm1(np.minimum(l, 0.0))
+    near = np.flatnonzero((l > -0.005) | (taken != 0))     # 1 - p would lose digits here, or more is taken out (one step of a document)
+    rest[near] = 0
+    arcs, own, at, gone, j = lat.arcs[v[near]], place[some[near]], lat.at[v[near]], taken[near], 0
+    while len(near):                                       # the other arcs' shares, one arc of each node at a time
+        share = np.exp(lat.logp[at + j].astype(np.float64))
+        share[(own == j) | (gone >> j & 1 != 0)] = 0
+        rest[near] += share
+        j += 1
+        go = np.flatnonzero(arcs > j)
+        near, arcs, own, at, gone = near[go], arcs[go], own[go], at[go], gone[go]
     with np.errstate(divide="ignore"):
-        phi = before + np.log(rest)
-    value = _truncated(phi, g[doc], uniform(key[doc], unit, node - lat.first[of], sample * 4 + 2))
+        phi = before[some] + np.log(rest)
+    value[some] = _truncated(phi, g[doc[some]], uniform(spots[some], sample * 4 + 2, done=2))
     total = np.zeros(n_docs)
-    ends = np.searchsorted(doc, np.arange(n_docs), "right")
     has = ends > begin
     total[has] = (before + lp)[ends[has] - 1]
-    return Path(doc, unit, node, arc, before, out | (1 << arc), value, np.where(has, total, before0))
+    return Path(doc, unit, node, arc, before, out | (1 << place), value, np.where(has, total, before0))
 
 
-def sample(units: np.ndarray, at: np.ndarray, lat: Lattice, key: np.ndarray, k: int):
+def sample(units: np.ndarray, at: np.ndarray, lat: Lattices, key: np.ndarray, k: int):
     """``units``: lattice of each unit of all documents; ``at``: where each document's begin. Yields for each sample
     (documents that have it, Path, perturbed scores), then the best value left for each document."""
     n = len(at) - 1
     doc = np.repeat(np.arange(n), np.diff(at))
     place = np.arange(len(units)) - at[:-1][doc]
     g = -np.log(-np.log(uniform(key, 0, 0, 0)))
-    who, node, arc = _walk(lat, key[doc], 0, place, lat.first[units], units)
-    path = _lay(lat, key, 0, doc[who], place[who], units[who], node, arc, np.zeros(n), np.zeros(len(who), np.int64), g, n)
+    who, node, arc, spots = _walk(lat, key[doc], 0, place, lat.first[units], units)
+    path = _lay(lat, spots, 0, doc[who], place[who], node, arc, np.zeros(n), np.zeros(len(who), np.int64), g, n)
     paths, alive = [path], np.ones(n, bool)
     yield alive, path, g
 
@@ -315,26 +401,28 @@ def sample(units: np.ndarray, at: np.ndarray, lat: Lattice, key: np.ndarray, k:
             node0[d], unit0[d], out0[d], before0[d] = p.node[i], p.unit[i], p.out[i], p.before[i]
             p.value[i] = _NEG
         # the owner of the value among the arcs left
-        prob = np.exp(lat.logp[node0[docs]].astype(np.float64)) * ((out0[docs][:, None] >> np.arange(lat.logp.shape[1]) & 1) == 0)
+        prob = np.exp(lat.rows(node0[docs]))
+        prob *= (out0[docs][:, None] >> np.arange(prob.shape[1]) & 1) == 0
         c = np.cumsum(prob, axis=1)
-        u = uniform(key[docs], unit0[docs], node0[docs] - lat.first[units[at[:-1][docs] + unit0[docs]]], s * 4 + 3) * c[:, -1]
+        spot0 = hashed(key[docs], unit0[docs], node0[docs] - lat.first[units[at[:-1][docs] + unit0[docs]]])
+        u = uniform(spot0, s * 4 + 3, done=2) * c[:, -1]
         a = np.minimum((c <= u[:, None]).sum(axis=1), prob.shape[1] - 1)
         bad = prob[np.arange(len(docs)), a] <= 0
         a[bad] = prob[bad].argmax(axis=1)
-        arc0[docs] = a
+        arc0[docs] = lat.at[node0[docs]] + a
         # then on to the unit's end and through the units after it
         rest = np.flatnonzero(alive[doc] & (place >= unit0[doc]))
         begin = lat.first[units[rest]].copy()
         head = place[rest] == unit0[doc[rest]]
-        begin[head] = node0[doc[rest][head]] + arc0[doc[rest][head]] + 1
-        who, node, arc = _walk(lat, key[doc[rest]], s, place[rest], begin, units[rest])
-        d2, u2, of2 = doc[rest][who], place[rest][who], units[rest][who]
+        begin[head] = node0[doc[rest][head]] + lat.length[arc0[doc[rest][head]]]
+        who, node, arc, spots = _walk(lat, key[doc[rest]], s, place[rest], begin, units[rest])
+        d2, u2 = doc[rest][who], place[rest][who]
         lead = np.searchsorted(d2, docs)                   # the popped step comes first in its document
         d2, node, arc = np.insert(d2, lead, docs), np.insert(node, lead, node0[docs]), np.insert(arc, lead, arc0[docs])
-        u2, of2 = np.insert(u2, lead, unit0[docs]), np.insert(of2, lead, units[at[:-1][docs] + unit0[docs]])
+        u2, spots = np.insert(u2, lead, unit0[docs]), np.insert(spots, lead, spot0)
         out = np.zeros(len(d2), np.int64)
         out[lead + np.arange(len(docs))] = out0[docs]
-        tail = _lay(lat, key, s, d2, u2, of2, node, arc, before0, out, g, n)
+        tail = _lay(lat, spots, s, d2, u2, node, arc, before0, out, g, n)
         # the steps before the popped one are its parent's; what waits there stays with the parent
         keep = []
         for j, p in enumerate(paths):
@@ -350,20 +438,21 @@ def sample(units: np.ndarray, at: np.ndarray, lat: Lattice, key: np.ndarray, k:
     yield best()[0], None, None
 
 
-def _ids(lat: Lattice, path: Path, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+def _ids(lat: Lattices, path: Path, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all documents in a row, and the document of each."""
-    piece = lat.arc[path.node, path.arc].astype(np.int64)
-    byte = piece == -2
-    n = np.where(byte, lat.width[path.node], 1)
+    piece = lat.piece[path.arc].astype(np.int64)
+    byte = np.flatnonzero(piece == -2)
+    if not len(byte):
+        return piece, path.doc
+    n = np.ones(len(piece), np.int64)
+    n[byte] = lat.width[path.node[byte]]
     ids = np.repeat(piece, n)
-    begin = np.cumsum(n) - n
-    if byte.any():
-        i = np.flatnonzero(byte)
-        c = lat.cp[path.node[i]]
-        for x in np.unique(c):
-            raw = chr(int(x)).encode("utf-8", "surrogatepass")
-            for j, b in enumerate(raw):
-                ids[begin[i[c == x]] + j] = p.byte_id[b]
+    begin = (np.cumsum(n) - n)[byte]
+    c, w = lat.cp[path.node[byte]].astype(np.int64), n[byte]
+    for j in range(int(w.max())):                          # UTF-8
+        i = np.flatnonzero(w > j)
+        b = c[i] >> 6 * (w[i] - 1 - j)
+        ids[begin[i] + j] = p.byte_id[b & 0x3F | 0x80 if j else b | np.array([0, 0, 0xC0, 0xE0, 0xF0])[w[i]]]
     return ids, np.repeat(path.doc, n)
 
 
@@ -376,33 +465,38 @@ def sampler(path: str, k: int, alpha: float, ids_out: bool = False):
 
     def run(batches):
         p = pieces(path, alpha)
+        lat = lattices(p)
         for big in batches:
             for b in tokens.slices(big, chars=SLICE):
                 flat, at = units_of(b.column("text"))
                 coded = flat.dictionary_encode()
-                lat = Lattice(coded.dictionary.to_pylist(), p)
-                ids_ = b.column("doc_id").to_pylist()
-                key = mix(np.array([NULL_KEY if d is None else d for d in ids_], np.int64).view(np.uint64) + BASE)
-                rows, scores = [], []
-                for alive, got, g in sample(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), at, lat, key, k):
+                units = lat.places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)]
+                own = b.column("doc_id")
+                key = mix(np.array([NULL_KEY if d is None else d for d in own.to_pylist()], np.int64).view(np.uint64) + BASE)
+                parts = []                                     # of each sample: documents, lengths, ids, checksums, log-probabilities, scores
+                for alive, got, g in sample(units, at, lat, key, k):
                     if got is None:
                         left = alive
                         break
                     ids, doc = _ids(lat, got, p)
                     cut = np.searchsorted(doc, np.arange(len(b) + 1))
-                    for d in np.flatnonzero(alive):
-                        x = ids[cut[d]:cut[d + 1]]
-                        rows.append([ids_[d], len(scores), len(x), zlib.crc32(x.astype("<u4").tobytes()), got.total[d], g[d], d]
-                                    + [x.astype(np.int32)] * ids_out)
-                    scores.append(g)
-                for r in rows:
-                    x = r[4] - left[r[6]]
-                    r[6] = 0.0 if np.isinf(x) else float(x if x < -30 else np.log(-np.expm1(-np.exp(min(x, 700.0)))))
-                flat = coded = lat = got = ids = doc = None
-                out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names=names)
-                rows = scores = r = x = None
-                give_back()
+                    d = np.flatnonzero(alive)
+                    n = (cut[1:] - cut[:-1])[d]
+                    ids = ids[np.repeat(alive, cut[1:] - cut[:-1])].astype(np.int32)
+                    raw, ends = memoryview(np.ascontiguousarray(ids, "<i4")).cast("B"), np.cumsum(n)
+                    crc = [zlib.crc32(raw[4 * (y - x):4 * y]) for x, y in zip(n.tolist(), ends.tolist())]
+                    parts.append((d, n, ids, np.array(crc, np.int64), got.total[d], g[d]))
+                d, n, ids, crc, total, score = (np.concatenate(x) for x in zip(*parts))
+                x = total - left[d]
+                with np.errstate(divide="ignore"):
+                    inclusion = np.where(x < -30, x, np.log(-np.expm1(-np.exp(np.minimum(x, 700.0)))))
+                cols = [own.take(pa.array(d)), np.repeat(np.arange(len(parts)), [len(q[0]) for q in parts]), n, crc, total, score,
+                        np.where(np.isinf(x), 0.0, inclusion)]
+                cols += [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids, pa.int32()))] * ids_out
+                out = pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+                flat = coded = units = got = ids = doc = parts = raw = cols = None
                 yield out
+            give_back()
     return run
 
 

@@ -182,6 +182,29 @@ def test_sampling_without_replacement_has_the_right_distribution():
     assert abs(np.mean(list(weights.values())) - 1) < 0.01
 
 
+def test_lattices_are_learned_once_and_what_is_kept_changes_no_row(monkeypatch):
+    path = tokens.vocabulary("piece_bpe_32k.model")
+    batch = pa.record_batch({"doc_id": pa.array([1, 2, None, 4], pa.int64()), "text": ["the cat sat", "sat the 漢字 \U0001F600 zq", None, "the cat  é sat"]})
+    learned, learn = [], subword_sampling.Lattices._learn
+    monkeypatch.setattr(subword_sampling.Lattices, "_learn", lambda self, units: (learned.append(list(units)), learn(self, units))[1])
+    out = []
+    for slice_, nodes in ((500_000, 1_000_000), (8, 1_000_000), (8, 1)):       # one slice; a slice for each text; nothing is kept
+        monkeypatch.setattr(subword_sampling, "SLICE", slice_)
+        monkeypatch.setattr(subword_sampling, "NODES", nodes)
+        learned.clear()
+        subword_sampling._LATTICES.clear()
+        for _ in range(2):
+            got = [r for b in subword_sampling.sampler(path, 3, subword_sampling.ALPHA, True)([batch]) for r in b.to_pylist()]
+            out.append(sorted(got, key=lambda r: (r["doc_id"] or -1, r["sample"])))
+        every = [u for x in learned for u in x]
+        assert (len(every) == len(set(every))) == (nodes > 1)
+    for o in out[1:]:
+        assert [(r["doc_id"], r["sample"], r["ids"], r["ids_crc32"], r["n_pieces"]) for r in o] == [
+            (r["doc_id"], r["sample"], r["ids"], r["ids_crc32"], r["n_pieces"]) for r in out[0]]
+        for c in ("log_prob", "score", "log_inclusion"):
+            assert np.allclose([r[c] for r in o], [r[c] for r in out[0]], rtol=1e-5, atol=1e-5)
+
+
 def test_sampled_pieces_decode_to_the_text(spark):
     import hashlib
     import sentencepiece
