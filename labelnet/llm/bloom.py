@@ -26,7 +26,8 @@ def _word_bits(key: Column) -> list[Column]:
 
 
 def _block(key: Column, n: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(2)), F.lit(n)).cast("int")
+    # ``pmod`` may be null for Spark: a join on it would first compute the key, and all it is made of, for a null test
+    return F.coalesce(F.pmod(F.xxhash64(key, F.lit(2)), F.lit(n)).cast("int"), F.lit(0))
 
 
 def build(keys: DataFrame, n_keys: int, most: int | None = None) -> tuple[DataFrame, int]:

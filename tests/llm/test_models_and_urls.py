@@ -312,3 +312,12 @@ def test_pipeline_without_a_learned_language_rejects_only_texts_without_a_letter
     digits = frame(spark).selectExpr("doc_id", "if(doc_id > 10, text, '12 34') as text", "if(doc_id > 10, null, 'aa') lang")
     left = corpus_pipeline.identify_language(spark, digits, SF).collect()
     assert Counter((r.doc_id, r.text) for r in left) == Counter(x for x in want if x[0] and x[0] > 10)
+
+
+def test_a_blooms_keys_are_computed_once(spark):
+    lines = spark.createDataFrame([("a b",), ("c",), (None,)], "t string").withColumn("key", F.xxhash64(F.upper("t")))
+    words, n = bloom.build(lines.limit(2).select("key"), 2)
+    hit = bloom.may_hold(lines, words, n, True)
+    below = hit._jdf.queryExecution().optimizedPlan().toString()
+    assert below.count("upper(t") == 1 + words._jdf.queryExecution().optimizedPlan().toString().count("upper(t")
+    assert {"a b", "c"} <= {r.t for r in hit.collect()}
