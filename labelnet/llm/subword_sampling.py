@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from .minhash import mix
 
 ALPHA, SAMPLES = 1.5, 2
 ROWS = 256                     # rows that are decoded at a time
-SLICE = 500_000                # bytes of text that are sampled at once (one text at least)
+SLICE = 250_000                # bytes of text that are sampled at once (one text at least)
 NODES = 3_000_000              # nodes of lattices that a Python worker keeps (those of one slice at least)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 NULL_KEY = -(1 << 63)
@@ -151,7 +152,8 @@ class Column:
 
 class Lattices:
     """Lattices of distinct units, all nodes in a row: a unit of n characters has the nodes 0..n. A node's arcs lie in a
-    row, too, the shortest first. Units are kept for the slices to come; beyond ``NODES`` nodes the memory starts anew."""
+    row, too, the shortest first. Units are kept for the slices to come; beyond ``NODES`` nodes only those that came first
+    stay, as frequent units do."""
 
     def __init__(self, p: Pieces):
         self.p, kind = p, np.int16 if len(p.raw) < 32768 else np.int32
@@ -159,24 +161,33 @@ class Lattices:
         # of arcs: characters, piece (-2: byte pieces), log of the conditional probability, sum of it and the arcs before
         self.kinds = {"first": np.int64, "size": np.int64, "at": np.int32, "arcs": np.int8, "cp": np.uint32, "width": np.int8,
                       "length": np.int8, "piece": kind, "logp": np.float32, "cdf": np.float32}
-        self._forget()
-
-    def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.columns = {c: Column(k) for c, k in self.kinds.items()}
         for c, column in self.columns.items():
             setattr(self, c, column.room[:0])
 
+    def _keep(self, nodes: int) -> None:
+        """Only the units in the first ``nodes`` nodes stay."""
+        units = int(np.searchsorted(self.first + self.size + 1, nodes, "right"))
+        nodes = int(self.first[units]) if units < len(self.first) else len(self.at)
+        arcs = int(self.at[nodes]) if nodes < len(self.at) else len(self.piece)
+        self.place = dict(islice(self.place.items(), units))
+        for c, column in self.columns.items():
+            column.n = units if c in ("first", "size") else nodes if c in ("at", "arcs", "cp", "width") else arcs
+            setattr(self, c, column.room[:column.n])
+
     def places(self, units: list[str]) -> np.ndarray:
         """The place of each of the distinct ``units``, which learns those that are new."""
-        new = [u for u in units if u not in self.place]
-        if new and len(self.cp) + sum(map(len, new)) + 2 * len(new) > NODES:
-            self._forget()
-            new = units
+        at = list(map(self.place.get, units))
+        new = [u for u, i in zip(units, at) if i is None]
         if new:
+            if len(self.cp) + sum(map(len, new)) + 2 * len(new) > NODES:
+                self._keep(NODES // 2)
+                new = [u for u in units if u not in self.place]
             self.place.update(zip(new, range(len(self.size), len(self.size) + len(new))))
             self._learn(new)
-        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+            at = list(map(self.place.__getitem__, units))
+        return np.array(at, np.int64)
 
     def _learn(self, units: list[str]) -> None:
         p = self.p
@@ -208,7 +219,9 @@ class Lattices:
                 found.append((node[at], w, p.weight[w]))
                 go = left[live] > n
                 live, h = live[go], h[go]
-        k = max(n for n, (at, _, _) in enumerate(found, 1) if len(at))         # the longest piece in use
+        # the longest piece in use; 8 at least, as NumPy adds up shorter rows in another order: so units that are learned
+        # together don't change each other's last digits
+        k = max(8, *(n for n, (at, _, _) in enumerate(found, 1) if len(at)))
         weight, arcs = np.full((total, k), -np.inf, np.float32), np.zeros(total, np.int8)
         for n, (at, _, w) in enumerate(found[:k]):
             weight[at, n] = w

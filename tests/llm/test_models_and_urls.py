@@ -188,7 +188,7 @@ def test_lattices_are_learned_once_and_what_is_kept_changes_no_row(monkeypatch):
     learned, learn = [], subword_sampling.Lattices._learn
     monkeypatch.setattr(subword_sampling.Lattices, "_learn", lambda self, units: (learned.append(list(units)), learn(self, units))[1])
     out = []
-    for slice_, nodes in ((500_000, 1_000_000), (8, 1_000_000), (8, 1)):       # one slice; a slice for each text; nothing is kept
+    for slice_, nodes in ((500_000, 1_000_000), (8, 1_000_000), (8, 1), (8, 20)):       # one slice; a slice for each text; nothing is kept; some are
         monkeypatch.setattr(subword_sampling, "SLICE", slice_)
         monkeypatch.setattr(subword_sampling, "NODES", nodes)
         learned.clear()
@@ -197,7 +197,7 @@ def test_lattices_are_learned_once_and_what_is_kept_changes_no_row(monkeypatch):
             got = [r for b in subword_sampling.sampler(path, 3, subword_sampling.ALPHA, True)([batch]) for r in b.to_pylist()]
             out.append(sorted(got, key=lambda r: (r["doc_id"] or -1, r["sample"])))
         every = [u for x in learned for u in x]
-        assert (len(every) == len(set(every))) == (nodes > 1)
+        assert (len(every) == len(set(every))) == (nodes > 100)
     for o in out[1:]:
         assert [(r["doc_id"], r["sample"], r["ids"], r["ids_crc32"], r["n_pieces"]) for r in o] == [
             (r["doc_id"], r["sample"], r["ids"], r["ids_crc32"], r["n_pieces"]) for r in out[0]]
