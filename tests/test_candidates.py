@@ -104,3 +104,27 @@ def test_rows_are_dealt_by_blocks_and_not_by_bands(spark):
     code = {r.id: r.codes for r in cand.with_codes(arrays(spark, vecs).selectExpr("tag_id as id", "idxs", "vals"), 16, bits, bands).collect()}
     want = {p for p, c in brute_cos(vecs).items() if p[0] < p[1] and c > 0.6 and any(x == y for x, y in zip(code[p[0]], code[p[1]]))}
     assert set(found(cand.banded_pairs(arrays(spark, vecs), "tag_id", 16, 0.6, recall=0.5, tile_rows=70))) == want
+
+
+def test_only_vectors_move_to_the_tiles(spark):
+    vecs = {i: np.round(x * 64) / 64 for i, x in clustered(120).items()} | {500: np.zeros(16)}    # as floats hold them
+    thirds = {i: x / 3 for i, x in vecs.items()}
+    found_in = []
+    for rows, kind in ((vecs, "array<float>"), (thirds, "array<double>")):
+        df = cand.banded_pairs(arrays(spark, rows), "tag_id", 16, 0.6, recall=0.95, bits=4, tile_rows=50)
+        plan = df._jdf.queryExecution().optimizedPlan()
+        while plan.nodeName() != "RepartitionByExpression":
+            plan = plan.children().apply(0)
+        sent = {x.name(): x.dataType().simpleString() for x in (plan.output().apply(i) for i in range(plan.output().size()))}
+        assert sent["vals"] == kind and "codes" not in sent
+        found_in.append(found(df))
+    want = {p: c for p, c in brute_cos(vecs).items() if p[0] < p[1] and c > 0.6}
+    assert set(found_in[0]) == set(found_in[1]) <= set(want) and len(found_in[0]) >= 0.9 * len(want)
+    assert all(math.isclose(w, want[p], abs_tol=1e-12) for x in found_in for p, w in x.items())
+
+
+def test_codes_of_many_bits_and_ready_unit_vectors(spark):
+    vecs = clustered(60)
+    unit = {i: x / np.linalg.norm(x) for i, x in vecs.items()}
+    a, b = (found(cand.banded_pairs(arrays(spark, x), "tag_id", 16, 0.6, bits=18, recall=0.6, normalized=n)) for x, n in ((vecs, False), (unit, True)))
+    assert set(a) == set(b) and a
