@@ -107,3 +107,17 @@ def test_pairs_go_out_slice_by_slice(spark, monkeypatch):
     bf = brute_cos(vecs)
     assert sorted((r.src, r.dst) for r in e.collect()) == sorted((a, b) for (a, b), c in bf.items() if a < b and c > 0.8)
     assert [p.stop - p.start for p in sim._slices(3, 12, 100)] == [1, 1, 1]
+
+
+def test_vectors_go_to_the_tiles_as_floats_if_these_hold_them(spark):
+    rng = np.random.default_rng(3)
+    vecs = {i: np.round(rng.standard_normal(6) * 64) / 64 for i in range(40)} | {90: np.zeros(6)}
+    for rows, kind in ((vecs, "array<float>"), ({i: x / 3 for i, x in vecs.items()}, "array<double>")):
+        e = sim.similar_pairs(arrays(spark, rows), "tag_id", 6, 0.3, block_rows=15)
+        plan = e._jdf.queryExecution().optimizedPlan()
+        while plan.nodeName() != "RepartitionByExpression":
+            plan = plan.children().apply(0)
+        assert kind in [x.dataType().simpleString() for x in (plan.output().apply(i) for i in range(plan.output().size())) if x.name() == "vals"]
+        got = {(r.src, r.dst): r.weight for r in e.collect()}
+        want = {p: c for p, c in brute_cos(rows).items() if p[0] < p[1] and c > 0.3}
+        assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-12 for p in want)
